@@ -39,6 +39,10 @@ class Node:
     fields: str | tuple[Field, ...] = ()
     # (path of an object, column prefix, its fields): scalars of child objects.
     inline: tuple[tuple[tuple[str, ...], str, str | tuple[Field, ...]], ...] = ()
+    # Several named places instead of one path, e.g. a list per half of a game:
+    # (label, path) pairs whose entities share the table, told apart by ``label``.
+    named: tuple[tuple[str, tuple[str, ...]], ...] = ()
+    label: str | None = None
     # Scalars of this entity that every descendant row carries.
     hand_down: tuple[Field, ...] = ()
     constants: Mapping[str, str | None] = field(default_factory=dict)
@@ -65,8 +69,11 @@ class Root(Node):
     """A tree of one element (section) of the source."""
 
     element: str | tuple[str, ...] | None = None
-    # "payload", "l0payload", or "row": the bronze row itself is the entity.
-    source: str = "payload"
+    # "payload", "l0payload", "row" (the bronze row itself is the entity), or a
+    # function that returns the VARIANT column to start from.
+    source: str | Callable[[], Column] = "payload"
+    # More columns of the bronze row that every row of the tree carries.
+    context: Mapping[str, Callable[[], Column]] = field(default_factory=dict)
     # Wrapper keys around the entities, any of which may be missing.
     unwrap: tuple[str, ...] = ()
     # L0 mode: scalars of the l0 payload that every row of the tree carries.
@@ -114,7 +121,10 @@ class Pipeline:
     # Columns parsed from the id: name -> (index, least number of parts).
     id_parts: Mapping[str, tuple[int, int]] = field(default_factory=dict)
     constants: Mapping[str, str] = field(default_factory=dict)
-    # Carry the load time into text tables.
+    # True: every column of the declared trees is text; False: inferred types.
+    text: bool = True
+    # Keep the payload's own field names instead of snake_case.
+    raw_names: bool = False
     row_columns: tuple[str, ...] = ("ingested_from", "ingested_at")
     post: Callable[[dict[str, DataFrame]], dict[str, DataFrame]] | None = None
     write_mode: str = "append"
