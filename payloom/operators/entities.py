@@ -106,7 +106,7 @@ def context_columns(pipe: Pipeline) -> dict[str, Column]:
 
 
 def build_tables(df: DataFrame, roots: tuple[Root, ...], context: Mapping[str, Column],
-                 text: bool = True, spread: int | None = None) -> dict[str, DataFrame]:
+                 text: bool = True, spread: bool = False) -> dict[str, DataFrame]:
     """One lazy DataFrame per node that has a table name. Fields must be resolved."""
     out: dict[str, DataFrame] = {}
 
@@ -125,13 +125,14 @@ def build_tables(df: DataFrame, roots: tuple[Root, ...], context: Mapping[str, C
 
 
 def _table(df: DataFrame, chain: tuple[Node, ...], context: Mapping[str, Column],
-           text: bool, spread: int | None) -> DataFrame:
+           text: bool, spread: bool) -> DataFrame:
     root: Root = chain[0]
     cond = _element_filter(root)
     frame = df if cond is None else df.filter(cond)
     if spread and len(chain) > 1:
-        # A few huge payload rows: split them over tasks before they multiply.
-        frame = frame.repartition(spread)
+        # A few huge payload rows in a few splits: spread them before they multiply.
+        # AQE sizes the result, so there is no partition count to outgrow.
+        frame = frame.hint("rebalance")
     carried: dict[str, Column] = dict(context)
     carried.update({c: make() for c, make in root.context.items()})
     for f in root.l0_fields:
@@ -150,7 +151,7 @@ def _table(df: DataFrame, chain: tuple[Node, ...], context: Mapping[str, Column]
         else:
             reader = _Reader(raw=not last and bool(chain[depth + 1].named))
             if last:
-                for f in node.fields:
+                for f in (*node.fields, *node.extra):
                     reader.want(f)
                 for path, _, fields in node.inline:
                     if fields:
@@ -161,7 +162,7 @@ def _table(df: DataFrame, chain: tuple[Node, ...], context: Mapping[str, Column]
                 if not reader.raw:
                     reader.want_value(chain[depth + 1].path[0])
             if not reader.types:
-                reader.want_value("")
+                reader.want_value("__none")
             frame = _open(frame, node, depth, chain, carried, reader)
             entity = F.col(ENTITY)
             if node.label:
@@ -177,7 +178,7 @@ def _table(df: DataFrame, chain: tuple[Node, ...], context: Mapping[str, Column]
             carried = {c: F.col(c) for c in carried}
             continue
 
-        for f in node.fields:
+        for f in (*node.fields, *node.extra):
             own[f.column] = reader.value(entity, f)
         for path, _, fields in node.inline:
             for f in fields:
@@ -194,10 +195,14 @@ def _table(df: DataFrame, chain: tuple[Node, ...], context: Mapping[str, Column]
         ordered = {**own, **carried, **fixed}
     result = frame.select(*[v.alias(c) for c, v in ordered.items()])
     if node.require == "any_scalar" and own:
-        result = result.filter(F.coalesce(*[F.col(K.quote(c)).cast("string") for c in own]).isNotNull())
-    for name, make in node.derive.items():
-        result = result.withColumn(name, make())
-    if node.distinct_on:
+        checked = [f.column for _, _, fs in node.inline for f in fs] or list(own)
+        result = result.filter(F.coalesce(*[F.col(K.quote(c)).cast("string") for c in checked]).isNotNull())
+    if node.derive:
+        result = result.withColumns({name: make() for name, make in node.derive.items()})
+    result = result.drop(*[c for c in carried if c.startswith("__")])
+    if node.where is not None:
+        result = result.filter(node.where())
+    if node.distinct or node.distinct_on:
         result = K.distinct_on(result, node.distinct_on)
     if node.first_by:
         result = K.first(result, node.first_by)

@@ -212,7 +212,7 @@ def _root(tree: AutoTree, draft: _Draft, l0_fields: tuple[Field, ...], names: di
 
 
 def flatten(df: DataFrame, trees: tuple[AutoTree, ...] | AutoTree, prefix: str = "",
-            plan: TreePlan | None = None, spread: int | None = None) -> dict[str, DataFrame]:
+            plan: TreePlan | None = None, spread: bool = False) -> dict[str, DataFrame]:
     """All tables of the given elements as lazy DataFrames.
 
     Pass a stored ``plan`` to skip discovery, e.g. when yesterday's shape is known.

@@ -71,8 +71,10 @@ def merge_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     _require(df, keys)
     rank = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order])
     rest = columns if columns is not None else [c for c in df.columns if c not in keys]
+    # The value itself ends the order, so equal ranks still give one answer.
     picked = [
-        F.max_by(F.col(quote(c)), F.when(F.col(quote(c)).isNotNull(), rank)).alias(c) for c in rest
+        F.max_by(F.col(quote(c)), F.when(F.col(quote(c)).isNotNull(), F.struct(rank, F.col(quote(c))))).alias(c)
+        for c in rest
     ]
     return df.groupBy(*[F.col(quote(k)) for k in keys]).agg(*picked)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+from collections.abc import Collection
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -115,7 +116,7 @@ def infer_nodes(df: DataFrame, wanted: list[tuple[NodeKey, Root, tuple[Node, ...
 
 
 def scalar_fields(schema: T.StructType | None, prefix: str = "", text: bool = True,
-                  exclude: frozenset[str] | tuple[str, ...] = (), raw_names: bool = False) -> tuple[Field, ...]:
+                  exclude: Collection[str] = (), raw_names: bool = False) -> tuple[Field, ...]:
     """Scalars of an entity type as spec fields, under their snake_case names."""
     out: dict[str, Field] = {}
     for f in (schema.fields if schema is not None else ()):
@@ -154,7 +155,8 @@ def resolve(df: DataFrame, roots: tuple[Root, ...], text: bool = True,
     def fill(node: Node, key: NodeKey) -> Node:
         changes: dict = {}
         if node.fields == ALL:
-            changes["fields"] = scalar_fields(types.get(key), "", text, node.exclude, raw_names)
+            special = {f.json for f in node.extra}
+            changes["fields"] = scalar_fields(types.get(key), "", text, {*node.exclude, *special}, raw_names)
         if node.inline:
             changes["inline"] = tuple(
                 (path, prefix,

@@ -51,8 +51,15 @@ class Node:
     keys: tuple[str, ...] = ()
     first_by: tuple[str, ...] = ()
     distinct_on: tuple[str, ...] = ()
-    # None, "filled" (object with a key) or "any_scalar" (a non-null own column).
+    # Drop rows that repeat another row in full.
+    distinct: bool = False
+    # None, "filled" (object with a key) or "any_scalar" (a non-null inlined
+    # column, or own column where nothing is inlined).
     require: str | None = None
+    # More fields beside "*", for values that need their own kind of read.
+    extra: tuple[Field, ...] = ()
+    # Row filter over the finished row.
+    where: Callable[[], Column] | None = None
     # Column that takes the text of list elements that are plain scalars.
     text_element: str | None = None
     # Fields left out of "*".
@@ -126,11 +133,10 @@ class Pipeline:
     # Keep the payload's own field names instead of snake_case.
     raw_names: bool = False
     row_columns: tuple[str, ...] = ("ingested_from", "ingested_at")
+    # More tables straight from the bronze rows.
+    extend: Callable[[DataFrame], dict[str, DataFrame]] | None = None
     post: Callable[[dict[str, DataFrame]], dict[str, DataFrame]] | None = None
     write_mode: str = "append"
-    # Partitions to spread large payload rows over before they are exploded.
-    spread: int | None = None
-
     @property
     def elements(self) -> tuple[str, ...]:
         out: list[str] = [a.element for a in self.auto]
