@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from payloom.operators.keys import latest, quote
+from payloom.operators.keys import first, latest, quote
 
 AUDIT = ("_source_table", "_loaded_at", "_updated_at")
 
@@ -40,19 +40,20 @@ def scd1(new: DataFrame, keys: Sequence[str], order: Sequence[str], existing: Da
         F.col(c) if c in keys or c == "_loaded_at" else F.col("row").getField(c).alias(c) for c in rows.columns])
 
 
-def scd2(df: DataFrame, keys: Sequence[str], tracked: Sequence[str], ts: str, order: Sequence[str | Column] = (),
+def scd2(df: DataFrame, keys: Sequence[str], tracked: Sequence[str], ts: str, order: Sequence[str] = (),
          chunk: str = "day", sk: str | None = None, carry: Sequence[str] = ()) -> DataFrame:
     """Version ranges: a new row whenever a tracked column changes.
 
     Output: keys, tracked, ``carry`` (as of the change), ``valid_from``,
     ``valid_to``, ``is_current`` and a surrogate key. Of several rows with the
-    same key and time the one first in ``order`` counts.
+    same key and time the one first in ``order`` counts; rows without a time
+    are left out.
 
     No task ever holds all rows of a key. Changes are found within (key,
     chunk of time); only the state at both ends of each chunk is compared
     across chunks. A key with very many rows is spread over its chunks.
     """
-    rows = latest(df, [*keys, ts], [F.lit(0)], tiebreak=order or ()) if order else df.dropDuplicates([*keys, ts])
+    rows = first(df.filter(F.col(quote(ts)).isNotNull()), [*keys, ts], order)
     state = F.struct(*[F.col(quote(c)) for c in tracked])
     rows = rows.select(*[F.col(quote(k)) for k in keys], F.col(quote(ts)).alias("__at"),
                        state.alias("__state"), *[F.col(quote(c)) for c in carry],
