@@ -33,8 +33,9 @@ def scd1(new: DataFrame, keys: Sequence[str], order: Sequence[str], existing: Da
     if not set(AUDIT) <= set(rows.columns):
         return latest(rows, keys, order, tiebreak=())
     # One pass: the newest row and the oldest load time per key, pre-reduced per task.
-    rest = [c for c in rows.columns if c not in (*keys, "_loaded_at")]
-    newest = F.struct(*[F.col(quote(c)) for c in (*order, "_updated_at", *[c for c in rest if c not in order])])
+    ranked = [*order, "_updated_at"]
+    ranked += [c for c in rows.columns if c not in (*keys, *ranked, "_loaded_at")]
+    newest = F.struct(*[F.col(quote(c)) for c in ranked])
     picked = rows.groupBy(*keys).agg(F.max(newest).alias("row"), F.min("_loaded_at").alias("_loaded_at"))
     return picked.select(*[
         F.col(c) if c in keys or c == "_loaded_at" else F.col("row").getField(c).alias(c) for c in rows.columns])
