@@ -8,7 +8,8 @@ the payload is carried along, and no hop shuffles.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import dataclasses
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,11 +82,12 @@ def _finish(value: Column, f: Field) -> Column:
 
 
 def _list(value: Column, path: tuple[str, ...], list_key: str | None, ddl: str) -> Column:
-    one = get(value, *path, *([list_key] if list_key else []), as_type=ddl)
-    options = [
-        get(value, *path, *([list_key] if list_key else []), as_type=f"array<{ddl}>"),
-        F.when(one.isNotNull(), F.array(one)),
-    ]
+    """A list, or a list of one: NULL in it if nothing fits, which the caller drops.
+
+    Each reading is tried once per row; the typed casts are the costly part.
+    """
+    full = (*path, *([list_key] if list_key else []))
+    options = [get(value, *full, as_type=f"array<{ddl}>"), F.array(get(value, *full, as_type=ddl))]
     if list_key:
         options.insert(0, get(value, *path, as_type=f"array<{ddl}>"))
     return F.coalesce(*options)
@@ -105,6 +107,19 @@ def context_columns(pipe: Pipeline) -> dict[str, Column]:
     return out
 
 
+def only_tables(roots: tuple[Root, ...], wanted: Collection[str]) -> tuple[Root, ...]:
+    """The same trees without the nodes that no wanted table needs."""
+    def cut(node: Node) -> Node | None:
+        below = tuple(c for c in map(cut, node.children) if c is not None)
+        mine = node.table in wanted
+        if not mine and not below:
+            return None
+        changes = {} if mine else {"table": None, "fields": (), "inline": (), "extra": (), "keys": (), "first_by": ()}
+        return dataclasses.replace(node, children=below, **changes)
+
+    return tuple(r for r in map(cut, roots) if r is not None)
+
+
 def build_tables(df: DataFrame, roots: tuple[Root, ...], context: Mapping[str, Column],
                  text: bool = True, spread: bool = False) -> dict[str, DataFrame]:
     """One lazy DataFrame per node that has a table name. Fields must be resolved."""
@@ -220,7 +235,13 @@ def _open(frame: DataFrame, node: Node, depth: int, chain: tuple[Node, ...], car
     raw = reader.ddl() == "variant" or (last and (node.require == "filled" or node.text_element is not None))
     ddl = "variant" if raw else reader.ddl()
     if depth == 0:
-        items = _list(root_value(node), (), None, ddl)
+        source = root_value(node)
+        if node.unwrap or callable(node.source):
+            # Its own projection, so the unwrapping runs once and not per reading.
+            l0 = [F.col("l0payload")] if node.take == "first" else []
+            frame = frame.select(*[v.alias(c) for c, v in carried.items()], *l0, source.alias(VALUE))
+            carried, source = {c: F.col(c) for c in carried}, F.col(VALUE)
+        items = _list(source, (), None, ddl)
         if node.take == "first":
             items = F.when(F.col("l0payload").isNotNull(), F.slice(items, 1, 1)).otherwise(items)
     elif node.named:

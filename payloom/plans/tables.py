@@ -2,34 +2,55 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame
 
-from payloom.operators.entities import build_tables, context_columns
+from payloom.operators.entities import build_tables, context_columns, only_tables
 from payloom.operators.flatten import TreePlan, discover, flatten
 from payloom.operators.schema import resolve
-from payloom.plans.spec import Pipeline, Root
+from payloom.plans.spec import Node, Pipeline, Root
 
 
 def table_name(pipe: Pipeline, suffix: str) -> str:
     return f"{pipe.prefix}_{suffix}" if suffix else pipe.prefix
 
 
-def plan_shapes(pipe: Pipeline, bronze: DataFrame) -> tuple[TreePlan | None, tuple[Root, ...]]:
+Shapes = tuple[TreePlan | None, tuple[Root, ...]]
+
+
+def plan_shapes(pipe: Pipeline, bronze: DataFrame, only: Collection[str] | None = None) -> Shapes:
     """Shapes of a pipeline's data: at most one job for the discovered trees (and one
     per depth of mixed fields) and one for the declared ones. Keep it to run again."""
-    tree = discover(bronze, pipe.auto, "") if pipe.auto else None
-    return tree, resolve(bronze, pipe.roots, pipe.text, pipe.raw_names)
+    roots = pipe.roots if only is None else only_tables(pipe.roots, _needed(pipe, only))
+    declared = {t for r in roots for t in _tables_of(r)}
+    discovered = pipe.auto and (only is None or not set(only) <= declared)
+    tree = discover(bronze, pipe.auto, "") if discovered else None
+    return tree, resolve(bronze, roots, pipe.text, pipe.raw_names)
+
+
+def _tables_of(node: Node) -> list[str]:
+    return [*([node.table] if node.table is not None else []), *[t for c in node.children for t in _tables_of(c)]]
+
+
+def _needed(pipe: Pipeline, only: Collection[str]) -> set[str]:
+    hidden = {t for r in pipe.roots for t in _tables_of(r) if t.startswith("__")}
+    return {*only, *(hidden if pipe.post and not set(only) <= {t for r in pipe.roots for t in _tables_of(r)} else ())}
 
 
-def pipeline_tables(pipe: Pipeline, bronze: DataFrame, shapes: tuple[TreePlan | None, tuple[Root, ...]] | None = None,
-                    spread: bool = False) -> dict[str, DataFrame]:
-    """Suffix -> lazy DataFrame for every table of the pipeline."""
-    tree, roots = shapes or plan_shapes(pipe, bronze)
-    out = flatten(bronze, pipe.auto, "", plan=tree, spread=spread) if pipe.auto else {}
+def pipeline_tables(pipe: Pipeline, bronze: DataFrame, shapes: Shapes | None = None, spread: bool = False,
+                    only: Collection[str] | None = None) -> dict[str, DataFrame]:
+    """Suffix -> lazy DataFrame for every table of the pipeline, or for those in ``only``."""
+    tree, roots = shapes or plan_shapes(pipe, bronze, only)
+    if shapes and only is not None:
+        roots = only_tables(roots, _needed(pipe, only))
+    out = flatten(bronze, pipe.auto, "", plan=tree, spread=spread) if tree else {}
     made = build_tables(bronze, roots, context_columns(pipe), text=pipe.text, spread=spread)
     extra = pipe.extend(bronze) if pipe.extend else {}
     for part in (made, extra):
         if set(part) & set(out):
             raise ValueError(f"{pipe.name}: two parts write {sorted(set(part) & set(out))}")
         out.update(part)
-    return pipe.post(out) if pipe.post else out
+    if pipe.post and any(t.startswith("__") for t in out):
+        out = pipe.post(out)
+    return out if only is None else {t: out[t] for t in only}

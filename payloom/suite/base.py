@@ -38,40 +38,40 @@ class Either:
 
 
 class Repeat:
-    """A list of ``n`` (SQL) entries; the template is a function of the entry number, from 1."""
+    """A list of ``n`` (SQL) entries; the template may use the entry number ``i``, from 1."""
 
-    def __init__(self, n: str, entry: Callable[[Column], dict]):
+    def __init__(self, n: str, entry: dict):
         self.n, self.entry = n, entry
 
 
-def _native(t) -> Column:
-    """Template to a column: dicts are structs, lists arrays, text is SQL."""
-    if isinstance(t, Column):
-        return t
+def _native(t) -> str:
+    """Template to SQL: text is SQL already, dicts are structs, anything else is VARIANT."""
     if isinstance(t, str):
-        return F.expr(t)
-    if isinstance(t, dict):
-        return F.struct(*[_native(v).alias(k) for k, v in t.items()]) if t else F.parse_json(F.lit("{}"))
-    return variant(t)
+        return t
+    if isinstance(t, dict) and t:
+        return "named_struct(" + ", ".join(f"'{k}', {_native(v)}" for k, v in t.items()) + ")"
+    return variant_sql(t)
 
 
-def variant(t) -> Column:
-    """Template to VARIANT; entries of a list may differ in shape."""
+def variant_sql(t) -> str:
+    """Template to an SQL expression of type VARIANT; entries of a list may differ in shape."""
     if t is None:
-        return F.parse_json(F.lit("null"))
+        return "parse_json('null')"
     if isinstance(t, Either):
-        return F.when(F.expr(t.condition), variant(t.then)).otherwise(variant(t.otherwise))
+        return f"CASE WHEN {t.condition} THEN {variant_sql(t.then)} ELSE {variant_sql(t.otherwise)} END"
     if isinstance(t, Repeat):
-        n = F.expr(t.n).cast("int")
-        some = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: variant(t.entry(i)))
-        return F.to_variant_object(F.slice(some, 1, F.greatest(n, F.lit(0))))
+        n = f"CAST({t.n} AS int)"
+        some = f"transform(sequence(1, greatest({n}, 1)), i -> {variant_sql(t.entry)})"
+        return f"to_variant_object(slice({some}, 1, greatest({n}, 0)))"
     if isinstance(t, list):
-        return F.to_variant_object(F.array(*[variant(x) for x in t])) if t else F.parse_json(F.lit("[]"))
-    if isinstance(t, dict) and not t:
-        return F.parse_json(F.lit("{}"))
+        return f"to_variant_object(array({', '.join(map(variant_sql, t))}))" if t else "parse_json('[]')"
     if isinstance(t, dict):
-        return F.to_variant_object(_native(t))
-    return _native(t).cast("variant")
+        return f"to_variant_object({_native(t)})" if t else "parse_json('{}')"
+    return f"CAST({t} AS variant)"
+
+
+def variant(t) -> Column:
+    return F.expr(variant_sql(t))
 
 
 def bronze_rows(df: DataFrame, source_id: str, at: str, sections: dict, l0=None) -> DataFrame:
@@ -103,7 +103,7 @@ def domain_query(name: str, bronze: Callable[[SparkSession, str], DataFrame], pi
     """Register one output table of a domain pipeline, in full or by some columns."""
 
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        df = pipeline_tables(pipeline(pipe), bronze(spark, sf))[suffix]
+        df = pipeline_tables(pipeline(pipe), bronze(spark, sf), only=(suffix,))[suffix]
         return df.select(*columns) if columns else df
 
     query(name, sql)(run)

@@ -23,8 +23,8 @@ ORDER = {
     "lineItems": {"lineItem": Either(
         "o_orderkey % 4 = 1",
         {"lineNumber": "1", "partKey": "o_custkey * 10 + 1", "subs": {"sub": {"code": "'a'"}}},
-        Repeat("o_orderkey % 4", lambda i: {
-            "lineNumber": i, "partKey": F.col("o_custkey") * 10 + i,
+        Repeat("o_orderkey % 4", {
+            "lineNumber": "i", "partKey": "o_custkey * 10 + i",
             "subs": {"sub": [{"code": "'a'"}, {"code": "'b'"}]}}),
     )},
 }
