@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payloom.functions.text import id_part
-from payloom.functions.variant import get, is_array, non_empty_object, scalar_text, struct_ddl, text_node
+from payloom.functions.variant import get, is_array, is_object, non_empty_object, scalar_text, struct_ddl, text_node
 from payloom.operators import keys as K
 from payloom.operators.schema import root_value
 from payloom.plans.spec import Field, Node, Pipeline, Root
@@ -114,7 +114,11 @@ def only_tables(roots: tuple[Root, ...], wanted: Collection[str]) -> tuple[Root,
         mine = node.table in wanted
         if not mine and not below:
             return None
-        changes = {} if mine else {"table": None, "fields": (), "inline": (), "extra": (), "keys": (), "first_by": ()}
+        # What the cut children open still is not a scalar of this node.
+        opened = (*node.opened, *[(*c.path, *([c.list_key] if c.list_key else [])) for c in node.children if c.path],
+                  *[p for c in node.children for _, p in c.named])
+        changes = {"opened": opened} if mine else {
+            "table": None, "fields": (), "inline": (), "extra": (), "keys": (), "first_by": ()}
         return dataclasses.replace(node, children=below, **changes)
 
     return tuple(r for r in map(cut, roots) if r is not None)
@@ -264,7 +268,7 @@ def _open(frame: DataFrame, node: Node, depth: int, chain: tuple[Node, ...], car
     frame = frame.select(*[F.col(c) for c in carried], *extra, VALUE, as_entity.alias(ENTITY))
     if last and node.text_element:
         return frame.filter(F.col(ENTITY).isNotNull() | (scalar_text(VALUE).isNotNull() & ~is_array(VALUE)))
-    return frame.filter(get(VALUE, as_type="map<string,variant>").isNotNull())
+    return frame.filter(is_object(VALUE))
 
 
 def _labelled(node: Node, ddl: str) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from payloom.functions.text import snake_case
-from payloom.operators.entities import build_tables
+from payloom.operators.entities import build_tables, only_tables
 from payloom.operators.schema import infer_nodes, scalar_fields
 from payloom.plans.spec import AutoTree, Field, Node, Root
 
@@ -212,7 +213,7 @@ def _root(tree: AutoTree, draft: _Draft, l0_fields: tuple[Field, ...], names: di
 
 
 def flatten(df: DataFrame, trees: tuple[AutoTree, ...] | AutoTree, prefix: str = "",
-            plan: TreePlan | None = None, spread: bool = False) -> dict[str, DataFrame]:
+            plan: TreePlan | None = None, spread: bool = False, only: Collection[str] | None = None) -> dict[str, DataFrame]:
     """All tables of the given elements as lazy DataFrames.
 
     Pass a stored ``plan`` to skip discovery, e.g. when yesterday's shape is known.
@@ -221,11 +222,12 @@ def flatten(df: DataFrame, trees: tuple[AutoTree, ...] | AutoTree, prefix: str =
     plan = plan or discover(df, trees, prefix)
     out: dict[str, DataFrame] = {}
     for tree, root, static in zip(trees, plan.roots, plan.statics):
+        kept = (root,) if only is None else only_tables((root,), only)
         context: dict[str, Column] = {"ingested_at": F.col("ingested_at"), "ingested_from": F.col("ingested_from")}
         context.update({c: F.lit(v) for c, v in static.items()})
         if tree.passthrough is not None:
             context = {c: v for c, v in context.items() if c in tree.passthrough}
-        made = build_tables(df, (root,), context, text=False, spread=spread)
+        made = build_tables(df, kept, context, text=False, spread=spread)
         if set(made) & set(out):
             raise ValueError(f"two elements write {sorted(set(made) & set(out))}")
         out.update(made)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from payloom.functions.variant import OBJECT, as_list, get, present, unwrap_or_self
+from payloom.functions.variant import as_list, get, is_array, is_object, unwrap_or_self
 from payloom.plans.spec import ALL, Field, Node, Root
 from payloom.functions.text import snake_case
 
@@ -77,8 +77,8 @@ def _reader(path: tuple[str, ...]):
     return lambda x: get(x, *path)
 
 
-def _tagger(node: int):
-    return lambda x: F.struct(F.lit(node).alias("node"), x.alias("v"))
+def _tagger(node: int, section: Column):
+    return lambda x: F.struct(F.lit(node).alias("node"), section.alias("section"), x.alias("v"))
 
 
 def infer_nodes(df: DataFrame, wanted: list[tuple[NodeKey, Root, tuple[Node, ...], tuple[str, ...]]]) -> dict:
@@ -87,32 +87,45 @@ def infer_nodes(df: DataFrame, wanted: list[tuple[NodeKey, Root, tuple[Node, ...
     Each entry is (key, root, nodes below the root, path of an inlined object).
     One pass: every row yields its (node, entity) pairs, which are aggregated
     by node on the map side first; only one row per node reaches the driver.
+    Nodes that differ in nothing but their element share one reading.
     """
     if not wanted:
         return {}
-    pairs = []
+    readings: dict[tuple, list[int]] = {}
     for i, (_, root, chain, inner) in enumerate(wanted):
+        steps = tuple((n.path, n.list_key, n.named) for n in chain)
+        single = isinstance(root.element, str)
+        readings.setdefault((root.source, root.unwrap, steps, inner, None if single else (i,)), []).append(i)
+
+    pairs, owner = [], {}
+    for node, members in enumerate(readings.values()):
+        _, root, chain, inner = wanted[members[0]]
         items = root_elements(root)
-        for node in chain:
-            items = child_elements(items, node)
+        for step in chain:
+            items = child_elements(items, step)
         if inner:
             items = F.transform(items, _reader(inner))
-        pair = F.transform(items, _tagger(i))
-        elements = root.element if isinstance(root.element, tuple) else (root.element,)
-        if root.element is not None:
-            pair = F.when(F.col("l1element").isin(*elements), pair)
-        pairs.append(F.coalesce(pair, F.array().cast("array<struct<node:int,v:variant>>")))
+        if isinstance(root.element, str):
+            names = sorted({wanted[i][1].element for i in members})
+            pair = F.when(F.col("l1element").isin(*names), F.transform(items, _tagger(node, F.col("l1element"))))
+            owner.update({i: (node, wanted[i][1].element) for i in members})
+        else:
+            pair = F.transform(items, _tagger(node, F.lit("")))
+            if root.element is not None:
+                pair = F.when(F.col("l1element").isin(*root.element), pair)
+            owner[members[0]] = (node, "")
+        pairs.append(F.coalesce(pair, F.array().cast("array<struct<node:int,section:string,v:variant>>")))
     needed = {e for _, r, _, _ in wanted for e in (r.element if isinstance(r.element, tuple) else (r.element,))}
     if None not in needed:
         df = df.filter(F.col("l1element").isin(*sorted(needed)))
     found = (
         df.select(F.inline(F.concat(*pairs)))
-        .filter(present("v"))
-        .groupBy("node").agg(F.schema_of_variant_agg("v").alias("s"))
+        .filter(is_object("v"))
+        .groupBy("node", "section").agg(F.schema_of_variant_agg("v").alias("s"))
         .collect()
     )
-    types = {r["node"]: entity_type(parse_schema(r["s"])) for r in found}
-    return {key: types.get(i) for i, (key, *_) in enumerate(wanted)}
+    types = {(r["node"], r["section"]): entity_type(parse_schema(r["s"])) for r in found}
+    return {key: types.get(owner[i]) for i, (key, *_) in enumerate(wanted)}
 
 
 def scalar_fields(schema: T.StructType | None, prefix: str = "", text: bool = True,
@@ -131,6 +144,15 @@ def scalar_fields(schema: T.StructType | None, prefix: str = "", text: bool = Tr
     return tuple(out.values())
 
 
+def opened_fields(node: Node, below: tuple[str, ...] = ()) -> set[str]:
+    """Fields of an entity (or of an object in it) that the node inlines or its children open."""
+    paths = [path for path, _, _ in node.inline] + list(node.opened)
+    for child in node.children:
+        paths += [(*child.path, *([child.list_key] if child.list_key else [])), *[p for _, p in child.named]]
+    n = len(below)
+    return {p[n] for p in paths if len(p) > n and p[:n] == below}
+
+
 def resolve(df: DataFrame, roots: tuple[Root, ...], text: bool = True,
             raw_names: bool = False) -> tuple[Root, ...]:
     """The same trees with every "*" replaced by the fields that the data has.
@@ -155,12 +177,15 @@ def resolve(df: DataFrame, roots: tuple[Root, ...], text: bool = True,
     def fill(node: Node, key: NodeKey) -> Node:
         changes: dict = {}
         if node.fields == ALL:
+            # Fields that the tree opens are not scalars, even where their shape is mixed.
             special = {f.json for f in node.extra}
-            changes["fields"] = scalar_fields(types.get(key), "", text, {*node.exclude, *special}, raw_names)
+            changes["fields"] = scalar_fields(
+                types.get(key), "", text, {*node.exclude, *opened_fields(node), *special}, raw_names)
         if node.inline:
             changes["inline"] = tuple(
                 (path, prefix,
-                 scalar_fields(types.get((*key, "inline", j)), prefix, text, node.exclude, raw_names)
+                 scalar_fields(types.get((*key, "inline", j)), prefix, text,
+                               {*node.exclude, *opened_fields(node, path)}, raw_names)
                  if fields == ALL else fields)
                 for j, (path, prefix, fields) in enumerate(node.inline)
             )
@@ -194,8 +219,8 @@ def profile_paths(df: DataFrame, col: str, max_depth: int = 8) -> DataFrame:
         levels.append(level)
     kind = (
         F.when(F.is_variant_null("v"), "null")
-        .when(get("v", as_type="array<variant>").isNotNull(), "array")
-        .when(get("v", as_type=OBJECT).isNotNull(), "object")
+        .when(is_array("v"), "array")
+        .when(is_object("v"), "object")
         .otherwise("scalar")
     )
     # Count per level before the union, so that only distinct paths are shuffled.

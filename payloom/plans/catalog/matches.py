@@ -25,7 +25,7 @@ MATCH_DATA = Pipeline(
     auto=(
         AutoTree("gameInfo", "gameinfo", keys={"gameinfo": ("ingested_from",)},
                  exclude=frozenset({"injuriesAndSuspensions", "radioNetwork", "broadcastInfo", "teamPlayer"})),
-        AutoTree("teams", "teams", flatten_structs={"score": "score_"}, force_list=frozenset({"teamCoach"}),
+        AutoTree("teams", "teams", flatten_structs={"score": "score_"}, force_list=frozenset({"teamsMatch", "teamCoach", "insOuts"}),
                  exclude=frozenset({"injuriesAndSuspensions", "radioNetwork", "broadcastInfo", "teamPlayer"}),
                  keys={"teams": ("game_id", "ingested_from"), "teamsMatch": ("game_id", "team_id")}),
     ),

@@ -72,7 +72,7 @@ ALL_SQUADS = Pipeline(
     name="all_squads", source=source("all_squads"), prefix=target("all_squads"),
     scope="all_squads_{competition_id}_{season}", scope_exact=True,
     auto=(AutoTree(
-        "competitions", "competitions", force_list=frozenset({"coach"}),
+        "competitions", "competitions", force_list=frozenset({"competition", "team", "player", "coach"}),
         flatten_structs={"teamHistory": "team_history_"},
         keys={"competitions": ("season_id", "ingested_from"), "competition": ("competition_id",),
               "team": ("team_id",), "player": ("player_id",), "coach": ("coach_id",)},
@@ -100,7 +100,7 @@ PLAYER_ASSOCIATIONS = Pipeline(
 SQUAD_LIST = Pipeline(
     name="squad_list", source=source("squad"), prefix=target("squad"), scope="squad_{competition_id}_{season}",
     auto=(AutoTree(
-        "teams", "teams", force_list=frozenset({"coach", "team"}),
+        "teams", "teams", force_list=frozenset({"team", "player", "coach"}),
         exclude=frozenset({"competitionEasyKickingSuccessRate", "competitionToughKickingSuccessRate"}),
         flatten_structs={"teamHistory": "team_history_"},
         keys={"team": ("team_id",), "player": ("player_id",), "coach": ("coach_id",)},

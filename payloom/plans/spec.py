@@ -64,6 +64,8 @@ class Node:
     text_element: str | None = None
     # Fields left out of "*".
     exclude: tuple[str, ...] = ()
+    # Paths that hold no scalars of this node, beside those of its own children.
+    opened: tuple[tuple[str, ...], ...] = ()
     # Payload values beat context columns of the same name.
     own_wins: bool = False
     # Subset of inherited columns that reach this table and its children.

@@ -44,7 +44,7 @@ def pipeline_tables(pipe: Pipeline, bronze: DataFrame, shapes: Shapes | None = N
     tree, roots = shapes or plan_shapes(pipe, bronze, only)
     if shapes and only is not None:
         roots = only_tables(roots, _needed(pipe, only))
-    out = flatten(bronze, pipe.auto, "", plan=tree, spread=spread) if tree else {}
+    out = flatten(bronze, pipe.auto, "", plan=tree, spread=spread, only=only) if tree else {}
     made = build_tables(bronze, roots, context_columns(pipe), text=pipe.text, spread=spread)
     extra = pipe.extend(bronze) if pipe.extend else {}
     for part in (made, extra):

@@ -4,5 +4,7 @@ Nested rows are made from single table rows, without grouping, so building
 them scales like a scan and no payload depends on how often a key occurs.
 """
 
-from payloom.suite import domain_leaderboards, logs, nested, tables
+from payloom.suite import (
+    domain_leaderboards, domain_matches, domain_players, domain_reference, logs, nested, tables,
+)
 from payloom.suite.base import ORACLES, QUERIES

@@ -104,6 +104,8 @@ def domain_query(name: str, bronze: Callable[[SparkSession, str], DataFrame], pi
 
     def run(spark: SparkSession, sf: str) -> DataFrame:
         df = pipeline_tables(pipeline(pipe), bronze(spark, sf), only=(suffix,))[suffix]
-        return df.select(*columns) if columns else df
+        df = df.select(*columns) if columns else df
+        return df.withColumns({
+            f.name: F.col(f.name).cast("timestamp_ntz") for f in df.schema.fields if f.dataType.typeName() == "timestamp"})
 
     query(name, sql)(run)
