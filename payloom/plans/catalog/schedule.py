@@ -16,7 +16,6 @@ def _season_part(table: str, wrapper: str, item: str) -> Node:
 SEASON_LIST = Pipeline(
     name="season_list", source=source("season_list"), prefix=target("season_list"),
     scope="season_list_{competition_id}", scope_exact=True, text=False, raw_names=True,
-    row_columns=("ingested_from",),
     auto=(AutoTree("seasons", "season", keys={"season": ("id",)},
                    exclude=frozenset({"rounds", "coaches", "clubs", "venues", "officials"})),),
     roots=(Root(element="seasons", hand_down=(Field("id", "season_id"),), children=(

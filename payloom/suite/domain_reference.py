@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from payloom.functions.text import snake_case
+from payloom.operators.reshape import union_by_name
 from payloom.plans.catalog.reference_data import ENTITY_SECTIONS
 from payloom.suite.base import Either, Repeat, bronze_rows, domain_query, table, text
 
@@ -51,20 +52,24 @@ SECTION_TABLES = {
 }
 
 
-def entities_bronze(spark, sf):
-    out = None
-    for section, (name, key, label) in SECTION_TABLES.items():
-        entity = ENTITY_SECTIONS[section][1]
-        one = {"id": text(key), "name": label, "competitionId": "'111'", "seasonId": text(f"{key} % 3")}
-        part = bronze_rows(table(spark, sf, name), f"concat_ws('_', 'entities', '{section}', {key})", "timestamp'2024-01-01'",
-                           {section: ("true", {entity: Either(f"{key} % 2 = 0", one, [one])})})
-        out = part if out is None else out.unionByName(part)
-    return out
+def entities_bronze(section: str):
+    """Rows of one section, among rows of another that must not get into its table."""
+    def make(spark, sf):
+        parts = []
+        for name in {section: 1, "competitions": 1, "venues": 1}:
+            source, key, label = SECTION_TABLES[name]
+            one = {"id": text(key), "name": label, "competitionId": "'111'", "seasonId": text(f"{key} % 3")}
+            parts.append(bronze_rows(
+                table(spark, sf, source), f"concat_ws('_', 'entities', '{name}', {key})", "timestamp'2024-01-01'",
+                {name: ("true", {ENTITY_SECTIONS[name][1]: Either(f"{key} % 2 = 0", one, [one])})}))
+        return union_by_name(*parts)
+
+    return make
 
 
 for _section, (_table, _key, _label) in SECTION_TABLES.items():
-    _entity = ENTITY_SECTIONS[_section][1]
-    domain_query(f"entities_{snake_case(_entity)}", entities_bronze, "entities", snake_case(_entity), f"""
+    _entity = snake_case(ENTITY_SECTIONS[_section][1])
+    domain_query(f"entities_{_entity}", entities_bronze(_section), "entities", _entity, f"""
         SELECT CAST({_key} AS varchar) AS id, {_label} AS name, '111' AS competition_id, CAST({_key} % 3 AS varchar) AS season_id,
                'entities_{_section}_' || {_key} AS ingested_from FROM {_table}""",
                  ("id", "name", "competition_id", "season_id", "ingested_from"))
@@ -176,7 +181,7 @@ def season_list_bronze(spark, sf):
                        l0={"competitionId": "'111'"})
 
 
-SE = "CAST(o_orderkey AS varchar) AS season_id, 'season_list_' || o_orderkey AS ingested_from"
+SE = "CAST(o_orderkey AS varchar) AS season_id, 'season_list_' || o_orderkey AS ingested_from, o_orderdate AS ingested_at"
 for _suffix, _sql in {
     "season": """SELECT CAST(o_orderkey AS varchar) AS id, o_orderstatus AS name, o_orderkey % 2 = 0 AS active,
                  '111' AS competition_id, o_orderdate AS ingested_at, 'season_list_' || o_orderkey AS ingested_from FROM orders""",
