@@ -52,33 +52,44 @@ def root_value(root: Root) -> Column:
     return unwrap_or_self(source, *root.unwrap)
 
 
-def root_elements(root: Root) -> Column:
-    """All entities of one bronze row as ``array<variant>``."""
-    return as_list(root_value(root))
+def _items(value: Column, *path: str) -> Column:
+    """Entities at a path; what is no entity is dropped after the explode."""
+    return F.coalesce(get(value, *path, as_type="array<variant>"), F.array(get(value, *path)))
 
 
-def child_elements(parents: Column, node: Node) -> Column:
-    return F.flatten(F.transform(parents, lambda x: F.coalesce(_at(x, node), F.array().cast("array<variant>"))))
-
-
-def _at(entity: Column, node: Node) -> Column:
+def _child_items(entity: Column, node: Node) -> Column:
     if node.named:
-        none = F.array().cast("array<variant>")
-        return F.concat(*[F.coalesce(as_list(entity, *path), none) for _, path in node.named])
+        return F.concat(*[_items(entity, *path) for _, path in node.named])
     if node.list_key is None:
-        return as_list(entity, *node.path)
-    return F.coalesce(
-        get(entity, *node.path, as_type="array<variant>"),
-        as_list(entity, *node.path, node.list_key),
-    )
+        return _items(entity, *node.path)
+    return F.coalesce(get(entity, *node.path, as_type="array<variant>"), _items(entity, *node.path, node.list_key))
+
+
+class _Reading:
+    """A tree of steps from an entity to all entities whose type is wanted below it.
+
+    Nodes with a common way to them share it, so each list is opened once.
+    """
 
+    def __init__(self) -> None:
+        self.ids: list[int] = []
+        self.steps: dict[tuple, tuple[Node, _Reading]] = {}
 
-def _reader(path: tuple[str, ...]):
-    return lambda x: get(x, *path)
+    def at(self, chain: tuple[Node, ...]) -> _Reading:
+        here = self
+        for node in chain:
+            key = (node.path, node.list_key, node.named)
+            here = here.steps.setdefault(key, (node, _Reading()))[1]
+        return here
 
+    def pairs(self, entity: Column, section: Column) -> Column:
+        """Array of (node, section, entity) for this entity and everything below it."""
+        parts = [F.array(F.struct(F.lit(i).alias("node"), section.alias("section"), entity.alias("v"))) for i in self.ids]
+        parts += [below.over(_child_items(entity, node), section) for node, below in self.steps.values()]
+        return F.concat(*parts)
 
-def _tagger(node: int, section: Column):
-    return lambda x: F.struct(F.lit(node).alias("node"), section.alias("section"), x.alias("v"))
+    def over(self, entities: Column, section: Column) -> Column:
+        return F.flatten(F.transform(entities, lambda x: self.pairs(x, section)))
 
 
 def infer_nodes(df: DataFrame, wanted: list[tuple[NodeKey, Root, tuple[Node, ...], tuple[str, ...]]]) -> dict:
@@ -87,34 +98,33 @@ def infer_nodes(df: DataFrame, wanted: list[tuple[NodeKey, Root, tuple[Node, ...
     Each entry is (key, root, nodes below the root, path of an inlined object).
     One pass: every row yields its (node, entity) pairs, which are aggregated
     by node on the map side first; only one row per node reaches the driver.
-    Nodes that differ in nothing but their element share one reading.
+    Roots that differ in nothing but their element share one reading.
     """
     if not wanted:
         return {}
-    readings: dict[tuple, list[int]] = {}
+    readings: dict[tuple, tuple[Root, set, _Reading]] = {}
+    n_nodes = 0
+    owner: dict[int, tuple[int, str]] = {}
     for i, (_, root, chain, inner) in enumerate(wanted):
-        steps = tuple((n.path, n.list_key, n.named) for n in chain)
         single = isinstance(root.element, str)
-        readings.setdefault((root.source, root.unwrap, steps, inner, None if single else (i,)), []).append(i)
-
-    pairs, owner = [], {}
-    for node, members in enumerate(readings.values()):
-        _, root, chain, inner = wanted[members[0]]
-        items = root_elements(root)
-        for step in chain:
-            items = child_elements(items, step)
-        if inner:
-            items = F.transform(items, _reader(inner))
-        if isinstance(root.element, str):
-            names = sorted({wanted[i][1].element for i in members})
-            pair = F.when(F.col("l1element").isin(*names), F.transform(items, _tagger(node, F.col("l1element"))))
-            owner.update({i: (node, wanted[i][1].element) for i in members})
-        else:
-            pair = F.transform(items, _tagger(node, F.lit("")))
-            if root.element is not None:
-                pair = F.when(F.col("l1element").isin(*root.element), pair)
-            owner[members[0]] = (node, "")
-        pairs.append(F.coalesce(pair, F.array().cast("array<struct<node:int,section:string,v:variant>>")))
+        source = (root.source, root.unwrap, None if single else root.element)
+        _, elements, top = readings.setdefault(source, (root, set(), _Reading()))
+        if single:
+            elements.add(root.element)
+        spot = top.at((*chain, *([Node(path=inner)] if inner else [])))
+        if not spot.ids:
+            spot.ids.append(n_nodes)
+            n_nodes += 1
+        owner[i] = (spot.ids[0], root.element if single else "")
+
+    pairs = []
+    for root, elements, top in readings.values():
+        section = F.col("l1element") if elements else F.lit("")
+        found = top.over(_items(root_value(root)), section)
+        names = sorted(elements) or (list(root.element) if root.element is not None else None)
+        if names:
+            found = F.when(F.col("l1element").isin(*names), found)
+        pairs.append(F.coalesce(found, F.array().cast("array<struct<node:int,section:string,v:variant>>")))
     needed = {e for _, r, _, _ in wanted for e in (r.element if isinstance(r.element, tuple) else (r.element,))}
     if None not in needed:
         df = df.filter(F.col("l1element").isin(*sorted(needed)))

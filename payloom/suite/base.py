@@ -44,10 +44,24 @@ class Repeat:
         self.n, self.entry = n, entry
 
 
+def _kind(t):
+    """What a template becomes without VARIANT: text, a struct, a uniform list, or None if it cannot."""
+    if isinstance(t, str):
+        return "text"
+    if isinstance(t, dict) and t:
+        return tuple((k, _kind(v)) for k, v in t.items())
+    if isinstance(t, list) and t and isinstance(t[0], dict):
+        kinds = {_kind(x) for x in t}
+        return ("list", kinds.pop()) if len(kinds) == 1 and None not in kinds else None
+    return None
+
+
 def _native(t) -> str:
-    """Template to SQL: text is SQL already, dicts are structs, anything else is VARIANT."""
+    """Template to SQL: text is SQL already, dicts are structs, lists of one shape arrays, the rest is VARIANT."""
     if isinstance(t, str):
         return t
+    if isinstance(t, list) and _kind(t):
+        return f"array({', '.join(map(_native, t))})"
     if isinstance(t, dict) and t:
         return "named_struct(" + ", ".join(f"'{k}', {_native(v)}" for k, v in t.items()) + ")"
     return variant_sql(t)
@@ -63,6 +77,8 @@ def variant_sql(t) -> str:
         n = f"CAST({t.n} AS int)"
         some = f"transform(sequence(1, greatest({n}, 1)), i -> {variant_sql(t.entry)})"
         return f"to_variant_object(slice({some}, 1, greatest({n}, 0)))"
+    if isinstance(t, list) and _kind(t):
+        return f"to_variant_object({_native(t)})"
     if isinstance(t, list):
         return f"to_variant_object(array({', '.join(map(variant_sql, t))}))" if t else "parse_json('[]')"
     if isinstance(t, dict):
@@ -79,14 +95,19 @@ def bronze_rows(df: DataFrame, source_id: str, at: str, sections: dict, l0=None)
 
     ``sections`` maps the element name to (condition, payload template).
     """
-    entries = [
-        F.when(F.expr(cond), F.struct(F.lit(name).alias("l1element"), variant(t).alias("payload")))
-        for name, (cond, t) in sections.items()
-    ]
-    l0_col = variant(l0) if l0 is not None else F.lit(None).cast("variant")
-    rows = df.select(F.expr(source_id).alias("ingested_from"), F.expr(at).cast("timestamp").alias("ingested_at"),
-                     l0_col.alias("l0payload"), F.explode(F.array_compact(F.array(*entries))).alias("e"))
-    return rows.select("ingested_from", "ingested_at", "l0payload", "e.l1element", "e.payload")
+    # Names are exploded first and payloads built after, in a plain projection:
+    # that is generated code, and a filter on the element runs before it.
+    conditions = [c for c, _ in sections.values()]
+    if conditions == ["true"]:
+        rows = df.withColumn("l1element", F.lit(next(iter(sections))))
+    else:
+        names = [F.when(F.expr(cond), F.lit(name)) for name, (cond, _) in sections.items()]
+        rows = df.withColumn("l1element", F.explode(F.array(*names))).filter(F.col("l1element").isNotNull())
+    cases = " ".join(f"WHEN '{name}' THEN {variant_sql(t)}" for name, (_, t) in sections.items())
+    return rows.select(
+        F.expr(source_id).alias("ingested_from"), F.expr(at).cast("timestamp").alias("ingested_at"),
+        (variant(l0) if l0 is not None else F.lit(None).cast("variant")).alias("l0payload"), "l1element",
+        F.expr(f"CASE l1element {cases} END").alias("payload"))
 
 
 def text(expr: str) -> str:

@@ -16,14 +16,15 @@ ENTRY = {
 }
 
 
-def entry(second: bool) -> dict[str, str]:
+def entry(second: bool, fields) -> dict[str, str]:
     """The first or second entry of a statistic; the second is one rank lower."""
-    return {k: text(v if not (second and k == "Rank") else f"({v}) + 1") for k, v in ENTRY.items()}
+    return {k: text(v if not (second and k == "Rank") else f"({v}) + 1") for k, v in ENTRY.items() if k in fields}
 
 
-def stat(number: int, key: str) -> dict:
+def stat(number: int, key: str, fields) -> dict:
+    one, two = entry(False, fields), entry(True, fields)
     return {"ID": text(f"l_partkey + {number}"), "statName": "concat('s', l_suppkey)", key: Either(
-        "l_orderkey % 3 = 0", entry(False), Either("l_orderkey % 3 = 1", [entry(False), entry(True)], []))}
+        "l_orderkey % 3 = 0", one, Either("l_orderkey % 3 = 1", [one, two], []))}
 
 
 def source_id(prefix: str, parts: int) -> str:
@@ -31,13 +32,14 @@ def source_id(prefix: str, parts: int) -> str:
     return "concat(" + ", ".join([f"'{prefix}'", *[f"'_', {v}" for v in values]]) + ")"
 
 
-def leaderboard_bronze(pipe_name: str, key: str):
+def leaderboard_bronze(pipe_name: str, key: str, fields):
     pipe = pipeline(pipe_name)
     prefix = pipe.source.split(".")[1]
 
     def make(spark, sf):
-        payload = Either("l_linenumber % 3 = 0", {"leaderboardStat": stat(0, key)}, Either(
-            "l_linenumber % 3 = 1", {"leaderboardStat": [stat(0, key), stat(1, key)]}, [stat(0, key), stat(1, key)]))
+        one, two = stat(0, key, fields), stat(1, key, fields)
+        payload = Either("l_linenumber % 3 = 0", {"leaderboardStat": one}, Either(
+            "l_linenumber % 3 = 1", {"leaderboardStat": [one, two]}, [one, two]))
         return bronze_rows(table(spark, sf, "lineitem"), source_id(prefix, len(pipe.id_parts)), "l_shipdate",
                            {"stats": ("true", payload)},
                            l0={"competitionName": "concat('c', l_returnflag)"})
@@ -63,7 +65,7 @@ STATS_SQL = "lineitem, (SELECT unnest([0, 1]) AS s) WHERE (s = 0 OR l_linenumber
 def register(pipe_name: str, columns, suffixes, key: str = "leaderboardEntry", named: bool = True,
              root_name: bool = True) -> None:
     pipe = pipeline(pipe_name)
-    make = leaderboard_bronze(pipe_name, key)
+    make = leaderboard_bronze(pipe_name, key, set(columns.values()))
     root, stat_table, entry_table = suffixes
     context = _context_sql(pipe)
     ids = ", ".join([*pipe.id_parts, *pipe.constants])
@@ -97,9 +99,12 @@ register("playermilestones", {**L.PLAYER, "team_id": "TeamID", "team_name": "Tea
 
 # Top three: team, statistic, entry ---------------------------------------------
 
+TOP_FIELDS = set(L.TOP_THREE.values())
+
+
 def top_three_bronze(spark, sf):
     one = {"ID": text("l_partkey"), "statName": "l_linestatus", "statEntry": Either(
-        "l_orderkey % 2 = 0", entry(False), [entry(False), entry(True)])}
+        "l_orderkey % 2 = 0", entry(False, TOP_FIELDS), [entry(False, TOP_FIELDS), entry(True, TOP_FIELDS)])}
     team = {"TeamID": text("l_suppkey"), "TeamName": "l_returnflag", "TeamAbbreviation": "l_linestatus",
             "stats": {"stat": Either("l_linenumber % 2 = 0", one, [one, one])}}
     return bronze_rows(table(spark, sf, "lineitem"), "concat('top_three_leaderboard_', l_returnflag)", "l_shipdate",
