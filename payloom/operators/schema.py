@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from payloom.functions.variant import as_list, get, is_array, is_object, unwrap_or_self
+from payloom.functions.variant import OBJECT, as_list, get, is_array, is_object, unwrap_or_self
 from payloom.plans.spec import ALL, Field, Node, Root
 from payloom.functions.text import snake_case
 
@@ -214,29 +214,29 @@ def profile_paths(df: DataFrame, col: str, max_depth: int = 8) -> DataFrame:
     folded into ``[]``. ``n_rows`` counts occurrences of the path in that kind,
     ``n_null`` its JSON nulls. Levels below ``max_depth`` are not opened.
     """
-    level = df.select(F.lit("$").alias("path"), F.col(col).alias("v")).filter(F.col("v").isNotNull())
-    levels = [level]
-    for _ in range(max_depth):
-        # variant_explode takes objects and arrays and yields nothing for scalars.
-        level = level.lateralJoin(
-            level.sparkSession.tvf.variant_explode(F.col("v").outer()).select(
-                F.col("key").alias("k"), F.col("value").alias("w"))
-        ).select(
-            F.when(F.col("k").isNull(), F.concat("path", F.lit("[]")))
-            .otherwise(F.concat("path", F.lit("."), "k")).alias("path"),
-            F.col("w").alias("v"),
-        )
-        levels.append(level)
+    # Each step turns an open value into its own finished (path, kind) and one
+    # open entry per field or element; finished entries pass through. One scan
+    # and no shuffle until the counts.
+    entry = "array<struct<path:string,kind:string,v:variant>>"
     kind = (
-        F.when(F.is_variant_null("v"), "null")
-        .when(is_array("v"), "array")
-        .when(is_object("v"), "object")
+        F.when(F.is_variant_null("v"), "null").when(is_array("v"), "array").when(is_object("v"), "object")
         .otherwise("scalar")
     )
-    # Count per level before the union, so that only distinct paths are shuffled.
-    counted = [lv.select("path", kind.alias("kind")) for lv in levels]
-    union = counted[0]
-    for c in counted[1:]:
-        union = union.unionAll(c)
-    return union.groupBy("path", "kind").agg(F.count(F.lit(1)).alias("n_rows"),
-                                             F.count_if(F.col("kind") == "null").alias("n_null"))
+
+    def opened(path: Column, value: Column) -> Column:
+        return F.struct(path.alias("path"), F.lit(None).cast("string").alias("kind"), value.alias("v"))
+
+    finished = F.array(F.struct("path", kind.alias("kind"), F.lit(None).cast("variant").alias("v")))
+    inside = F.coalesce(
+        F.transform(get("v", as_type="array<variant>"), lambda x: opened(F.concat("path", F.lit("[]")), x)),
+        F.transform(F.map_entries(get("v", as_type=OBJECT)),
+                    lambda e: opened(F.concat("path", F.lit("."), e.getField("key")), e.getField("value"))),
+        F.array().cast(entry))
+    rows = df.filter(F.col(col).isNotNull()).select(
+        F.lit("$").alias("path"), F.lit(None).cast("string").alias("kind"), F.col(col).alias("v"))
+    for _ in range(max_depth):
+        rows = rows.select(F.inline(F.when(F.col("kind").isNull(), F.concat(finished, inside)).otherwise(
+            F.array(F.struct("path", "kind", "v")))))
+    rows = rows.select("path", F.coalesce("kind", kind).alias("kind"))
+    return rows.groupBy("path", "kind").agg(F.count(F.lit(1)).alias("n_rows"),
+                                            F.count_if(F.col("kind") == "null").alias("n_null"))

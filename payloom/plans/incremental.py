@@ -15,7 +15,7 @@ from payloom.plans.spec import Pipeline
 from payloom.plans.tables import pipeline_tables, table_name
 from payloom.sinks import logs
 from payloom.sinks.tables import write_all
-from payloom.sources.bronze import read_bronze, scope_filter, scope_params, window_filter
+from payloom.sources.bronze import read_bronze, scope_filter, scope_params, stage, window_filter
 
 RUN_COLUMNS = ("config_name", "competition_id", "season", "audit_key", "src_watermark", "tgt_watermark")
 
@@ -127,12 +127,18 @@ def discover_runs(spark: SparkSession, pipelines: Iterable[Pipeline], audit: str
 
 
 def run(spark: SparkSession, entry: Run, audit: str, run_id: str, source: str | None = None,
-        mode: str | None = None, shapes=None) -> dict[str, int]:
-    """Flatten one window of one source into its tables and note it in the audit log."""
+        mode: str | None = None, shapes=None, staged: bool = False) -> dict[str, int]:
+    """Flatten one window of one source into its tables and note it in the audit log.
+
+    ``staged`` copies the window's rows aside first, for sources that are not
+    partitioned well enough to be read once per table.
+    """
     pipe = entry.pipeline
     source = source or pipe.source
     bronze = read_bronze(spark, source, scope_filter(pipe.scope, entry.params, pipe.scope_exact),
                          window_filter(entry.low, entry.high))
+    if staged:
+        bronze = stage(bronze, f"{run_id}/{entry.key}")
     tables = pipeline_tables(pipe, bronze, shapes)
     named = {table_name(pipe, suffix): df for suffix, df in tables.items()}
     counts = write_all(named, source, mode or pipe.write_mode)
@@ -141,13 +147,13 @@ def run(spark: SparkSession, entry: Run, audit: str, run_id: str, source: str |
 
 
 def run_all(spark: SparkSession, entries: Iterable[Run], audit: str, errors: str,
-            sources: Mapping[str, str] | None = None) -> dict[str, dict[str, int]]:
+            sources: Mapping[str, str] | None = None, staged: bool = False) -> dict[str, dict[str, int]]:
     """Run every entry; one that fails is logged and does not stop the others."""
     run_id = str(uuid.uuid4())
     done, failed = {}, {}
     for entry in entries:
         try:
-            done[entry.key] = run(spark, entry, audit, run_id, (sources or {}).get(entry.pipeline.name))
+            done[entry.key] = run(spark, entry, audit, run_id, (sources or {}).get(entry.pipeline.name), staged=staged)
         except Exception as e:  # isolated per entry, raised together below
             failed[entry.key] = e
             logs.log_error(spark, errors, run_id, entry.key, e)

@@ -63,3 +63,19 @@ def read_bronze(spark: SparkSession, source: str, *conditions: Column | None) ->
         df = spark.read.table(source)
     cond = all_of(*conditions)
     return df if cond is None else df.filter(cond)
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """The rows of one run as Parquet, one partition per element, in the shared checkpoint folder.
+
+    Every table of a run reads the rows it needs again. Staged, the source is
+    scanned once and each table reads only the elements it is made of; the
+    result also survives the loss of an executor.
+    """
+    spark = df.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        raise ValueError("staging needs spark.checkpoint.dir, a folder all executors can reach")
+    path = f"{base.rstrip('/')}/staged/{name}"
+    df.write.mode("overwrite").partitionBy("l1element").parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)

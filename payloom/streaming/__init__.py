@@ -1 +1 @@
-from payloom.streaming.incremental import drop_repeats, run_available
+from payloom.streaming.incremental import drop_repeats, load_stream, run_available

@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from payloom.plans.spec import Pipeline
-from payloom.plans.tables import pipeline_tables, table_name
+from payloom.plans.tables import Shapes, pipeline_tables, table_name
 from payloom.sinks.tables import stamp_lineage
 
 BRONZE_SCHEMA = T.StructType([
@@ -21,33 +20,35 @@ BRONZE_SCHEMA = T.StructType([
 ])
 
 
-def run_available(spark: SparkSession, pipe: Pipeline, source: str, out: str, checkpoint: str,
-                  shapes=None, files_per_batch: int | None = None) -> None:
-    """Process everything that arrived under ``source`` since the last call, then stop.
+def load_stream(stream: DataFrame, pipe: Pipeline, out: str, checkpoint: str, shapes: Shapes | None = None) -> None:
+    """Flatten everything a bronze stream has not delivered yet, then stop.
 
     Each batch overwrites its own ``load=<batch>`` folder of each table, so a
     batch that is run again after a lost driver or executor leaves no
     duplicates. Pass ``shapes`` to skip inference per batch.
     """
-    reader = spark.readStream.schema(BRONZE_SCHEMA)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-
     def load(batch: DataFrame, batch_id: int) -> None:
+        # Every table reads the batch; kept, the source files are read once.
+        batch.persist()
         for suffix, df in pipeline_tables(pipe, batch, shapes).items():
             name = table_name(pipe, suffix)
             stamp_lineage(df, pipe.source, name).write.mode("overwrite").parquet(f"{out}/{name}/load={batch_id}")
+        batch.unpersist()
 
-    query = (reader.parquet(source).writeStream.foreachBatch(load)
-             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    query = (stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
     query.awaitTermination()
 
 
+def run_available(spark: SparkSession, pipe: Pipeline, source: str, out: str, checkpoint: str,
+                  shapes: Shapes | None = None, files_per_batch: int | None = None) -> None:
+    """``load_stream`` over the bronze Parquet files under ``source`` that arrived since the last call."""
+    reader = spark.readStream.schema(BRONZE_SCHEMA)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    load_stream(reader.parquet(source), pipe, out, checkpoint, shapes)
+
+
 def drop_repeats(stream: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:
     """First arrival per key within ``delay`` of event time, with bounded state."""
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
-
-
-def arrivals(stream: DataFrame, ts: str = "ingested_at") -> DataFrame:
-    """Newest load time and row count per source id, as a streaming aggregate."""
-    return stream.groupBy("ingested_from").agg(F.max(ts).alias("high_water"), F.count(F.lit(1)).alias("rows"))

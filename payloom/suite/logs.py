@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import functions as F
 
+from payloom.functions.variant import get
 from payloom.operators.keys import max_per_key
 from payloom.plans.incremental import run_list, source_watermarks, target_watermarks
-from payloom.plans.spec import Pipeline
+from payloom.plans.spec import Field, Pipeline, Root
 from payloom.sinks.logs import audit_row
 from payloom.sources.bronze import scope_filter
+from payloom.streaming import load_stream
 from payloom.suite.base import plain_time, query, table
 from payloom.suite.nested import order_bronze
 
@@ -66,3 +71,28 @@ SELECT 'r1' AS run_id, 'orders' AS config_name, 'bronze.orders' AS source_table,
 FROM orders""")
 def one_audit_row(spark, sf):
     return plain_time(audit_row(order_bronze(spark, sf), "r1", "orders", "bronze.orders").drop("flattened_at"))
+
+
+EVENTS = Pipeline(
+    name="events", source="bronze.events", prefix="flat_events", text=False,
+    roots=(Root(table="event", element="event", fields=(
+        Field("id", "event_id", "bigint"), Field("k", "k", "bigint"), Field("type", "event_type")),),))
+
+
+@query("stream_load", """
+SELECT event_id, CAST(props->>'k' AS bigint) AS k, event_type, 'user_' || user_id AS ingested_from, ts AS ingested_at,
+       'bronze' AS source_schema, 'events' AS source_table_name, '' AS target_schema, 'flat_events_event' AS target_table_name
+FROM events""")
+def stream_load(spark, sf):
+    """The events table as a file stream, flattened batch by batch and read back."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="payloom-stream-")
+    work = f"{base}/stream_load/{uuid.uuid4()}"
+    path = f"{sf}/events.parquet"
+    events = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    bronze = events.select(
+        F.concat(F.lit("user_"), "user_id").alias("ingested_from"), F.col("ts").cast("timestamp").alias("ingested_at"),
+        F.lit(None).cast("variant").alias("l0payload"), F.lit("event").alias("l1element"),
+        F.to_variant_object(F.struct(F.col("event_id").alias("id"), get(F.parse_json("props"), "k").alias("k"),
+                                     F.col("event_type").alias("type"))).alias("payload"))
+    load_stream(bronze, EVENTS, f"{work}/out", f"{work}/checkpoint")
+    return plain_time(spark.read.parquet(f"{work}/out/flat_events_event").drop("load"))
