@@ -88,7 +88,7 @@ def stream_load(spark, sf):
     base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="payloom-stream-")
     work = f"{base}/stream_load/{uuid.uuid4()}"
     path = f"{sf}/events.parquet"
-    events = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    events = spark.readStream.schema(spark.read.parquet(path).schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     bronze = events.select(
         F.concat(F.lit("user_"), "user_id").alias("ingested_from"), F.col("ts").cast("timestamp").alias("ingested_at"),
         F.lit(None).cast("variant").alias("l0payload"), F.lit("event").alias("l1element"),
