@@ -257,19 +257,24 @@ for _suffix, _sql in {
         SELECT CAST(l_partkey + e AS varchar) AS "playerId", CAST(l_orderkey % 30 AS varchar) AS player_stats_tackles,
                CAST(l_suppkey AS varchar) AS team_id, {MD}, {AT}
         FROM lineitem, {E} WHERE l_linenumber > 3 AND (e = 0 OR l_orderkey % 2 = 1)""",
+    # Rows that share a key differ in the competition, so it is left out where keys decide.
     "teams_match": f"""
-        SELECT DISTINCT CAST(l_suppkey AS varchar) AS team_id, CAST(l_orderkey % 40 AS varchar) AS score_points,
-               {MD} FROM lineitem WHERE l_linenumber > 3""",
+        SELECT DISTINCT team_id, score_points, game_id, season_id, ingested_from FROM (
+          SELECT CAST(l_suppkey AS varchar) AS team_id, CAST(l_orderkey % 40 AS varchar) AS score_points,
+                 {MD} FROM lineitem WHERE l_linenumber > 3)""",
     "team_coach": f"""SELECT CAST(l_partkey AS varchar) AS coach_id, CAST(l_suppkey AS varchar) AS team_id, {MD}
                       FROM lineitem WHERE l_linenumber > 3""",
     "ins_outs": f"""SELECT p AS player_id, CAST(l_suppkey AS varchar) AS team_id, {MD}
                     FROM lineitem, (SELECT unnest(['i', 'o']) AS p) WHERE l_linenumber > 3""",
-    "gameinfo": f"""SELECT DISTINCT {MD}, CASE WHEN l_linenumber = 3 THEN 'x' END AS city FROM lineitem WHERE l_linenumber <= 3""",
+    "gameinfo": f"""
+        SELECT DISTINCT game_id, season_id, ingested_from, city FROM (
+          SELECT {MD}, CASE WHEN l_linenumber = 3 THEN 'x' END AS city FROM lineitem WHERE l_linenumber <= 3)""",
 }.items():
     _cols = {"teams_match": ("score_points", "team_id"), "team_coach": ("coach_id", "team_id"),
              "ins_outs": ("player_id", "team_id"), "gameinfo": ("city",)}.get(_suffix)
     domain_query(f"matchdata_{_suffix}", match_data_bronze, "matchdata", _suffix, _sql,
-                 (*_cols, "game_id", "competition_id", "season_id", "ingested_from") if _cols else ())
+                 (*_cols, *(() if _suffix in ("gameinfo", "teams_match") else ("competition_id",)), "game_id", "season_id",
+                  "ingested_from") if _cols else ())
 
 
 # Round breakdown -------------------------------------------------------------------------------------

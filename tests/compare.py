@@ -50,8 +50,8 @@ def compare(spark, con, sf, name, fn, sql):
     if sorted(df.columns) != sorted(cols):
         return f"columns {sorted(df.columns)} != {sorted(cols)}"
     if mine != theirs:
-        a = [r for r in mine if r not in set(theirs)][:3]
-        b = [r for r in theirs if r not in set(mine)][:3]
+        left, right = set(mine), set(theirs)
+        a, b = [r for r in mine if r not in right][:3], [r for r in theirs if r not in left][:3]
         return f"{len(mine)} vs {len(theirs)} rows; only spark {a}; only sql {b}"
     types = [type(v) for r in mine[:1] for v in r], [type(v) for r in theirs[:1] for v in r]
     if types[0] != types[1] and None.__class__ not in types[0] + types[1]:
