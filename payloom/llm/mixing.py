@@ -125,7 +125,8 @@ def mix_sources(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     tilts = written(_solve(histogram, sources, most), "mix-tilts")
 
     solved = sources.join(tilts, KEY)
-    free_rate = F.least(_rate(F.col("tilt"), F.col("size"), F.col("mean"), most), F.lit(most))
+    # Nine decimals: sums in another order end in the same rates, so reruns round alike.
+    free_rate = F.round(F.least(_rate(F.col("tilt"), F.col("size"), F.col("mean"), most), F.lit(most)), 9)
     rated = histogram.join(solved, KEY).withColumn("rate", F.when(F.col("target") <= 0, 0.0).when(F.col("fixed"), most).otherwise(free_rate))
     by_size = Window.partitionBy(*KEY).orderBy(F.desc("size"))
     upto = F.floor(F.sum(F.col("n") * F.col("rate")).over(by_size) + 0.5)
