@@ -124,19 +124,21 @@ def fit_ratios(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", te
         raw[r.bucket], target[r.bucket] = r.raw, r.target
     if not target.sum():
         return Ratios(n, bits, np.zeros(size))
-    share = lambda c: np.log((c + smoothing) / (c.sum() + smoothing * size))
-    return Ratios(n, bits, share(target) - share(raw))
+    # Both with the target's sum before smoothing: a small target is as close to the corpus as a large one.
+    scaled = raw * (target.sum() / raw.sum())
+    return Ratios(n, bits, np.log(target + smoothing) - np.log(scaled + smoothing))
 
 
-def judge_quality(docs: DataFrame, ratios: Ratios, *, text: str = "text", threshold: float = -0.05, min_words: int = 50,
+def judge_quality(docs: DataFrame, ratios: Ratios, *, text: str = "text", threshold: float = -0.3, min_words: int = 50,
                   max_repeat: int = 50, name: str = "quality") -> DataFrame:
     """The documents with all their columns and a struct `name` of counts, score and verdict.
 
     score: mean log ratio over all n-grams of the whole text, so it doesn't
     depend on length; 0 for texts with fewer bytes than an n-gram. kept: not
-    base_failed and score >= threshold, the same for every document. The
-    default keeps texts that are as good as the corpus at large: prose scores
-    above 0, and strange symbols, cases and layouts far below.
+    base_failed and score >= threshold, the same for every document. Prose
+    scores about 0, a little above or below as its language is more or less
+    frequent among trusted texts than in the corpus; strange symbols, cases and
+    layouts score below -1. The default lies between the two.
 
     base_failed: fewer than `min_words` words, or more than `max_repeat`
     percent of them in three-word windows found twice. Null texts count as
