@@ -148,7 +148,12 @@ def _table(df: DataFrame, chain: tuple[Node, ...], context: Mapping[str, Column]
     root: Root = chain[0]
     cond = _element_filter(root)
     frame = df if cond is None else df.filter(cond)
-    if spread and len(chain) > 1:
+    source_key = ("ingested_from", "ingested_at")
+    if chain[-1].distinct and set(source_key) <= set(context) and root.source != "row":
+        # Rows that repeat each other in full have one source and load time: payloads are dealt by
+        # these, and what they explode into is made distinct where it is, without a shuffle.
+        frame = frame.repartition(*source_key)
+    elif spread and len(chain) > 1:
         # A few huge payload rows in a few splits: spread them before they multiply.
         # AQE sizes the result, so there is no partition count to outgrow.
         frame = frame.hint("rebalance")
@@ -197,11 +202,15 @@ def _table(df: DataFrame, chain: tuple[Node, ...], context: Mapping[str, Column]
             carried = {c: F.col(c) for c in carried}
             continue
 
-        for f in (*node.fields, *node.extra):
-            own[f.column] = reader.value(entity, f)
-        for path, _, fields in node.inline:
-            for f in fields:
-                own[f.column] = reader.value(entity, f, path)
+        types: dict[str, str] = {}
+        for f, path in [*((f, ()) for f in (*node.fields, *node.extra)), *((f, path) for path, _, fs in node.inline for f in fs)]:
+            value = reader.value(entity, f, path)
+            if f.column in own:
+                # A later source of a column counts where it has a value.
+                same = types[f.column] == f.type
+                before = own[f.column] if same else own[f.column].cast("string")
+                value = F.coalesce(value if same else value.cast("string"), before)
+            own[f.column], types[f.column] = value, f.type if types.get(f.column, f.type) == f.type else "string"
         if node.text_element:
             named = own.get(node.text_element, F.lit(None).cast("string"))
             own[node.text_element] = F.coalesce(named, scalar_text(VALUE))

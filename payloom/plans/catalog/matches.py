@@ -27,7 +27,8 @@ MATCH_DATA = Pipeline(
                  exclude=frozenset({"injuriesAndSuspensions", "radioNetwork", "broadcastInfo", "teamPlayer"})),
         AutoTree("teams", "teams", flatten_structs={"score": "score_"}, force_list=frozenset({"teamsMatch", "teamCoach", "insOuts"}),
                  exclude=frozenset({"injuriesAndSuspensions", "radioNetwork", "broadcastInfo", "teamPlayer"}),
-                 keys={"teams": ("game_id", "ingested_from"), "teamsMatch": ("game_id", "team_id")}),
+                 keys={"teams": ("game_id", "ingested_from"), "teamsMatch": ("game_id", "team_id"),
+                       "teamCoach": ("game_id", "team_id", "coach_id"), "insOuts": ("game_id", "team_id", "player_id")}),
     ),
     roots=(
         Root(element="gameInfo", source=broadcast_info, l0_fields=GAME_L0, children=(
@@ -109,7 +110,7 @@ XY_FIELDS = {
 
 LIVE_XY = Pipeline(
     name="livexy", source=source("live_xy"), prefix=target("live_xy"), scope="live_xy_{competition_id}_{season}",
-    text=False,
+    text=False, spread=True,
     auto=(AutoTree("teams", "teams", exclude=frozenset({"xandYFeed1stHalf", "xandYFeed2ndHalf", "stat"}),
                    keys={"teams": ("game_id", "ingested_from"), "team": ("game_id", "team_id")}),),
     roots=(Root(element="teams", unwrap=("team",), hand_down=TEAM, children=(

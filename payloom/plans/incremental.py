@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
@@ -12,11 +13,12 @@ from pyspark.sql import functions as F
 
 from payloom.operators.keys import max_per_key
 from payloom.plans.spec import Pipeline
-from payloom.plans.tables import pipeline_tables, table_name
+from payloom.plans.tables import pipeline_tables, plan_shapes, table_name
 from payloom.sinks import logs
 from payloom.sinks.tables import write_all
 from payloom.sources.bronze import read_bronze, scope_filter, scope_params, stage, window_filter
 
+LOG = logging.getLogger(__name__)
 RUN_COLUMNS = ("config_name", "competition_id", "season", "audit_key", "src_watermark", "tgt_watermark")
 
 
@@ -130,8 +132,12 @@ def run(spark: SparkSession, entry: Run, audit: str, run_id: str, source: str |
         mode: str | None = None, shapes=None, staged: bool = False) -> dict[str, int]:
     """Flatten one window of one source into its tables and note it in the audit log.
 
-    ``staged`` copies the window's rows aside first, for sources that are not
-    partitioned well enough to be read once per table.
+    All tables get the rows of this load under one load key, the run's key and
+    the start of its window. The audit row is written last: a run that failed
+    in between is due again from the same start, also where more rows have
+    arrived since, and replaces what it had written. ``staged`` copies the
+    window's rows aside first, for sources that are not partitioned well enough
+    to be read once per table.
     """
     pipe = entry.pipeline
     source = source or pipe.source
@@ -139,9 +145,14 @@ def run(spark: SparkSession, entry: Run, audit: str, run_id: str, source: str |
                          window_filter(entry.low, entry.high))
     if staged:
         bronze = stage(bronze, f"{run_id}/{entry.key}")
-    tables = pipeline_tables(pipe, bronze, shapes)
+    shapes = shapes or plan_shapes(pipe, bronze)
+    for what in ("dropped", "mixed", "unused"):
+        if shapes[0] and getattr(shapes[0], what):
+            LOG.warning("%s: %s %s", entry.key, what, ", ".join(getattr(shapes[0], what)))
+    tables = pipeline_tables(pipe, bronze, shapes, spread=pipe.spread)
     named = {table_name(pipe, suffix): df for suffix, df in tables.items()}
-    counts = write_all(named, source, mode or pipe.write_mode)
+    load = f"{entry.key}@{entry.low.isoformat() if entry.low else 'start'}"
+    counts = write_all(named, source, mode or pipe.write_mode, load)
     logs.log_audit(bronze, audit, run_id, entry.key, source)
     return counts
 

@@ -110,7 +110,7 @@ class AutoTree:
     type_overrides: Mapping[str, str] = field(default_factory=dict)
     passthrough: tuple[str, ...] | None = None
     l0_array: str = "all"
-    # Arrays of plain scalars: "drop", "keep" (JSON text) or "explode".
+    # Arrays of plain scalars, at any depth: "drop", "keep" (JSON text) or "explode".
     scalar_arrays: str = "drop"
 
 
@@ -139,6 +139,9 @@ class Pipeline:
     extend: Callable[[DataFrame], dict[str, DataFrame]] | None = None
     post: Callable[[dict[str, DataFrame]], dict[str, DataFrame]] | None = None
     write_mode: str = "append"
+    # A few huge payloads per load: deal them out before they are exploded.
+    spread: bool = False
+
     @property
     def elements(self) -> tuple[str, ...]:
         out: list[str] = [a.element for a in self.auto]

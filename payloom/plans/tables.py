@@ -54,3 +54,12 @@ def pipeline_tables(pipe: Pipeline, bronze: DataFrame, shapes: Shapes | None = N
     if pipe.post and any(t.startswith("__") for t in out):
         out = pipe.post(out)
     return out if only is None else {t: out[t] for t in only}
+
+
+def target_names(pipe: Pipeline, shapes: Shapes) -> list[str]:
+    """Full names of all tables that a pipeline with these shapes writes, e.g. for a reset."""
+    tree, roots = shapes
+    found = [t for r in (*(tree.roots if tree else ()), *roots) for t in _tables_of(r)]
+    if pipe.post:
+        found = [t for t in found if not t.startswith("__")] + [""]
+    return sorted({table_name(pipe, t) for t in found})

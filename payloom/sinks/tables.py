@@ -1,15 +1,21 @@
-"""Writing tables: lineage columns, append with new columns, row counts without a second job."""
+"""Writing tables: lineage columns, appends that widen, loads that can be repeated, row counts without a second job."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from payloom.functions.text import split_table_name
 
 LINEAGE = ("source_schema", "source_table_name", "target_schema", "target_table_name")
+LOAD = "load_key"
+WRITERS = 4
+# Integral types from the narrowest, with the digits that hold any value.
+_INTEGRAL = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
 
 
 def stamp_lineage(df: DataFrame, source: str, target: str) -> DataFrame:
@@ -18,42 +24,135 @@ def stamp_lineage(df: DataFrame, source: str, target: str) -> DataFrame:
     return df.withColumns({c: F.lit(v) for c, v in zip(LINEAGE, values)})
 
 
-def _fit(spark: SparkSession, df: DataFrame, target: str) -> DataFrame:
-    """Columns in the order of the existing table; fields it has not seen are added to it."""
+def wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The narrowest type that holds every value of both without loss; text where there is no other."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    kinds = (type(a), type(b))
+    if all(k in _INTEGRAL for k in kinds):
+        return a if _INTEGRAL[kinds[0]] > _INTEGRAL[kinds[1]] else b
+    exact = [(t.precision - t.scale, t.scale) if isinstance(t, T.DecimalType) else (_INTEGRAL.get(type(t)), 0) for t in (a, b)]
+    if all(whole is not None for whole, _ in exact):
+        whole, scale = max(w for w, _ in exact), max(s for _, s in exact)
+        return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else T.StringType()
+    if all(k in (T.FloatType, T.DoubleType, T.ByteType, T.ShortType, T.IntegerType) for k in kinds):
+        return T.DoubleType()
+    if set(kinds) == {T.DateType, T.TimestampType}:
+        return T.TimestampType()
+    return T.StringType()
+
+
+def _as_type(df: DataFrame, field: T.StructField, to: T.DataType) -> Column:
+    value = F.col(f"`{field.name}`")
+    if isinstance(to, T.StringType) and isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
+        return F.to_json(value)
+    return value if field.dataType == to else value.cast(to)
+
+
+def _copy(source: DataFrame, target: str, parts: Iterable[str]) -> None:
+    writer = source.write.format("parquet").mode("overwrite")
+    parts = list(parts)
+    (writer.partitionBy(*parts) if parts else writer).saveAsTable(target)
+
+
+def _partitions(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
+def _restore(spark: SparkSession, target: str) -> None:
+    copy = f"{target}__widened"
+    _copy(spark.table(copy), target, _partitions(spark, copy))
+    spark.sql(f"DROP TABLE {copy}")
+
+
+def _recover(spark: SparkSession, target: str) -> None:
+    """Finish or undo a widening that was interrupted: the copy counts only where the table itself is gone."""
+    copy = f"{target}__widened"
+    if not spark.catalog.tableExists(copy):
+        return
+    if spark.catalog.tableExists(target):
+        spark.sql(f"DROP TABLE {copy}")
+    else:
+        _restore(spark, target)
+
+
+def _widen(spark: SparkSession, target: str, types: Mapping[str, T.DataType], load: bool) -> None:
+    """Write the table anew with wider columns. At every moment either the table or its whole copy is there."""
+    old, parts = spark.table(target), _partitions(spark, target)
+    columns = [_as_type(old, f, types[f.name.lower()]).alias(f.name) for f in old.schema.fields]
+    if load and LOAD not in old.columns:
+        columns.append(F.lit("").alias(LOAD))
+    _copy(old.select(*columns), f"{target}__widened", dict.fromkeys([*parts, *([LOAD] if load else [])]))
+    spark.sql(f"DROP TABLE {target}")
+    _restore(spark, target)
+
+
+def _fit(spark: SparkSession, df: DataFrame, target: str, load: bool) -> DataFrame:
+    """Rows in the columns of the existing table, which first gets the columns and wider types they need.
+
+    Nothing is ever cast to a narrower type. New columns are added in place;
+    a wider type means that the table is written anew, which happens when a feed
+    first shows such values and not again.
+    """
     have = spark.table(target).schema
-    known = {f.name.lower(): f for f in have.fields}
-    new = [f for f in df.schema.fields if f.name.lower() not in known]
+    given = {f.name.lower(): f for f in df.schema.fields}
+    types = {f.name.lower(): wider(f.dataType, given[f.name.lower()].dataType) if f.name.lower() in given else f.dataType for f in have.fields}
+    if any(types[f.name.lower()] != f.dataType for f in have.fields) or load and LOAD not in _partitions(spark, target):
+        _widen(spark, target, types, load)
+        have = spark.table(target).schema
+    new = [f for f in df.schema.fields if f.name.lower() not in types and f.name != LOAD]
     if new:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
         spark.sql(f"ALTER TABLE {target} ADD COLUMNS ({columns})")
-    given = {c.lower() for c in df.columns}
-    order = [*have.fields, *new]
+        have = spark.table(target).schema
     return df.select(*[
-        (F.col(f"`{f.name}`").cast(f.dataType) if f.name.lower() in given else F.lit(None).cast(f.dataType)).alias(f.name)
-        for f in order])
+        (_as_type(df, given[f.name.lower()], f.dataType) if f.name.lower() in given else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in have.fields])
 
 
 def write_table(df: DataFrame, target: str, mode: str = "append", source: str = "",
-                partition_by: Iterable[str] = ()) -> int:
+                partition_by: Iterable[str] = (), load: str | None = None) -> int:
     """Write one table and return its row count, observed while it is written.
 
-    A table without rows is still created, so readers find its schema.
+    ``load`` names what is being loaded, e.g. a run's key and the start of its
+    window. Its rows are a partition of their own, and rows that an earlier
+    attempt at the same load has left there are dropped first: running a load
+    again gives the rows of one run. A table without rows is still created, so
+    readers find its schema.
     """
     spark = df.sparkSession
+    _recover(spark, target)
     stamped = stamp_lineage(df, source, target)
+    known = {c.lower() for c in spark.table(target).columns} if mode == "append" and spark.catalog.tableExists(target) else set()
+    # A column of nothing but NULLs is text until rows tell better; a table that knows it is left as it is.
+    void = [f.name for f in stamped.schema.fields if isinstance(f.dataType, T.NullType) and f.name.lower() not in known]
+    stamped = stamped.withColumns({c: F.col(f"`{c}`").cast("string") for c in void}) if void else stamped
+    loads = load is not None and mode == "append"
+    if loads:
+        stamped = stamped.withColumn(LOAD, F.lit(load))
     if mode == "append" and spark.catalog.tableExists(target):
-        stamped = _fit(spark, stamped, target)
+        stamped = _fit(spark, stamped, target, loads)
+        if loads:
+            quoted = load.replace("\\", "\\\\").replace("'", "\\'")
+            spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({LOAD} = '{quoted}')")
     seen = Observation(f"rows of {target}")
     watched = stamped.observe(seen, F.count(F.lit(1)).alias("rows"))
     writer = watched.write.format("parquet").mode(mode)
-    parts = list(partition_by)
+    parts = [*partition_by, *([LOAD] if loads else [])]
     (writer.partitionBy(*parts) if parts else writer).saveAsTable(target)
     return int(seen.get.get("rows") or 0)
 
 
-def write_all(tables: Mapping[str, DataFrame], source: str = "", mode: str = "append") -> dict[str, int]:
-    """Write every table of a fan-out; keys are full table names."""
-    return {target: write_table(df, target, mode, source) for target, df in tables.items()}
+def write_all(tables: Mapping[str, DataFrame], source: str = "", mode: str = "append", load: str | None = None) -> dict[str, int]:
+    """Write every table of a fan-out, a few at a time; keys are full table names.
+
+    All tables are tried; then the first failure is raised.
+    """
+    with ThreadPoolExecutor(WRITERS) as pool:
+        running = {t: pool.submit(write_table, df, t, mode, source, (), load) for t, df in tables.items()}
+    return {t: r.result() for t, r in running.items()}
 
 
 def drop_tables(spark: SparkSession, targets: Iterable[str]) -> None:

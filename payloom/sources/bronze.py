@@ -19,15 +19,21 @@ def scope_params(scope: str) -> tuple[str, ...]:
 
 
 def scope_filter(scope: str, params: Mapping[str, str], exact: bool = False, col: str = "ingested_from") -> Column | None:
-    """Rows of one competition / season, or None when a parameter is not given.
+    """Rows of one competition / season; None for a template without parameters, or where none is given at all.
+
+    Some, but not all, of the parameters are an error: a scope with a gap
+    would take in rows of other competitions or seasons.
 
     Text is compared literally and whole id parts at a time: scope ``x_11``
     takes ``x_11`` and ``x_11_2024`` but not ``x_111``. Equality and prefix
     tests on the plain id column are pushed down to the scan.
     """
     needed = scope_params(scope)
-    if not needed or any(not params.get(n) for n in needed):
+    missing = [n for n in needed if not params.get(n)]
+    if len(missing) == len(needed):
         return None
+    if missing:
+        raise ValueError(f"scope {scope!r} lacks {', '.join(missing)}")
     wanted = scope.format(**params)
     same = F.col(col) == wanted
     return same if exact else same | F.col(col).startswith(wanted + "_")

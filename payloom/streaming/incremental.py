@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,8 @@ from pyspark.sql import types as T
 
 from payloom.plans.spec import Pipeline
 from payloom.plans.tables import Shapes, pipeline_tables, table_name
-from payloom.sinks.tables import stamp_lineage
+from payloom.sinks import logs
+from payloom.sinks.tables import write_all
 
 BRONZE_SCHEMA = T.StructType([
     T.StructField("ingested_from", T.StringType()),
@@ -20,33 +22,41 @@ BRONZE_SCHEMA = T.StructType([
 ])
 
 
-def load_stream(stream: DataFrame, pipe: Pipeline, out: str, checkpoint: str, shapes: Shapes | None = None) -> None:
+def load_stream(stream: DataFrame, pipe: Pipeline, checkpoint: str, shapes: Shapes | None = None, audit: str | None = None) -> None:
     """Flatten everything a bronze stream has not delivered yet, then stop.
 
-    Each batch overwrites its own ``load=<batch>`` folder of each table, so a
-    batch that is run again after a lost driver or executor leaves no
-    duplicates. Pass ``shapes`` to skip inference per batch.
+    Batches go through the sink of batch runs: each is a load of its own, so
+    one that is run again after a lost driver or executor leaves no duplicates,
+    and tables take on new fields and wider types as batches bring them. Pass
+    ``shapes`` to skip inference per batch, ``audit`` to note each batch there
+    once its tables are written.
     """
+    name = hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
+
     def load(batch: DataFrame, batch_id: int) -> None:
         # Every table reads the batch; kept, the source files are read once.
         batch.persist()
-        for suffix, df in pipeline_tables(pipe, batch, shapes).items():
-            name = table_name(pipe, suffix)
-            stamp_lineage(df, pipe.source, name).write.mode("overwrite").parquet(f"{out}/{name}/load={batch_id}")
-        batch.unpersist()
+        try:
+            tables = pipeline_tables(pipe, batch, shapes, spread=pipe.spread)
+            key = f"stream-{name}@{batch_id}"
+            write_all({table_name(pipe, suffix): df for suffix, df in tables.items()}, pipe.source, "append", key)
+            if audit:
+                logs.log_audit(batch, audit, key, pipe.name, pipe.source)
+        finally:
+            batch.unpersist()
 
     query = (stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
 
 
-def run_available(spark: SparkSession, pipe: Pipeline, source: str, out: str, checkpoint: str,
-                  shapes: Shapes | None = None, files_per_batch: int | None = None) -> None:
+def run_available(spark: SparkSession, pipe: Pipeline, source: str, checkpoint: str,
+                  shapes: Shapes | None = None, files_per_batch: int | None = None, audit: str | None = None) -> None:
     """``load_stream`` over the bronze Parquet files under ``source`` that arrived since the last call."""
     reader = spark.readStream.schema(BRONZE_SCHEMA)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    load_stream(reader.parquet(source), pipe, out, checkpoint, shapes)
+    load_stream(reader.parquet(source), pipe, checkpoint, shapes, audit)
 
 
 def drop_repeats(stream: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:

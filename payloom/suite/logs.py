@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import dataclasses
 import uuid
 
 from pyspark.sql import functions as F
@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from payloom.functions.variant import get
 from payloom.operators.keys import max_per_key
 from payloom.plans.incremental import run_list, source_watermarks, target_watermarks
-from payloom.plans.spec import Field, Pipeline, Root
+from payloom.operators.flatten import flatten
+from payloom.plans.spec import AutoTree, Field, Pipeline, Root
 from payloom.sinks.logs import audit_row
+from payloom.sinks.tables import write_all, write_table
 from payloom.sources.bronze import scope_filter
-from payloom.streaming import load_stream
-from payloom.suite.base import plain_time, query, table
+from payloom.streaming import load_stream, run_available
+from payloom.suite.base import bronze_rows, plain_time, query, table, text
 from payloom.suite.nested import order_bronze
 
 ORDERS = Pipeline(name="orders", source="bronze.orders", prefix="flat.orders", scope="orders_{competition_id}_{season}")
@@ -79,20 +81,108 @@ EVENTS = Pipeline(
         Field("id", "event_id", "bigint"), Field("k", "k", "bigint"), Field("type", "event_type")),),))
 
 
+def _fresh(name: str) -> str:
+    return f"{name}_{uuid.uuid4().hex}"
+
+
+def _folder(spark, name: str) -> str:
+    """A new folder for checkpoints of streams; spark.checkpoint.dir, or the warehouse where it is unset: both are shared."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base}/{_fresh(name)}"
+
+
 @query("stream_load", """
 SELECT event_id, CAST(props->>'k' AS bigint) AS k, event_type, 'user_' || user_id AS ingested_from, ts AS ingested_at,
-       'bronze' AS source_schema, 'events' AS source_table_name, '' AS target_schema, 'flat_events_event' AS target_table_name
-FROM events""")
+       'bronze' AS source_schema, 'events' AS source_table_name FROM events""")
 def stream_load(spark, sf):
-    """The events table as a file stream, flattened batch by batch and read back."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="payloom-stream-")
-    work = f"{base}/stream_load/{uuid.uuid4()}"
+    """The events table as a file stream, flattened batch by batch into its table."""
     path = f"{sf}/events.parquet"
     events = spark.readStream.schema(spark.read.parquet(path).schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    bronze = events.select(
+    pipe = dataclasses.replace(EVENTS, prefix=_fresh("flat_events"))
+    load_stream(event_bronze(events), pipe, _folder(spark, "stream_load"))
+    return plain_time(spark.table(f"{pipe.prefix}_event").drop("load_key", "target_schema", "target_table_name"))
+
+
+def event_bronze(events, payload: dict | None = None):
+    fields = payload or {"id": F.col("event_id"), "k": get(F.parse_json("props"), "k"), "type": F.col("event_type")}
+    return events.select(
         F.concat(F.lit("user_"), "user_id").alias("ingested_from"), F.col("ts").cast("timestamp").alias("ingested_at"),
         F.lit(None).cast("variant").alias("l0payload"), F.lit("event").alias("l1element"),
-        F.to_variant_object(F.struct(F.col("event_id").alias("id"), get(F.parse_json("props"), "k").alias("k"),
-                                     F.col("event_type").alias("type"))).alias("payload"))
-    load_stream(bronze, EVENTS, f"{work}/out", f"{work}/checkpoint")
-    return plain_time(spark.read.parquet(f"{work}/out/flat_events_event").drop("load"))
+        F.to_variant_object(F.struct(*[v.alias(k) for k, v in fields.items()])).alias("payload"))
+
+
+# Two windows of one feed: the second has decimals, text, booleans and a new field where the first has whole numbers.
+GROWING = Pipeline(name="growing", source="bronze.growing", prefix="growing", text=False, raw_names=True,
+                   auto=(AutoTree("item", "item"),))
+EARLY, LATE = "l_linenumber <= 3", "l_linenumber > 3"
+
+
+def growing_bronze(spark, sf, late: dict):
+    rows = table(spark, sf, "lineitem")
+    whole = {"line": text("concat(l_orderkey, '-', l_linenumber)"), "v": "CAST(l_partkey AS bigint)"}
+    make = lambda df, shape, at: bronze_rows(df, "concat('growing_', l_orderkey)", at, {"item": ("true", shape)})
+    return make(rows.filter(EARLY), whole, "timestamp'2024-01-01'"), make(rows.filter(LATE), {"line": whole["line"], **late}, "timestamp'2024-02-01'")
+
+
+def loaded_twice(spark, sf, late: dict, *columns: str):
+    """Both windows through the runner's sink, one after the other; read back as text, as types are the driver's to compare."""
+    target = _fresh("growing")
+    for k, bronze in enumerate(growing_bronze(spark, sf, late)):
+        write_table(flatten(bronze, GROWING.auto)["item"], target, load=f"growing@{k}")
+    return spark.table(target).select("line", *[F.col(c).cast("string").alias(c) for c in columns])
+
+
+LINE = "l_orderkey || '-' || l_linenumber AS line"
+
+
+@query("append_widened_numbers", f"""
+SELECT {LINE}, CAST(CASE WHEN {EARLY} THEN l_partkey ELSE l_partkey + 0.75 END AS decimal(28, 2))::varchar AS v FROM lineitem""")
+def append_widened_numbers(spark, sf):
+    """Whole numbers, then numbers with decimals: all of them keep their value."""
+    rows = loaded_twice(spark, sf, {"v": "CAST(l_partkey + 0.75BD AS decimal(20, 2))"}, "v")
+    return rows.withColumn("v", F.col("v").cast("decimal(28, 2)").cast("string"))
+
+
+@query("append_text_after_number", f"""
+SELECT {LINE}, CASE WHEN {EARLY} THEN l_partkey::varchar ELSE 'p' || l_partkey END AS v,
+       CASE WHEN {LATE} THEN l_returnflag END AS added FROM lineitem""")
+def append_text_after_number(spark, sf):
+    """Whole numbers, then text and a new field."""
+    return loaded_twice(spark, sf, {"v": "concat('p', l_partkey)", "added": "l_returnflag"}, "v", "added")
+
+
+@query("append_boolean_after_number", f"""
+SELECT {LINE}, CASE WHEN {EARLY} THEN l_partkey::varchar ELSE (l_partkey % 2 = 0)::varchar END AS v FROM lineitem""")
+def append_boolean_after_number(spark, sf):
+    return loaded_twice(spark, sf, {"v": "l_partkey % 2 = 0"}, "v")
+
+
+@query("stream_two_batches", f"""
+SELECT {LINE}, CASE WHEN {EARLY} THEN l_partkey::varchar ELSE 'p' || l_partkey END AS v,
+       CASE WHEN {LATE} THEN l_returnflag END AS added FROM lineitem""")
+def stream_two_batches(spark, sf):
+    """The same two windows as files of a stream, without declared shapes."""
+    folder, target = _folder(spark, "stream_two"), _fresh("growing")
+    pipe = dataclasses.replace(GROWING, prefix=target)
+    for bronze in growing_bronze(spark, sf, {"v": "concat('p', l_partkey)", "added": "l_returnflag"}):
+        bronze.write.mode("append").parquet(f"{folder}/bronze")
+        run_available(spark, pipe, f"{folder}/bronze", f"{folder}/checkpoint")
+    return spark.table(f"{target}_item").select("line", "v", "added")
+
+
+@query("run_retried", f"""
+SELECT {LINE}, l_partkey AS v FROM lineitem WHERE {EARLY}""")
+def run_retried(spark, sf):
+    """A run that breaks off after its first table, and is run again, leaves the rows of one run."""
+    bronze, _ = growing_bronze(spark, sf, {"v": "l_partkey"})
+    target = _fresh("growing")
+    tables = {f"{target}_item": flatten(bronze, GROWING.auto)["item"],
+              f"{target}_broken": bronze.select(F.raise_error(F.lit("no second table")).alias("x"))}
+    try:
+        write_all(tables, load="growing@start")
+    except Exception:
+        pass
+    else:
+        raise AssertionError("the second table was written")
+    write_all({k: tables[k] for k in list(tables)[:1]}, load="growing@start")
+    return spark.table(f"{target}_item").select("line", "v")

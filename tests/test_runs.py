@@ -1,3 +1,4 @@
+import dataclasses
 import json
 from datetime import datetime
 
@@ -60,12 +61,15 @@ def test_two_windows_append_once_each_and_nothing_is_due_after(spark, coaches):
 
 def test_failed_run_is_logged_and_does_not_stop_others(spark, coaches):
     coaches(("111", 1, "Ann", "2024-01-01 00:00:00"))
-    good, bad = I.Run(pipeline("coaches"), {"competition_id": "111"}), I.Run(pipeline("ladder"), {})
+    good, bad = I.Run(pipeline("coaches"), {"competition_id": "111", "season": "2024"}), I.Run(pipeline("ladder"), {})
     with pytest.raises(RuntimeError, match="1 of 2 runs failed: ladder"):
         I.run_all(spark, [bad, good], "run_audit", "run_errors")
     assert rows(spark.table("run_errors"), "pipeline_step") == [("ladder",)]
     assert "does not exist" in spark.table("run_errors").first()["error_traceback"]
-    assert rows(spark.table("run_audit"), "config_name") == [("coaches_111",)]
+    assert rows(spark.table("run_audit"), "config_name") == [("coaches_111_2024",)]
+    with pytest.raises(RuntimeError, match="1 of 1 runs failed"):
+        I.run_all(spark, [I.Run(pipeline("coaches"), {"competition_id": "111"})], "run_audit", "run_errors")
+    assert "lacks season" in spark.table("run_errors").filter("pipeline_step = 'coaches_111'").first()["error_message"]
 
 
 def test_unreadable_source_stops_discovery(spark, coaches):
@@ -88,7 +92,9 @@ def test_scope_is_literal_and_by_whole_parts(spark):
     df = spark.createDataFrame([(s,) for s in ("x_11", "x_11_2024", "x_111", "x_11_2024_5", "xa11_2024")], "ingested_from string")
     assert rows(df.filter(scope_filter("x_{competition_id}", {"competition_id": "11"}))) == [("x_11",), ("x_11_2024",), ("x_11_2024_5",)]
     assert rows(df.filter(scope_filter("x_{competition_id}_{season}", {"competition_id": "11", "season": "2024"}, True))) == [("x_11_2024",)]
-    assert scope_filter("x_{competition_id}_{season}", {"competition_id": "11"}) is None
+    assert scope_filter("x_{competition_id}_{season}", {}) is None
+    with pytest.raises(ValueError, match="lacks season"):
+        scope_filter("x_{competition_id}_{season}", {"competition_id": "11"})
     assert window_filter(None, None) is None
 
 
@@ -111,20 +117,86 @@ def test_append_adds_new_columns_and_empty_tables_exist(spark):
     drop_tables(spark, ["grow", "bare"])
 
 
-def test_stream_equals_batch_and_picks_up_only_new_files(spark, bronze, tmp_path):
-    pipe = pipeline("coaches")
-    src, out, cp = (str(tmp_path / n) for n in ("src", "out", "cp"))
+@pytest.mark.parametrize("declared", [True, False])
+def test_stream_equals_batch_and_picks_up_only_new_files(spark, bronze, tmp_path, declared):
+    pipe = dataclasses.replace(pipeline("coaches"), prefix=f"stream_coaches_{int(declared)}")
+    src, cp = (str(tmp_path / n) for n in ("src", "cp"))
+    spark.sql("DROP TABLE IF EXISTS stream_audit")
+    logs.create_logs(spark, "stream_audit", "stream_errors")
     first = bronze([("teams", coach(1, "Ann"), None, "coaches_1_2024", "2024-01-01 00:00:00")])
     first.write.mode("append").parquet(src)
-    shapes = plan_shapes(pipe, first)
-    run_available(spark, pipe, src, out, cp, shapes)
+    shapes = plan_shapes(pipe, first) if declared else None
+    run_available(spark, pipe, src, cp, shapes, audit="stream_audit")
     bronze([("teams", coach(2, "Bea"), None, "coaches_1_2024", "2024-01-02 00:00:00")]).write.mode("append").parquet(src)
-    run_available(spark, pipe, src, out, cp, shapes)
-    run_available(spark, pipe, src, out, cp, shapes)
-    got = spark.read.parquet(f"{out}/bronze_stats_flatten.coaches_coach")
-    want = pipeline_tables(pipe, spark.read.parquet(src), shapes)["coach"]
+    run_available(spark, pipe, src, cp, shapes, audit="stream_audit")
+    run_available(spark, pipe, src, cp, shapes, audit="stream_audit")
+    got = spark.table(f"{pipe.prefix}_coach")
+    want = pipeline_tables(pipe, spark.read.parquet(src))["coach"]
     assert rows(got, *want.columns) == rows(want) and got.count() == 2
-    assert rows(got, "load") == [(0,), (1,)]
+    assert [r[0].split("@")[1] for r in rows(got, "load_key")] == ["0", "1"] and spark.table("stream_audit").count() == 2
+    drop_tables(spark, [f"{pipe.prefix}_coach", pipe.prefix, "stream_audit", "stream_errors"])
+
+
+@pytest.mark.parametrize("first, second, kind, values", [
+    ("1L", "1.75BD", "decimal(21,2)", ["1.00", "1.75"]), ("1.3BD", "1.26BD", "decimal(3,2)", ["1.26", "1.30"]), ("true", "7", "string", ["7", "true"]),
+    ("7", "true", "string", ["7", "true"]), ("1L", "1.5D", "string", ["1", "1.5"]), ("1", "1.5D", "double", ["1.0", "1.5"]), ("1", "2L", "bigint", ["1", "2"]),
+    ("110.5BD", "'a'", "string", ["110.5", "a"]), ("date'2024-01-01'", "timestamp'2024-01-01 05:00:00'", "timestamp", ["2024-01-01 00:00:00", "2024-01-01 05:00:00"]),
+    ("named_struct('a', 1)", "'x'", "string", ["x", '{"a":1}']), ("null", "3", "string", ["3", None]), ("3", "null", "int", ["3", None]),
+    ("123456789012345678901234567890BD", "0.1234567890BD", "string", ["0.1234567890", "123456789012345678901234567890"]),
+])
+def test_append_never_narrows(spark, first, second, kind, values):
+    drop_tables(spark, ["wide"])
+    write_table(spark.sql(f"SELECT {first} AS v, 'a' AS part"), "wide", load="a")
+    write_table(spark.sql(f"SELECT {second} AS v, 'b' AS part"), "wide", load="b")
+    assert dict(spark.table("wide").dtypes)["v"] == kind
+    assert sorted((r[0] for r in spark.sql("SELECT cast(v AS string) FROM wide").collect()), key=lambda x: (x is None, x)) == values
+    assert rows(spark.table("wide"), "part") == [("a",), ("b",)]
+    drop_tables(spark, ["wide"])
+
+
+def test_interrupted_widening_is_finished_or_undone(spark):
+    drop_tables(spark, ["torn", "torn__widened"])
+    write_table(spark.sql("SELECT 1 AS v"), "torn__widened")
+    write_table(spark.sql("SELECT 2 AS v"), "torn")
+    assert rows(spark.table("torn"), "v") == [(1,), (2,)]
+    write_table(spark.sql("SELECT 9 AS v"), "torn__widened")
+    write_table(spark.sql("SELECT 3 AS v"), "torn")
+    assert rows(spark.table("torn"), "v") == [(1,), (2,), (3,)]
+    drop_tables(spark, ["torn"])
+
+
+def test_a_load_replaces_what_an_earlier_attempt_left(spark):
+    drop_tables(spark, ["loads"])
+    write_table(spark.sql("SELECT 1 AS v"), "loads")
+    for load, v in (("k@'1'", 2), ("k@2", 3), ("k@'1'", 4)):
+        write_table(spark.sql(f"SELECT {v} AS v"), "loads", load=load)
+    assert rows(spark.table("loads"), "v") == [(1,), (3,), (4,)]
+    drop_tables(spark, ["loads"])
+
+
+def test_failed_run_leaves_no_repeats_when_run_again(spark, coaches, monkeypatch):
+    from payloom.sinks import tables as sink
+
+    coaches(("111", 1, "Ann", "2024-01-01 00:00:00"))
+    pipe, write = pipeline("coaches"), sink.write_table
+
+    def broken(df, target, *args):
+        if target.endswith("_coach"):
+            raise OSError("disk")
+        return write(df, target, *args)
+
+    for n in range(3):
+        monkeypatch.setattr(sink, "write_table", broken if n < 2 else write)
+        due = I.discover_runs(spark, [pipe], "run_audit", ["111"], ["2024"])
+        if n < 2:
+            with pytest.raises(RuntimeError):
+                I.run_all(spark, due, "run_audit", "run_errors")
+            # More arrives before the next attempt; the window grows, its start stays.
+            coaches(("111", 2 + n, "Bea", f"2024-01-0{n + 2} 00:00:00"))
+        else:
+            I.run_all(spark, due, "run_audit", "run_errors")
+    assert spark.table("bronze_stats_flatten.coaches").count() == 1
+    assert rows(spark.table("bronze_stats_flatten.coaches_coach"), "coach_id") == [("c1",), ("c2",), ("c3",)]
 
 
 def test_stream_drops_repeats(spark, tmp_path):
@@ -194,3 +266,12 @@ def test_latest_keeps_one_row_per_task_before_the_shuffle(spark, sf):
     df = latest(spark.read.parquet(f"{sf}/lineitem.parquet"), ["l_orderkey"], ["l_shipdate"], ["l_partkey"])
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.rindex("WindowGroupLimit") > plan.index("Exchange")
+
+
+def test_xy_events_are_made_distinct_without_a_shuffle_of_events(bronze):
+    event = '{"SI":"1","T":"0"}'
+    df = bronze([("teams", f'{{"team":[{{"teamId":"1","xandYFeed1stHalf":{{"stat":[{event},{event}]}}}}]}}', '{"gameId":"9"}', "live_xy_1_2024_9")] * 2)
+    out = pipeline_tables(pipeline("livexy"), df, only=("teams_stat",))["teams_stat"]
+    assert out.count() == 1
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.index("Generate") < plan.index("Exchange hashpartitioning")
