@@ -12,9 +12,14 @@ from payloom.operators.keys import first, latest, quote
 AUDIT = ("_source_table", "_loaded_at", "_updated_at")
 
 
-def surrogate_key(keys: Sequence[str], valid_from: str, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
-    """Hash of natural key and start of validity; depends on source time only, so re-runs agree."""
-    return F.sha2(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.date_format(valid_from, fmt)), 256)
+def surrogate_key(keys: Sequence[str], valid_from: str, fmt: str = "yyyy-MM-dd HH:mm:ss.SSSSSS") -> Column:
+    """Hash of natural key and start of validity; depends on source time only, so re-runs agree.
+
+    The time has all its microseconds. A missing key part has a text of its
+    own, so it neither equals an empty one nor moves the parts behind it.
+    """
+    parts = [F.coalesce(F.col(quote(k)).cast("string"), F.lit("\x00")) for k in keys]
+    return F.sha2(F.concat_ws("|", *parts, F.date_format(valid_from, fmt)), 256)
 
 
 def with_audit(df: DataFrame, source: str, loaded_at: Column | None = None) -> DataFrame:
@@ -91,6 +96,23 @@ def scd2(df: DataFrame, keys: Sequence[str], tracked: Sequence[str], ts: str, or
     return out.withColumn(sk, surrogate_key(keys, "valid_from")) if sk else out
 
 
+def carry_forward(df: DataFrame, keys: Sequence[str], columns: Sequence[str], ts: str, chunk: str = "year") -> DataFrame:
+    """Each row with the last known value of every column up to its time, per key.
+
+    Within (key, chunk of time) by a running window; what earlier chunks of a
+    key end with comes from one row per key and chunk.
+    """
+    rows = df.withColumn("__chunk", F.date_trunc(chunk, F.col(quote(ts))))
+    running = Window.partitionBy(*keys, "__chunk").orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
+    ends = rows.groupBy(*keys, "__chunk").agg(*[
+        F.max_by(F.col(quote(c)), F.when(F.col(quote(c)).isNotNull(), F.col(quote(ts)))).alias(f"__e_{c}") for c in columns])
+    earlier = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select(*keys, "__chunk", *[F.last(f"__e_{c}", ignorenulls=True).over(earlier).alias(f"__b_{c}") for c in columns])
+    filled = rows.withColumns({f"__r_{c}": F.last(F.col(quote(c)), ignorenulls=True).over(running) for c in columns})
+    joined = filled.join(ends, [*keys, "__chunk"])
+    return joined.select(*[F.coalesce(f"__r_{c}", f"__b_{c}").alias(c) if c in columns else F.col(quote(c)) for c in df.columns])
+
+
 def fallback(primary: DataFrame, secondary: DataFrame, keys: Sequence[str]) -> DataFrame:
     """All rows of the primary source plus those of the secondary whose key it lacks."""
     only = secondary.join(primary.select(*keys).distinct(), list(keys), "left_anti")

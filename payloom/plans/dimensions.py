@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from payloom.operators import quality as Q
-from payloom.operators.keys import latest
-from payloom.operators.scd import fallback, scd1, scd2
+from payloom.operators.keys import latest, merge_rows
+from payloom.operators.scd import carry_forward, fallback, scd1, scd2
 
 AUDIT_DDL = "_source_table string, _loaded_at timestamp, _updated_at timestamp"
+# Load time of the source row that a type 1 row shows: what later loads are compared with.
+ORDER_DDL = "_source_at timestamp"
 VERSION_DDL = "valid_from timestamp, valid_to timestamp, is_current boolean"
 
 
@@ -31,14 +33,15 @@ class Dimension:
     # SCD2: columns whose change starts a new version, and the surrogate key.
     tracked: tuple[str, ...] = ()
     sk: str | None = None
-    # How further sources join in: "left" on the key, "fallback" or "union".
+    # How further sources join in: "left" on the key, "timeline" (changes of all
+    # sources in order of time, each with the last known values), "fallback" or "union".
     combine: str = "left"
     references: Mapping[str, tuple[str, str]] = field(default_factory=dict)
 
     @property
     def schema(self) -> T.StructType:
         parts = [f"{self.sk} string"] if self.sk else []
-        parts += [self.ddl, *([VERSION_DDL] if self.tracked else []), AUDIT_DDL]
+        parts += [self.ddl, *([VERSION_DDL] if self.tracked else []), AUDIT_DDL, *([] if self.tracked else [ORDER_DDL])]
         return T.StructType.fromDDL(", ".join(parts))
 
 
@@ -100,7 +103,7 @@ DIMENSIONS = {d.name: d for d in (
                "team_abbreviation": ("abbreviation", "team_abbreviation"),
                "team_colour_primary": ("colour_primary", "team_hex_colour", "teamHexColour"),
                "team_colour_secondary": ("colour_secondary", "team_hex_colour2", "teamHexColour2")},
-              tracked=("team_name", "team_nickname", "team_abbreviation"), sk="team_sk",
+              tracked=("team_name", "team_nickname", "team_abbreviation"), sk="team_sk", combine="timeline",
               references={"competition_id": ("dim_competition", "competition_id")}),
     Dimension("dim_player", "player_id string, first_name string, last_name string, display_name string, "
               "date_of_birth date, height_cm int, weight_kg int, nationality string, country_of_birth string, "
@@ -151,15 +154,19 @@ def _shape(dim: Dimension, df: DataFrame, source: str) -> DataFrame:
     return rows.withColumns({c: make().cast(types[c]) for c, make in dim.derive.items()}) if dim.derive else rows
 
 
-def _combined(dim: Dimension, tables: Mapping[str, DataFrame]) -> DataFrame:
+def _combined(dim: Dimension, tables: Mapping[str, DataFrame], existing: DataFrame | None = None) -> DataFrame:
     shaped = [_shape(dim, tables[s], s) for s in dim.sources if s in tables]
     if not shaped:
         raise ValueError(f"{dim.name} needs one of {dim.sources}")
     rows = shaped[0]
     for other in shaped[1:]:
-        if dim.combine == "union":
+        if dim.combine in ("union", "timeline"):
             rows = rows.unionByName(other)
         elif dim.combine == "fallback":
+            if existing is not None:
+                # Keys that the primary source has brought before need no fallback.
+                known = existing.filter(F.col("_source_table") == dim.sources[0]).select(*dim.keys).distinct()
+                other = other.join(known, list(dim.keys), "left_anti")
             rows = fallback(rows, other, dim.keys)
         else:
             # Attributes the primary lacks come from the newest row of the other source.
@@ -171,25 +178,67 @@ def _combined(dim: Dimension, tables: Mapping[str, DataFrame]) -> DataFrame:
     return rows.filter(F.expr(" AND ".join(f"{k} IS NOT NULL" for k in dim.keys)))
 
 
+def skipped_rows(dim: Dimension, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(source, n_rows, n_without_key, n_without_time) of the rows a dimension is built from; those without either are not in it."""
+    counts = []
+    for source in dim.sources:
+        if source in tables:
+            rows = _shape(dim, tables[source], source)
+            no_key = F.expr(" OR ".join(f"{k} IS NULL" for k in dim.keys))
+            counts.append(rows.agg(F.count("*").alias("n_rows"), F.count_if(no_key).alias("n_without_key"),
+                                   F.count_if(F.col("ingested_at").isNull()).alias("n_without_time"))
+                          .select(F.lit(source).alias("source"), "*"))
+    return Q.union_results(counts)
+
+
+def _timeline(dim: Dimension, rows: DataFrame) -> DataFrame:
+    """One row per key and time with the last known value of each column, whichever source it came from.
+
+    At equal times the earlier source in ``dim.sources`` counts first.
+    """
+    names = [c for c in rows.columns if c not in (*dim.keys, "ingested_at")]
+    rank = F.array_position(F.array(*map(F.lit, dim.sources)), F.col("_source_table"))
+    at_once = merge_rows(rows.withColumn("__rank", -rank), [*dim.keys, "ingested_at"], ["__rank"], names)
+    return carry_forward(at_once, dim.keys, [c for c in names if not c.startswith("_")], "ingested_at")
+
+
+def _versions(dim: Dimension, rows: DataFrame, now: Column, existing: DataFrame | None) -> DataFrame:
+    """Type 2 rows out of source rows and, if given, the versions that were stored before.
+
+    A stored version is the change that opened it. Its load time stays; its
+    update time moves when a new version closes it. New rows have to be later
+    than the stored ones of their key, as those of the next window are.
+    """
+    carry = [c for c in T.StructType.fromDDL(dim.ddl).names if c not in (*dim.keys, *dim.tracked)]
+    stamps = ("_source_table", "_loaded_at", "_updated_at", "__open")
+    rows = rows.withColumns({"_loaded_at": now, "_updated_at": now, "__open": F.lit(None).cast("boolean")})
+    if existing is not None:
+        stored = existing.withColumn("ingested_at", F.col("valid_from")).withColumn("__open", F.col("valid_to").isNull())
+        rows = rows.unionByName(stored.select(*rows.columns))
+    if dim.combine == "timeline":
+        known = [c for c in T.StructType.fromDDL(dim.ddl).names if c not in dim.keys]
+        rows = carry_forward(rows, dim.keys, known, "ingested_at") if existing is not None else rows
+    out = scd2(rows, dim.keys, dim.tracked, "ingested_at", chunk="year", sk=dim.sk, carry=(*carry, *stamps))
+    closed = F.col("__open") & F.col("valid_to").isNotNull()
+    return out.withColumn("_updated_at", F.when(closed, now).otherwise(F.col("_updated_at")))
+
+
 def build_dimension(dim: Dimension, tables: Mapping[str, DataFrame], loaded_at: Column | None = None,
                     existing: DataFrame | None = None) -> DataFrame:
-    """All rows of a dimension from its flat tables, in the target's column order."""
-    rows = _combined(dim, tables)
-    names = T.StructType.fromDDL(dim.ddl).names
+    """All rows of a dimension from its flat tables and what is stored of it, in the target's column order.
+
+    Write the result next to the old table and swap: it reads ``existing``.
+    Rows without key or time are left out; ``skipped_rows`` counts them.
+    """
+    rows = _combined(dim, tables, existing)
     now = loaded_at if loaded_at is not None else F.current_timestamp()
     if dim.tracked:
-        carry = [c for c in names if c not in (*dim.keys, *dim.tracked)]
-        out = scd2(rows, dim.keys, dim.tracked, "ingested_at", chunk="year", sk=dim.sk,
-                   carry=(*carry, "_source_table"))
-        out = out.withColumns({"_loaded_at": now, "_updated_at": now})
-    elif existing is None:
-        newest = latest(rows, dim.keys, ("ingested_at",), ("_source_table",))
-        out = newest.withColumns({"_loaded_at": now, "_updated_at": now})
-    else:
-        new = rows.withColumns({"_loaded_at": now, "_updated_at": now})
-        old = existing.withColumn("ingested_at", F.lit(None).cast("timestamp"))
-        out = scd1(new, dim.keys, ("ingested_at",), existing=old)
-    return out.select(*dim.schema.names)
+        rows = _timeline(dim, rows.filter(F.col("ingested_at").isNotNull())) if dim.combine == "timeline" else rows
+        return _versions(dim, rows, now, existing).select(*dim.schema.names)
+    rows = rows.withColumnRenamed("ingested_at", "_source_at").withColumns({"_loaded_at": now, "_updated_at": now})
+    if existing is None:
+        return latest(rows, dim.keys, ("_source_at",), ("_source_table",)).select(*dim.schema.names)
+    return scd1(rows.select(*dim.schema.names), dim.keys, ("_source_at",), existing=existing).select(*dim.schema.names)
 
 
 def dimension_checks(dim: Dimension, built: Mapping[str, DataFrame]) -> DataFrame:
