@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from payloom.operators.keys import quote
 
 RESULT = ("check_id", "status", "bad_rows")
+LOG = logging.getLogger(__name__)
 
 
 def _result(counted: DataFrame, check_id: str, ok: Column) -> DataFrame:
@@ -115,14 +119,30 @@ def expect_no_errors(errors: DataFrame, check_id: str, keys: Sequence[str] | Non
     return expect_none(errors if keys is None else errors.filter(F.col(step).isin(*keys)), check_id)
 
 
+def _chunk_of(df: DataFrame, run: str, chunk: str | int) -> Column:
+    if isinstance(df.schema[run].dataType, T.NumericType):
+        size = chunk if isinstance(chunk, int) else 1_000_000
+        return F.coalesce(F.floor(F.col(quote(run)) / size), F.lit(0)).cast("long")
+    return F.coalesce(F.date_trunc(chunk, F.col(quote(run)).cast("timestamp")), F.lit("0001-01-01").cast("timestamp"))
+
+
 def steps_back(audit: DataFrame, key: str = "config_name", run: str = "flattened_at",
-               mark: str = "ingested_at") -> DataFrame:
+               mark: str = "ingested_at", chunk: str | int = "month") -> DataFrame:
     """Runs whose high-water mark is not above that of the run before.
 
-    For run logs: one row per run, so a key has few rows.
+    ``run`` orders the runs: a time, or a number, whose chunks are ``chunk``
+    numbers long (a million where a unit of time is given). Runs are compared within (key, chunk of time); the last run before a chunk
+    comes from one row per key and chunk, so no task holds all runs of a key.
     """
-    w = Window.partitionBy(key).orderBy(run)
-    return audit.withColumn("__before", F.lag(mark).over(w)).filter(F.col(mark) <= F.col("__before")).drop("__before")
+    rows = audit.withColumn("__chunk", _chunk_of(audit, run, chunk))
+    within = Window.partitionBy(key, "__chunk").orderBy(run, mark)
+    ends = rows.groupBy(key, "__chunk").agg(F.max(F.struct(run, mark)).alias("__end"))
+    ends = ends.select(key, "__chunk", F.lag("__end").over(Window.partitionBy(key).orderBy("__chunk")).alias("__earlier"))
+    known = rows.withColumns({"__before": F.lag(mark).over(within), "__n": F.row_number().over(within)})
+    on = F.col("__key").eqNullSafe(F.col(key)) & (F.col("__chunk") == F.col("__c"))
+    joined = known.join(ends.toDF("__key", "__c", "__earlier"), on)
+    before = F.when(F.col("__n") == 1, F.col("__earlier").getField(mark)).otherwise(F.col("__before"))
+    return joined.filter(F.col(mark) <= before).select(*audit.columns)
 
 
 def expect_advancing(audit: DataFrame, check_id: str, **columns: str) -> DataFrame:
@@ -131,7 +151,7 @@ def expect_advancing(audit: DataFrame, check_id: str, **columns: str) -> DataFra
 
 def expect_fresh(df: DataFrame, check_id: str, ts: str = "ingested_at", hours: int = 48,
                  now: Column | None = None) -> DataFrame:
-    """The newest row is not older than the limit."""
+    """The newest row is not older than the limit. A table without a time passes; ``expect_rows`` tells an empty one."""
     now = now if now is not None else F.current_timestamp()
     limit = now - F.make_interval(hours=F.lit(hours))
     newest = df.agg(F.max(ts).alias("newest"))
@@ -163,17 +183,23 @@ def union_results(results: Iterable[DataFrame]) -> DataFrame:
     return out
 
 
-def run_checks(spark: SparkSession, checks: Mapping[str, Callable[[], DataFrame]]) -> DataFrame:
-    """Results of all checks; one that cannot even be planned becomes an ERROR row."""
-    results = []
-    for check_id, make in checks.items():
+def run_checks(spark: SparkSession, checks: Mapping[str, Callable[[], DataFrame]], workers: int = 4) -> DataFrame:
+    """Results of all checks, run as jobs of their own, a few at a time.
+
+    A check that cannot be planned or fails while it runs becomes an ERROR row
+    and leaves the others alone. Every check has a few result rows, so what
+    meets on the driver grows with the number of checks only.
+    """
+    def one(check_id: str, make: Callable[[], DataFrame]) -> list[tuple]:
         try:
-            results.append(make())
-        except Exception:  # e.g. a missing table or column: reported, not raised
-            results.append(spark.range(1).select(
-                F.lit(check_id).alias("check_id"), F.lit("ERROR").alias("status"),
-                F.lit(None).cast("long").alias("bad_rows")))
-    return union_results(results)
+            return [tuple(r) for r in make().select(*RESULT).collect()]
+        except Exception as e:  # reported, not raised
+            LOG.warning("check %s: %s", check_id, e)
+            return [(check_id, "ERROR", None)]
+
+    with ThreadPoolExecutor(workers) as pool:
+        found = list(pool.map(lambda c: one(*c), checks.items()))
+    return spark.createDataFrame([r for rows in found for r in rows], "check_id string, status string, bad_rows long")
 
 
 def summarize(results: DataFrame) -> DataFrame:

@@ -5,6 +5,6 @@ them scales like a scan and no payload depends on how often a key occurs.
 """
 
 from payloom.suite import (
-    dimensions, domain_leaderboards, domain_matches, domain_players, domain_reference, logs, nested, tables,
+    checks, dimensions, domain_leaderboards, domain_matches, domain_players, domain_reference, logs, nested, tables,
 )
 from payloom.suite.base import ORACLES, QUERIES
