@@ -33,18 +33,27 @@ class _Draft:
 
 @dataclass(frozen=True)
 class TreePlan:
-    """Discovered trees, ready to build, with the paths that no table shows."""
+    """Discovered trees, ready to build, with what a user should know about them.
+
+    dropped: paths that no table shows. mixed: fields of several shapes that
+    became one JSON text column. unused: names in options (keys, force_list,
+    suppress, type_overrides) that nothing in the data answers to.
+    """
 
     roots: tuple[Root, ...]
     statics: tuple[dict[str, str], ...]
     dropped: tuple[str, ...]
+    mixed: tuple[str, ...] = ()
+    unused: tuple[str, ...] = ()
 
 
-def discover(df: DataFrame, trees: tuple[AutoTree, ...], prefix: str) -> TreePlan:
+def discover(df: DataFrame, trees: tuple[AutoTree, ...], prefix: str, strict: bool = False) -> TreePlan:
     """Find every table of the given elements.
 
     One inference job serves all elements; each further job resolves, together,
-    all forced fields of one depth whose shape was still mixed.
+    all forced fields of one depth whose shape was still mixed. ``strict``
+    makes option names that match nothing an error; else the plan reports them,
+    as a window of a feed may lack a field that others have.
     """
     roots = [Root(element=t.element) for t in trees]
     l0 = [Root(element=t.element, source="l0payload") for t in trees]
@@ -54,12 +63,13 @@ def discover(df: DataFrame, trees: tuple[AutoTree, ...], prefix: str) -> TreePla
     types = infer_nodes(df, wanted)
 
     dropped: list[str] = []
+    mixed: list[str] = []
     drafts = [_Draft(t, t.alias, t.alias, (), (), types[("payload", i)]) for i, t in enumerate(trees)]
     open_drafts = list(drafts)
     while open_drafts:
         unresolved: list[_Draft] = []
         for d in open_drafts:
-            _expand(d, unresolved, dropped)
+            _expand(d, unresolved, dropped, mixed)
         open_drafts = unresolved
         if unresolved:
             index = {t.element: r for t, r in zip(trees, roots)}
@@ -73,7 +83,21 @@ def discover(df: DataFrame, trees: tuple[AutoTree, ...], prefix: str) -> TreePla
         l0_type = types.get(("l0", i))
         l0_fields = _fields(l0_type, tree) if l0_type is not None else ()
         out.append(_root(tree, draft, l0_fields, names))
-    return TreePlan(tuple(out), tuple(dict(t.static) for t in trees), tuple(dropped))
+    unused = tuple(x for tree, draft in zip(trees, drafts) for x in _unused(tree, draft))
+    if strict and unused:
+        raise ValueError(f"options that match nothing: {', '.join(unused)}")
+    return TreePlan(tuple(out), tuple(dict(t.static) for t in trees), tuple(dropped), tuple(mixed), unused)
+
+
+def _unused(tree: AutoTree, draft: _Draft) -> list[str]:
+    """Option names that no table, field or column answers to."""
+    nodes = _walk(draft)
+    tables = {n for d in nodes for n in (d.alias_path, d.alias, snake_case(d.alias))}
+    fields = {k for d in nodes for k in d.path}
+    columns = {c for d in nodes for c in _own_columns(d)}
+    wanted = (("keys", tree.keys, tables), ("force_list", tree.force_list, fields), ("suppress", tree.suppress, {d.alias_path for d in nodes}),
+              ("type_overrides", tree.type_overrides, columns))
+    return [f"{tree.element}.{option}:{name}" for option, names, known in wanted for name in sorted(names) if name not in known]
 
 
 def _fields(dtype: T.StructType | None, tree: AutoTree, skip: frozenset[str] = frozenset()) -> tuple[Field, ...]:
@@ -85,7 +109,7 @@ def _override(f: Field, tree: AutoTree) -> Field:
     return Field(f.json, f.column, tree.type_overrides[f.column]) if f.column in tree.type_overrides else f
 
 
-def _expand(d: _Draft, unresolved: list[_Draft], dropped: list[str]) -> None:
+def _expand(d: _Draft, unresolved: list[_Draft], dropped: list[str], mixed: list[str]) -> None:
     tree = d.tree
 
     def child(path: tuple[str, ...], dtype: T.DataType | None, scalar_list: bool = False) -> None:
@@ -94,7 +118,7 @@ def _expand(d: _Draft, unresolved: list[_Draft], dropped: list[str]) -> None:
                       dtype if isinstance(dtype, T.StructType) else None, scalar_list)
         d.children.append(node)
         if node.type is not None:
-            _expand(node, unresolved, dropped)
+            _expand(node, unresolved, dropped, mixed)
         elif not scalar_list:
             unresolved.append(node)
 
@@ -112,8 +136,12 @@ def _expand(d: _Draft, unresolved: list[_Draft], dropped: list[str]) -> None:
                     child(path, None)
                 elif tree.scalar_arrays == "explode":
                     child(path, None, scalar_list=True)
-                elif tree.scalar_arrays == "keep" and not prefix:
-                    d.fields.append(Field(f.name, snake_case(f.name), "string"))
+                elif tree.scalar_arrays == "keep":
+                    kept = Field(f.name, snake_case("_".join(path)), "string")
+                    if prefix:
+                        d.inline.append((prefix, "", (kept,)))
+                    else:
+                        d.fields.append(kept)
                 else:
                     dropped.append(f"{d.alias_path}.{'.'.join(path)}[]")
             elif isinstance(f.dataType, T.StructType):
@@ -130,8 +158,8 @@ def _expand(d: _Draft, unresolved: list[_Draft], dropped: list[str]) -> None:
                 walk(f.dataType, path)
             elif forced and isinstance(f.dataType, T.VariantType):
                 child(path, None)
-            elif prefix and isinstance(f.dataType, T.VariantType):
-                continue
+            elif isinstance(f.dataType, T.VariantType):
+                mixed.append(f"{d.alias_path}.{'.'.join(path)}")
 
     if d.type is not None:
         walk(d.type, ())
@@ -166,16 +194,23 @@ def _keys(tree: AutoTree, d: _Draft) -> tuple[str, ...]:
     return ()
 
 
+def _context_name(column: str, below: Collection[str]) -> str:
+    """The nearer level keeps a name: a source column that a payload column hides is renamed."""
+    return f"bronze_{column}" if column in below else column
+
+
+def _payload_columns(node: Node) -> set[str]:
+    own = {f.column for f in node.fields} | {f.column for _, _, fs in node.inline for f in fs}
+    return own.union(*map(_payload_columns, node.children))
+
+
 def _own_columns(d: _Draft) -> list[str]:
     return [f.column for f in d.fields] + [f.column for _, _, fs in d.inline for f in fs]
 
 
 def _root(tree: AutoTree, draft: _Draft, l0_fields: tuple[Field, ...], names: dict[str, str]) -> Root:
-    base = ["ingested_at", "ingested_from", *tree.static]
     below = {c for x in _walk(draft) for c in _own_columns(x)}
-    clash = sorted(set(base) & below)
-    if clash:
-        raise ValueError(f"payload columns {clash} of {draft.alias!r} hide source columns; exclude or rename them")
+    base = [_context_name(c, below) for c in ("ingested_at", "ingested_from", *tree.static)]
     l0_fields = tuple(
         Field(f.json, f"{snake_case(draft.alias)}_{f.column}" if f.column in below else f.column, f.type)
         for f in l0_fields
@@ -223,8 +258,9 @@ def flatten(df: DataFrame, trees: tuple[AutoTree, ...] | AutoTree, prefix: str =
     out: dict[str, DataFrame] = {}
     for tree, root, static in zip(trees, plan.roots, plan.statics):
         kept = (root,) if only is None else only_tables((root,), only)
-        context: dict[str, Column] = {"ingested_at": F.col("ingested_at"), "ingested_from": F.col("ingested_from")}
-        context.update({c: F.lit(v) for c, v in static.items()})
+        below = _payload_columns(root)
+        context: dict[str, Column] = {_context_name(c, below): F.col(c) for c in ("ingested_at", "ingested_from")}
+        context.update({_context_name(c, below): F.lit(v) for c, v in static.items()})
         if tree.passthrough is not None:
             context = {c: v for c, v in context.items() if c in tree.passthrough}
         made = build_tables(df, kept, context, text=False, spread=spread)

@@ -26,13 +26,14 @@ def unpivot_numbered(df: DataFrame, col: str, prefix: str, value_path: tuple[str
     """Numbered keys ``prefix1..prefixN`` as rows ``(number, value)``; missing values give no row.
 
     All rows are read, so no key range has to be known or sampled beforehand.
+    A suffix beyond the range of BIGINT gives a row whose number is NULL.
     """
     keep = [c for c in df.columns if c != col]
     pattern = f"^{re.escape(prefix)}([0-9]+)$"
     rows = _entries(df, col, keep).filter(F.col("__key").rlike(pattern))
     return rows.select(
         *keep,
-        F.regexp_extract("__key", pattern, 1).cast("int").alias(number),
+        F.regexp_extract("__key", pattern, 1).try_cast("bigint").alias(number),
         get("__value", *value_path, as_type="string").alias(value),
     ).filter(F.col(value).isNotNull())
 
@@ -41,7 +42,7 @@ def max_number(df: DataFrame, col: str, prefix: str, out: str = "max_number") ->
     """Largest numeric suffix of the keys with a prefix over all rows; 0 if there is none."""
     pattern = f"^{re.escape(prefix)}([0-9]+)$"
     keys = _entries(df, col, []).filter(F.col("__key").rlike(pattern))
-    return keys.agg(F.coalesce(F.max(F.regexp_extract("__key", pattern, 1).cast("int")), F.lit(0)).alias(out))
+    return keys.agg(F.coalesce(F.max(F.regexp_extract("__key", pattern, 1).try_cast("bigint")), F.lit(0).cast("bigint")).alias(out))
 
 
 def unpivot_named(df: DataFrame, col: str, objects: Mapping[str, Sequence[str]], kind: str,

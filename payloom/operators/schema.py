@@ -206,14 +206,28 @@ def resolve(df: DataFrame, roots: tuple[Root, ...], text: bool = True,
     return tuple(fill(r, (i,)) for i, r in enumerate(roots))
 
 
-def profile_paths(df: DataFrame, col: str, max_depth: int = 8) -> DataFrame:
+def _depth(df: DataFrame, col: str) -> int:
+    """Deepest nesting of the column's values: brackets of their JSON text, without those in strings. One job, one number."""
+    bare = F.regexp_replace(F.col(col).cast("string"), r'"(\\.|[^"\\])*"', "")
+    marks = F.split(F.regexp_replace(bare, r"[^\[\]{}]", ""), "")
+    steps = F.transform(F.filter(marks, lambda c: c != ""), lambda c: F.when(c.isin("[", "{"), 1).otherwise(-1))
+    zero = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+    deepest = F.aggregate(steps, zero, lambda a, x: F.struct((a["now"] + x).alias("now"), F.greatest(a["most"], a["now"] + x).alias("most")), lambda a: a["most"])
+    return df.agg(F.max(deepest)).first()[0] or 0
+
+
+def profile_paths(df: DataFrame, col: str, max_depth: int | None = None) -> DataFrame:
     """Every path of a payload column: ``(path, kind, n_rows, n_null)``.
 
     ``kind`` is object, array, scalar or null and a path of mixed shape has
     one row per kind, so ambiguous fields show up as data. List elements are
     folded into ``[]``. ``n_rows`` counts occurrences of the path in that kind,
-    ``n_null`` its JSON nulls. Levels below ``max_depth`` are not opened.
+    ``n_null`` its JSON nulls. All levels are opened; their number is found
+    by a job of its own unless ``max_depth`` declares it, and values that lie
+    deeper than declared are an error when the result is computed.
     """
+    declared = max_depth is not None
+    max_depth = max_depth if declared else _depth(df, col)
     # Each step turns an open value into its own finished (path, kind) and one
     # open entry per field or element; finished entries pass through. One scan
     # and no shuffle until the counts.
@@ -237,6 +251,10 @@ def profile_paths(df: DataFrame, col: str, max_depth: int = 8) -> DataFrame:
     for _ in range(max_depth):
         rows = rows.select(F.inline(F.when(F.col("kind").isNull(), F.concat(finished, inside)).otherwise(
             F.array(F.struct("path", "kind", "v")))))
+    if declared:
+        filled = F.coalesce(F.size(get("v", as_type="array<variant>")), F.size(get("v", as_type=OBJECT)), F.lit(0)) > 0
+        too_deep = F.raise_error(F.concat(F.lit("values below "), "path", F.lit(f" lie deeper than {max_depth} levels")))
+        rows = rows.withColumn("kind", F.when(F.col("kind").isNull() & filled, too_deep.cast("string")).otherwise(F.col("kind")))
     rows = rows.select("path", F.coalesce("kind", kind).alias("kind"))
     return rows.groupBy("path", "kind").agg(F.count(F.lit(1)).alias("n_rows"),
                                             F.count_if(F.col("kind") == "null").alias("n_null"))

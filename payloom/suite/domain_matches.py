@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from payloom.suite.base import Either, bronze_rows, domain_query, table, text
+from payloom.plans.catalog.matches import XY_FIELDS
+from payloom.suite.base import Either, bronze_rows, domain_query, reloaded, table, text
 
 AT = "CAST(l_shipdate AS varchar) AS ingested_at"
 TWO = "(SELECT unnest([0, 1]) AS {0}) {0}"
@@ -112,8 +113,9 @@ def snapshot_bronze(spark, sf):
         return {"playerId": text(f"l_partkey + {i}"), "positionAbbrev": Either(
             "l_linenumber % 3 = 0", {"#text": "l_linestatus"}, "l_linestatus"), "playerStats": {"tackles": text("l_orderkey % 30")}}
 
-    one = {**TEAM, "score": {"points": text("l_orderkey % 40")},
-           "teamLineup": {"teamLineUpStatus": "'final'", "teamPlayer": one_or_two(player)},
+    lineup = {"teamLineUpStatus": "'final'", "teamPlayer": one_or_two(player)}
+    one = {**TEAM, "status": "l_linestatus", "score": {"points": text("l_orderkey % 40")},
+           "teamLineup": Either("l_orderkey % 3 = 0", {**lineup, "status": "'lineup'"}, lineup),
            "teamStats": {"allGoals": text("l_orderkey % 11")}}
     return bronze_rows(
         table(spark, sf, "lineitem"), item_id("match_snapshot"), "l_shipdate",
@@ -122,14 +124,14 @@ def snapshot_bronze(spark, sf):
          "interchangeFlow": ("l_linenumber = 4", Either(ONE_OR_TWO, {"team": SWAPS}, [SWAPS])),
          "injuriesAndSuspensions": ("l_linenumber = 5", one_or_two(lambda i: {"playerId": text(f"l_partkey + {i}")},
                                                                    "l_orderkey % 3 = 0")),
-         "disciplineFlow": ("l_linenumber = 6", Either(ONE_OR_TWO, {"team": CARDS}, [CARDS]))},
+         "disciplineFlow": ("l_linenumber >= 6", Either(ONE_OR_TWO, {"team": CARDS}, [CARDS]))},
         l0={"gameState": "l_linestatus", "gameId": text("l_orderkey")})
 
 
 MS = item_context("match_snapshot")
 domain_query("matchsnapshot_root", snapshot_bronze, "matchsnapshotdata", "", f"""
     WITH r AS (SELECT {MS}, l_linestatus AS game_state, CAST(l_partkey AS varchar) AS crowd, 0 AS part, l_linenumber
-               FROM lineitem WHERE l_linenumber <= 6),
+               FROM lineitem),
     u AS (SELECT * REPLACE (NULL AS crowd) FROM r UNION ALL SELECT * REPLACE (1 AS part, NULL AS game_state) FROM r WHERE l_linenumber = 1)
     SELECT game_id, competition_id, season_id, ingested_from,
            arg_max(ingested_at, (part, ingested_at)) AS ingested_at,
@@ -138,6 +140,7 @@ domain_query("matchsnapshot_root", snapshot_bronze, "matchsnapshotdata", "", f""
     FROM u GROUP BY ALL""")
 domain_query("matchsnapshot_team", snapshot_bronze, "matchsnapshotdata", "team", f"""
     SELECT CAST(l_orderkey % 40 AS varchar) AS score_points, 'final' AS team_line_up_status,
+           CASE WHEN l_orderkey % 3 = 0 THEN 'lineup' ELSE l_linestatus END AS status,
            CAST(l_orderkey % 11 AS varchar) AS team_stats_all_goals, {TEAM_SQL}, {MS} FROM lineitem WHERE l_linenumber <= 3""")
 domain_query("matchsnapshot_team_player", snapshot_bronze, "matchsnapshotdata", "team_player", f"""
     SELECT CAST(l_partkey + p AS varchar) AS player_id, l_linestatus AS position_abbrev,
@@ -149,7 +152,7 @@ domain_query("matchsnapshot_injuries", snapshot_bronze, "matchsnapshotdata", "in
     SELECT CAST(l_partkey + p AS varchar) AS player_id, {MS} FROM lineitem, {TWO.format('p')}
     WHERE l_linenumber = 5 AND l_orderkey % 3 <> 0 AND (p = 0 OR l_orderkey % 2 = 1)""")
 domain_query("matchsnapshot_discipline", snapshot_bronze, "matchsnapshotdata", "discipline",
-             CARD_SQL.format(f"{TEAM_SQL}, {MS}", "l_linenumber = 6"))
+             CARD_SQL.format(f"{TEAM_SQL}, {MS}", "l_linenumber >= 6"))
 
 
 # Match statistics and events: field names are kept as they are ------------------------------
@@ -257,24 +260,32 @@ for _suffix, _sql in {
         SELECT CAST(l_partkey + e AS varchar) AS "playerId", CAST(l_orderkey % 30 AS varchar) AS player_stats_tackles,
                CAST(l_suppkey AS varchar) AS team_id, {MD}, {AT}
         FROM lineitem, {E} WHERE l_linenumber > 3 AND (e = 0 OR l_orderkey % 2 = 1)""",
-    # Rows that share a key differ in the competition, so it is left out where keys decide.
+    # Line items repeat a key now and then; their competitions differ, so it is left out where keys decide.
     "teams_match": f"""
         SELECT DISTINCT team_id, score_points, game_id, season_id, ingested_from FROM (
           SELECT CAST(l_suppkey AS varchar) AS team_id, CAST(l_orderkey % 40 AS varchar) AS score_points,
                  {MD} FROM lineitem WHERE l_linenumber > 3)""",
-    "team_coach": f"""SELECT CAST(l_partkey AS varchar) AS coach_id, CAST(l_suppkey AS varchar) AS team_id, {MD}
-                      FROM lineitem WHERE l_linenumber > 3""",
-    "ins_outs": f"""SELECT p AS player_id, CAST(l_suppkey AS varchar) AS team_id, {MD}
-                    FROM lineitem, (SELECT unnest(['i', 'o']) AS p) WHERE l_linenumber > 3""",
+    "team_coach": f"""SELECT DISTINCT coach_id, team_id, game_id, season_id, ingested_from FROM (
+          SELECT CAST(l_partkey AS varchar) AS coach_id, CAST(l_suppkey AS varchar) AS team_id, {MD} FROM lineitem WHERE l_linenumber > 3)""",
+    "ins_outs": f"""SELECT DISTINCT player_id, team_id, game_id, season_id, ingested_from FROM (
+          SELECT p AS player_id, CAST(l_suppkey AS varchar) AS team_id, {MD}
+          FROM lineitem, (SELECT unnest(['i', 'o']) AS p) WHERE l_linenumber > 3)""",
     "gameinfo": f"""
         SELECT DISTINCT game_id, season_id, ingested_from, city FROM (
           SELECT {MD}, CASE WHEN l_linenumber = 3 THEN 'x' END AS city FROM lineitem WHERE l_linenumber <= 3)""",
 }.items():
     _cols = {"teams_match": ("score_points", "team_id"), "team_coach": ("coach_id", "team_id"),
              "ins_outs": ("player_id", "team_id"), "gameinfo": ("city",)}.get(_suffix)
-    domain_query(f"matchdata_{_suffix}", match_data_bronze, "matchdata", _suffix, _sql,
-                 (*_cols, *(() if _suffix in ("gameinfo", "teams_match") else ("competition_id",)), "game_id", "season_id",
-                  "ingested_from") if _cols else ())
+    domain_query(f"matchdata_{_suffix}", reloaded(match_data_bronze) if _cols else match_data_bronze, "matchdata", _suffix, _sql,
+                 (*_cols, "game_id", "season_id", "ingested_from") if _cols else ())
+
+
+domain_query("matchdata_teams", reloaded(match_data_bronze), "matchdata", "teams", f"""
+    SELECT DISTINCT game_id, season_id, ingested_from FROM (SELECT {MD} FROM lineitem WHERE l_linenumber > 3)""",
+             ("game_id", "season_id", "ingested_from"))
+domain_query("matchstatsandevents_eventflow", match_events_bronze, "matchstatsandevents", "eventflow", f"""
+    SELECT CAST(l_orderkey AS varchar) AS game_id, max(l_shipdate) AS ingested_at, 'match_stats_and_events_' || l_orderkey AS ingested_from, 's' AS season_id
+    FROM lineitem WHERE l_linenumber > 3 GROUP BY ALL""", ("game_id", "ingested_at", "ingested_from", "season_id"))
 
 
 # Round breakdown -------------------------------------------------------------------------------------
@@ -341,12 +352,15 @@ def xy_bronze(spark, sf):
                        l0={"gameId": text("l_orderkey")})
 
 
+XY_ID = "'live_xy_' || l_orderkey || '_' || l_linenumber || '_' || l_partkey AS ingested_from, l_shipdate AS ingested_at"
+XY_ABSENT = ", ".join(f"CAST(NULL AS varchar) AS {c}" for c in XY_FIELDS if c not in ("si", "sn", "ex", "t"))
 domain_query("livexy_teams_stat", xy_bronze, "livexy", "teams_stat", f"""
-    SELECT DISTINCT 'live_xy_' || l_orderkey || '_' || l_linenumber || '_' || l_partkey AS ingested_from,
-           l_shipdate AS ingested_at, {TEAM_SQL}, CASE WHEN e < 2 THEN 1 ELSE 2 END AS feed_period,
-           CAST(l_partkey + e AS varchar) AS si, l_returnflag AS sn, CAST(l_suppkey AS varchar) AS ex, CAST(e AS varchar) AS t
-    FROM lineitem, (SELECT unnest([0, 1, 2]) AS e) WHERE e < 2 OR l_orderkey % 2 = 0""",
-             ("ingested_from", "ingested_at", "team_id", "team_name", "is_home_team", "feed_period", "si", "sn", "ex", "t"))
+    SELECT DISTINCT {XY_ID}, {TEAM_SQL}, CASE WHEN e < 2 THEN 1 ELSE 2 END AS feed_period,
+           CAST(l_partkey + e AS varchar) AS si, l_returnflag AS sn, CAST(l_suppkey AS varchar) AS ex, CAST(e AS varchar) AS t, {XY_ABSENT}
+    FROM lineitem, (SELECT unnest([0, 1, 2]) AS e) WHERE e < 2 OR l_orderkey % 2 = 0""")
 domain_query("livexy_team", xy_bronze, "livexy", "team", """
     SELECT DISTINCT CAST(l_orderkey AS varchar) AS game_id, CAST(l_suppkey AS varchar) AS team_id FROM lineitem""",
              ("game_id", "team_id"))
+domain_query("livexy_teams", xy_bronze, "livexy", "teams", f"""
+    SELECT game_id, ingested_from, max(ingested_at) AS ingested_at
+    FROM (SELECT CAST(l_orderkey AS varchar) AS game_id, {XY_ID} FROM lineitem) GROUP BY ALL""")

@@ -210,7 +210,8 @@ def form_guide_bronze(spark, sf):
         "seasonHomeAndAwayAverages": {"home": {"tries": text("o_orderkey % 4")}, "away": {"tries": text("o_orderkey % 6")}},
         "seasonPlayerStats": {"playerGame": [
             {"playerId": text("o_orderkey"), "playerName": "'p'", "appearances": "'3'",
-             "averageStats": {"tries": "'1'", "runs": "'5'"}, "maxStats": {"tries": "'2'"}, "totalStats": {"tries": "'9'"}},
+             "averageStats": {"tries": "'1'", "runs": "'5'"},
+             "maxStats": Either("o_orderkey % 2 = 0", {"tries": "'2'"}, {"runs": "'7'"}), "totalStats": {"tries": "'9'"}},
             {"playerId": text("o_orderkey + 1"), "playerName": "'q'", "appearances": "'4'"}]},
         "seasonTeamStats": {"wins": text("o_orderkey % 3")},
         "seasonWinLossBreakdown": {"winWin": "'7'"},
@@ -241,10 +242,19 @@ for _suffix, _sql in {
     "team_player_stats": f"""
         SELECT CAST(o_orderkey + p AS varchar) AS player_id, CASE p WHEN 0 THEN 'p' ELSE 'q' END AS player_name,
                CAST(3 + p AS varchar) AS appearances, {FG_TEAM} FROM orders, {TWO.format('p')}""",
-    "player_game_stats": f"""SELECT CAST(o_orderkey AS varchar) AS player_id, 'p' AS player_name, '2' AS tries,
-                             '5' AS runs, '9' AS total_tries, {FG_TEAM} FROM orders""",
+    # A maximum takes the place of an average only where there is one.
+    "player_game_stats": f"""SELECT CAST(o_orderkey AS varchar) AS player_id, 'p' AS player_name,
+                             CASE WHEN o_orderkey % 2 = 0 THEN '2' ELSE '1' END AS tries,
+                             CASE WHEN o_orderkey % 2 = 0 THEN '5' ELSE '7' END AS runs, '9' AS total_tries, {FG_TEAM} FROM orders""",
     "season_team_stats": f"SELECT CAST(o_orderkey % 3 AS varchar) AS wins, {FG_TEAM} FROM orders",
     "season_win_loss_breakdown": f"SELECT '7' AS win_win, {FG_TEAM} FROM orders",
     "player_line_up": f"SELECT CAST(o_orderkey AS varchar) AS player_id, '6' AS shirt_num, {FG_TEAM} FROM orders",
 }.items():
     domain_query(f"formguide_{_suffix or 'root'}", form_guide_bronze, "formguideformatch", _suffix, _sql)
+
+
+domain_query("formguide_team_form_guide_stats", form_guide_bronze, "formguideformatch", "team_form_guide_stats", """
+    SELECT CASE WHEN o_orderkey % 3 > 0 THEN CAST(o_custkey AS varchar) END AS team_id, CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority END AS team_name,
+           CASE WHEN o_orderkey % 3 > 0 THEN '1' END AS is_home_team, CASE WHEN o_orderkey % 3 > 0 THEN CAST(o_orderkey % 16 AS varchar) END AS team_position,
+           {0}, 'l0' AS competition_id, CAST(o_custkey AS varchar) AS round_id FROM orders""".format(
+               FG.split(" AS ingested_from")[0] + " AS ingested_from, o_orderdate AS ingested_at"))

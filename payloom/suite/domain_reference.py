@@ -5,7 +5,7 @@ from __future__ import annotations
 from payloom.functions.text import snake_case
 from payloom.operators.reshape import union_by_name
 from payloom.plans.catalog.reference_data import ENTITY_SECTIONS
-from payloom.suite.base import Either, Repeat, bronze_rows, domain_query, table, text
+from payloom.suite.base import Either, Repeat, bronze_rows, domain_query, reloaded, table, text
 
 AT = "CAST(o_orderdate AS varchar) AS ingested_at"
 LATEST = "QUALIFY row_number() OVER (PARTITION BY {0} ORDER BY o_orderdate DESC, ingested_from) = 1"
@@ -28,8 +28,7 @@ for _name in ("ladder", "live_ladder"):
     _id = f"'{_name}_' || o_orderkey AS ingested_from"
     domain_query(f"{_name}_ladderposition", ladder_bronze(_name), _name, "ladderposition", f"""
         SELECT CAST(o_custkey AS varchar) AS team_id, o_orderkey % 25 AS played, CAST(o_orderkey AS varchar) AS premiership_odds,
-               o_orderdate AS ingested_at, {_id} FROM orders {LATEST.format('o_custkey')}""",
-                 ("team_id", "played", "premiership_odds", "ingested_at", "ingested_from"))
+               o_orderdate AS ingested_at, {_id} FROM orders {LATEST.format('o_custkey')}""")
     domain_query(f"{_name}_recent_form", ladder_bronze(_name), _name, "ladderposition_recent_form", f"""
         SELECT CAST(o_custkey AS varchar) AS team_id, n AS form_order,
                CASE n WHEN 1 THEN o_orderstatus WHEN 2 THEN o_orderpriority ELSE 'W' END AS result,
@@ -69,10 +68,9 @@ def entities_bronze(section: str):
 
 for _section, (_table, _key, _label) in SECTION_TABLES.items():
     _entity = snake_case(ENTITY_SECTIONS[_section][1])
-    domain_query(f"entities_{_entity}", entities_bronze(_section), "entities", _entity, f"""
+    domain_query(f"entities_{_entity}", reloaded(entities_bronze(_section)), "entities", _entity, f"""
         SELECT CAST({_key} AS varchar) AS id, {_label} AS name, '111' AS competition_id, CAST({_key} % 3 AS varchar) AS season_id,
-               'entities_{_section}_' || {_key} AS ingested_from FROM {_table}""",
-                 ("id", "name", "competition_id", "season_id", "ingested_from"))
+               TIMESTAMP '2024-01-01' AS ingested_at, 'entities_{_section}_' || {_key} AS ingested_from FROM {_table}""")
 
 
 # Squads, profiles and associations -----------------------------------------------------------
@@ -101,7 +99,7 @@ for _suffix, _sql in {
     "player": f"SELECT CAST(o_orderkey * 4 + 2 * t + p AS varchar) AS player_id, {SQ_TEAM} {TEAMS}, (SELECT unnest([0, 1]) AS p)",
     "coach": f"SELECT CAST(o_orderkey * 2 + t AS varchar) AS coach_id, o_orderstatus AS first, {SQ_TEAM} {TEAMS}",
 }.items():
-    domain_query(f"all_squads_{_suffix}", all_squads_bronze, "all_squads", _suffix, _sql)
+    domain_query(f"all_squads_{_suffix}", reloaded(all_squads_bronze), "all_squads", _suffix, _sql)
 
 
 def squad_list_bronze(spark, sf):
@@ -124,7 +122,8 @@ for _suffix, _sql in {
                        AS competition_easy_kicking_success_rate, CAST(NULL AS varchar) AS competition_tough_kicking_success_rate,
                        CAST(NULL AS varchar) AS competition_name, CAST(NULL AS varchar) AS season_id FROM orders""",
 }.items():
-    domain_query(f"squad_list_{_suffix}", squad_list_bronze, "squad_list", _suffix, _sql)
+    domain_query(f"squad_list_{_suffix}", squad_list_bronze if _suffix == "competition" else reloaded(squad_list_bronze), "squad_list", _suffix, _sql)
+domain_query("squad_list_teams", squad_list_bronze, "squad_list", "teams", f"SELECT {SL} FROM orders")
 
 
 def player_profile_bronze(spark, sf):
@@ -165,7 +164,7 @@ for _suffix, _sql in {
     "team": f"""SELECT CAST(o_custkey + t AS varchar) AS team_id, o_orderstatus AS team_name, {PA_SEASON}
                 {TEAMS} WHERE t = 0 OR o_orderkey % 2 = 1""",
 }.items():
-    domain_query(f"player_associations_{_suffix}", associations_bronze, "player_associations", _suffix, _sql)
+    domain_query(f"player_associations_{_suffix}", reloaded(associations_bronze), "player_associations", _suffix, _sql)
 
 
 # Seasons and fixtures: field names are kept as they are ----------------------------------------
@@ -192,7 +191,7 @@ for _suffix, _sql in {
     "venue": f"""SELECT 'v' AS "venueId", {SE} FROM orders WHERE o_orderkey % 4 = 0""",
     "official": f"""SELECT CAST(o_orderkey AS varchar) AS "officialId", o_orderpriority AS "firstName", {SE} FROM orders""",
 }.items():
-    domain_query(f"season_list_{_suffix}", season_list_bronze, "season_list", _suffix, _sql)
+    domain_query(f"season_list_{_suffix}", reloaded(season_list_bronze) if _suffix == "season" else season_list_bronze, "season_list", _suffix, _sql)
 
 
 def fixtures_bronze(prefix: str):
@@ -234,4 +233,5 @@ def fixture_sql(prefix: str) -> dict[str, str]:
 
 for _pipe, _prefix in (("fixtures", "fixtures"), ("roundschedule", "round_fixtures")):
     for _suffix, _sql in fixture_sql(_prefix).items():
-        domain_query(f"{_pipe}_{_suffix}", fixtures_bronze(_prefix), _pipe, _suffix, _sql)
+        _feed = fixtures_bronze(_prefix)
+        domain_query(f"{_pipe}_{_suffix}", reloaded(_feed) if _suffix == "roundfixtures" else _feed, _pipe, _suffix, _sql)

@@ -137,6 +137,16 @@ def scalar_arrays_exploded(spark, sf):
     return out["tags"].select("supp_key", "value")
 
 
+@query("scalar_arrays_kept_nested", """
+SELECT s_suppkey AS supp_key, '["' || s_name || '","x"]' AS tags, '[' || s_nationkey || ',1]' AS info_deep_codes FROM supplier""")
+def scalar_arrays_kept_nested(spark, sf):
+    df = table(spark, sf, "supplier")
+    bronze = bronze_rows(df, "concat('s_', s_suppkey)", "timestamp'2024-01-01'", {"s": ("true", {
+        "suppKey": "s_suppkey", "tags": ["s_name", "'x'"], "info": {"deep": {"codes": ["s_nationkey", "1"]}}})})
+    out = flatten(bronze, AutoTree("s", "s", keys={"s": ("supp_key",)}, scalar_arrays="keep"))
+    return out["s"].select("supp_key", "tags", "info_deep_codes")
+
+
 @query("bronze_scope", """
 SELECT o_orderkey AS order_key FROM orders WHERE o_orderstatus = 'F' AND year(o_orderdate) = 1997""")
 def bronze_scope(spark, sf):
@@ -222,6 +232,20 @@ def path_profile(spark, sf):
     return profile_paths(df, "payload", max_depth=4)
 
 
+DEEP = 12
+
+
+@query("path_profile_deep", " UNION ALL ".join(
+    f"SELECT '${''.join(f'.l{k}' for k in range(n))}' AS path, 'object' AS kind, count(*) AS n_rows, CAST(0 AS bigint) AS n_null FROM orders" for n in range(DEEP))
+       + f" UNION ALL SELECT '${''.join(f'.l{k}' for k in range(DEEP))}', 'scalar', count(*), 0 FROM orders")
+def path_profile_deep(spark, sf):
+    """Twelve levels, without telling the profile how many."""
+    shape = "o_orderkey"
+    for k in reversed(range(DEEP)):
+        shape = {f"l{k}": shape}
+    return profile_paths(table(spark, sf, "orders").select(variant(shape).alias("payload")), "payload")
+
+
 @query("discovered_tables", """
 SELECT '$.lineItems.lineItem' AS path, count(*) AS n_rows FROM orders WHERE o_orderkey % 4 <> 1 UNION ALL
 SELECT '$.lineItems.lineItem[].subs.sub', sum(o_orderkey % 4) FROM orders WHERE o_orderkey % 4 > 1""")
@@ -247,14 +271,14 @@ def part_attributes(spark, sf):
 
 
 @query("unpivot_numbered", """
-SELECT p_partkey, 1 AS attr_order, p_brand AS attr FROM part UNION ALL
+SELECT p_partkey, CAST(1 AS bigint) AS attr_order, p_brand AS attr FROM part UNION ALL
 SELECT p_partkey, 2, p_type FROM part WHERE p_partkey % 2 = 0 UNION ALL
 SELECT p_partkey, 10, p_name FROM part WHERE p_partkey % 10 = 0""")
 def unpivot_numbered(spark, sf):
     return R.unpivot_numbered(part_attributes(spark, sf), "payload", "attr", ("_text",), "attr_order", "attr")
 
 
-@query("max_key_number", "SELECT 10 AS max_number")
+@query("max_key_number", "SELECT max(CASE WHEN p_partkey % 10 = 0 THEN 10 ELSE 3 END)::bigint AS max_number FROM part")
 def max_key_number(spark, sf):
     return R.max_number(part_attributes(spark, sf), "payload", "attr")
 

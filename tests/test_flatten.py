@@ -89,6 +89,24 @@ def test_scalar_arrays_modes_and_report(bronze):
     assert rows(split["tags"], "id", "value") == [(1, "a"), (1, "b")]
 
 
+def test_report_of_mixed_fields_and_unused_options(bronze):
+    df = bronze([("o", '{"id":1,"x":{"a":1},"y":{"tags":[1]}}'), ("o", '{"id":2,"x":[{"a":1}]}')])
+    tree = AutoTree("o", "o", keys={"o": ("id",), "typo": ("id",)}, force_list=frozenset({"nope"}), type_overrides={"id": "string", "no_column": "int"}, scalar_arrays="keep")
+    plan = discover(df, (tree,), "")
+    assert plan.mixed == ("o.x",) and plan.dropped == ()
+    assert plan.unused == ("o.keys:typo", "o.force_list:nope", "o.type_overrides:no_column")
+    with pytest.raises(ValueError, match="typo"):
+        discover(df, (tree,), "", strict=True)
+    assert rows(flatten(df, tree, plan=plan)["o"], "id", "y_tags") == [("1", "[1]"), ("2", None)]
+
+
+def test_payload_columns_hide_source_columns(bronze):
+    df = bronze([("o", '{"ingestedAt":"x","c":[{"v":1}]}')])
+    out = flatten(df, AutoTree("o", "o"))
+    assert rows(out["o"], "ingested_at") == [("x",)] and "bronze_ingested_at" in out["o"].columns
+    assert "bronze_ingested_at" in out["c"].columns
+
+
 def test_unknown_key_fails_before_any_table_runs(bronze):
     df = bronze([("o", '{"id":1,"c":[{"x":1}]}')])
     with pytest.raises(ValueError, match="player_id"):

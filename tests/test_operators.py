@@ -11,8 +11,10 @@ from payloom.functions.variant import as_list, get, text_node, vpath
 from payloom.operators import keys as K
 from payloom.operators import quality as Q
 from payloom.operators import reshape as R
-from payloom.operators.scd import fallback, scd1, scd2
+from payloom.operators.entities import build_tables
+from payloom.operators.scd import fallback, scd1, scd2, surrogate_key
 from payloom.operators.schema import infer_schema, profile_paths
+from payloom.plans.spec import Field, Root
 
 
 def rows(df, *cols):
@@ -82,6 +84,43 @@ def test_profile_of_nulls_and_mixed_paths(spark):
         ("$.a[]", "null", 1, 1), ("$.a.b", "null", 1, 1)], key=repr)
 
 
+def test_profile_opens_all_levels_or_says_so(spark):
+    df = spark.createDataFrame([('{"a":[[{"b":{"c":[1]}}]],"s":"]]]][[[\\"{{"}',)], "s string").select(F.try_parse_json("s").alias("v"))
+    paths = {r["path"] for r in profile_paths(df, "v").collect()}
+    assert "$.a[][].b.c[]" in paths
+    assert {r["path"] for r in profile_paths(df, "v", 6).collect()} == paths
+    with pytest.raises(Exception, match="deeper than 3"):
+        profile_paths(df, "v", 3).collect()
+
+
+def test_checks_fail_one_by_one_also_at_run_time(spark):
+    df = spark.range(3)
+    found = Q.run_checks(spark, {
+        "ok": lambda: Q.expect_rows(df, "ok"), "late": lambda: Q.expect_none(df.filter("raise_error('x') IS NULL"), "late"),
+        "early": lambda: Q.expect_unique(df, ["nope"], "early"), "bad": lambda: Q.expect_none(df, "bad")})
+    assert rows(found) == [("bad", "FAIL", 3), ("early", "ERROR", None), ("late", "ERROR", None), ("ok", "PASS", 0)]
+
+
+def test_steps_back_across_chunks(spark):
+    times = [("k", "2024-01-31 10:00:00", 5), ("k", "2024-02-01 10:00:00", 5), ("k", "2024-02-02 10:00:00", 7), ("k", "2024-04-01 00:00:00", 6), ("k", "2024-05-01 00:00:00", 8),
+             ("other", "2024-02-01 00:00:00", 1)]
+    df = spark.createDataFrame(times, "config_name string, at string, ingested_at int").selectExpr("config_name", "to_timestamp(at) AS flattened_at", "ingested_at")
+    assert rows(Q.steps_back(df), "ingested_at") == [(5,), (6,)]
+
+
+def test_inlined_names_keep_values(bronze):
+    node = Root(table="t", element="o", fields=(Field("id", "id"), Field("v", "v")), inline=((("a",), "", (Field("v", "v"), Field("w", "w"))), (("b",), "", (Field("w", "w"),))))
+    df = bronze([("o", '{"id":1,"v":"own","a":{"w":"a"},"b":{"w":"b"}}'), ("o", '{"id":2,"v":"own","a":{"v":"inner","w":"a"}}'), ("o", '{"id":3}')])
+    out = build_tables(df, (node,), {})["t"]
+    assert rows(out, "id", "v", "w") == [("1", "own", "b"), ("2", "inner", "a"), ("3", None, None)]
+
+
+def test_surrogate_keys_tell_microseconds_and_missing_parts(spark):
+    df = spark.sql("SELECT * FROM VALUES ('a', CAST(NULL AS string), timestamp'2024-01-01 00:00:00.000001'), (NULL, 'a', timestamp'2024-01-01 00:00:00.000001'), "
+                   "('a', '', timestamp'2024-01-01 00:00:00.000001'), ('a', NULL, timestamp'2024-01-01 00:00:00.000002') AS t(k, l, at)")
+    assert df.select(surrogate_key(["k", "l"], "at")).distinct().count() == 4
+
+
 def test_latest_is_deterministic_on_full_ties(spark):
     data = [("k", "2024-01-01", "a", i) for i in range(20)]
     seen = set()
@@ -106,6 +145,8 @@ def test_numbered_keys_with_gaps_and_max(spark):
     assert rows(out) == [(1, 1, "W"), (1, 10, "D"), (1, 2, "L")]
     assert R.max_number(df, "p", "recentForm").first()[0] == 10
     assert R.max_number(df, "p", "other").first()[0] == 0
+    far = spark.sql("""SELECT 1 AS id, parse_json('[{"recentForm99999999999":{"_text":"W"},"recentForm99999999999999999999":{"_text":"L"}}]') AS p""")
+    assert rows(R.unpivot_numbered(far, "p", "recentForm", ("_text",), "form_order", "result")) == [(1, 99999999999, "W"), (1, None, "L")]
 
 
 def test_text_columns_write_json_text(spark):
