@@ -12,11 +12,36 @@ import re
 
 import numpy as np
 
-MEMO_PIECES = 400_000
+MEMO_PIECES = 300_000
 BATCH_BYTES = 256 << 10
 _MEMOS: dict[tuple, object] = {}
 
 
+class Memo:
+    """What is known of pieces, in two generations of about MEMO_PIECES.
+
+    When the current one is full it becomes the previous one, from which pieces
+    come back as they are met again; those that aren't are forgotten. So
+    frequent pieces stay, whatever else a corpus brings.
+    """
+
+    def __init__(self):
+        self.current: dict[bytes, object] = {}
+        self.previous: dict[bytes, object] = {}
+
+    def look_up(self, pieces: list[bytes]) -> dict[bytes, object]:
+        """Each piece with what is known of it, or None. A batch has its own small table: that is where its texts look."""
+        if len(self.current) >= MEMO_PIECES:
+            self.previous, self.current = self.current, {}
+        found = dict(zip(pieces, map(self.current.get, pieces)))
+        if self.previous:
+            new = [p for p, known in found.items() if known is None]
+            for p, known in zip(new, map(self.previous.get, new)):
+                if known is not None:
+                    found[p] = self.current[p] = known
+        return found
+
+
 def tokenizer_of(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task on each core already
     from tokenizers import Tokenizer
@@ -37,49 +62,95 @@ def by_bytes(pieces: list[bytes], limit: int = BATCH_BYTES):
         yield batch
 
 
+#: Words of nothing but letters whose composed lower-case form has nothing but letters.
+LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+#: ASCII marks, which form a piece of their own behind such letters; without the apostrophe, which may begin a contraction.
+MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
 class WordIds:
     """Ids of texts for a tokenizer that drops white space and has no rule across it.
 
-    Words between ASCII white space are the pieces. New words are joined by a
-    special token's text, which the tokenizer always takes out as one id.
+    Words between ASCII white space are the pieces; marks behind a letter are
+    pieces again. The tokenizer puts texts in lower case, so A-Z are lowered
+    before the look-up. New words of letters are encoded together, without the
+    steps that don't change them, and parted where tokens end a word; others are joined by a special token's text,
+    which the tokenizer always takes out as one id.
     """
 
-    def __init__(self, path: str, separator: str):
+    def __init__(self, path: str, separator: str, word_end: str = "</w>"):
         self.tokenizer = tokenizer_of(path)
         self.separator, self.mark = separator, self.tokenizer.token_to_id(separator)
         specials = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile(b"|".join(map(re.escape, specials)))
-        self.memo: dict[bytes, bytes] = {}
-
-    def _encode(self, words: list[bytes]) -> dict[bytes, bytes]:
-        found = {}
-        plain = [w for w in words if not self.special.search(w)]
-        for batch in by_bytes(plain, 64 << 10):
-            text = self.separator.join(w.decode("utf-8", "replace") for w in batch)
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+        vocab = self.tokenizer.get_vocab()
+        self.words = self._for_words(path)
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith(word_end)]] = True
+        self.memo = Memo()
+
+    @staticmethod
+    def _for_words(path: str):
+        """The same tokenizer for lower-case words of letters, which its normaliser and word pattern leave as they are."""
+        from tokenizers import normalizers, pre_tokenizers
+
+        plain = tokenizer_of(path)
+        plain.normalizer = normalizers.Sequence([])
+        plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        return plain
+
+    def _ids(self, text: str, tokenizer=None) -> np.ndarray:
+        return np.array((tokenizer or self.tokenizer).encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+
+    def _learn(self, words: list[bytes], found: dict[bytes, bytes]) -> None:
+        """Encode new words, and enter them in the memo and in the batch's own table."""
+        known = self.memo.current
+        plain, odd, marked = set(), [], []
+        for w in words:
+            if w.isalpha() or LETTERS.fullmatch(w):
+                plain.add(w)
+                continue
+            stem = w.rstrip(MARKS)
+            if len(stem) < len(w) and (stem.isalpha() or LETTERS.fullmatch(stem)):
+                marked.append((w, stem, w[len(stem):]))
+            else:
+                odd.append(w)
+        plain.update(stem for _, stem, _ in marked)
+        odd += {marks for _, _, marks in marked}
+        for batch in by_bytes(list(plain.difference(known)), 64 << 10):
+            ids = self._ids(b" ".join(batch).decode().lower(), self.words)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(batch):
+                self._part(batch, ids, np.append(0, ends[:-1]), ends)
+            else:
+                odd += batch
+        rest = [w for w in odd if w not in known]
+        for batch in by_bytes([w for w in rest if not self.special.search(w)], 64 << 10):
+            ids = self._ids(self.separator.join(w.decode("utf-8", "replace") for w in batch))
             ends = np.append(np.flatnonzero(ids == self.mark), len(ids))
-            starts = np.append(0, ends[:-1] + 1)
-            raw = ids.tobytes()
-            for word, a, z in zip(batch, (4 * starts).tolist(), (4 * ends).tolist(), strict=True):
-                found[word] = raw[a:z]
-        for word in words:
-            if word not in found:
-                ids = self.tokenizer.encode_batch_fast([word.decode("utf-8", "replace")], add_special_tokens=False)[0].ids
-                found[word] = np.array(ids, dtype="<u4").tobytes()
-        return found
+            self._part(batch, ids, np.append(0, ends[:-1] + 1), ends)
+        for w in rest:
+            if w not in known:
+                known[w] = self._ids(w.decode("utf-8", "replace")).tobytes()
+        for w, stem, marks in marked:
+            known[w] = known[stem] + known[marks]
+        found.update(zip(words, map(known.__getitem__, words)))
+
+    def _part(self, words: list[bytes], ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        raw, known = ids.tobytes(), self.memo.current
+        for word, a, z in zip(words, (4 * starts).tolist(), (4 * ends).tolist(), strict=True):
+            known[word] = raw[a:z]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        split = [t.split() for t in texts]
-        memo = self.memo
-        missing = [w for w in set().union(*split) if w not in memo]
-        if missing:
-            new = self._encode(missing)
-            if len(memo) + len(new) <= MEMO_PIECES:
-                memo.update(new)
-            else:
-                memo = {w: ids for words in split for w in words if (ids := memo.get(w)) is not None} | new
-        return [b"".join([memo[w] for w in words]) for words in split]
+        # Special texts are told by case: a text that may hold one is left as it is.
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        found = self.memo.look_up(list(set().union(*split)))
+        new = [w for w, ids in found.items() if ids is None]
+        if new:
+            self._learn(new, found)
+        return [b"".join([found[w] for w in words]) for words in split]
 
 
 #: A blank or line break between characters that are surely no white space: no byte-level BPE rule spans it.
@@ -94,7 +165,7 @@ class PieceLengths:
 
     def __init__(self, path: str, window: int):
         self.tokenizer, self.window = tokenizer_of(path), window
-        self.memo: dict[bytes, int] = {}
+        self.memo = Memo()
         self.line_break = len(self.tokenizer.encode("\n", add_special_tokens=False).ids)
 
     def windows(self, text: bytes):
@@ -131,19 +202,14 @@ class PieceLengths:
 
     def _add(self, group: list[tuple[int, bytes]], totals: list[int]) -> None:
         cut = [(k, *self._pieces(part)) for k, part in group]
-        memo = self.memo
-        missing = [p for p in set().union(*(pieces for _, pieces, _ in cut)) if p not in memo]
-        new: dict[bytes, int] = {}
-        for batch in by_bytes(missing):
+        found = self.memo.look_up(list(set().union(*(pieces for _, pieces, _ in cut))))
+        for batch in by_bytes([p for p, n in found.items() if n is None]):
             encoded = self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in batch], add_special_tokens=False)
-            new.update(zip(batch, map(len, encoded), strict=True))
-        if len(memo) + len(new) <= MEMO_PIECES:
-            memo.update(new)
-            new = memo
-        else:
-            new = {p: n for _, pieces, _ in cut for p in pieces if (n := memo.get(p)) is not None} | new
+            new = dict(zip(batch, map(len, encoded), strict=True))
+            self.memo.current.update(new)
+            found.update(new)
         for k, pieces, breaks in cut:
-            totals[k] += sum([new[p] for p in pieces]) + breaks
+            totals[k] += sum([found[p] for p in pieces]) + breaks
 
 
 def memo_of(kind, *args):

@@ -123,9 +123,9 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, *, separator: str =
 
         for batch in batches:
             bodies = batch.column(1)
-            for k in range(0, batch.num_rows, 256):
-                ids = batch.column(0).slice(k, 256).to_pylist()
-                encoded = words.encode([b or b"" for b in bodies.slice(k, 256).to_pylist()])
+            for k in range(0, batch.num_rows, 1024):
+                ids = batch.column(0).slice(k, 1024).to_pylist()
+                encoded = words.encode([b or b"" for b in bodies.slice(k, 1024).to_pylist()])
                 for doc, raw in zip(ids, encoded, strict=True):
                     if writer is None:
                         writer = FileWriter(task_file(folder, len(listed), ".s8b"))

@@ -14,7 +14,7 @@ from payloom.llm.token_files import read_token_files, write_token_files
 
 WORDS, BYTES = (public_tokenizers.path(f) for f in ("word_bpe_49k.json", "byte_bpe_50k.json"))
 ODD = ["", " ", "a  b", "<|endoftext|>x foo<|endoftext|>bar", "<|startoftext|>", "\u0301a b", "x y\u3000z", "don't can 't", "a\nb\n\nc \n d", "é b", "\x1c a\x1fb",
-       "\x85 x\u00a0 y", "\u00a0\u00a0z", "123 4567", "Ǆ İ ΑΣ", "a\r\nb\tc\x0bd", "😀😀 🤝", "\x00 \x00"]
+       "<|ENDOFTEXT|> A. <|endoftext|>.", "é. é, e\u0301. ×. ÷! ñ?! ß; foo.’ it's. A.B.", "\x85 x\u00a0 y", "\u00a0\u00a0z", "123 4567", "Ǆ İ ΑΣ", "a\r\nb\tc\x0bd", "😀😀 🤝", "\x00 \x00"]
 text = st.text(alphabet=st.sampled_from(list("ab Z'\n\t é\u00a0\u2003.,19<|>\u0301😀")) | st.characters(codec="utf-8"), max_size=60)
 
 
