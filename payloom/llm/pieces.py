@@ -12,7 +12,7 @@ import re
 
 import numpy as np
 
-MEMO_PIECES = 300_000
+MEMO_PIECES = 500_000
 BATCH_BYTES = 256 << 10
 _MEMOS: dict[tuple, object] = {}
 
@@ -29,17 +29,21 @@ class Memo:
         self.current: dict[bytes, object] = {}
         self.previous: dict[bytes, object] = {}
 
-    def look_up(self, pieces: list[bytes]) -> dict[bytes, object]:
-        """Each piece with what is known of it, or None. A batch has its own small table: that is where its texts look."""
+    def values(self, texts: list[list[bytes]], learn) -> list[list]:
+        """What is known of each piece of each text; ``learn`` enters all that is new in the batch at once."""
         if len(self.current) >= MEMO_PIECES:
             self.previous, self.current = self.current, {}
-        found = dict(zip(pieces, map(self.current.get, pieces)))
-        if self.previous:
-            new = [p for p, known in found.items() if known is None]
-            for p, known in zip(new, map(self.previous.get, new)):
-                if known is not None:
-                    found[p] = self.current[p] = known
-        return found
+        known, previous = self.current, self.previous
+        rows = [list(map(known.get, pieces)) for pieces in texts]
+        holes = [(row, pieces, [k for k, v in enumerate(row) if v is None]) for row, pieces in zip(rows, texts, strict=True) if None in row]
+        new = {pieces[k] for _, pieces, places in holes for k in places}
+        back = {p: v for p in new if (v := previous.get(p)) is not None}
+        known.update(back)
+        learn(list(new.difference(back)))
+        for row, pieces, places in holes:
+            for k in places:
+                row[k] = known[pieces[k]]
+        return rows
 
 
 def tokenizer_of(path: str):
@@ -103,8 +107,8 @@ class WordIds:
     def _ids(self, text: str, tokenizer=None) -> np.ndarray:
         return np.array((tokenizer or self.tokenizer).encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
-    def _learn(self, words: list[bytes], found: dict[bytes, bytes]) -> None:
-        """Encode new words, and enter them in the memo and in the batch's own table."""
+    def _learn(self, words: list[bytes]) -> None:
+        """Encode new words and enter them in the memo."""
         known = self.memo.current
         plain, odd, marked = set(), [], []
         for w in words:
@@ -135,7 +139,6 @@ class WordIds:
                 known[w] = self._ids(w.decode("utf-8", "replace")).tobytes()
         for w, stem, marks in marked:
             known[w] = known[stem] + known[marks]
-        found.update(zip(words, map(known.__getitem__, words)))
 
     def _part(self, words: list[bytes], ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         raw, known = ids.tobytes(), self.memo.current
@@ -146,11 +149,7 @@ class WordIds:
         """Ids of each text as little-endian 32-bit integers."""
         # Special texts are told by case: a text that may hold one is left as it is.
         split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        found = self.memo.look_up(list(set().union(*split)))
-        new = [w for w, ids in found.items() if ids is None]
-        if new:
-            self._learn(new, found)
-        return [b"".join([found[w] for w in words]) for words in split]
+        return [b"".join(ids) for ids in self.memo.values(split, self._learn)]
 
 
 #: A blank or line break between characters that are surely no white space: no byte-level BPE rule spans it.
@@ -202,14 +201,14 @@ class PieceLengths:
 
     def _add(self, group: list[tuple[int, bytes]], totals: list[int]) -> None:
         cut = [(k, *self._pieces(part)) for k, part in group]
-        found = self.memo.look_up(list(set().union(*(pieces for _, pieces, _ in cut))))
-        for batch in by_bytes([p for p, n in found.items() if n is None]):
+        counts = self.memo.values([pieces for _, pieces, _ in cut], self._learn)
+        for (k, _, breaks), own in zip(cut, counts, strict=True):
+            totals[k] += sum(own) + breaks
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        for batch in by_bytes(pieces):
             encoded = self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in batch], add_special_tokens=False)
-            new = dict(zip(batch, map(len, encoded), strict=True))
-            self.memo.current.update(new)
-            found.update(new)
-        for k, pieces, breaks in cut:
-            totals[k] += sum([found[p] for p in pieces]) + breaks
+            self.memo.current.update(zip(batch, map(len, encoded), strict=True))
 
 
 def memo_of(kind, *args):
