@@ -12,6 +12,8 @@ import os
 import sys
 import tempfile
 import time
+from collections import Counter, defaultdict
+from pathlib import Path
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -34,6 +36,25 @@ FEEDS = {
 }
 
 
+def logged(folder: str) -> tuple[dict[str, int], dict[str, float]]:
+    """Jobs and shuffled MB by job group, from an event log."""
+    jobs: Counter = Counter()
+    shuffled: dict[str, float] = defaultdict(float)
+    group_of: dict[int, str] = {}
+    for path in Path(folder).iterdir():
+        for line in path.open(errors="replace"):
+            if "SparkListenerJobStart" not in line and "SparkListenerTaskEnd" not in line:
+                continue
+            e = json.loads(line)
+            if e["Event"] == "SparkListenerJobStart" and (group := e.get("Properties", {}).get("spark.jobGroup.id")):
+                jobs[group] += 1
+                group_of.update(dict.fromkeys(e["Stage IDs"], group))
+            elif e["Event"] == "SparkListenerTaskEnd" and e["Stage ID"] in group_of:
+                written = (e.get("Task Metrics") or {}).get("Shuffle Write Metrics", {}).get("Shuffle Bytes Written", 0)
+                shuffled[group_of[e["Stage ID"]]] += written / 1e6
+    return dict(jobs), {k: round(v, 1) for k, v in shuffled.items()}
+
+
 def finish(df: DataFrame) -> None:
     """Compute every row; nothing is sent to the driver."""
     df.write.format("noop").mode("overwrite").save()
@@ -42,16 +63,19 @@ def finish(df: DataFrame) -> None:
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    scratch = tempfile.mkdtemp(prefix="payloom-bench-")
+    os.mkdir(f"{scratch}/events")
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").appName("payloom-bench")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "12g"))
+        .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", f"file://{scratch}/events")
+        .config("spark.eventLog.compress", "false").config("spark.eventLog.rolling.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    scratch = tempfile.mkdtemp(prefix="payloom-bench-")
     for name in ("orders", "lineitem"):
         spark.read.parquet(f"{sf}/{name}.parquet").repartition(cpus).write.parquet(f"{scratch}/{name}.parquet")
     stored = {}
@@ -62,6 +86,7 @@ def main() -> None:
     times: dict[str, float] = {}
 
     def timed(name: str, work) -> object:
+        spark.sparkContext.setJobGroup(name, name)
         start = time.perf_counter()
         result = work()
         times[name] = round(time.perf_counter() - start, 3)
@@ -76,11 +101,12 @@ def main() -> None:
     for feed in FEEDS:
         pipe = pipeline(feed)
         shapes = timed(f"{feed}_shapes", lambda: plan_shapes(pipe, stored[feed]))
-        tables = pipeline_tables(pipe, stored[feed], shapes)
+        tables = pipeline_tables(pipe, stored[feed], shapes, spread=pipe.spread)
         timed(f"{feed}_{len(tables)}_tables", lambda: [finish(df) for df in tables.values()])
     spark.stop()
+    jobs, shuffled = logged(f"{scratch}/events")
     print(json.dumps({"metric": "total time", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": os.path.basename(sf.rstrip("/"))}))
+                      "queries": times, "sf": os.path.basename(sf.rstrip("/")), "jobs": jobs, "shuffle_mb": shuffled}))
 
 
 if __name__ == "__main__":

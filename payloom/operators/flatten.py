@@ -47,20 +47,23 @@ class TreePlan:
     unused: tuple[str, ...] = ()
 
 
-def discover(df: DataFrame, trees: tuple[AutoTree, ...], prefix: str, strict: bool = False) -> TreePlan:
+def open_trees(df: DataFrame, trees: tuple[AutoTree, ...]) -> list:
+    """What ``infer_nodes`` has to look up first to discover trees."""
+    sources = [("payload", "payload"), *([("l0", "l0payload")] if "l0payload" in df.columns else [])]
+    return [((kind, i), Root(element=t.element, source=column), (), ()) for kind, column in sources for i, t in enumerate(trees)]
+
+
+def discover(df: DataFrame, trees: tuple[AutoTree, ...], prefix: str, strict: bool = False, types: dict | None = None) -> TreePlan:
     """Find every table of the given elements.
 
     One inference job serves all elements; each further job resolves, together,
     all forced fields of one depth whose shape was still mixed. ``strict``
     makes option names that match nothing an error; else the plan reports them,
-    as a window of a feed may lack a field that others have.
+    as a window of a feed may lack a field that others have. ``types``: what was
+    inferred for ``open_trees`` already.
     """
     roots = [Root(element=t.element) for t in trees]
-    l0 = [Root(element=t.element, source="l0payload") for t in trees]
-    has_l0 = "l0payload" in df.columns
-    wanted = [(("payload", i), r, (), ()) for i, r in enumerate(roots)]
-    wanted += [(("l0", i), r, (), ()) for i, r in enumerate(l0) if has_l0]
-    types = infer_nodes(df, wanted)
+    types = infer_nodes(df, open_trees(df, trees)) if types is None else types
 
     dropped: list[str] = []
     mixed: list[str] = []

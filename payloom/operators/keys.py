@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 RANK = "__rank"
 
 
-def _row_hash(df: DataFrame, skip: Sequence[str]) -> Column:
+def row_hash(df: DataFrame, skip: Sequence[str]) -> Column:
     """Last resort for ties that does not depend on row order: a hash of the row."""
     cols = []
     for f in df.schema.fields:
@@ -45,14 +45,14 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] = (
     cols = [F.col(c).desc_nulls_last() if isinstance(c, str) else c for c in order]
     ties = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in tiebreak
             if not isinstance(c, str) or c in df.columns]
-    return _pick(df, keys, [*cols, *ties, _row_hash(df, keys)])
+    return _pick(df, keys, [*cols, *ties, row_hash(df, keys)])
 
 
 def first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] = ("ingested_at", "ingested_from")) -> DataFrame:
     """Earliest row per key."""
     _require(df, keys)
     cols = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
-    return _pick(df, keys, [*cols, _row_hash(df, keys)])
+    return _pick(df, keys, [*cols, row_hash(df, keys)])
 
 
 def distinct_on(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from payloom.operators.keys import first, latest, quote
+from payloom.operators.keys import latest, quote, row_hash
 
 AUDIT = ("_source_table", "_loaded_at", "_updated_at")
 
@@ -59,37 +59,35 @@ def scd2(df: DataFrame, keys: Sequence[str], tracked: Sequence[str], ts: str, or
     chunk of time); only the state at both ends of each chunk is compared
     across chunks. A key with very many rows is spread over its chunks.
     """
-    rows = first(df.filter(F.col(quote(ts)).isNotNull()), [*keys, ts], order)
+    # One shuffle of the rows: by (key, chunk). Equal times, changes and the ends of a chunk are all found there,
+    # and the few rows that go across chunks come back by the same key. A struct is never NULL, so missing key
+    # parts are compared like values.
+    rows = df.filter(F.col(quote(ts)).isNotNull()).withColumns({
+        "__k": F.struct(*[F.col(quote(k)) for k in keys]), "__chunk": F.date_trunc(chunk, F.col(quote(ts))), "__hash": row_hash(df, (*keys, ts))})
+    by_time = Window.partitionBy("__k", "__chunk").orderBy(
+        F.col(quote(ts)), *[F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order], "__hash")
+    rows = rows.withColumn("__same", F.lag(F.col(quote(ts))).over(by_time)).filter(F.col("__same").isNull() | (F.col("__same") < F.col(quote(ts))))
     state = F.struct(*[F.col(quote(c)) for c in tracked])
-    rows = rows.select(*[F.col(quote(k)) for k in keys], F.col(quote(ts)).alias("__at"),
-                       state.alias("__state"), *[F.col(quote(c)) for c in carry],
-                       F.date_trunc(chunk, F.col(quote(ts))).alias("__chunk"))
-    in_chunk = Window.partitionBy(*keys, "__chunk").orderBy("__at")
+    rows = rows.select("__k", "__chunk", F.col(quote(ts)).alias("__at"), state.alias("__state"), *[F.col(quote(c)) for c in carry])
+    in_chunk = Window.partitionBy("__k", "__chunk").orderBy("__at")
     steps = rows.withColumns({
         "__n": F.row_number().over(in_chunk), "__prev": F.lag("__state").over(in_chunk)
     }).filter((F.col("__n") == 1) | ~F.col("__state").eqNullSafe(F.col("__prev"))).withColumn(
         "__next", F.lead("__at").over(in_chunk)).drop("__prev")
 
     # One row per key and chunk: what it starts with, its first inner change, what it ends with.
-    ends = steps.groupBy(*keys, "__chunk").agg(
+    ends = steps.groupBy("__k", "__chunk").agg(
         F.min("__at").alias("__first"), F.min_by("__state", "__at").alias("__start"),
         F.min(F.when(F.col("__n") > 1, F.col("__at"))).alias("__second"), F.max_by("__state", "__at").alias("__end"))
-    by_chunk = Window.partitionBy(*keys).orderBy("__chunk")
+    by_chunk = Window.partitionBy("__k").orderBy("__chunk")
     ends = ends.withColumn("__before", F.lag(F.struct("__end")).over(by_chunk))
     opens = F.col("__before").isNull() | ~F.col("__start").eqNullSafe(F.col("__before.__end"))
     ends = ends.withColumns({
         "__opens": opens, "__change": F.when(opens, F.col("__first")).otherwise(F.col("__second"))
     }).withColumn("__later", F.min("__change").over(by_chunk.rowsBetween(1, Window.unboundedFollowing)))
-    ends = ends.select(*[F.col(quote(k)).alias(f"__k_{k}") for k in keys], F.col("__chunk").alias("__c"),
-                       "__opens", "__later")
-
-    on = [F.col(quote(k)).eqNullSafe(F.col(quote(f"__k_{k}"))) for k in keys]
-    cond = F.col("__chunk") == F.col("__c")
-    for c in on:
-        cond = cond & c
-    kept = steps.join(ends, cond).filter((F.col("__n") > 1) | F.col("__opens"))
+    kept = steps.join(ends.select("__k", "__chunk", "__opens", "__later"), ["__k", "__chunk"]).filter((F.col("__n") > 1) | F.col("__opens"))
     out = kept.select(
-        *[F.col(quote(k)) for k in keys], *[F.col("__state").getField(c).alias(c) for c in tracked],
+        *[F.col("__k").getField(k).alias(k) for k in keys], *[F.col("__state").getField(c).alias(c) for c in tracked],
         *[F.col(quote(c)) for c in carry], F.col("__at").alias("valid_from"),
         F.coalesce("__next", "__later").alias("valid_to"))
     out = out.withColumn("is_current", F.col("valid_to").isNull())

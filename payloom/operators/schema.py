@@ -163,12 +163,8 @@ def opened_fields(node: Node, below: tuple[str, ...] = ()) -> set[str]:
     return {p[n] for p in paths if len(p) > n and p[:n] == below}
 
 
-def resolve(df: DataFrame, roots: tuple[Root, ...], text: bool = True,
-            raw_names: bool = False) -> tuple[Root, ...]:
-    """The same trees with every "*" replaced by the fields that the data has.
-
-    One inference job for all nodes together, none if everything is declared.
-    """
+def open_nodes(roots: tuple[Root, ...]) -> list:
+    """What ``infer_nodes`` has to look up for the "*" of declared trees."""
     wanted: list = []
 
     def ask(root: Root, node: Node, chain: tuple[Node, ...], key: NodeKey) -> None:
@@ -182,7 +178,17 @@ def resolve(df: DataFrame, roots: tuple[Root, ...], text: bool = True,
 
     for i, root in enumerate(roots):
         ask(root, root, (), (i,))
-    types = infer_nodes(df, wanted)
+    return wanted
+
+
+def resolve(df: DataFrame, roots: tuple[Root, ...], text: bool = True,
+            raw_names: bool = False, types: dict | None = None) -> tuple[Root, ...]:
+    """The same trees with every "*" replaced by the fields that the data has.
+
+    One inference job for all nodes together, none if everything is declared or
+    ``types`` holds what was inferred for ``open_nodes`` already.
+    """
+    types = infer_nodes(df, open_nodes(roots)) if types is None else types
 
     def fill(node: Node, key: NodeKey) -> Node:
         changes: dict = {}

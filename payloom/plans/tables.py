@@ -7,8 +7,8 @@ from collections.abc import Collection
 from pyspark.sql import DataFrame
 
 from payloom.operators.entities import build_tables, context_columns, only_tables
-from payloom.operators.flatten import TreePlan, discover, flatten
-from payloom.operators.schema import resolve
+from payloom.operators.flatten import TreePlan, discover, flatten, open_trees
+from payloom.operators.schema import infer_nodes, open_nodes, resolve
 from payloom.plans.spec import Node, Pipeline, Root
 
 
@@ -20,13 +20,15 @@ Shapes = tuple[TreePlan | None, tuple[Root, ...]]
 
 
 def plan_shapes(pipe: Pipeline, bronze: DataFrame, only: Collection[str] | None = None) -> Shapes:
-    """Shapes of a pipeline's data: at most one job for the discovered trees (and one
-    per depth of mixed fields) and one for the declared ones. Keep it to run again."""
+    """Shapes of a pipeline's data: one job for all trees, discovered and declared, and one more
+    per depth at which forced fields of discovered trees are mixed. Keep it to run again."""
     roots = pipe.roots if only is None else only_tables(pipe.roots, _needed(pipe, only))
-    declared = {t for r in roots for t in _tables_of(r)}
+    declared = {t for r in pipe.roots for t in _tables_of(r)}
     discovered = pipe.auto and (only is None or not set(only) <= declared)
-    tree = discover(bronze, pipe.auto, "") if discovered else None
-    return tree, resolve(bronze, roots, pipe.text, pipe.raw_names)
+    wanted = [*(open_trees(bronze, pipe.auto) if discovered else ()), *open_nodes(roots)]
+    types = infer_nodes(bronze, wanted)
+    tree = discover(bronze, pipe.auto, "", types=types) if discovered else None
+    return tree, resolve(bronze, roots, pipe.text, pipe.raw_names, types)
 
 
 def _tables_of(node: Node) -> list[str]:

@@ -251,7 +251,7 @@ SELECT '$.lineItems.lineItem' AS path, count(*) AS n_rows FROM orders WHERE o_or
 SELECT '$.lineItems.lineItem[].subs.sub', sum(o_orderkey % 4) FROM orders WHERE o_orderkey % 4 > 1""")
 def discovered_tables(spark, sf):
     df = table(spark, sf, "orders").select(variant(ORDER).alias("payload"))
-    found = profile_paths(df, "payload", max_depth=6).filter(F.col("kind") == "array")
+    found = profile_paths(df, "payload").filter(F.col("kind") == "array")
     return found.select("path", "n_rows")
 
 

@@ -11,11 +11,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def oracle(sf: str):
-    try:
-        import duckdb
-    except ImportError:
-        sys.path.insert(0, "/opt/oracle")
-        import duckdb
+    import duckdb
+
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")

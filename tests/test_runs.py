@@ -275,3 +275,22 @@ def test_xy_events_are_made_distinct_without_a_shuffle_of_events(bronze):
     assert out.count() == 1
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and plan.index("Generate") < plan.index("Exchange hashpartitioning")
+
+
+def test_shapes_of_all_trees_take_one_job(spark, bronze):
+    df = bronze([("teams", '{"teamsMatch":[{"teamId":"1","teamCoach":{"coachId":"2"}}]}', '{"gameId":"9"}', "match_stats_1_2024"),
+                 ("gameInfo", '{"city":"x"}', '{"gameId":"9"}', "match_stats_1_2024")])
+    spark.sparkContext.setJobGroup("shapes", "shapes")
+    plan_shapes(pipeline("matchdata"), df)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # Adaptive execution runs the map side of the aggregate as a job of its own.
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("shapes")) <= 2
+
+
+def test_scd2_shuffles_rows_once(spark, sf):
+    from payloom.operators.scd import scd2
+
+    df = spark.read.parquet(f"{sf}/orders.parquet").selectExpr("o_custkey", "o_orderstatus", "o_totalprice AS price", "o_orderdate")
+    plan = scd2(df, ["o_custkey"], ["o_orderstatus"], "o_orderdate", carry=("price",))._jdf.queryExecution().executedPlan().toString()
+    wide = [x for x in plan.splitlines() if "Exchange hashpartitioning(__k" in x and "__chunk" in x]
+    assert len(wide) <= 3
