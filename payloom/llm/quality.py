@@ -79,15 +79,17 @@ def fit_ratios(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", te
                smoothing: float = 1.0, max_trusted: int = 200_000) -> Ratios:
     """Multinomials over hashed n-grams: of the whole raw corpus, and of its documents that labels trust.
 
-    Trusted are documents with quality 1 that aren't toxic. At most
+    Trusted are documents with quality 1 that aren't toxic. About
     `max_trusted` labelled ids are used, the first by a hash, so that the
     ids that tasks get are bounded; raw counts always cover every text.
     Each task sums counts before the shuffle, and only a row per bucket
     reaches the driver.
     """
     spark = docs.sparkSession
-    trusted = (labels.filter("quality = 1 AND coalesce(toxic, 0) = 0 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"))
-               .distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_trusted))
+    trusted = labels.filter("quality = 1 AND coalesce(toxic, 0) = 0 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    labelled = trusted.count()
+    if labelled > max_trusted:
+        trusted = trusted.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) < int(max_trusted / labelled * (1 << 32)))
     ids = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in trusted.toLocalIterator()], np.int64)))
     size = 1 << bits
     schema = pa.schema([("bucket", pa.int32()), ("raw", pa.int64()), ("target", pa.int64())])

@@ -57,6 +57,12 @@ def test_labelled_documents_part(spark, size):
     assert all(good) and not any(bad)
 
 
+def test_bounded_sample_of_labels(spark, sf):
+    df, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    few, again = (fit_ratios(df, labels, max_trusted=20).log_ratio for _ in range(2))
+    assert (few == again).all() and few.any() and (few != fit_ratios(df, labels).log_ratio).any()
+
+
 def test_edge_cases(spark, docs):
     words = " ".join(f"w{i}" for i in range(60))
     rows = [(1, None), (2, ""), (3, " \n\n "), (4, "ab"), (5, words), (5, words), (None, words + "\n" + words), (6, "x " * 100000), (7, "é\u00a0ü " * 60),
