@@ -87,10 +87,29 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent_words(counts: DataFrame) -> DataFrame:
+    """The words from some count on, of which there are TOP_WORDS at most.
+
+    The count is found from the numbers of words by magnitude, so no task
+    sorts or gathers what all partitions have.
+    """
+    magnitude = F.floor(F.log2("n") * 16)
+    sizes = sorted(counts.groupBy(magnitude.alias("m")).count().collect(), key=lambda r: -r["m"])  # 1,024 rows at most
+    least, held = None, 0
+    for r in sizes:
+        held += r["count"]
+        if held > TOP_WORDS:
+            break
+        least = r["m"]
+    return counts.filter(magnitude >= least) if least is not None else counts.limit(0)
+
+
 def vocabulary(counts: DataFrame, texts: int) -> Vocabulary:
-    """What tasks need to know of the counts: TOP_WORDS frequent words and a number per class, whatever the size of the corpus."""
-    top = counts.orderBy(F.desc("n"), "word").limit(TOP_WORDS).toArrow()
+    """What tasks need to know of the counts: at most TOP_WORDS frequent words and a number per class, whatever the size of the corpus."""
+    top = frequent_words(counts).toArrow()
     word, n = top.column("word").to_numpy(), top.column("n").to_numpy()
+    order = np.lexsort((word, -n))
+    word, n = word[order], n[order]
     rows = counts.groupBy(F.pmod("word", F.lit(SHARED_CLASSES)).alias("c")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
     total, distinct = np.zeros(SHARED_CLASSES), np.zeros(SHARED_CLASSES)
     for r in rows:
