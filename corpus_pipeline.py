@@ -27,7 +27,7 @@ ORACLE_SQL = None
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     ship_package(spark)
-    ratios = fit_ratios(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    ratios = fit_ratios(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), language="lang", distinct=True)
     name = fresh_name(docs, "quality")
     return judge_quality(docs, ratios, name=name).filter(f"{name}.kept").select(*docs.columns)
 

@@ -107,8 +107,8 @@ def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("op7_quality")
 def op7_quality(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", "text")
-    return judge_quality(docs, fit_ratios(docs, table(spark, sf, "labels"))).select("doc_id", "quality.*")
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    return judge_quality(docs, fit_ratios(docs, table(spark, sf, "labels"), language="lang", distinct=True)).select("doc_id", "quality.*")
 
 
 @query("op8_url_templates")

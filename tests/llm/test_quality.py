@@ -76,3 +76,34 @@ def test_edge_cases(spark, docs):
     assert judged(docs([]), fit_ratios(docs([]), labels)) == []
     nothing = fit_ratios(docs(rows), labels.limit(0))
     assert not nothing.log_ratio.any()
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    sf = "/root/testdata/sf0.01"
+    return spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang"), spark.read.parquet(f"{sf}/labels.parquet")
+
+
+def test_copies_of_a_clean_text_stay(spark, labelled):
+    """A third of the rows are copies of one text, unlabelled; it is judged as without them."""
+    df, labels = labelled
+    options = {"language": "lang", "distinct": True}
+    alone = fit_ratios(df, labels, **options)
+    longest = [r for r in judge_quality(df, alone).filter("quality.kept AND quality.score >= -0.1").orderBy("quality.n_words", "doc_id").collect()][::150]
+    for r in longest:
+        copies = spark.range(10**6, 10**6 + 500).selectExpr("id AS doc_id").crossJoin(spark.createDataFrame([(r.text, r.lang)], "text string, lang string"))
+        ratios = fit_ratios(df.union(copies), labels, **options)
+        assert np.allclose(ratios.log_ratio, alone.log_ratio)
+        assert all(q[7] for _, _, q in judged(copies, ratios))
+
+
+@pytest.mark.parametrize("lang", ["en", "de", "fr", "es"])
+def test_language_without_trusted_texts(labelled, lang):
+    """Its clean texts stay, and junk that other languages show too goes."""
+    df, labels = labelled
+    known = df.filter(f"lang <> '{lang}'").select("doc_id")
+    kept = {d: q[7] for d, _, q in judged(df, fit_ratios(df, labels.join(known, "doc_id", "left_semi"), language="lang", distinct=True)) if not q[5]}
+    own = {r.doc_id: r.quality for r in labels.join(df.filter(f"lang = '{lang}'"), "doc_id", "left_semi").collect() if r.doc_id in kept}
+    print(lang, sum(kept[d] for d in own if own[d]), sum(own.values()), sum(kept[d] for d in own if not own[d]), len(own) - sum(own.values()))
+    assert all(kept[d] for d in own if own[d])
+    assert not any(kept[d] for d in own if not own[d])
