@@ -27,15 +27,13 @@ class UrlRule(NamedTuple):
 class Tree(NamedTuple):
     """Parameters of the template tree.
 
-    levels: path segments that get a node of their own; what follows is one
-    more, by its shape. A segment is variable where a node has at least
+    A segment is variable where a node has at least
     `children` of them with no more than `pages` pages each on average.
     similar: z value under which a branch's labelled share is not told apart
     from that of its like siblings. A template is rejected where (blocked +
     weight * prior) / (labelled + weight) reaches `purity`.
     """
 
-    levels: int = 3
     children: int = 16
     pages: float = 2.0
     similar: float = 1.96
@@ -66,6 +64,15 @@ def _shape(path: Column) -> Column:
     return F.regexp_replace(hexed, r"[0-9]+", "{n}")
 
 
+def _open_depth(leaves: DataFrame, least: int) -> int | None:
+    """The first depth from `least` on at which a node has two children: others can't change, however long their paths are."""
+    at = F.explode(F.sequence(F.lit(least), F.size("segments") - 1))
+    places = leaves.filter(F.size("segments") > least).select("host", "segments", at.alias("depth"))
+    nodes = places.groupBy("host", "depth", F.xxhash64(F.slice("segments", F.lit(1), F.col("depth"))).alias("parent")).agg(
+        F.min(F.get("segments", F.col("depth"))).alias("low"), F.max(F.get("segments", F.col("depth"))).alias("high"))
+    return nodes.filter("low <> high").agg(F.min("depth")).first()[0]
+
+
 def _level(leaves: DataFrame, depth: int, tree: Tree) -> DataFrame:
     """Leaves with the segment at this depth generalised, where its node asks for it."""
     node = ["host", "parent"]
@@ -119,12 +126,11 @@ def judge_urls(pages: DataFrame, rules: list[UrlRule], tree: Tree = Tree(), *, p
 
     leaves = rows.groupBy("host", "shape").agg(F.count("*").alias("n"), F.count("label").alias("labelled"), F.coalesce(F.sum("label"), F.lit(0)).alias("blocked"))
     parts = F.split(F.regexp_replace("shape", "^/", ""), "/")
-    head = F.slice(parts, 1, tree.levels)
-    rest = F.array_join(F.slice(parts, tree.levels + 1, 1 << 20), "/")
-    leaves = leaves.withColumn("segments", F.when(F.size(parts) > tree.levels, F.concat(head, F.array(rest))).otherwise(head))
-    leaves = written(leaves, "url-leaves")
-    for depth in range(tree.levels + 1):
+    leaves = written(leaves.withColumn("segments", parts), "url-leaves")
+    depth = _open_depth(leaves, 0)
+    while depth is not None:
         leaves = written(_level(leaves, depth, tree), "url-tree")
+        depth = _open_depth(leaves, depth + 1)
     totals = leaves.agg(F.sum("labelled"), F.sum("blocked")).first()
     prior = (totals[1] or 0) / totals[0] if totals[0] else 0.0
 

@@ -57,3 +57,19 @@ def test_like_branches_merge(spark):
     assert [r.template for r in out] == ["*/{n}"]
     verdicts = {r.path.split("/")[1]: r.verdict for r in judge_urls(df, [], Tree(), blocked="bad").collect()}
     assert verdicts == {"red": "block", "blue": "block", "green": "allow"}
+
+
+def slug(i):
+    """A word of letters: no digits that count as wildcards."""
+    return "s" + "".join(chr(103 + i // 17 ** k % 17) for k in range(3))
+
+
+def test_deep_paths(spark):
+    """Spam and clean branches below the fourth segment part, and a path of very many segments costs no rounds."""
+    rows = [(f"http://d.org/a/b/c/{b}/{slug(i)}/{slug(i * 7)}", int(b == "spam")) for b in ("spam", "clean") for i in range(100)] + [("http://d.org/" + "x/" * 500, None)]
+    df = spark.createDataFrame([(k, u, b) for k, (u, b) in enumerate(rows)], "page_id long, url string, bad int")
+    out = judge_urls(df, [], blocked="bad").collect()
+    assert len(out) == len(rows)
+    for r in out:
+        assert r.verdict == ("block" if "/spam/" in r.path else "allow"), r.path
+    assert {r.template for r in out if "/spam/" in r.path} == {"a/b/c/spam/*/*"}
