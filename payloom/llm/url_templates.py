@@ -29,8 +29,8 @@ class Tree(NamedTuple):
 
     A segment is variable where a node has at least
     `children` of them with no more than `pages` pages each on average.
-    similar: z value under which a branch's labelled share is not told apart
-    from that of its like siblings. A template is rejected where (blocked +
+    similar: z value under which a branch's labelled share, and what lies below
+    it, is not told apart from that of its like siblings. A template is rejected where (blocked +
     weight * prior) / (labelled + weight) reaches `purity`.
     """
 
@@ -64,33 +64,52 @@ def _shape(path: Column) -> Column:
     return F.regexp_replace(hexed, r"[0-9]+", "{n}")
 
 
-def _open_depth(leaves: DataFrame, least: int) -> int | None:
-    """The first depth from `least` on at which a node has two children: others can't change, however long their paths are."""
-    at = F.explode(F.sequence(F.lit(least), F.size("segments") - 1))
-    places = leaves.filter(F.size("segments") > least).select("host", "segments", at.alias("depth"))
+def _open_depth(leaves: DataFrame, least: int = 0, below: int | None = None) -> int | None:
+    """The first depth from `least` on, or the last one under `below`, at which a node has two children: others can't change, however long their paths are."""
+    last = F.size("segments") - 1
+    at = F.explode(F.sequence(F.lit(least), last if below is None else F.least(last, F.lit(below - 1))))
+    places = leaves.filter((last >= least) & F.lit(below is None or below > least)).select("host", "segments", at.alias("depth"))
     nodes = places.groupBy("host", "depth", F.xxhash64(F.slice("segments", F.lit(1), F.col("depth"))).alias("parent")).agg(
         F.min(F.get("segments", F.col("depth"))).alias("low"), F.max(F.get("segments", F.col("depth"))).alias("high"))
-    return nodes.filter("low <> high").agg(F.min("depth")).first()[0]
+    return nodes.filter("low <> high").agg((F.min if below is None else F.max)("depth")).first()[0]
 
 
 def _level(leaves: DataFrame, depth: int, tree: Tree) -> DataFrame:
     """Leaves with the segment at this depth generalised, where its node asks for it."""
     node = ["host", "parent"]
+    tail = F.when(F.size("segments") > depth + 1, F.concat(F.lit("/"), F.array_join(F.slice("segments", depth + 2, 1 << 20), "/"))).otherwise("")
     rows = leaves.withColumn("parent", F.array_join(F.slice("segments", 1, depth), "/")).withColumn("segment", F.get("segments", F.lit(depth)))
-    tail = F.when(F.size("segments") > depth + 1, F.array_join(F.slice("segments", depth + 2, 1 << 20), "/"))
-    branches = rows.filter("segment IS NOT NULL").withColumn("tail", tail).groupBy(*node, "segment").agg(
-        F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"),
-        F.struct(F.min("tail"), F.max("tail")).alias("like"))
+    kinds = rows.filter("segment IS NOT NULL").groupBy(*node, "segment", tail.alias("tail")).agg(*(F.sum(c).alias(c) for c in ("n", "labelled", "blocked")))
+    branches = kinds.groupBy(*node, "segment").agg(
+        F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"), F.max(F.struct("n", "tail"))["tail"].alias("mode"))
     nodes = branches.groupBy(*node).agg(F.count("*").alias("children"), F.sum("n").alias("node_n"))
-    like = branches.filter("labelled > 0").groupBy(*node, "like").agg(
-        F.count("*").alias("like_branches"), F.sum("labelled").alias("like_labelled"), F.sum("blocked").alias("like_blocked"))
-    share, pooled = F.col("blocked") / F.col("labelled"), F.col("like_blocked") / F.col("like_labelled")
-    error = F.sqrt(pooled * (1 - pooled) / F.col("labelled"))
+
+    # Branches with the same most frequent tail; of these, the ones whose pages are over all tails as in the group.
+    group = [*node, "mode"]
+    tails = kinds.join(branches.select(*node, "segment", "mode", F.col("n").alias("branch_n")), [*node, "segment"])
+    pooled = tails.groupBy(*group, "tail").agg(F.sum("n").alias("tail_n"))
+    pool = pooled.groupBy(*group).agg(F.sum("tail_n").alias("pool_n"), (F.count("*") - 1).alias("free"))
+    seen = tails.join(pooled, [*group, "tail"]).groupBy(*node, "segment").agg(F.sum(F.col("n") * F.col("n") / F.col("tail_n")).alias("squares"))
+    distance = F.col("squares") * F.col("pool_n") / F.col("n") - F.col("n")  # chi square
+    alike = branches.join(pool, group).join(seen, [*node, "segment"]).filter(distance <= F.col("free") + tree.similar * F.sqrt(2 * F.col("free")) + 1e-6)
+    alike = alike.filter("labelled > 0 OR mode <> ''").select(*group, "segment", "labelled", "blocked")
+
+    # Then those whose labelled share doesn't differ: from the whole group's, or from that of all above or below it.
+    def fits(df: DataFrame, keys: list[str]) -> tuple[DataFrame, Column]:
+        sums = df.groupBy(*keys).agg(F.sum("labelled").alias("of"), F.sum("blocked").alias("bad"), F.count_if(F.col("labelled") > 0).alias("like"))
+        mean = F.col("bad") / F.col("of")
+        apart = F.col("blocked") / F.col("labelled") - mean
+        return df.join(sums, keys), F.when(F.abs(apart) > tree.similar * F.sqrt(mean * (1 - mean) / F.col("labelled")), F.signum(apart)).otherwise(0).cast("int")
+
+    whole, side = fits(alike.withColumn("labelled", F.nullif("labelled", F.lit(0))), group)
+    sided, off = fits(whole.withColumn("side", side).drop("of", "bad", "like"), [*group, "side"])
+    mark = F.when(F.col("side") > 0, "*+").when(F.col("side") < 0, "*-").otherwise("*")
+    merged = sided.filter((off == 0) & (F.col("like") > 1)).select(*node, "segment", mark.alias("mark"))
+
     variable = (F.col("children") >= tree.children) & (F.col("node_n") <= tree.pages * F.col("children"))
-    merged = (F.col("labelled") > 0) & (F.col("like_branches") > 1) & (F.abs(share - pooled) <= tree.similar * error)
-    joined = branches.join(nodes, node).join(like, [*node, "like"], "left")
-    stars = joined.filter(variable | F.coalesce(merged, F.lit(False))).select(*node, "segment", F.lit(True).alias("star"))
-    general = F.when(F.col("star"), F.concat(F.slice("segments", 1, depth), F.array(F.lit("*")), F.slice("segments", depth + 2, 1 << 20))).otherwise(F.col("segments"))
+    stars = branches.join(nodes, node).join(merged, [*node, "segment"], "left").select(
+        *node, "segment", F.when(variable, F.lit("*")).otherwise(F.col("mark")).alias("star")).filter("star IS NOT NULL")
+    general = F.when(F.col("star").isNotNull(), F.concat(F.slice("segments", 1, depth), F.array("star"), F.slice("segments", depth + 2, 1 << 20))).otherwise(F.col("segments"))
     return rows.join(stars, [*node, "segment"], "left").withColumn("segments", general).select(*leaves.columns)
 
 
@@ -101,10 +120,15 @@ def judge_urls(pages: DataFrame, rules: list[UrlRule], tree: Tree = Tree(), *, p
     A url that rules fit gets the verdict of the longest one. All others are
     judged by the template of their path: per host, paths form a tree of
     segments. Digits and hexadecimal names are wildcards from the start; then,
-    level by level, segments are generalised to * where a node has many
-    children of few pages each, and where labelled sibling branches with the
-    same kinds of paths below them don't differ significantly in their share
-    of blocked pages. A template is rejected by the share of blocked among its
+    level by level, at all depths, segments are generalised to * where a node has many
+    children of few pages each, and where sibling branches are alike: with the
+    same most frequent generalised path below, pages over all of these paths
+    as in all such branches together (chi square), and a share of blocked pages
+    that doesn't differ significantly. Branches with clearly more or less
+    blocked than all such branches are compared among themselves and become
+    *+ and *-. Unlabelled ones join where something lies below them and two
+    labelled ones or more agree: one labelled branch says nothing of others.
+    Levels go from the deepest up, then once more down. A template is rejected by the share of blocked among its
     labelled pages, smoothed towards the share among all labelled pages.
 
     Labels are the column `blocked` (1, 0 or null for unlabelled), or the
@@ -127,7 +151,11 @@ def judge_urls(pages: DataFrame, rules: list[UrlRule], tree: Tree = Tree(), *, p
     leaves = rows.groupBy("host", "shape").agg(F.count("*").alias("n"), F.count("label").alias("labelled"), F.coalesce(F.sum("label"), F.lit(0)).alias("blocked"))
     parts = F.split(F.regexp_replace("shape", "^/", ""), "/")
     leaves = written(leaves.withColumn("segments", parts), "url-leaves")
-    depth = _open_depth(leaves, 0)
+    depth = _open_depth(leaves, below=1 << 30)
+    while depth is not None:
+        leaves = written(_level(leaves, depth, tree), "url-tree")
+        depth = _open_depth(leaves, below=depth) if depth else None
+    depth = _open_depth(leaves)  # once more from the top: merged branches bring children together
     while depth is not None:
         leaves = written(_level(leaves, depth, tree), "url-tree")
         depth = _open_depth(leaves, depth + 1)

@@ -73,3 +73,21 @@ def test_deep_paths(spark):
     for r in out:
         assert r.verdict == ("block" if "/spam/" in r.path else "allow"), r.path
     assert {r.template for r in out if "/spam/" in r.path} == {"a/b/c/spam/*/*"}
+
+
+def test_like_branches_of_slugs_merge(spark):
+    """Branches with words below are compared by their generalised paths; thinly labelled ones join, clean ones part."""
+    rows = [(f"http://m.org/spam{chr(103 + b)}/{slug(i * 20 + b)}", 1 if i < 2 else None) for b in range(16) for i in range(40)]
+    rows += [(f"http://m.org/news{chr(103 + b)}/{slug(i * 20 + b)}", 0 if i < 30 else None) for b in range(3) for i in range(40)]
+    rows += [(f"http://m.org/about/{x}/a/b", None) for x in ("team", "jobs")] + [("http://one.org/ads/7", 1), ("http://one.org/help/7", None)]
+    df = spark.createDataFrame([(k, u, b) for k, (u, b) in enumerate(rows)], "page_id long, url string, bad int")
+    out = judge_urls(df, [], blocked="bad").collect()
+    for r in out:
+        assert r.verdict == ("block" if r.path.startswith("/spam") else "allow"), r.path
+    assert {r.template for r in out if r.path.startswith("/spam")} == {"*+/*"}
+
+
+def test_unlabelled_branches_join(spark):
+    rows = [(f"http://j.org/{'abcd'[b]}x/{slug(i * 4 + b)}", 1 if b < 2 and i < 20 else None) for b in range(4) for i in range(40)] + [(f"http://ok.org/n/{slug(i)}", 0) for i in range(40)]
+    df = spark.createDataFrame([(k, u, b) for k, (u, b) in enumerate(rows)], "page_id long, url string, bad int")
+    assert {(r.host, r.template, r.verdict) for r in judge_urls(df, [], blocked="bad").collect()} == {("j.org", "*/*", "block"), ("ok.org", None, "allow")}
