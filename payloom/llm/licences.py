@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,15 @@ SPELLINGS = (
 COPYRIGHT_LINE = r"(^|\n)[ \t]*((copyright|\(c\)|©)[ \t]*(\(c\)|©|[0-9<\[{])|all rights reserved)[^\n]*"
 PUNCTUATION = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+# Before lower case, as a name is told from a sentence that goes on by its capital. (c) also numbers paragraphs, so it needs more.
+HOLDER_LINE = (r"(?<![^\n])[ \t]*(?:(?:Copyright|COPYRIGHT|©)[ \t]*:?|copyright[ \t]*:?(?=[ \t]+\p{Lu}))[ \t]+(?!(?i:notices?|holders?|owners?|laws?|licen[cs]es?|"
+               r"statements?|interests?|permissions?|disclaimers?|treaty|protection|infringement|claims?|rights?|and|or|in|of|on|is|are|to|as|for|that|which)\b)\S[^\n]*")
+# What other scripts and word processors write for ASCII punctuation and blanks, and marks without width.
+DASHES = r"[\p{Pd}\u2212\u2022\u00B7]"
+QUOTES = r"[\p{Pi}\p{Pf}\u201A\u201E\u2026]"
+WIDTHLESS = r"[\p{Cf}\uFEFF]"
+TERMS_END = "END OF TERMS AND CONDITIONS"
+
 # Texts of public licences and usual notices.
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
 
@@ -62,15 +73,18 @@ KNOWN = (
 
 
 def canonical(text: Column) -> Column:
-    """Lower case, no copyright lines, one spelling, words with single blanks between them."""
-    out = F.regexp_replace(ascii_lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, "")
+    """Lower case, no copyright lines, ASCII punctuation, one spelling, words with single blanks between them."""
+    out = F.replace(F.coalesce(text, F.lit("")), F.lit("\r\n"), F.lit("\n"))
+    for pattern, one in ((WIDTHLESS, ""), (r"[\r\u2028\u2029\x{85}]", "\n"), (r"\p{Zs}", " "), (DASHES, "-"), (QUOTES, "'"), (HOLDER_LINE, "")):
+        out = F.regexp_replace(out, pattern, one)
+    out = F.regexp_replace(F.regexp_replace(ascii_lower(out), COPYRIGHT_LINE, ""), r"\s+", " ")  # spellings of two words also across lines
     for other, one in SPELLINGS:
         out = F.replace(out, F.lit(other), F.lit(one))
     return F.trim(F.regexp_replace(out, PUNCTUATION, " "))
 
 
 def canonical_sql(text: str) -> str:
-    """The same as an SQL expression for DuckDB."""
+    """The same as an SQL expression for DuckDB, for texts with ASCII punctuation and with years or marks in copyright lines."""
     quoted = lambda s: "'" + s.replace("'", "''") + "'"
     out = f"regexp_replace(translate(coalesce({text}, ''), '{UPPER}', '{UPPER.lower()}'), {quoted(COPYRIGHT_LINE)}, '', 'g')"
     for other, one in SPELLINGS:
@@ -78,9 +92,24 @@ def canonical_sql(text: str) -> str:
     return f"trim(regexp_replace({out}, {quoted(PUNCTUATION)}, ' ', 'g'), ' ')"
 
 
-def known_licences(spark: SparkSession, texts=KNOWN) -> DataFrame:
-    """(digest, licence) of given texts; a digest that several names share has the first of them."""
-    rows = spark.createDataFrame(list(texts), "licence string, text string")
+def bundled_texts() -> list[tuple[str, str]]:
+    """(licence, text) of the full texts beside this module, whole and without what follows the end of their terms."""
+    whole = [(p.stem, p.read_text(encoding="utf-8")) for p in sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))]
+    return whole + [(n, t.split(TERMS_END)[0] + TERMS_END) for n, t in whole if TERMS_END in t]
+
+
+def licence_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """(licence, text) of a folder with a text file for each licence, named by it."""
+    return spark.read.text(folder, wholetext=True).select(F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.txt)?$", 1).alias("licence"), F.col("value").alias("text"))
+
+
+def known_licences(spark: SparkSession, texts=None) -> DataFrame:
+    """(digest, licence) of given texts; a digest that several names share has the first of them.
+
+    texts: pairs or a table (licence, text), such as `licence_folder` reads;
+    without it, KNOWN and the bundled full texts.
+    """
+    rows = texts if isinstance(texts, DataFrame) else spark.createDataFrame(list(texts if texts is not None else [*KNOWN, *bundled_texts()]), "licence string, text string")
     return rows.groupBy(F.sha2(canonical(F.col("text")).cast("binary"), 256).alias("digest")).agg(F.min("licence").alias("licence"))
 
 
