@@ -33,7 +33,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates; rows that share an id are one document and stay or go together, rows without id stay."""
+    """One document of each group of near-duplicates; rows that share an id are one document and stay or go together, rows without id stay.
+
+    Shingles have two words, as in op2.
+    """
     ship_package(spark)
     dropped = near_duplicates(docs).filter("NOT kept").select(F.col("doc_id").alias("dropped_id")).distinct()
     return docs.join(dropped, docs["doc_id"] == dropped["dropped_id"], "left_anti").select(*docs.columns)
