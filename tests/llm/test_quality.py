@@ -104,6 +104,5 @@ def test_language_without_trusted_texts(labelled, lang):
     known = df.filter(f"lang <> '{lang}'").select("doc_id")
     kept = {d: q[7] for d, _, q in judged(df, fit_ratios(df, labels.join(known, "doc_id", "left_semi"), language="lang", distinct=True)) if not q[5]}
     own = {r.doc_id: r.quality for r in labels.join(df.filter(f"lang = '{lang}'"), "doc_id", "left_semi").collect() if r.doc_id in kept}
-    print(lang, sum(kept[d] for d in own if own[d]), sum(own.values()), sum(kept[d] for d in own if not own[d]), len(own) - sum(own.values()))
     assert all(kept[d] for d in own if own[d])
     assert not any(kept[d] for d in own if not own[d])
