@@ -105,7 +105,7 @@ def ranked(df: DataFrame, key: str, order: list[str], name: str, digest: tuple[s
             out: list[list[int]] = [[], [], []]
             for pid, _, pos, *own in zip(*rows, strict=True):
                 count, state = carried.get(pid, (0, 0))
-                values = (count + pos, *(split(product(state, joined(*own), pos + 1, base)) if count else own))
+                values = (count + pos, *(split(product(state, joined(*own), pos + 1, base)) if count and scans else own))
                 for column, value in zip(out, values):
                     column.append(value)
             columns = list(batch.columns)
