@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -11,6 +12,9 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: The one thing that a worker process keeps for its tasks, by what it is made from.
+_KEPT: dict[tuple, object] = {}
+
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -63,6 +67,29 @@ def with_result(df: DataFrame, text: str, compute, name: str) -> DataFrame:
     return df.withColumn(name, compute.asNondeterministic()(F.col(f"`{text}`").cast("binary")))
 
 
+def kept_one(key: tuple, make):
+    """What `make` gives, made once in a worker process and kept until something else is asked for.
+
+    A worker lives longer than a stage; what earlier stages needed doesn't stay beside this one's.
+    """
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Record batches of at most so many rows for queries that run inside."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(rows, int(before)) if int(before) > 0 else rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def task_file(folder: str, number: int, suffix: str) -> str:
     """A file name of its own for each attempt, so that a repeated task never touches a file that is in use."""
     task = TaskContext.get()

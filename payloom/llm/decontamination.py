@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from payloom.llm.common import fresh_name
+from payloom.llm.common import fresh_name, kept_one
 
 BLOCK_BYTES = 4 << 20
 TABLE_BITS = 20
@@ -99,19 +99,13 @@ class Matcher:
         return united
 
 
-_MATCHERS: dict[str, Matcher] = {}
-
-
 def _finder(items, window: int, first: bool):
     """Arrow function over texts, and what earlier blocks of items found in them."""
     key = uuid.uuid4().hex
 
     def matcher() -> Matcher:
         """Built once in a worker process, for all its tasks."""
-        if key not in _MATCHERS:
-            _MATCHERS.clear()
-            _MATCHERS[key] = Matcher(items.value, window)
-        return _MATCHERS[key]
+        return kept_one((Matcher, key), lambda: Matcher(items.value, window))
 
     def rows(texts: list, before: list):
         search = matcher()

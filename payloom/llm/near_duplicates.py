@@ -17,7 +17,8 @@ from payloom.llm.components import connected_components
 from payloom.llm.pieces import memo_of
 
 SKETCH_BITS = 512
-MEMO_WORDS = 400_000
+#: What the memo of words may take; an entry takes 150 bytes besides its word.
+MEMO_BYTES = 64 << 20
 SALTS = 16
 BLOCK = 4096
 SIGNED = "struct<n: bigint, digest: binary, bands: array<bigint>, odd: binary, parity: binary>"
@@ -45,12 +46,15 @@ class Rule(NamedTuple):
 
 
 class WordHashes(dict):
-    """64-bit hashes of words, kept for the first MEMO_WORDS."""
+    """64-bit hashes of words, kept while they take less than MEMO_BYTES; the others are hashed each time."""
+
+    room = MEMO_BYTES
 
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh64_intdigest(word)
-        if len(self) < MEMO_WORDS:
+        if self.room > len(word):
             self[word] = h
+            self.room -= len(word) + 150
         return h
 
 
@@ -75,11 +79,14 @@ def shingles(text: bytes | None, words: int, memo: dict) -> np.ndarray:
 
 def minhashes(s: np.ndarray, samples: int) -> np.ndarray:
     """The least of each of `samples` hashes over the set."""
-    factors = mixed(np.arange(1, samples + 1, dtype=np.uint64)).astype(np.uint32) | np.uint32(1)
+    seeds = mixed(np.arange(1, samples + 1, dtype=np.uint64))
+    factors, offsets = seeds.astype(np.uint32) | np.uint32(1), (seeds >> np.uint64(32)).astype(np.uint32)
     high, low = (s >> np.uint64(32)).astype(np.uint32), s.astype(np.uint32)
     least = np.full(samples, 0xFFFFFFFF, np.uint32)
     for k in range(0, len(s), 1024):
-        v = high[k:k + 1024, None] * factors ^ low[k:k + 1024, None]
+        v = high[k:k + 1024, None] * factors
+        v += offsets
+        v ^= low[k:k + 1024, None]
         v *= np.uint32(0x85EBCA6B)
         v ^= v >> np.uint32(15)
         v *= np.uint32(0xC2B2AE35)

@@ -12,13 +12,18 @@ import re
 
 import numpy as np
 
-MEMO_PIECES = 500_000
+from payloom.llm.common import kept_one
+
+#: What one generation of a memo may take; an entry takes ENTRY bytes besides its own.
+MEMO_BYTES = 64 << 20
+ENTRY = 160
+#: Longer pieces aren't remembered: they hardly come again, and a text without a cut is one piece.
+LONGEST = 256
 BATCH_BYTES = 256 << 10
-_MEMOS: dict[tuple, object] = {}
 
 
 class Memo:
-    """What is known of pieces, in two generations of about MEMO_PIECES.
+    """What is known of pieces, in two generations of about MEMO_BYTES each, whatever the pieces are like.
 
     When the current one is full it becomes the previous one, from which pieces
     come back as they are met again; those that aren't are forgotten. So
@@ -28,21 +33,28 @@ class Memo:
     def __init__(self):
         self.current: dict[bytes, object] = {}
         self.previous: dict[bytes, object] = {}
+        self.bytes = 0
 
     def values(self, texts: list[list[bytes]], learn) -> list[list]:
         """What is known of each piece of each text; ``learn`` enters all that is new in the batch at once."""
-        if len(self.current) >= MEMO_PIECES:
-            self.previous, self.current = self.current, {}
+        if self.bytes >= MEMO_BYTES:
+            self.previous, self.current, self.bytes = self.current, {}, 0
         known, previous = self.current, self.previous
         rows = [list(map(known.get, pieces)) for pieces in texts]
         holes = [(row, pieces, [k for k, v in enumerate(row) if v is None]) for row, pieces in zip(rows, texts, strict=True) if None in row]
         new = {pieces[k] for _, pieces, places in holes for k in places}
         back = {p: v for p in new if (v := previous.get(p)) is not None}
+        before = len(known)
         known.update(back)
         learn(list(new.difference(back)))
         for row, pieces, places in holes:
             for k in places:
                 row[k] = known[pieces[k]]
+        for piece in new:
+            value = known[piece] if len(piece) <= LONGEST else known.pop(piece)
+            if len(piece) <= LONGEST:
+                self.bytes += len(piece) + (len(value) if isinstance(value, bytes) else 0)
+        self.bytes += max(len(known) - before, 0) * ENTRY
         return rows
 
 
@@ -116,7 +128,7 @@ class WordIds:
                 plain.add(w)
                 continue
             stem = w.rstrip(MARKS)
-            if len(stem) < len(w) and (stem.isalpha() or LETTERS.fullmatch(stem)):
+            if len(stem) < len(w) <= LONGEST and (stem.isalpha() or LETTERS.fullmatch(stem)):
                 marked.append((w, stem, w[len(stem):]))
             else:
                 odd.append(w)
@@ -212,10 +224,5 @@ class PieceLengths:
 
 
 def memo_of(kind, *args):
-    """One memo for each kind and file in a worker process, used by all its tasks."""
-    key = (kind, *args)
-    if key not in _MEMOS:
-        _MEMOS[key] = kind(*args)
-    return _MEMOS[key]
-
-
+    """One memo for its kind and file in a worker process, used by all its tasks until they need another."""
+    return kept_one((kind, *args), lambda: kind(*args))

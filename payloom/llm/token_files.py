@@ -20,13 +20,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from payloom.llm import simple8b
-from payloom.llm.common import batches_of, one_file_a_task, open_input, open_output, shared_folder, task_file, written
+from payloom.llm.common import arrow_rows, batches_of, one_file_a_task, open_input, open_output, shared_folder, task_file, written
 from payloom.llm.pieces import WordIds, memo_of
 
 MAGIC = b"S8BTOK01"
 FOOTER = struct.Struct("<4Q8s")
 BLOCK_IDS = 1 << 16
 FILE_IDS = 32 << 20
+#: Texts that are encoded together, and rows that a task gets at a time (Spark ends a batch at 64 MB too).
+GROUP_BYTES = 2 << 20
+BATCH_ROWS = 1000
 MANIFEST = pa.schema([("path", pa.string()), ("part", pa.int32()), ("number", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
 ROWS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 
@@ -95,6 +98,20 @@ def read_file(uri: str) -> Iterator[tuple[int | None, int, np.ndarray]]:
             held, done = stream[n:], done + n
 
 
+def by_size(batch: pa.RecordBatch) -> Iterator[tuple[list, list[bytes]]]:
+    """Ids and bodies of consecutive rows whose bodies sum to about GROUP_BYTES."""
+    ids, bodies, size = [], [], 0
+    for doc, body in zip(*batch.columns, strict=True):
+        ids.append(doc.as_py())
+        bodies.append(body.as_py() or b"")
+        size += len(bodies[-1])
+        if size >= GROUP_BYTES:
+            yield ids, bodies
+            ids, bodies, size = [], [], 0
+    if ids:
+        yield ids, bodies
+
+
 def write_token_files(docs: DataFrame, tokenizer_file: str, *, separator: str = "<|endoftext|>", end_id: int = 2,
                       doc_id: str = "doc_id", text: str = "text", folder: str | None = None) -> DataFrame:
     """Write the files and return the list of them: (path, part, number, n_docs, n_ids), in document order.
@@ -122,11 +139,8 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, *, separator: str =
             listed.append((writer.uri, int(part[1]), int(part[2]), *writer.close()))
 
         for batch in batches:
-            bodies = batch.column(1)
-            for k in range(0, batch.num_rows, 1024):
-                ids = batch.column(0).slice(k, 1024).to_pylist()
-                encoded = words.encode([b or b"" for b in bodies.slice(k, 1024).to_pylist()])
-                for doc, raw in zip(ids, encoded, strict=True):
+            for ids, bodies in by_size(batch):
+                for doc, raw in zip(ids, words.encode(bodies), strict=True):
                     if writer is None:
                         writer = FileWriter(task_file(folder, len(listed), ".s8b"))
                     writer.add(doc, np.concatenate([np.frombuffer(raw, "<u4"), end]))
@@ -138,7 +152,8 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, *, separator: str =
         yield from batches_of(listed, MANIFEST)
 
     listed = ordered.select("doc_id", "body").mapInArrow(write, "path string, part int, number int, n_docs long, n_ids long")
-    return written(listed, "token-files")
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        return written(listed, "token-files")
 
 
 def read_token_files(files: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ def test_pieces_equal_whole_texts(words, lengths, texts):
 
 
 def test_pieces_on_the_table_with_a_full_memo(spark, sf, monkeypatch):
-    monkeypatch.setattr("payloom.llm.pieces.MEMO_PIECES", 500)
+    monkeypatch.setattr("payloom.llm.pieces.MEMO_BYTES", 500 * 180)
     texts = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     raw = [t.encode() for t in texts]
     w, n = WordIds(WORDS, "<|endoftext|>"), PieceLengths(BYTES, 4096)
@@ -113,3 +113,29 @@ def test_counts(spark, sf, docs):
     df = spark.read.parquet(f"{sf}/documents.parquet")
     want = {r.doc_id: len(t.encode(r.text, add_special_tokens=False).ids) for r in df.collect()}
     assert {r.doc_id: r.n_tokens for r in count_tokens(df, BYTES).collect()} == want
+
+
+def test_memo_is_bounded_by_bytes_and_forgets_long_pieces():
+    from payloom.llm.pieces import LONGEST, Memo
+
+    memo = Memo()
+
+    def learn(pieces):
+        memo.current.update((p, p * 2) for p in pieces)
+
+    long = b"x" * 100_000
+    assert memo.values([[b"a", long, b"a"], [long]], learn) == [[b"aa", long * 2, b"aa"], [long * 2]]
+    assert set(memo.current) == {b"a"} and memo.bytes < 1000
+    for k in range(300):
+        memo.values([[b"%d %d " % (k, j) * 20 for j in range(2000)]], learn)
+    held = sum(len(k) + len(v) for part in (memo.current, memo.previous) for k, v in part.items())
+    assert all(len(p) <= LONGEST for p in memo.current) and held < 140 << 20
+
+
+def test_one_thing_is_kept_in_a_worker():
+    from payloom.llm.common import kept_one
+
+    made = []
+    for key in (("a",), ("a",), ("b",), ("a",)):
+        kept_one(key, lambda key=key: made.append(key) or key)
+    assert made == [("a",), ("b",), ("a",)]
