@@ -14,9 +14,9 @@ import numpy as np
 
 from payloom.llm.common import kept_one
 
-#: What one generation of a memo may take; an entry takes ENTRY bytes besides its own.
-MEMO_BYTES = 64 << 20
-ENTRY = 160
+#: What one generation of a memo may take: an entry takes ENTRY bytes, those of its piece, and four for each token, of which a byte is one at most.
+MEMO_BYTES = 96 << 20
+ENTRY = 130
 #: Longer pieces aren't remembered: they hardly come again, and a text without a cut is one piece.
 LONGEST = 256
 BATCH_BYTES = 256 << 10
@@ -50,11 +50,10 @@ class Memo:
         for row, pieces, places in holes:
             for k in places:
                 row[k] = known[pieces[k]]
-        for piece in new:
-            value = known[piece] if len(piece) <= LONGEST else known.pop(piece)
-            if len(piece) <= LONGEST:
-                self.bytes += len(piece) + (len(value) if isinstance(value, bytes) else 0)
-        self.bytes += max(len(known) - before, 0) * ENTRY
+        for piece in [p for p in new if len(p) > LONGEST]:
+            del known[piece]
+            new.remove(piece)
+        self.bytes += 5 * sum(map(len, new)) + max(len(known) - before, 0) * ENTRY
         return rows
 
 

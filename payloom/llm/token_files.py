@@ -28,8 +28,8 @@ FOOTER = struct.Struct("<4Q8s")
 BLOCK_IDS = 1 << 16
 FILE_IDS = 32 << 20
 #: Texts that are encoded together, and rows that a task gets at a time (Spark ends a batch at 64 MB too).
-GROUP_BYTES = 2 << 20
-BATCH_ROWS = 1000
+GROUP_BYTES = 4 << 20
+BATCH_ROWS = 2000
 MANIFEST = pa.schema([("path", pa.string()), ("part", pa.int32()), ("number", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
 ROWS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 
