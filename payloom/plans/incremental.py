@@ -135,7 +135,8 @@ def run(spark: SparkSession, entry: Run, audit: str, run_id: str, source: str |
     All tables get the rows of this load under one load key, the run's key and
     the start of its window. The audit row is written last: a run that failed
     in between is due again from the same start, also where more rows have
-    arrived since, and replaces what it had written. ``staged`` copies the
+    arrived since, and replaces what it had written. A run from the start takes
+    the place of all windows that its key has had. ``staged`` copies the
     window's rows aside first, for sources that are not partitioned well enough
     to be read once per table.
     """
@@ -152,7 +153,7 @@ def run(spark: SparkSession, entry: Run, audit: str, run_id: str, source: str |
     tables = pipeline_tables(pipe, bronze, shapes, spread=pipe.spread)
     named = {table_name(pipe, suffix): df for suffix, df in tables.items()}
     load = f"{entry.key}@{entry.low.isoformat() if entry.low else 'start'}"
-    counts = write_all(named, source, mode or pipe.write_mode, load)
+    counts = write_all(named, source, mode or pipe.write_mode, load, f"{entry.key}@" if entry.low is None else None)
     logs.log_audit(bronze, audit, run_id, entry.key, source)
     return counts
 

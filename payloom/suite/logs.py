@@ -170,19 +170,69 @@ def stream_two_batches(spark, sf):
     return spark.table(f"{target}_item").select("line", "v", "added")
 
 
-@query("run_retried", f"""
-SELECT {LINE}, l_partkey AS v FROM lineitem WHERE {EARLY}""")
-def run_retried(spark, sf):
-    """A run that breaks off after its first table, and is run again, leaves the rows of one run."""
-    bronze, _ = growing_bronze(spark, sf, {"v": "l_partkey"})
-    target = _fresh("growing")
-    tables = {f"{target}_item": flatten(bronze, GROWING.auto)["item"],
-              f"{target}_broken": bronze.select(F.raise_error(F.lit("no second table")).alias("x"))}
+def write_attempts(spark, tables: dict, load: str):
+    """A load whose second table breaks at first, then the whole of it again."""
+    item, other = tables
     try:
-        write_all(tables, load="growing@start")
+        write_all({item: tables[item], other: tables[other].withColumn("v", F.raise_error(F.lit("driver lost")).cast("bigint"))}, load=load)
     except Exception:
         pass
     else:
         raise AssertionError("the second table was written")
-    write_all({k: tables[k] for k in list(tables)[:1]}, load="growing@start")
-    return spark.table(f"{target}_item").select("line", "v")
+    write_all(tables, load=load)
+
+
+@query("run_retried", f"""
+SELECT t.name AS table_name, {LINE}, l_partkey AS v FROM lineitem, (VALUES ('item'), ('other')) t(name)""")
+def run_retried(spark, sf):
+    """A run that breaks off after its first table, and is run again whole, leaves both tables with the rows of one run."""
+    bronze, late = growing_bronze(spark, sf, {"v": "CAST(l_partkey AS bigint)"})
+    target = _fresh("growing")
+    item = flatten(bronze.unionByName(late), GROWING.auto)["item"]
+    write_attempts(spark, {f"{target}_item": item, f"{target}_other": item}, "growing@start")
+    both = [spark.table(f"{target}_{n}").select(F.lit(n).alias("table_name"), "line", "v") for n in ("item", "other")]
+    return both[0].unionByName(both[1])
+
+
+@query("run_after_lost_driver", f"""
+SELECT {LINE}, CASE WHEN {EARLY} THEN l_partkey::varchar ELSE 'p' || l_partkey END AS v FROM lineitem""")
+def run_after_lost_driver(spark, sf):
+    """Files that lost drivers left before the first write, in a load's own folder and in a widening load are no rows."""
+    target = _fresh("growing")
+    store = f"{spark.catalog.getDatabase(spark.catalog.currentDatabase()).locationUri}/{target}__a"
+    junk = table(spark, sf, "lineitem").select(F.lit("junk").alias("line"), F.col("l_partkey").cast("bigint").alias("v"))
+    for path in ("_temporary/0/task", "load_key=growing%400"):
+        junk.write.mode("overwrite").parquet(f"{store}/{path}")
+    early, late = (flatten(b, GROWING.auto)["item"] for b in growing_bronze(spark, sf, {"v": "concat('p', l_partkey)"}))
+    write_table(early, target, load="growing@0")
+    for path in (".spark-staging-lost/load_key=growing%401", "load_key=growing%401"):
+        junk.write.mode("overwrite").parquet(f"{store}/{path}")
+    for attempt in (late.withColumn("v", F.raise_error(F.lit("driver lost")).cast("string")), late):
+        try:
+            write_table(attempt, target, load="growing@1")
+        except Exception:
+            pass
+    return spark.table(target).select("line", "v")
+
+
+@query("full_load_after_windows", f"""SELECT {LINE}, l_partkey AS v FROM lineitem""")
+def full_load_after_windows(spark, sf):
+    """A first load, a window, then a load of everything from the start: each line once."""
+    target = _fresh("growing")
+    early, late = growing_bronze(spark, sf, {"v": "CAST(l_partkey AS bigint)"})
+    for bronze, load in ((early, "growing@start"), (late, "growing@2024-01-01T00:00:00"), (early.unionByName(late), "growing@start")):
+        write_table(flatten(bronze, GROWING.auto)["item"], target, load=load, supersedes="growing@" if load.endswith("start") else None)
+    return spark.table(target).select("line", "v")
+
+
+@query("three_windows_as_one", f"""
+SELECT {LINE}, CASE l_linenumber % 3 WHEN 0 THEN l_partkey::varchar WHEN 1 THEN l_partkey || CASE WHEN l_partkey % 2 = 0 THEN '.25' ELSE '.5' END ELSE 'p' || l_partkey END AS v FROM lineitem""")
+def three_windows_as_one(spark, sf):
+    """Whole numbers, then decimals, then text: the text of all of them is what the payload said, as in one load of all."""
+    rows, target = table(spark, sf, "lineitem"), _fresh("growing")
+    shapes = ("CAST(l_partkey AS bigint)", "CAST(l_partkey AS decimal(20, 2)) + IF(l_partkey % 2 = 0, 0.25BD, 0.50BD)", "concat('p', l_partkey)")
+    for k, v in enumerate(shapes):
+        bronze = bronze_rows(rows.filter(f"l_linenumber % 3 = {k}"), "concat('growing_', l_orderkey)", "timestamp'2024-01-01'",
+                             {"item": ("true", {"line": text("concat(l_orderkey, '-', l_linenumber)"), "v": v})})
+        write_table(flatten(bronze, GROWING.auto)["item"], target, load=f"growing@{k}")
+    return spark.table(target).select("line", "v")
