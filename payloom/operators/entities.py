@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payloom.functions.text import id_part
-from payloom.functions.variant import get, is_array, is_object, non_empty_object, scalar_text, struct_ddl, text_node
+from payloom.functions.variant import OBJECT, get, is_array, is_object, non_empty_object, scalar_text, struct_ddl, text_node
 from payloom.operators import keys as K
 from payloom.operators.schema import root_value
 from payloom.plans.spec import Field, Node, Pipeline, Root
@@ -259,13 +259,15 @@ def _open(frame: DataFrame, node: Node, depth: int, chain: tuple[Node, ...], car
             items = F.when(F.col("l0payload").isNotNull(), F.slice(items, 1, 1)).otherwise(items)
     elif node.named:
         items = _labelled(node, ddl)
+    elif node.keyed:
+        items = _by_key(node, ddl)
     else:
         items = _list(F.col(VALUE), node.path[1:], node.list_key, ddl)
     out = VALUE if raw else ENTITY
     keep = [v.alias(c) for c, v in carried.items()]
     frame = frame.select(*keep, F.explode(items).alias(out))
     extra = []
-    if node.named:
+    if node.named or node.keyed:
         frame = frame.select(*[F.col(c) for c in carried], F.col(out).getField("label").alias(LABEL),
                              F.col(out).getField("item").alias(out))
         extra = [F.col(LABEL)]
@@ -289,3 +291,9 @@ def _labelled(node: Node, ddl: str) -> Column:
     return F.concat(*[
         F.coalesce(F.transform(_list(F.col(VALUE), path, None, ddl), tag(label)), none) for label, path in node.named
     ])
+
+
+def _by_key(node: Node, ddl: str) -> Column:
+    """The values of an object with their keys."""
+    entries = F.map_entries(get(F.col(VALUE), *node.path[1:], as_type=OBJECT))
+    return F.transform(entries, lambda e: F.struct(e["key"].alias("label"), (e["value"] if ddl == "variant" else get(e["value"], as_type=ddl)).alias("item")))

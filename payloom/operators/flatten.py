@@ -11,10 +11,13 @@ from pyspark.sql import types as T
 
 from payloom.functions.text import snake_case
 from payloom.operators.entities import build_tables, only_tables
-from payloom.operators.schema import infer_nodes, scalar_fields
+from payloom.operators.schema import infer_nodes, numbered, scalar_fields
 from payloom.plans.spec import AutoTree, Field, Node, Root
 
 
+MAP_KEY = "map_key"
+
+
 @dataclass
 class _Draft:
     """A node under discovery."""
@@ -26,7 +29,9 @@ class _Draft:
     chain: tuple[Node, ...]
     type: T.StructType | None = None
     scalar_list: bool = False
+    keyed: bool = False
     children: list[_Draft] = field(default_factory=list)
+    spellings: list[str] = field(default_factory=list)
     fields: list[Field] = field(default_factory=list)
     inline: list[tuple[tuple[str, ...], str, tuple[Field, ...]]] = field(default_factory=list)
 
@@ -37,7 +42,9 @@ class TreePlan:
 
     dropped: paths that no table shows. mixed: fields of several shapes that
     became one JSON text column. unused: names in options (keys, force_list,
-    suppress, type_overrides) that nothing in the data answers to.
+    suppress, type_overrides) that nothing in the data answers to. spellings: fields
+    whose column got a number, as another spelling of it is there. keyed: objects whose
+    keys are data; their tables have a row per key, in column ``map_key``.
     """
 
     roots: tuple[Root, ...]
@@ -45,6 +52,8 @@ class TreePlan:
     dropped: tuple[str, ...]
     mixed: tuple[str, ...] = ()
     unused: tuple[str, ...] = ()
+    spellings: tuple[str, ...] = ()
+    keyed: tuple[str, ...] = ()
 
 
 def open_trees(df: DataFrame, trees: tuple[AutoTree, ...]) -> list:
@@ -89,7 +98,9 @@ def discover(df: DataFrame, trees: tuple[AutoTree, ...], prefix: str, strict: bo
     unused = tuple(x for tree, draft in zip(trees, drafts) for x in _unused(tree, draft))
     if strict and unused:
         raise ValueError(f"options that match nothing: {', '.join(unused)}")
-    return TreePlan(tuple(out), tuple(dict(t.static) for t in trees), tuple(dropped), tuple(mixed), unused)
+    nodes = [d for draft in drafts for d in _walk(draft)]
+    spellings = tuple(x for d in nodes for x in d.spellings)
+    return TreePlan(tuple(out), tuple(dict(t.static) for t in trees), tuple(dropped), tuple(mixed), unused, spellings, tuple(d.alias_path for d in nodes if d.keyed))
 
 
 def _unused(tree: AutoTree, draft: _Draft) -> list[str]:
@@ -103,8 +114,8 @@ def _unused(tree: AutoTree, draft: _Draft) -> list[str]:
     return [f"{tree.element}.{option}:{name}" for option, names, known in wanted for name in sorted(names) if name not in known]
 
 
-def _fields(dtype: T.StructType | None, tree: AutoTree, skip: frozenset[str] = frozenset()) -> tuple[Field, ...]:
-    found = scalar_fields(dtype, text=False, exclude=tree.exclude | skip)
+def _fields(dtype: T.StructType | None, tree: AutoTree, skip: frozenset[str] = frozenset(), spellings: list[str] | None = None) -> tuple[Field, ...]:
+    found = scalar_fields(dtype, text=False, exclude=tree.exclude | skip, spellings=spellings)
     return tuple(_override(f, tree) for f in found)
 
 
@@ -115,10 +126,10 @@ def _override(f: Field, tree: AutoTree) -> Field:
 def _expand(d: _Draft, unresolved: list[_Draft], dropped: list[str], mixed: list[str]) -> None:
     tree = d.tree
 
-    def child(path: tuple[str, ...], dtype: T.DataType | None, scalar_list: bool = False) -> None:
+    def child(path: tuple[str, ...], dtype: T.DataType | None, scalar_list: bool = False, keyed: bool = False) -> None:
         name = path[-1]
-        node = _Draft(tree, name, f"{d.alias_path}.{'.'.join(path)}", path, (*d.chain, Node(path=path)),
-                      dtype if isinstance(dtype, T.StructType) else None, scalar_list)
+        node = _Draft(tree, name, f"{d.alias_path}.{'.'.join(path)}", path, (*d.chain, Node(path=path, keyed=keyed)),
+                      dtype if isinstance(dtype, T.StructType) else None, scalar_list, keyed)
         d.children.append(node)
         if node.type is not None:
             _expand(node, unresolved, dropped, mixed)
@@ -147,12 +158,18 @@ def _expand(d: _Draft, unresolved: list[_Draft], dropped: list[str], mixed: list
                         d.fields.append(kept)
                 else:
                     dropped.append(f"{d.alias_path}.{'.'.join(path)}[]")
+            elif isinstance(f.dataType, T.MapType):
+                value = f.dataType.valueType
+                if isinstance(value, (T.ArrayType, T.MapType)):
+                    dropped.append(f"{d.alias_path}.{'.'.join(path)}{{}}")
+                else:
+                    child(path, value, scalar_list=not isinstance(value, T.StructType), keyed=True)
             elif isinstance(f.dataType, T.StructType):
                 if forced:
                     child(path, f.dataType)
                     continue
                 if not prefix and f.name in tree.flatten_structs:
-                    scalars = scalar_fields(f.dataType, tree.flatten_structs[f.name], text=False, exclude=tree.exclude)
+                    scalars = scalar_fields(f.dataType, tree.flatten_structs[f.name], text=False, exclude=tree.exclude, spellings=d.spellings)
                     d.inline.append((path, "", tuple(_override(s, tree) for s in scalars)))
                 else:
                     dropped.extend(f"{d.alias_path}.{'.'.join(path)}.{s.name}" for s in f.dataType.fields
@@ -167,7 +184,8 @@ def _expand(d: _Draft, unresolved: list[_Draft], dropped: list[str], mixed: list
     if d.type is not None:
         walk(d.type, ())
         children = frozenset(c.path[0] for c in d.children)
-        d.fields = [*_fields(d.type, tree, children), *d.fields]
+        d.fields = [*_fields(d.type, tree, children, d.spellings), *d.fields]
+        d.spellings = [f"{d.alias_path}.{x}" for x in d.spellings]
 
 
 def _walk(d: _Draft) -> list[_Draft]:
@@ -185,8 +203,12 @@ def _table_names(drafts: list[_Draft], prefix: str) -> dict[str, str]:
         short = snake_case(x.alias)
         tail = short if leaf[short] == 1 or "." not in x.alias_path else snake_case(x.alias_path.replace(".", "_"))
         names[x.alias_path] = f"{prefix}_{tail}" if prefix else tail
-    if len(set(names.values())) < len(names):
-        raise ValueError(f"table names collide: {sorted(names.items())}")
+    # Spellings of one name in one place: the first one keeps it, the others are numbered.
+    taken: set[str] = set()
+    for path in sorted(names):
+        if names[path] in taken:
+            names[path] = numbered(names[path], {*taken, *names.values()})
+        taken.add(names[path])
     return names
 
 
@@ -224,7 +246,8 @@ def _root(tree: AutoTree, draft: _Draft, l0_fields: tuple[Field, ...], names: di
                       if tree.passthrough is None or c in tree.passthrough)
 
     def build(d: _Draft, inherited: tuple[str, ...]) -> dict:
-        own = [*_own_columns(d), *(["value"] if d.scalar_list else [])]
+        label = (MAP_KEY if MAP_KEY not in _own_columns(d) else f"{snake_case(d.alias)}_{MAP_KEY}") if d.keyed else None
+        own = [*([label] if label else []), *_own_columns(d), *(["value"] if d.scalar_list else [])]
         keys = _keys(tree, d)
         missing = [k for k in keys if k not in own and k not in inherited]
         if missing:
@@ -237,11 +260,11 @@ def _root(tree: AutoTree, draft: _Draft, l0_fields: tuple[Field, ...], names: di
             for k in keys if k in plain
             and (tree.passthrough is None or k in tree.passthrough)
         )
-        below = (*inherited, *[f.column for f in down])
+        below = (*inherited, *([label] if label else []), *[f.column for f in down])
         return dict(
             table=None if d.alias_path in tree.suppress else names[d.alias_path],
             path=d.path, fields=tuple(d.fields), inline=tuple(d.inline), hand_down=down, keys=keys,
-            text_element="value" if d.scalar_list else None,
+            text_element="value" if d.scalar_list else None, keyed=d.keyed, label=label,
             constants={},
             children=tuple(Node(**build(c, below)) for c in d.children),
         )

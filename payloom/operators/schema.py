@@ -3,17 +3,36 @@
 from __future__ import annotations
 
 import dataclasses
+import logging
 from collections.abc import Collection
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from payloom.functions.variant import OBJECT, as_list, get, is_array, is_object, unwrap_or_self
+from payloom.functions.variant import OBJECT, as_list, get, is_object, unwrap_or_self
+from payloom.operators.frontier import KeyedRule, infer_by_level, profile_paths
 from payloom.plans.spec import ALL, Field, Node, Root
 from payloom.functions.text import snake_case
 
+__all__ = ["infer_nodes", "infer_schema", "profile_paths", "resolve", "scalar_fields"]
+LOG = logging.getLogger(__name__)
 NodeKey = tuple
+# Entities whose own schemas are longer, or of more kinds, are looked through level by level.
+LONG_SCHEMA, MANY_SCHEMAS = 20_000, 500
+
+
+@contextmanager
+def _names_as_written(spark: SparkSession):
+    """Schemas of variants are merged by the session's rule for names; by default it takes ``teamId`` and ``TeamId`` for one."""
+    name = "spark.sql.caseSensitive"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def parse_schema(text: str | None) -> T.DataType:
@@ -43,8 +62,9 @@ def infer_schema(df: DataFrame, col: str, *path: str) -> T.DataType:
     still resolves to an object type.
     """
     item = F.explode(as_list(col, *path)).alias("v")
-    row = df.select(item).agg(F.schema_of_variant_agg("v").alias("s")).first()
-    return parse_schema(row["s"])
+    merged = df.select(item).agg(F.schema_of_variant_agg("v").alias("s"))
+    with _names_as_written(df.sparkSession):
+        return parse_schema(merged.first()["s"])
 
 
 def root_value(root: Root) -> Column:
@@ -58,6 +78,8 @@ def _items(value: Column, *path: str) -> Column:
 
 
 def _child_items(entity: Column, node: Node) -> Column:
+    if node.keyed:
+        return F.coalesce(F.map_values(get(entity, *node.path, as_type=OBJECT)), F.array().cast("array<variant>"))
     if node.named:
         return F.concat(*[_items(entity, *path) for _, path in node.named])
     if node.list_key is None:
@@ -78,7 +100,7 @@ class _Reading:
     def at(self, chain: tuple[Node, ...]) -> _Reading:
         here = self
         for node in chain:
-            key = (node.path, node.list_key, node.named)
+            key = (node.path, node.list_key, node.named, node.keyed)
             here = here.steps.setdefault(key, (node, _Reading()))[1]
         return here
 
@@ -92,13 +114,29 @@ class _Reading:
         return F.flatten(F.transform(entities, lambda x: self.pairs(x, section)))
 
 
-def infer_nodes(df: DataFrame, wanted: list[tuple[NodeKey, Root, tuple[Node, ...], tuple[str, ...]]]) -> dict:
+def _structs(places: list[tuple[int, str]]) -> list[Column]:
+    return [F.struct(F.lit(n).alias("node"), F.lit(x).alias("section")) for n, x in places]
+
+
+def _most_fields(dtype: T.DataType | None) -> int:
+    """Fields of the widest object anywhere in a type."""
+    if isinstance(dtype, T.ArrayType):
+        return _most_fields(dtype.elementType)
+    return max([len(dtype.fields), *(_most_fields(f.dataType) for f in dtype.fields)]) if isinstance(dtype, T.StructType) else 0
+
+
+def infer_nodes(df: DataFrame, wanted: list[tuple[NodeKey, Root, tuple[Node, ...], tuple[str, ...]]],
+                rule: KeyedRule | None = None) -> dict:
     """Entity types of many nodes at once, keyed as given.
 
     Each entry is (key, root, nodes below the root, path of an inlined object).
-    One pass: every row yields its (node, entity) pairs, which are aggregated
+    Every row yields its (node, entity) pairs, which are aggregated
     by node on the map side first; only one row per node reaches the driver.
     Roots that differ in nothing but their element share one reading.
+
+    A first job sizes the nodes' schemas. Where entities have few kinds of short ones, a second
+    job merges them. Other nodes, and those in which an object came out with many fields, may have objects
+    whose keys are data: they are looked through level by level, and ``rule`` decides. Names are taken as they are written.
     """
     if not wanted:
         return {}
@@ -128,32 +166,56 @@ def infer_nodes(df: DataFrame, wanted: list[tuple[NodeKey, Root, tuple[Node, ...
     needed = {e for _, r, _, _ in wanted for e in (r.element if isinstance(r.element, tuple) else (r.element,))}
     if None not in needed:
         df = df.filter(F.col("l1element").isin(*sorted(needed)))
-    found = (
-        df.select(F.inline(F.concat(*pairs)))
-        .filter(is_object("v"))
-        .groupBy("node", "section").agg(F.schema_of_variant_agg("v").alias("s"))
-        .collect()
-    )
-    types = {(r["node"], r["section"]): entity_type(parse_schema(r["s"])) for r in found}
+    entities = df.select(F.inline(F.concat(*pairs))).filter(is_object("v"))
+    # Decimals have as many types as digits: they don't make a schema another kind.
+    own = F.schema_of_variant("v")
+    sizes = entities.groupBy("node", "section").agg(
+        F.max(F.length(own)).alias("longest"), F.approx_count_distinct(F.regexp_replace(own, r"DECIMAL\(\d+,\d+\)", "DECIMAL")).alias("kinds")).collect()
+    wide = [(r["node"], r["section"]) for r in sizes if r["longest"] > LONG_SCHEMA or r["kinds"] > MANY_SCHEMAS]
+    place = F.struct("node", "section")
+    types: dict = {}
+    if len(wide) < len(sizes):
+        merged = (entities.filter(~place.isin(*_structs(wide))) if wide else entities).groupBy("node", "section").agg(F.schema_of_variant_agg("v").alias("s"))
+        with _names_as_written(df.sparkSession):
+            types = {(r["node"], r["section"]): entity_type(parse_schema(r["s"])) for r in merged.collect()}
+    rule = rule or KeyedRule()
+    wide += [at for at, dtype in types.items() if _most_fields(dtype) >= rule.many]
+    if wide:
+        types |= infer_by_level(entities.filter(place.isin(*_structs(wide))), rule)
     return {key: types.get(owner[i]) for i, (key, *_) in enumerate(wanted)}
 
 
 def scalar_fields(schema: T.StructType | None, prefix: str = "", text: bool = True,
-                  exclude: Collection[str] = (), raw_names: bool = False) -> tuple[Field, ...]:
-    """Scalars of an entity type as spec fields, under their snake_case names."""
+                  exclude: Collection[str] = (), raw_names: bool = False, spellings: list[str] | None = None) -> tuple[Field, ...]:
+    """Scalars of an entity type as spec fields, under their snake_case names.
+
+    Of several spellings of one column the first keeps its name, the others
+    are numbered and added to ``spellings``: no value is lost, and one stray field stops no load.
+    """
     out: dict[str, Field] = {}
     for f in (schema.fields if schema is not None else ()):
-        if f.name in exclude or isinstance(f.dataType, (T.StructType, T.ArrayType)):
+        if f.name in exclude or isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
             continue
         mixed = isinstance(f.dataType, T.VariantType)
-        column = prefix + (f.name if raw_names else snake_case(f.name))
+        column = wanted = prefix + (f.name if raw_names else snake_case(f.name))
         if column.lower() in out:
-            raise ValueError(f"fields {out[column.lower()].json!r} and {f.name!r} both become column {column!r}")
+            column = numbered(wanted, {*out, *((prefix + (g.name if raw_names else snake_case(g.name))).lower() for g in schema.fields)})
+            if spellings is not None:
+                spellings.append(f"{f.name} AS {column}")
+            LOG.warning("fields %r and %r both become column %r: the second one is %r", out[wanted.lower()].json, f.name, wanted, column)
         out[column.lower()] = Field(f.name, column, "string" if text else extract_type(f.dataType),
                             "mixed" if mixed and text else "scalar")
     return tuple(out.values())
 
 
+def numbered(name: str, taken: Collection[str]) -> str:
+    """The name with the first number that makes it new."""
+    n = 2
+    while f"{name}_{n}".lower() in taken:
+        n += 1
+    return f"{name}_{n}"
+
+
 def opened_fields(node: Node, below: tuple[str, ...] = ()) -> set[str]:
     """Fields of an entity (or of an object in it) that the node inlines or its children open."""
     paths = [path for path, _, _ in node.inline] + list(node.opened)
@@ -210,57 +272,3 @@ def resolve(df: DataFrame, roots: tuple[Root, ...], text: bool = True,
         return dataclasses.replace(node, **changes) if changes else node
 
     return tuple(fill(r, (i,)) for i, r in enumerate(roots))
-
-
-def _depth(df: DataFrame, col: str) -> int:
-    """Deepest nesting of the column's values: brackets of their JSON text, without those in strings. One job, one number."""
-    bare = F.regexp_replace(F.col(col).cast("string"), r'"(\\.|[^"\\])*"', "")
-    marks = F.split(F.regexp_replace(bare, r"[^\[\]{}]", ""), "")
-    steps = F.transform(F.filter(marks, lambda c: c != ""), lambda c: F.when(c.isin("[", "{"), 1).otherwise(-1))
-    zero = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
-    deepest = F.aggregate(steps, zero, lambda a, x: F.struct((a["now"] + x).alias("now"), F.greatest(a["most"], a["now"] + x).alias("most")), lambda a: a["most"])
-    return df.agg(F.max(deepest)).first()[0] or 0
-
-
-def profile_paths(df: DataFrame, col: str, max_depth: int | None = None) -> DataFrame:
-    """Every path of a payload column: ``(path, kind, n_rows, n_null)``.
-
-    ``kind`` is object, array, scalar or null and a path of mixed shape has
-    one row per kind, so ambiguous fields show up as data. List elements are
-    folded into ``[]``. ``n_rows`` counts occurrences of the path in that kind,
-    ``n_null`` its JSON nulls. All levels are opened; their number is found
-    by a job of its own unless ``max_depth`` declares it, and values that lie
-    deeper than declared are an error when the result is computed.
-    """
-    declared = max_depth is not None
-    max_depth = max_depth if declared else _depth(df, col)
-    # Each step turns an open value into its own finished (path, kind) and one
-    # open entry per field or element; finished entries pass through. One scan
-    # and no shuffle until the counts.
-    entry = "array<struct<path:string,kind:string,v:variant>>"
-    kind = (
-        F.when(F.is_variant_null("v"), "null").when(is_array("v"), "array").when(is_object("v"), "object")
-        .otherwise("scalar")
-    )
-
-    def opened(path: Column, value: Column) -> Column:
-        return F.struct(path.alias("path"), F.lit(None).cast("string").alias("kind"), value.alias("v"))
-
-    finished = F.array(F.struct("path", kind.alias("kind"), F.lit(None).cast("variant").alias("v")))
-    inside = F.coalesce(
-        F.transform(get("v", as_type="array<variant>"), lambda x: opened(F.concat("path", F.lit("[]")), x)),
-        F.transform(F.map_entries(get("v", as_type=OBJECT)),
-                    lambda e: opened(F.concat("path", F.lit("."), e.getField("key")), e.getField("value"))),
-        F.array().cast(entry))
-    rows = df.filter(F.col(col).isNotNull()).select(
-        F.lit("$").alias("path"), F.lit(None).cast("string").alias("kind"), F.col(col).alias("v"))
-    for _ in range(max_depth):
-        rows = rows.select(F.inline(F.when(F.col("kind").isNull(), F.concat(finished, inside)).otherwise(
-            F.array(F.struct("path", "kind", "v")))))
-    if declared:
-        filled = F.coalesce(F.size(get("v", as_type="array<variant>")), F.size(get("v", as_type=OBJECT)), F.lit(0)) > 0
-        too_deep = F.raise_error(F.concat(F.lit("values below "), "path", F.lit(f" lie deeper than {max_depth} levels")))
-        rows = rows.withColumn("kind", F.when(F.col("kind").isNull() & filled, too_deep.cast("string")).otherwise(F.col("kind")))
-    rows = rows.select("path", F.coalesce("kind", kind).alias("kind"))
-    return rows.groupBy("path", "kind").agg(F.count(F.lit(1)).alias("n_rows"),
-                                            F.count_if(F.col("kind") == "null").alias("n_null"))

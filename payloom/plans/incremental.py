@@ -147,7 +147,7 @@ def run(spark: SparkSession, entry: Run, audit: str, run_id: str, source: str |
     if staged:
         bronze = stage(bronze, f"{run_id}/{entry.key}")
     shapes = shapes or plan_shapes(pipe, bronze)
-    for what in ("dropped", "mixed", "unused"):
+    for what in ("dropped", "mixed", "unused", "spellings", "keyed"):
         if shapes[0] and getattr(shapes[0], what):
             LOG.warning("%s: %s %s", entry.key, what, ", ".join(getattr(shapes[0], what)))
     tables = pipeline_tables(pipe, bronze, shapes, spread=pipe.spread)

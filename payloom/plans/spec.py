@@ -43,6 +43,8 @@ class Node:
     # (label, path) pairs whose entities share the table, told apart by ``label``.
     named: tuple[tuple[str, tuple[str, ...]], ...] = ()
     label: str | None = None
+    # The object at the path has data as keys: its values are the entities, and ``label`` takes the keys.
+    keyed: bool = False
     # Scalars of this entity that every descendant row carries.
     hand_down: tuple[Field, ...] = ()
     constants: Mapping[str, str | None] = field(default_factory=dict)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from payloom.functions.text import audit_key, snake_case_column
 from payloom.functions.variant import as_list, get, present, scalar_text, text_node, unwrap_or_self
 from payloom.operators import reshape as R
-from payloom.operators.flatten import flatten
+from payloom.operators.flatten import discover, flatten
 from payloom.operators.schema import profile_paths
 from payloom.plans.spec import AutoTree
 from payloom.sinks.tables import stamp_lineage
@@ -255,6 +255,57 @@ def discovered_tables(spark, sf):
     return found.select("path", "n_rows")
 
 
+@query("path_profile_long_text", """
+SELECT '$' AS path, 'object' AS kind, count(*) AS n_rows, CAST(0 AS bigint) AS n_null FROM documents UNION ALL
+SELECT '$.body', 'scalar', count(*), 0 FROM documents UNION ALL SELECT '$.quoted', 'scalar', count(*), 0 FROM documents""")
+def path_profile_long_text(spark, sf):
+    """Whole texts, also with quotes, backslashes and brackets in them."""
+    docs = table(spark, sf, "documents")
+    return profile_paths(docs.select(variant({"body": "coalesce(text, '')", "quoted": "concat('[{', repeat('\\\\\"', 2000), text)"}).alias("payload")), "payload")
+
+
+@query("path_profile_dotted", """
+SELECT '$' AS path, 'object' AS kind, count(*) AS n_rows, CAST(0 AS bigint) AS n_null FROM nation UNION ALL
+SELECT '$["a.b"]', 'scalar', count(*), 0 FROM nation UNION ALL
+SELECT '$.a', 'object', count(*), 0 FROM nation UNION ALL
+SELECT '$.a.b', 'scalar', count(*), 0 FROM nation UNION ALL
+SELECT '$["' || n_name || '-"]', 'scalar', count(*), 0 FROM nation GROUP BY n_name""")
+def path_profile_dotted(spark, sf):
+    """A name with a dot isn't a path of two names, and names of data are quoted."""
+    text_of = "concat('{\"a.b\":1,\"a\":{\"b\":2},\"', n_name, '-\":3}')"
+    return profile_paths(table(spark, sf, "nation").select(F.parse_json(F.expr(text_of)).alias("payload")), "payload")
+
+
+@query("field_case_variants", """
+SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 1 THEN c_nationkey END AS team_id, CASE WHEN c_custkey % 3 = 0 THEN c_nationkey END AS team_id_2,
+       CASE WHEN c_custkey % 3 = 2 THEN c_nationkey END AS teamid, 'c.teamId AS team_id_2' AS spellings FROM customer""")
+def field_case_variants(spark, sf):
+    """One field in three spellings: every value is in a column, and the plan tells of the clash."""
+    text_of = "concat('{\"id\":', c_custkey, ',\"', element_at(array('teamId', 'TeamId', 'teamid'), CAST(c_custkey % 3 AS int) + 1), '\":', c_nationkey, '}')"
+    bronze = bronze_of_text(table(spark, sf, "customer"), text_of, "c")
+    plan = discover(bronze, (AutoTree("c", "c"),), "")
+    made = flatten(bronze, AutoTree("c", "c"), plan=plan)["c"]
+    return made.select("id", "team_id", "team_id_2", "teamid", F.lit(", ".join(plan.spellings)).alias("spellings"))
+
+
+def bronze_of_text(df, payload: str, element: str):
+    """Bronze rows whose payloads are built as JSON text, where names come from the data."""
+    return df.select(F.lit("src").alias("ingested_from"), F.expr("timestamp'2024-01-01'").alias("ingested_at"), F.lit(None).cast("variant").alias("l0payload"),
+                     F.lit(element).alias("l1element"), F.parse_json(F.expr(payload)).alias("payload"))
+
+
+@query("keyed_objects", """
+SELECT c_nationkey AS nation, c_custkey::varchar AS map_key, c_mktsegment AS segment, round(c_acctbal * 100)::bigint AS cents FROM customer""")
+def keyed_objects(spark, sf):
+    """Customers of a nation in one object, by their ids: a table with a row per key."""
+    entry = "concat('\"', c_custkey, '\":{\"segment\":\"', c_mktsegment, '\",\"cents\":', CAST(round(c_acctbal * 100) AS bigint), '}')"
+    nations = table(spark, sf, "customer").groupBy("c_nationkey").agg(F.concat_ws(",", F.collect_list(F.expr(entry))).alias("entries"))
+    bronze = bronze_of_text(nations, "concat('{\"nation\":', c_nationkey, ',\"byCustomer\":{', entries, '}}')", "n")
+    tree = AutoTree("n", "n", keys={"n": ("nation",), "byCustomer": ("nation", "map_key")})
+    made = flatten(bronze, tree)["by_customer"]
+    return made.select("nation", "map_key", "segment", "cents")
+
+
 @query("event_attribute_profile", """
 SELECT '$' AS path, 'object' AS kind, count(*) AS n_rows, CAST(0 AS bigint) AS n_null FROM events UNION ALL
 SELECT '$.k', 'scalar', count(*), 0 FROM events""")

@@ -113,10 +113,55 @@ def test_unknown_key_fails_before_any_table_runs(bronze):
         flatten(df, AutoTree("o", "o", keys={"c": ("player_id",)}))
 
 
-def test_snake_case_collision_names_both_fields(bronze):
-    df = bronze([("o", '{"teamID":1,"teamId":2}')])
-    with pytest.raises(ValueError, match="teamID.*teamId"):
-        flatten(df, AutoTree("o", "o"))
+def test_spellings_of_one_column_are_numbered_and_reported(bronze):
+    df = bronze([("o", '{"teamID":1,"teamId":2,"team_id_2":3}')])
+    plan = discover(df, (AutoTree("o", "o"),), "")
+    assert plan.spellings == ("o.teamId AS team_id_3",)
+    assert rows(flatten(df, AutoTree("o", "o"), plan=plan)["o"], "team_id", "team_id_2", "team_id_3") == [(1, 3, 2)]
+
+
+def test_names_that_differ_in_case_keep_all_values(bronze):
+    df = bronze([("o", '{"teamId":1,"Sub":[{"x":1}]}'), ("o", '{"TeamId":2,"sub":[{"X":2}]}'), ("o", '{"teamid":3}')]).repartition(3)
+    plan = discover(df, (AutoTree("o", "o"),), "")
+    out = flatten(df, AutoTree("o", "o"), plan=plan)
+    assert rows(out["o"], "team_id", "team_id_2", "teamid") == sorted([(None, 1, None), (2, None, None), (None, None, 3)], key=repr)
+    assert plan.spellings == ("o.teamId AS team_id_2",)
+    assert sorted(sum((rows(out[t], "x") for t in out if "sub" in t), [])) == [(1,), (2,)]
+
+
+def keyed_bronze(bronze, n, extra=""):
+    made = [("o", '{"id":%d,"byPlayer":{%s}%s}' % (k, ",".join(f'"p{k * 7 + j}":{{"pts":{j},"w":"{k}","tags":[{{"t":{j}}}]}}' for j in range(3)), extra)) for k in range(n)]
+    return bronze(made)
+
+
+def test_objects_keyed_by_data_become_tables(bronze):
+    df = keyed_bronze(bronze, 700, ',"flags":{"a":1}')
+    tree = AutoTree("o", "o", keys={"o": ("id",), "byPlayer": ("id", "map_key")})
+    plan = discover(df, (tree,), "")
+    assert plan.keyed == ("o.byPlayer",) and plan.dropped == ("o.flags.a",)
+    out = flatten(df, tree, plan=plan)
+    assert rows(out["by_player"], "id", "map_key", "pts", "w") == sorted([(k, f"p{k * 7 + j}", j, str(k)) for k in range(700) for j in range(3)], key=repr)
+    assert rows(out["tags"], "id", "map_key", "t") == sorted([(k, f"p{k * 7 + j}", j) for k in range(700) for j in range(3)], key=repr)
+
+
+def test_keyed_scalars_and_one_wide_row(bronze):
+    df = bronze([("o", '{"id":1,"score":{%s},"few":{"a":1,"b":2}}' % ",".join(f'"k{j}":{j}' for j in range(3000)))])
+    plan = discover(df, (AutoTree("o", "o", keys={"o": ("id",)}),), "")
+    out = flatten(df, AutoTree("o", "o", keys={"o": ("id",)}), plan=plan)
+    assert plan.keyed == ("o.score",) and plan.dropped == ("o.few.a", "o.few.b")
+    assert rows(out["score"], "id", "map_key", "value") == sorted([(1, f"k{j}", str(j)) for j in range(3000)], key=repr)
+
+
+def test_level_by_level_types_equal_merged_schemas(spark):
+    from payloom.operators.frontier import KeyedRule, infer_by_level
+    from payloom.operators.schema import infer_schema
+    from pyspark.sql import functions as F
+
+    texts = ['{"a":1,"b":[1,2.5],"c":{"d":null,"e":"x"},"f":[],"m":1,"n":1.25,"o":1e3}', '{"a":2.75,"b":[null],"c":{"d":true,"g":[[{"h":1}]]},"m":"s","n":700,"o":1}',
+             '{"c":{},"p":{"q":1},"r":[{"s":1},{"t":[]}]}', '{"p":[1],"a":123456789012345678901234567890,"u":null,"É.x":"y"}']
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(F.parse_json("t").alias("v")).repartition(3)
+    found = infer_by_level(df.select(F.lit(0).alias("node"), F.lit("").alias("section"), "v"), KeyedRule())[(0, "")]
+    assert found == infer_schema(df, "v")
 
 
 def test_plan_can_be_reused_without_inference(bronze):

@@ -93,6 +93,16 @@ def test_profile_opens_all_levels_or_says_so(spark):
         profile_paths(df, "v", 3).collect()
 
 
+def test_profile_of_long_texts_many_levels_and_odd_names(spark):
+    deep = "".join(f'{{"l{k}":[' for k in range(20)) + "1" + "]}" * 20
+    texts = ['{"s":"' + "x\\\"" * 400_000 + '"}', deep, '{"a.b":1,"a":{"b":2},"q\\"]":3,"\\\\":4,"É9":5,"9":6}']
+    df = spark.createDataFrame([(t,) for t in texts], "s string").select(F.parse_json("s").alias("v"))
+    found = {r["path"]: r["n_rows"] for r in profile_paths(df, "v").collect()}
+    assert "$" + "".join(f".l{k}[]" for k in range(20)) in found
+    assert {p: n for p, n in found.items() if not p.startswith("$.l") and p != "$"} == {
+        "$.s": 1, '$["a.b"]': 1, "$.a": 1, "$.a.b": 1, '$["q\\"]"]': 1, '$["\\\\"]': 1, "$.É9": 1, '$["9"]': 1}
+
+
 def test_checks_fail_one_by_one_also_at_run_time(spark):
     df = spark.range(3)
     found = Q.run_checks(spark, {
