@@ -6,20 +6,24 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from payloom.operators.keys import latest, quote, row_hash
 
 AUDIT = ("_source_table", "_loaded_at", "_updated_at")
 
 
-def surrogate_key(keys: Sequence[str], valid_from: str, fmt: str = "yyyy-MM-dd HH:mm:ss.SSSSSS") -> Column:
+def surrogate_key(keys: Sequence[str], valid_from: str, zoned: bool = True) -> Column:
     """Hash of natural key and start of validity; depends on source time only, so re-runs agree.
 
-    The time has all its microseconds. A missing key part has a text of its
-    own, so it neither equals an empty one nor moves the parts behind it.
+    The time counts as microseconds since 1970, whatever zone a session is in and whichever
+    clock changed. Key parts have their length before them and a missing one is
+    a mark of its own, so no two keys have one text. ``zoned``: the time is an instant, not a wall-clock time.
     """
-    parts = [F.coalesce(F.col(quote(k)).cast("string"), F.lit("\x00")) for k in keys]
-    return F.sha2(F.concat_ws("|", *parts, F.date_format(valid_from, fmt)), 256)
+    texts = [F.col(quote(k)).cast("string") for k in keys]
+    parts = [F.coalesce(F.concat(F.octet_length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    at = F.unix_micros(valid_from) if zoned else F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(valid_from))
+    return F.sha2(F.concat(*parts, F.lit("@"), F.coalesce(at.cast("string"), F.lit("-"))), 256)
 
 
 def with_audit(df: DataFrame, source: str, loaded_at: Column | None = None) -> DataFrame:
@@ -91,23 +95,27 @@ def scd2(df: DataFrame, keys: Sequence[str], tracked: Sequence[str], ts: str, or
         *[F.col(quote(c)) for c in carry], F.col("__at").alias("valid_from"),
         F.coalesce("__next", "__later").alias("valid_to"))
     out = out.withColumn("is_current", F.col("valid_to").isNull())
-    return out.withColumn(sk, surrogate_key(keys, "valid_from")) if sk else out
+    zoned = not isinstance(df.schema[ts].dataType, T.TimestampNTZType)
+    return out.withColumn(sk, surrogate_key(keys, "valid_from", zoned)) if sk else out
 
 
 def carry_forward(df: DataFrame, keys: Sequence[str], columns: Sequence[str], ts: str, chunk: str = "year") -> DataFrame:
     """Each row with the last known value of every column up to its time, per key.
 
     Within (key, chunk of time) by a running window; what earlier chunks of a
-    key end with comes from one row per key and chunk.
+    key end with comes from one row per key and chunk. Missing key parts are a
+    key like others; a row without time stays as it is and hands nothing on.
     """
-    rows = df.withColumn("__chunk", F.date_trunc(chunk, F.col(quote(ts))))
-    running = Window.partitionBy(*keys, "__chunk").orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
-    ends = rows.groupBy(*keys, "__chunk").agg(*[
+    # A struct is never NULL, so rows with missing key parts or times find their chunk.
+    rows = df.withColumns({"__k": F.struct(*[F.col(quote(k)) for k in keys]), "__chunk": F.struct(F.date_trunc(chunk, F.col(quote(ts))).alias("at"))})
+    running = Window.partitionBy("__k", "__chunk").orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
+    ends = rows.groupBy("__k", "__chunk").agg(*[
         F.max_by(F.col(quote(c)), F.when(F.col(quote(c)).isNotNull(), F.col(quote(ts)))).alias(f"__e_{c}") for c in columns])
-    earlier = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    ends = ends.select(*keys, "__chunk", *[F.last(f"__e_{c}", ignorenulls=True).over(earlier).alias(f"__b_{c}") for c in columns])
-    filled = rows.withColumns({f"__r_{c}": F.last(F.col(quote(c)), ignorenulls=True).over(running) for c in columns})
-    joined = filled.join(ends, [*keys, "__chunk"])
+    earlier = Window.partitionBy("__k").orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select("__k", "__chunk", *[F.last(f"__e_{c}", ignorenulls=True).over(earlier).alias(f"__b_{c}") for c in columns])
+    timed = F.col(quote(ts)).isNotNull()
+    filled = rows.withColumns({f"__r_{c}": F.when(timed, F.last(F.col(quote(c)), ignorenulls=True).over(running)).otherwise(F.col(quote(c))) for c in columns})
+    joined = filled.join(ends, ["__k", "__chunk"])
     return joined.select(*[F.coalesce(f"__r_{c}", f"__b_{c}").alias(c) if c in columns else F.col(quote(c)) for c in df.columns])
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payloom.operators.keys import max_per_key
+from payloom.plans import ledger as ledgers
 from payloom.plans.spec import Pipeline
 from payloom.plans.tables import pipeline_tables, plan_shapes, table_name
 from payloom.sinks import logs
@@ -86,6 +87,9 @@ class Run:
     params: Mapping[str, str]
     low: datetime | None = None
     high: datetime | None = None
+    # With a ledger the run takes the loads that it lacks, in place of a window; ``runs`` are those its key has had.
+    ledger: str | None = None
+    runs: int = 0
 
     @property
     def key(self) -> str:
@@ -94,8 +98,12 @@ class Run:
 
 def discover_runs(spark: SparkSession, pipelines: Iterable[Pipeline], audit: str, competitions: Sequence[str] = (),
                   seasons: Sequence[str] = (), sources: Mapping[str, str] | None = None,
-                  errors: str | None = None, run_id: str | None = None) -> list[Run]:
-    """What is due now. A source that cannot be read stops discovery, after all were looked at."""
+                  errors: str | None = None, run_id: str | None = None, ledger: str | None = None) -> list[Run]:
+    """What is due now. A source that cannot be read stops discovery, after all were looked at.
+
+    With a ``ledger`` (a table of ``plans.ledger``) every load counts that it lacks, also one with a load time
+    below the high-water mark. A load, i.e. a source id and a load time, has to be in the source as a whole.
+    """
     run_id = run_id or str(uuid.uuid4())
     frames, failed = [], {}
     by_name = {}
@@ -119,6 +127,8 @@ def discover_runs(spark: SparkSession, pipelines: Iterable[Pipeline], audit: str
     marks = frames[0]
     for f in frames[1:]:
         marks = marks.unionAll(f)
+    if ledger:
+        return _due_by_ledger(spark, by_name, audit, competitions, seasons, sources, ledger)
     # One row per pipeline and parameter set: bounded by the request, not by the data.
     rows = run_list(marks, spark.table(audit)).collect()
     return [
@@ -128,6 +138,20 @@ def discover_runs(spark: SparkSession, pipelines: Iterable[Pipeline], audit: str
     ]
 
 
+def _due_by_ledger(spark: SparkSession, by_name: Mapping[str, Pipeline], audit: str, competitions: Sequence[str], seasons: Sequence[str],
+                   sources: Mapping[str, str] | None, ledger: str) -> list[Run]:
+    ledgers.create_ledger(spark, ledger)
+    runs = {r["audit_key"]: r["runs"] for r in target_watermarks(spark.table(audit)).collect()}
+    out = []
+    for name, pipe in sorted(by_name.items()):
+        for p in combinations(pipe, competitions, seasons):
+            bronze = read_bronze(spark, (sources or {}).get(name, pipe.source), scope_filter(pipe.scope, p, pipe.scope_exact))
+            entry = Run(pipe, p, ledger=ledger, runs=runs.get(key_of(name, p), 0))
+            if not ledgers.new_loads(bronze, spark.table(ledger), entry.key).isEmpty():
+                out.append(entry)
+    return out
+
+
 def run(spark: SparkSession, entry: Run, audit: str, run_id: str, source: str | None = None,
         mode: str | None = None, shapes=None, staged: bool = False) -> dict[str, int]:
     """Flatten one window of one source into its tables and note it in the audit log.
@@ -144,6 +168,8 @@ def run(spark: SparkSession, entry: Run, audit: str, run_id: str, source: str |
     source = source or pipe.source
     bronze = read_bronze(spark, source, scope_filter(pipe.scope, entry.params, pipe.scope_exact),
                          window_filter(entry.low, entry.high))
+    loads = ledgers.due(bronze, spark.table(entry.ledger), entry.key) if entry.ledger else None
+    bronze = ledgers.rows_of(bronze, loads) if loads is not None else bronze
     if staged:
         bronze = stage(bronze, f"{run_id}/{entry.key}")
     shapes = shapes or plan_shapes(pipe, bronze)
@@ -152,9 +178,12 @@ def run(spark: SparkSession, entry: Run, audit: str, run_id: str, source: str |
             LOG.warning("%s: %s %s", entry.key, what, ", ".join(getattr(shapes[0], what)))
     tables = pipeline_tables(pipe, bronze, shapes, spread=pipe.spread)
     named = {table_name(pipe, suffix): df for suffix, df in tables.items()}
-    load = f"{entry.key}@{entry.low.isoformat() if entry.low else 'start'}"
-    counts = write_all(named, source, mode or pipe.write_mode, load, f"{entry.key}@" if entry.low is None else None)
+    # Named by what doesn't change until the run is noted: a run that broke off replaces its rows when it is run again.
+    load = f"{entry.key}@{f'run {entry.runs}' if entry.ledger else entry.low.isoformat() if entry.low else 'start'}"
+    counts = write_all(named, source, mode or pipe.write_mode, load, f"{entry.key}@" if entry.low is None and not entry.ledger else None)
     logs.log_audit(bronze, audit, run_id, entry.key, source)
+    if loads is not None:
+        ledgers.note(loads, entry.ledger, entry.key, load)
     return counts
 
 

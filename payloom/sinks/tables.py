@@ -10,7 +10,7 @@ from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,7 +57,7 @@ def _tag(dtype: T.DataType) -> str:
     return plain if isinstance(dtype, T.AtomicType) else f"{type(dtype).__name__.lower()}_{hashlib.sha1(dtype.simpleString().encode()).hexdigest()[:8]}"
 
 
-def _as_type(name: str, given: T.DataType, to: T.DataType) -> str:
+def as_type(name: str, given: T.DataType, to: T.DataType) -> str:
     """SQL that reads a column as a wider type. Text is what the payload said: decimals without the zeros that their column added."""
     value = quote_name(name)
     if given == to:
@@ -120,7 +120,7 @@ def _show(spark: SparkSession, target: str, store: str, loads: bool) -> None:
     for name, fields in _places(spark, store).items():
         if name != LOAD or loads:
             to = reduce(wider, [f.dataType for f in fields])
-            parts = [_as_type(f.name, f.dataType, to) for f in fields]
+            parts = [as_type(f.name, f.dataType, to) for f in fields]
             columns.append(f"{parts[0] if len(parts) == 1 else f'coalesce({', '.join(parts)})'} AS {quote_name(fields[0].name)}")
     wanted = f"SELECT {', '.join(columns)} FROM {_table(store)}"
     spark.sql(f"CREATE OR REPLACE VIEW {_table(target)} TBLPROPERTIES ('{STORE}' = {_literal(store)}, '{LOADS}' = '{int(loads)}') AS {wanted}")
@@ -163,7 +163,7 @@ def _fit(spark: SparkSession, df: DataFrame, store: str) -> DataFrame:
         else:
             at = T.StructField(f"{own[0].name}~{_tag(f.dataType)}" if own else f.name, f.dataType)
             new.append(at)
-        columns.append(F.expr(_as_type(f.name, f.dataType, at.dataType)).alias(at.name))
+        columns.append(F.expr(as_type(f.name, f.dataType, at.dataType)).alias(at.name))
     if new:
         spark.sql(f"ALTER TABLE {_table(store)} ADD COLUMNS ({', '.join(f'{quote_name(f.name)} {f.dataType.simpleString()}' for f in new)})")
     return df.select(*columns)
@@ -250,6 +250,21 @@ def write_table(df: DataFrame, target: str, mode: str = "append", source: str =
     return n
 
 
+def write_loads(df: DataFrame, target: str, load: Column, names: Iterable[str]) -> None:
+    """Write several loads at once, each row in the one that ``load`` names, and swap them all in one commit.
+
+    ``names`` are the loads that get rows.
+    """
+    spark = df.sparkSession
+    write_table(df.limit(0), target, load=f"{target} schema")
+    store, _ = _shown(spark, target)
+    fitted = _fit(spark, df.withColumn(LOAD, load), store)
+    fitted.write.format("parquet").mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(LOAD).save(_location(spark, store))
+    for name in names:
+        spark.sql(f"ALTER TABLE {_table(store)} ADD IF NOT EXISTS PARTITION ({LOAD} = {_literal(name)})")
+    spark.catalog.refreshTable(store)
+
+
 def write_all(tables: Mapping[str, DataFrame], source: str = "", mode: str = "append", load: str | None = None,
               supersedes: str | None = None) -> dict[str, int]:
     """Write every table of a fan-out, a few at a time; keys are full table names.

@@ -30,7 +30,7 @@ def versions_sql(rows: str, key: str, tracked: tuple[str, ...], out: str, sk: st
     changed = " OR ".join(f"{c} IS DISTINCT FROM p_{c}" for c in tracked)
     return f"""
     WITH r AS ({rows}), s AS (SELECT *, {prev}, row_number() OVER w AS n FROM r WINDOW w AS (PARTITION BY {key} ORDER BY seen))
-    SELECT sha256({key} || '|' || strftime(seen, '%Y-%m-%d %H:%M:%S.%f')) AS {sk}, {out}, seen AS valid_from,
+    SELECT sha256(strlen({key}::VARCHAR) || ':' || {key} || '@' || epoch_us(seen)) AS {sk}, {out}, seen AS valid_from,
            lead(seen) OVER (PARTITION BY {key} ORDER BY seen) AS valid_to,
            lead(seen) OVER (PARTITION BY {key} ORDER BY seen) IS NULL AS is_current, {audit_sql(source, None)}
     FROM s WHERE n = 1 OR {changed}"""

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from payloom.functions.variant import get
 from payloom.operators.keys import max_per_key
-from payloom.plans.incremental import run_list, source_watermarks, target_watermarks
+from payloom.plans.incremental import discover_runs, run_all, run_list, source_watermarks, target_watermarks
 from payloom.operators.flatten import flatten
 from payloom.plans.spec import AutoTree, Field, Pipeline, Root
+from payloom.sinks.compaction import compact, latest_rows
 from payloom.sinks.logs import audit_row
+from payloom.sinks import logs
 from payloom.sinks.tables import write_all, write_table
 from payloom.sources.bronze import scope_filter
 from payloom.streaming import load_stream, run_available
@@ -236,3 +238,36 @@ def three_windows_as_one(spark, sf):
                              {"item": ("true", {"line": text("concat(l_orderkey, '-', l_linenumber)"), "v": v})})
         write_table(flatten(bronze, GROWING.auto)["item"], target, load=f"growing@{k}")
     return spark.table(target).select("line", "v")
+
+
+@query("compacted_equals_latest", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate AS ingested_at FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey, l_suppkey, l_quantity) = 1""")
+def compacted_equals_latest(spark, sf):
+    """Four loads, compacted after the second and the third: base and open loads give the newest row of each key."""
+    target, keys, tie = _fresh("lines"), ("l_orderkey", "l_linenumber"), ("l_partkey", "l_suppkey", "l_quantity")
+    rows = table(spark, sf, "lineitem").select(*keys, *tie, F.col("l_shipdate").alias("ingested_at"))
+    for k in range(4):
+        write_table(rows.filter(f"(l_partkey + l_suppkey) % 4 = {k}"), target, load=f"lines@{k}")
+        if k in (1, 2):
+            compact(spark, target, keys, buckets=8, tiebreak=tie)
+    return latest_rows(spark, target, keys, tiebreak=tie).select(*keys, *tie, "ingested_at")
+
+
+@query("late_rows_loaded", f"""SELECT {LINE}, l_partkey AS v FROM lineitem""")
+def late_rows_loaded(spark, sf):
+    """Loads from several days, of which the oldest arrive last: with a ledger each line is loaded once."""
+    name = _fresh("late")
+    source, pipe = f"{_folder(spark, 'late_source')}/bronze", dataclasses.replace(GROWING, name=name, prefix=name, source="")
+    logs.create_logs(spark, f"{name}_audit", f"{name}_errors")
+    shape = {"line": text("concat(l_orderkey, '-', l_linenumber)"), "v": "CAST(l_partkey AS bigint)"}
+    for days in ((4, 5), (6, 7), (1, 2, 3)):
+        rows = table(spark, sf, "lineitem").filter(F.col("l_linenumber").isin(*days))
+        bronze = bronze_rows(rows, "concat('late_', l_orderkey % 10)", "timestampadd(DAY, l_linenumber, timestamp'2024-01-01')", {"item": ("true", shape)})
+        bronze.write.mode("append").parquet(source)
+        due = discover_runs(spark, [pipe], f"{name}_audit", sources={name: source}, ledger=f"{name}_ledger")
+        run_all(spark, due, f"{name}_audit", f"{name}_errors", {name: source})
+    left = discover_runs(spark, [pipe], f"{name}_audit", sources={name: source}, ledger=f"{name}_ledger")
+    if left:
+        raise AssertionError("loads are due that were processed")
+    return spark.table(f"{name}_item").select("line", "v")

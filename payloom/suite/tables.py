@@ -106,7 +106,7 @@ s AS (SELECT *, lag(o_orderstatus) OVER w AS p1, lag(o_orderpriority) OVER w AS
 SELECT o_custkey, o_orderstatus, o_orderpriority, o_orderkey, o_orderdate AS valid_from,
        lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS valid_to,
        lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) IS NULL AS is_current,
-       sha256(o_custkey || '|' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%f')) AS cust_sk
+       sha256(strlen(o_custkey::VARCHAR) || ':' || o_custkey || '@' || epoch_us(o_orderdate)) AS cust_sk
 FROM s WHERE n = 1 OR o_orderstatus IS DISTINCT FROM p1 OR o_orderpriority IS DISTINCT FROM p2""")
 def scd2_surrogate_key(spark, sf):
     return scd2(table(spark, sf, "orders"), ("o_custkey",), ("o_orderstatus", "o_orderpriority"), "o_orderdate",

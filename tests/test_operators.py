@@ -103,6 +103,29 @@ def test_profile_of_long_texts_many_levels_and_odd_names(spark):
         "$.s": 1, '$["a.b"]': 1, "$.a": 1, "$.a.b": 1, '$["q\\"]"]': 1, '$["\\\\"]': 1, "$.É9": 1, '$["9"]': 1}
 
 
+def test_surrogate_keys_depend_on_no_zone_and_no_separator(spark):
+    df = spark.sql("""SELECT * FROM VALUES ('a|b', 'c', 0), ('a', 'b|c', 0), ('1:a', '', 0), ('1', 'a', 0), (NULL, '-', 0), ('-', NULL, 0), ('x', 'y', 1604208600), ('x', 'y', 1604212200) AS t(k, l, s)""")
+    df = df.selectExpr("k", "l", "timestamp_seconds(s) AS at", "timestampadd(SECOND, s, timestamp_ntz'1970-01-01') AS wall")
+    found = {}
+    for zone in ("UTC", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            found[zone] = [tuple(r) for r in df.select(surrogate_key(["k", "l"], "at"), surrogate_key(["k", "l"], "wall", zoned=False)).collect()]
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert found["UTC"] == found["America/New_York"] and all(a == b for a, b in found["UTC"])
+    assert len({a for a, _ in found["UTC"]}) == 8
+
+
+def test_carry_forward_keeps_rows_without_key_or_time(spark):
+    from payloom.operators.scd import carry_forward
+
+    df = spark.sql("""SELECT * FROM VALUES ('a', timestamp'2023-01-01', 1), ('a', timestamp'2024-01-01', NULL), (NULL, timestamp'2024-01-01', 5), (NULL, timestamp'2025-01-01', NULL),
+                      ('a', NULL, NULL), ('a', NULL, 7) AS t(k, at, v)""")
+    got = sorted((tuple(r) for r in carry_forward(df, ["k"], ["v"], "at").selectExpr("k", "year(at)", "v").collect()), key=repr)
+    assert got == sorted([("a", 2023, 1), ("a", 2024, 1), (None, 2024, 5), (None, 2025, 5), ("a", None, None), ("a", None, 7)], key=repr)
+
+
 def test_checks_fail_one_by_one_also_at_run_time(spark):
     df = spark.range(3)
     found = Q.run_checks(spark, {

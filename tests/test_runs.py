@@ -277,6 +277,75 @@ def test_failed_run_leaves_no_repeats_when_run_again(spark, coaches, monkeypatch
     assert rows(spark.table("bronze_stats_flatten.coaches_coach"), "coach_id") == [("c1",), ("c2",), ("c3",)]
 
 
+def test_compaction_rewrites_touched_buckets_only(spark):
+    from payloom.operators.keys import latest
+    from payloom.sinks.compaction import compact, latest_rows, reopen
+
+    names = ["kept", "kept__base", "kept__compacted"]
+    drop_tables(spark, names)
+
+    def load(name, low, high, at, v="id"):
+        df = spark.range(low, high).selectExpr("id AS k", f"{v} AS v", f"timestamp'2024-01-0{at} 00:00:00' AS ingested_at", "'s' AS ingested_from")
+        write_table(df, "kept", load=name)
+
+    def same():
+        want = latest(spark.table("kept").drop("load_key"), ("k",))
+        assert rows(latest_rows(spark, "kept", ("k",)), "k", "v", "ingested_at") == rows(want, "k", "v", "ingested_at")
+
+    load("l@1", 0, 200, 1)
+    same()
+    assert compact(spark, "kept", ("k",), buckets=16) == 16 and compact(spark, "kept", ("k",), buckets=16) == 0
+    same()
+    before = files(spark, "kept__base")
+    load("l@2", 7, 8, 2, "id * 100")
+    same()
+    assert compact(spark, "kept", ("k",), buckets=16) == 1
+    assert len(before - files(spark, "kept__base")) == 1
+    same()
+    # Older than what the base has, in a wider type, and a load that is loaded anew.
+    load("l@3", 5, 9, 1, "concat('x', id)")
+    same()
+    compact(spark, "kept", ("k",), buckets=16)
+    load("l@3", 300, 310, 3, "concat('y', id)")
+    reopen(spark, "kept", "l@3")
+    assert compact(spark, "kept", ("k",), buckets=16) > 1
+    assert latest_rows(spark, "kept", ("k",)).count() == 210
+    drop_tables(spark, names)
+
+
+def test_late_loads_are_due_with_a_ledger_and_a_failed_run_leaves_no_repeats(spark, coaches, monkeypatch):
+    from payloom.sinks import tables as sink
+
+    drop_tables(spark, ["run_ledger"])
+    pipe, write = pipeline("coaches"), sink.write_table
+
+    def step(broken=False):
+        def broken_write(df, target, *args):
+            if target.endswith("_coach"):
+                raise OSError("disk")
+            return write(df, target, *args)
+
+        due = I.discover_runs(spark, [pipe], "run_audit", ["111"], ["2024"], ledger="run_ledger")
+        with monkeypatch.context() as m:
+            if broken:
+                m.setattr(sink, "write_table", broken_write)
+                with pytest.raises(RuntimeError):
+                    I.run_all(spark, due, "run_audit", "run_errors")
+            else:
+                I.run_all(spark, due, "run_audit", "run_errors")
+        return len(due)
+
+    coaches(("111", 1, "Ann", "2024-01-05 00:00:00"))
+    assert step() == 1 and step() == 0
+    coaches(("111", 2, "Bea", "2024-01-02 00:00:00"))
+    assert step(broken=True) == 1
+    coaches(("111", 3, "Cai", "2024-01-01 00:00:00"), ("222", 8, "Other", "2024-01-01 00:00:00"))
+    assert step() == 1 and step() == 0
+    assert rows(spark.table("bronze_stats_flatten.coaches_coach"), "coach_id", "full_name") == [("c1", "Ann"), ("c2", "Bea"), ("c3", "Cai")]
+    assert spark.table("run_ledger").count() == 3 and spark.table("run_audit").count() == 2
+    drop_tables(spark, ["run_ledger"])
+
+
 def test_stream_drops_repeats(spark, tmp_path):
     src = str(tmp_path / "src")
     spark.sql("SELECT * FROM VALUES (1, timestamp'2024-01-01'), (1, timestamp'2024-01-01'), (2, timestamp'2024-01-01') AS t(k, ts)").write.parquet(src)
