@@ -17,10 +17,9 @@ from payloom.llm.common import written
 
 FLUSH_WORDS = 300_000
 TOP_WORDS = 1 << 18
-OWN_CLASSES = 6144
 SHARED_CLASSES = 2047
-CLASSES = OWN_CLASSES + SHARED_CLASSES + 1
-END = CLASSES - 1
+#: At most; a model has a class per frequent word that there is.
+CLASSES = TOP_WORDS + SHARED_CLASSES + 1
 SEGMENT = 256
 BATCH_TOKENS = 1 << 18
 SCORE_TOKENS = 1 << 21
@@ -43,13 +42,12 @@ class Model(NamedTuple):
 class Vocabulary(NamedTuple):
     """Training counts: the most frequent words one by one, all others by shared class.
 
-    rank: place of a word's hash among the frequent; logs and classes by rank;
-    within: log10 of what a shared class's words divide by.
+    rank: place of a word's hash among the frequent, which is its class; logs
+    by rank; within: log10 of what a shared class's words divide by.
     """
 
     rank: dict[int, int]
     log_count: np.ndarray
-    class_of: np.ndarray
     within: np.ndarray
     class_count: np.ndarray
     tokens: int
@@ -115,13 +113,10 @@ def vocabulary(counts: DataFrame, texts: int) -> Vocabulary:
     for r in rows:
         total[r.c], distinct[r.c] = r.n, r.v
     tokens, words = int(total.sum()), int(distinct.sum())
-    own = word[:OWN_CLASSES]
-    np.subtract.at(total, own % SHARED_CLASSES, n[:OWN_CLASSES])
-    np.subtract.at(distinct, own % SHARED_CLASSES, 1)
-    classes = (OWN_CLASSES + word % SHARED_CLASSES).astype(np.uint16)
-    classes[:OWN_CLASSES] = np.arange(len(own))
-    by_class = np.concatenate([np.pad(n[:OWN_CLASSES], (0, OWN_CLASSES - len(own))), total, [texts]]).astype(np.float64)
-    return Vocabulary(dict(zip(word.tolist(), range(len(word)), strict=True)), np.log10(n + ADD), classes, np.log10(total + ADD * (distinct + 1)),
+    np.subtract.at(total, word % SHARED_CLASSES, n)
+    np.subtract.at(distinct, word % SHARED_CLASSES, 1)
+    by_class = np.concatenate([n, total, [texts]]).astype(np.float64)
+    return Vocabulary(dict(zip(word.tolist(), range(len(word)), strict=True)), np.log10(n + ADD), np.log10(total + ADD * (distinct + 1)),
                       by_class, tokens + texts, words + bool(texts), texts)
 
 
@@ -142,18 +137,14 @@ class _Ranks(dict):
 def encode(text: bytes | None, ranks: dict, vocab: Vocabulary) -> tuple:
     """(tokens, classes, known among the frequent, their log10(c + 0.1), log10 of words given their class without rare counts, rare words, their counts)."""
     words = words_of(text)
-    rank = np.array([ranks[w] for w in words], np.int64)
-    common = rank[rank >= 0]
-    rare = Counter(signed_hash(words[k]) for k in np.flatnonzero(rank < 0).tolist())
-    classes = np.empty(len(words) + 1, np.uint16)
-    classes[-1] = END
-    classes[:-1][rank >= 0] = vocab.class_of[common]
-    missing = np.flatnonzero(rank < 0)
-    if len(missing):
-        classes[missing] = OWN_CLASSES + np.array([signed_hash(words[k]) for k in missing.tolist()], np.int64) % SHARED_CLASSES
-    shared = classes[:-1][classes[:-1] >= OWN_CLASSES] - OWN_CLASSES
-    class_log = float(vocab.log_count[common[common >= OWN_CLASSES]].sum() - vocab.within[shared].sum())
-    return len(words) + 1, classes.astype("<u2").tobytes(), len(common), float(vocab.log_count[common].sum()), class_log, list(rare), list(rare.values())
+    classes = np.full(len(words) + 1, len(vocab.class_count) - 1, np.uint32)
+    classes[:-1] = rank = np.array([ranks[w] for w in words], np.int64)
+    common, missing = rank[rank >= 0], np.flatnonzero(rank < 0)
+    hashes = [signed_hash(words[k]) for k in missing.tolist()]
+    shared = np.array(hashes, np.int64) % SHARED_CLASSES
+    classes[missing] = len(vocab.rank) + shared
+    rare = Counter(hashes)
+    return len(words) + 1, classes.astype("<u4").tobytes(), len(common), float(vocab.log_count[common].sum()), -float(vocab.within[shared].sum()), list(rare), list(rare.values())
 
 
 def _ragged(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -207,7 +198,7 @@ def expected_counts(segments: list[np.ndarray], first: np.ndarray, model: Model)
         gammas.append(alphas[t] * beta[:n])
         symbols.append(flat[starts[:n] + t])
     gamma, symbol = np.concatenate(gammas), np.concatenate(symbols)
-    emissions = np.stack([np.bincount(symbol, weights=gamma[:, s], minlength=CLASSES) for s in range(k)], axis=1)
+    emissions = np.stack([np.bincount(symbol, weights=gamma[:, s], minlength=len(model.emit)) for s in range(k)], axis=1)
     at_start = gammas[-1]
     return emissions, moves * model.move, at_start[first[:len(at_start)]].sum(0), at_start[~first[:len(at_start)]].sum(0), total
 
@@ -215,26 +206,25 @@ def expected_counts(segments: list[np.ndarray], first: np.ndarray, model: Model)
 def _baum_welch(encoded: DataFrame, model: Model) -> tuple[np.ndarray, float]:
     """Summed counts over all training texts: rows for classes, states, first and later starts."""
     spark = encoded.sparkSession
-    k = len(model.start)
+    size_of, k = model.emit.shape
     shared = spark.sparkContext.broadcast(model)
     names = [f"s{s}" for s in range(k)]
     schema = pa.schema([("row", pa.int32()), *((s, pa.float64()) for s in names)])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((CLASSES + k + 3, k))
+        sums = np.zeros((size_of + k + 3, k))
         held, first, size = [], [], 0
 
         def add() -> None:
             emissions, moves, starts, later, total = expected_counts(held, np.array(first), shared.value)
-            sums[:CLASSES] += emissions
-            sums[CLASSES:CLASSES + k] += moves
-            sums[CLASSES + k] += starts
-            sums[CLASSES + k + 1] += later
-            sums[CLASSES + k + 2, 0] += total
+            sums[:size_of] += emissions
+            sums[size_of:size_of + k] += moves
+            sums[size_of + k:size_of + k + 2] += starts, later
+            sums[size_of + k + 2, 0] += total
 
         for batch in batches:
             for raw in batch.column(0).to_pylist():
-                text = np.frombuffer(raw, "<u2")
+                text = np.frombuffer(raw, "<u4")
                 for at in range(0, len(text), SEGMENT):
                     held.append(text[at:at + SEGMENT])
                     first.append(at == 0)
@@ -249,7 +239,7 @@ def _baum_welch(encoded: DataFrame, model: Model) -> tuple[np.ndarray, float]:
 
     rows = encoded.filter("NOT held_out").select("classes").mapInArrow(count, "row int, " + ", ".join(f"{s} double" for s in names))
     summed = rows.groupBy("row").agg(*(F.sum(s).alias(s) for s in names)).toArrow()  # a row per class and state at most
-    out = np.zeros((CLASSES + k + 3, k))
+    out = np.zeros((size_of + k + 3, k))
     out[summed.column("row").to_numpy()] = np.stack([summed.column(s).to_numpy() for s in names], axis=1)
     return out[:-1], float(out[-1, 0])
 
@@ -258,19 +248,27 @@ def _first_model(vocab: Vocabulary, states: int, seed: int) -> Model:
     """States that last, with emissions far enough apart for few rounds to part them."""
     random = np.random.RandomState(seed)
     prior = (vocab.class_count + 0.5) / (vocab.class_count + 0.5).sum()
-    emit = prior[:, None] * random.exponential(1.0, (CLASSES, states))
+    emit = prior[:, None] * random.exponential(1.0, (len(prior), states))
     move = np.full((states, states), 0.1 / max(states - 1, 1))
     np.fill_diagonal(move, 0.9)
     flat = np.full(states, 1 / states)
     return Model(flat, flat, move / move.sum(1, keepdims=True), emit / emit.sum(0))
 
 
-def _next_model(sums: np.ndarray, vocab: Vocabulary, prior_weight: float = 100.0) -> Model:
-    """Normalised counts; a little of the class distribution goes to every state, so no sequence is impossible."""
-    k = sums.shape[1]
+def _next_model(sums: np.ndarray, vocab: Vocabulary, prior_weight: float = 100.0, shrink: float = 5.0) -> Model:
+    """Normalised counts, smoothed twice.
+
+    Each class's split over the states is mixed with that of all tokens, which
+    weighs as much as `shrink` of its own occurrences: a word seen once tells
+    little of its state. And a little of the class distribution goes to every
+    state, so no sequence is impossible.
+    """
+    k, size = sums.shape[1], len(vocab.class_count)
     prior = (vocab.class_count + 0.5) / (vocab.class_count + 0.5).sum()
-    emit = sums[:CLASSES] + prior_weight * prior[:, None]
-    move, start, later = sums[CLASSES:CLASSES + k] + 1 / k, sums[CLASSES + k] + 1 / k, sums[CLASSES + k + 1] + 1 / k
+    seen = sums[:size]
+    total = seen.sum(1, keepdims=True)
+    emit = (seen + shrink * seen.sum(0) / max(seen.sum(), 1)) * total / (total + shrink) + prior_weight * prior[:, None]
+    move, start, later = sums[size:size + k] + 1 / k, sums[size + k] + 1 / k, sums[size + k + 1] + 1 / k
     return Model(start / start.sum(), later / later.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(0))
 
 
@@ -284,7 +282,7 @@ def score_texts(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
 
     base_score: the log10 probability under counts plus 0.1. score: that of
     the hidden Markov model. Its states emit classes: one for each of the
-    OWN_CLASSES most frequent words, for the end, and SHARED_CLASSES for all
+    TOP_WORDS most frequent words, for the end, and SHARED_CLASSES for all
     other words by hash; a word of a shared class follows with its share of
     the class's counts plus 0.1, an unseen word as one more of the class. The
     probabilities of all texts sum to one, whatever words they hold.
@@ -332,7 +330,7 @@ def score_texts(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
         for batch in batches:
             out, held, size = [], [], 0
             for raw in batch.to_pylist():
-                held.append(np.frombuffer(raw, "<u2"))
+                held.append(np.frombuffer(raw, "<u4"))
                 size += len(held[-1])
                 if size >= SCORE_TOKENS:
                     out.append(log_likelihoods(held, final.value))
