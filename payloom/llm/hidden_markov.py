@@ -17,8 +17,10 @@ from payloom.llm.common import written
 
 FLUSH_WORDS = 300_000
 TOP_WORDS = 1 << 18
+#: Words seen so often have a class of their own, as far as they are among the TOP_WORDS.
+OWN_COUNT = 5
 SHARED_CLASSES = 2047
-#: At most; a model has a class per frequent word that there is.
+#: At most; a model has a class per word with one of its own.
 CLASSES = TOP_WORDS + SHARED_CLASSES + 1
 SEGMENT = 256
 BATCH_TOKENS = 1 << 18
@@ -42,12 +44,13 @@ class Model(NamedTuple):
 class Vocabulary(NamedTuple):
     """Training counts: the most frequent words one by one, all others by shared class.
 
-    rank: place of a word's hash among the frequent, which is its class; logs
-    by rank; within: log10 of what a shared class's words divide by.
+    rank: place of a word's hash among the frequent; logs and classes by rank;
+    within: log10 of what a shared class's words divide by.
     """
 
     rank: dict[int, int]
     log_count: np.ndarray
+    class_of: np.ndarray
     within: np.ndarray
     class_count: np.ndarray
     tokens: int
@@ -113,10 +116,13 @@ def vocabulary(counts: DataFrame, texts: int) -> Vocabulary:
     for r in rows:
         total[r.c], distinct[r.c] = r.n, r.v
     tokens, words = int(total.sum()), int(distinct.sum())
-    np.subtract.at(total, word % SHARED_CLASSES, n)
-    np.subtract.at(distinct, word % SHARED_CLASSES, 1)
-    by_class = np.concatenate([n, total, [texts]]).astype(np.float64)
-    return Vocabulary(dict(zip(word.tolist(), range(len(word)), strict=True)), np.log10(n + ADD), np.log10(total + ADD * (distinct + 1)),
+    own = int((n >= OWN_COUNT).sum())
+    np.subtract.at(total, word[:own] % SHARED_CLASSES, n[:own])
+    np.subtract.at(distinct, word[:own] % SHARED_CLASSES, 1)
+    classes = (own + word % SHARED_CLASSES).astype(np.uint32)
+    classes[:own] = np.arange(own)
+    by_class = np.concatenate([n[:own], total, [texts]]).astype(np.float64)
+    return Vocabulary(dict(zip(word.tolist(), range(len(word)), strict=True)), np.log10(n + ADD), classes, np.log10(total + ADD * (distinct + 1)),
                       by_class, tokens + texts, words + bool(texts), texts)
 
 
@@ -137,14 +143,17 @@ class _Ranks(dict):
 def encode(text: bytes | None, ranks: dict, vocab: Vocabulary) -> tuple:
     """(tokens, classes, known among the frequent, their log10(c + 0.1), log10 of words given their class without rare counts, rare words, their counts)."""
     words = words_of(text)
-    classes = np.full(len(words) + 1, len(vocab.class_count) - 1, np.uint32)
-    classes[:-1] = rank = np.array([ranks[w] for w in words], np.int64)
+    own = len(vocab.class_count) - 1 - SHARED_CLASSES
+    rank = np.array([ranks[w] for w in words], np.int64)
     common, missing = rank[rank >= 0], np.flatnonzero(rank < 0)
     hashes = [signed_hash(words[k]) for k in missing.tolist()]
-    shared = np.array(hashes, np.int64) % SHARED_CLASSES
-    classes[missing] = len(vocab.rank) + shared
     rare = Counter(hashes)
-    return len(words) + 1, classes.astype("<u4").tobytes(), len(common), float(vocab.log_count[common].sum()), -float(vocab.within[shared].sum()), list(rare), list(rare.values())
+    classes = np.full(len(words) + 1, own + SHARED_CLASSES, np.uint32)
+    classes[:-1][rank >= 0] = vocab.class_of[common]
+    classes[missing] = own + np.array(hashes, np.int64) % SHARED_CLASSES
+    shared = classes[:-1][classes[:-1] >= own] - own
+    class_log = float(vocab.log_count[common[vocab.class_of[common] >= own]].sum() - vocab.within[shared].sum())
+    return len(words) + 1, classes.astype("<u4").tobytes(), len(common), float(vocab.log_count[common].sum()), class_log, list(rare), list(rare.values())
 
 
 def _ragged(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -255,19 +264,11 @@ def _first_model(vocab: Vocabulary, states: int, seed: int) -> Model:
     return Model(flat, flat, move / move.sum(1, keepdims=True), emit / emit.sum(0))
 
 
-def _next_model(sums: np.ndarray, vocab: Vocabulary, prior_weight: float = 100.0, shrink: float = 5.0) -> Model:
-    """Normalised counts, smoothed twice.
-
-    Each class's split over the states is mixed with that of all tokens, which
-    weighs as much as `shrink` of its own occurrences: a word seen once tells
-    little of its state. And a little of the class distribution goes to every
-    state, so no sequence is impossible.
-    """
+def _next_model(sums: np.ndarray, vocab: Vocabulary, prior_weight: float = 100.0) -> Model:
+    """Normalised counts; a little of the class distribution goes to every state, so no sequence is impossible."""
     k, size = sums.shape[1], len(vocab.class_count)
     prior = (vocab.class_count + 0.5) / (vocab.class_count + 0.5).sum()
-    seen = sums[:size]
-    total = seen.sum(1, keepdims=True)
-    emit = (seen + shrink * seen.sum(0) / max(seen.sum(), 1)) * total / (total + shrink) + prior_weight * prior[:, None]
+    emit = sums[:size] + prior_weight * prior[:, None]
     move, start, later = sums[size:size + k] + 1 / k, sums[size + k] + 1 / k, sums[size + k + 1] + 1 / k
     return Model(start / start.sum(), later / later.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(0))
 
@@ -282,8 +283,8 @@ def score_texts(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
 
     base_score: the log10 probability under counts plus 0.1. score: that of
     the hidden Markov model. Its states emit classes: one for each of the
-    TOP_WORDS most frequent words, for the end, and SHARED_CLASSES for all
-    other words by hash; a word of a shared class follows with its share of
+    TOP_WORDS most frequent words that occurs OWN_COUNT times or more, for the
+    end, and SHARED_CLASSES for all other words by hash; a word of a shared class follows with its share of
     the class's counts plus 0.1, an unseen word as one more of the class. The
     probabilities of all texts sum to one, whatever words they hold.
 
