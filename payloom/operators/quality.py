@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -59,6 +60,98 @@ def expect_not_null(df: DataFrame, columns: Sequence[str], check_id: str) -> Dat
         for i, c in enumerate(columns)])))
 
 
+class TableRules(NamedTuple):
+    """Checks that rows and keys of one table answer.
+
+    unique: keys without two rows; not_null: columns; exactly: (keys, n) with
+    n rows per key; rows: at least one row, `where` within a scope.
+    """
+
+    unique: tuple[str, ...] = ()
+    not_null: tuple[str, ...] = ()
+    exactly: tuple[tuple[tuple[str, ...], int], ...] = ()
+    rows: bool = True
+    where: Column | None = None
+
+
+def rule_checks(make: Callable[[], DataFrame], name: str, rules: TableRules) -> dict[str, Callable[[], DataFrame]]:
+    """The rules of a table as checks by themselves, by id."""
+    checks: dict[str, Callable[[], DataFrame]] = {}
+    if rules.rows:
+        checks[f"{name}:rows"] = lambda: expect_rows(make(), f"{name}:rows", rules.where)
+    if rules.unique:
+        checks[f"{name}:unique"] = lambda: expect_unique(make(), rules.unique, f"{name}:unique")
+    for column in rules.not_null:
+        checks[f"{name}:{column}"] = lambda c=column: expect_not_null(make(), (c,), name)
+    for keys, n in rules.exactly:
+        checks[f"{name}:{n} rows"] = lambda k=keys, n=n: expect_exactly(make(), k, n, f"{name}:{n} rows")
+    return checks
+
+
+def check_table(df: DataFrame, name: str, rules: TableRules) -> DataFrame:
+    """Results of all rules of a table from one scan.
+
+    Rows are counted by every set of keys at once (grouping sets, one row per
+    key and task before the exchange); empty columns and rows in scope are
+    counted beside the keys of the first set. A rule on a column that the
+    table lacks is an ERROR row and takes no part.
+    """
+    has = {c.lower() for c in df.columns}
+
+    def known(columns: Sequence[str]) -> bool:
+        return all(c.lower() in has for c in columns)
+
+    wanted = [k for k in (rules.unique, *(k for k, _ in rules.exactly)) if k and known(k)]
+    sets = list(dict.fromkeys(tuple(sorted({c.lower() for c in k})) for k in wanted)) or [()]
+    columns = sorted({c for s in sets for c in s})
+    empty = [c for c in rules.not_null if known((c,))]
+    # Renamed, so that a count of empty values reads the column and not the grouping's empty stand-in for it.
+    plain = df.select(*[F.col(quote(c)).alias(f"k{i}") for i, c in enumerate(columns)], *[F.col(quote(c)).isNull().alias(f"e{i}") for i, c in enumerate(empty)],
+                      (F.lit(True) if rules.where is None else F.coalesce(rules.where, F.lit(False))).alias("inside"))
+    counts = [F.count(F.lit(1)).alias("n"), F.count_if("inside").alias("n_inside"), *[F.count_if(f"e{i}").alias(f"n_e{i}") for i in range(len(empty))]]
+    place = {c: f"k{i}" for i, c in enumerate(columns)}
+    if len(sets) > 1:
+        # The bits of a grouping's id tell the columns that it leaves out, the first column's being the highest.
+        ids = [sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in s) for s in sets]
+        counted = plain.groupingSets([[F.col(place[c]) for c in s] for s in sets], *[F.col(place[c]) for c in columns]).agg(F.grouping_id().alias("grouping"), *counts)
+    else:
+        ids = [0]
+        counted = plain.groupBy(*place.values()).agg(F.lit(0).alias("grouping"), *counts)
+
+    def of(keys: Sequence[str], bad: Column) -> Column:
+        at = ids[sets.index(tuple(sorted({c.lower() for c in keys})))]
+        return F.count_if((F.col("grouping") == at) & bad)
+
+    first = F.col("grouping") == ids[0]
+    found: list[tuple[str, Column | None]] = []
+    if rules.rows:
+        found.append((f"{name}:rows", F.when(F.coalesce(F.sum(F.when(first, F.col("n_inside"))), F.lit(0)) > 0, 0).otherwise(1)))
+    if rules.unique:
+        found.append((f"{name}:unique", of(rules.unique, F.col("n") > 1) if known(rules.unique) else None))
+    for c in rules.not_null:
+        found.append((f"{name}:{c}", F.coalesce(F.sum(F.when(first, F.col(f"n_e{empty.index(c)}"))), F.lit(0)) if c in empty else None))
+    for keys, n in rules.exactly:
+        found.append((f"{name}:{n} rows", of(keys, F.col("n") != n) if known(keys) else None))
+    bad = counted.agg(*[(F.lit(None) if b is None else b).cast("long").alias(f"b{i}") for i, (_, b) in enumerate(found)])
+    return bad.select(F.inline(F.array(*[
+        F.struct(F.lit(check_id).alias("check_id"),
+                 F.lit("ERROR").alias("status") if b is None else F.when(F.col(f"b{i}") == 0, "PASS").otherwise("FAIL").alias("status"),
+                 F.col(f"b{i}").alias("bad_rows"))
+        for i, (check_id, b) in enumerate(found)])))
+
+
+class Together(NamedTuple):
+    """Checks that share a scan, and the same checks one by one for the case that it fails."""
+
+    make: Callable[[], DataFrame]
+    apart: Mapping[str, Callable[[], DataFrame]]
+
+
+def table_rules(make: Callable[[], DataFrame], name: str, rules: TableRules) -> Together:
+    """One scan for the rules of the table that `make` gives."""
+    return Together(lambda: check_table(make(), name, rules), rule_checks(make, name, rules))
+
+
 def _pairs(on: Mapping[str, str] | Sequence[str]) -> dict[str, str]:
     return dict(on) if isinstance(on, Mapping) else {c: c for c in on}
 
@@ -183,18 +276,22 @@ def union_results(results: Iterable[DataFrame]) -> DataFrame:
     return out
 
 
-def run_checks(spark: SparkSession, checks: Mapping[str, Callable[[], DataFrame]], workers: int = 4) -> DataFrame:
+def run_checks(spark: SparkSession, checks: Mapping[str, Callable[[], DataFrame] | Together], workers: int = 4) -> DataFrame:
     """Results of all checks, run as jobs of their own, a few at a time.
 
     A check that cannot be planned or fails while it runs becomes an ERROR row
-    and leaves the others alone. Every check has a few result rows, so what
-    meets on the driver grows with the number of checks only.
+    and leaves the others alone; checks that share a scan are then run one by
+    one. Every check has a few result rows, so what meets on the driver grows
+    with the number of checks only.
     """
-    def one(check_id: str, make: Callable[[], DataFrame]) -> list[tuple]:
+    def one(check_id: str, make: Callable[[], DataFrame] | Together) -> list[tuple]:
+        plan = make.make if isinstance(make, Together) else make
         try:
-            return [tuple(r) for r in make().select(*RESULT).collect()]
+            return [tuple(r) for r in plan().select(*RESULT).collect()]
         except Exception as e:  # reported, not raised
             LOG.warning("check %s: %s", check_id, e)
+            if isinstance(make, Together):
+                return [r for c in make.apart.items() for r in one(*c)]
             return [(check_id, "ERROR", None)]
 
     with ThreadPoolExecutor(workers) as pool:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from payloom.operators import quality as Q
 
-Checks = dict[str, Callable[[], DataFrame]]
+Checks = dict[str, Callable[[], DataFrame] | Q.Together]
 
 # Key columns of output tables, by pipeline and table.
 KEYS: dict[str, dict[str, tuple[str, ...]]] = {
@@ -40,17 +40,13 @@ HAS_PARENT = {"matchdata": (("teams_match", "gameinfo", ("game_id",)),)}
 
 
 def table_checks(pipeline: str, tables: Mapping[str, DataFrame]) -> Checks:
-    """Checks of a pipeline's output tables, by id. A table that is missing makes its checks ERROR rows."""
+    """Checks of a pipeline's output tables: one scan a table, and a join per rule between two. A table that is missing makes its checks ERROR rows."""
     checks: Checks = {}
+    exactly = EXACTLY.get(pipeline, ())
     for table, keys in KEYS.get(pipeline, {}).items():
         name = f"{pipeline}.{table}"
-        checks[f"{name}:rows"] = lambda t=table, n=name: Q.expect_rows(tables[t], f"{n}:rows")
-        checks[f"{name}:unique"] = lambda t=table, n=name, k=keys: Q.expect_unique(tables[t], k, f"{n}:unique")
-        for key in keys:
-            checks[f"{name}:{key}"] = lambda t=table, n=name, k=key: Q.expect_not_null(tables[t], (k,), n)
-    for table, keys, n in EXACTLY.get(pipeline, ()):
-        name = f"{pipeline}.{table}:{n} rows"
-        checks[name] = lambda t=table, k=keys, n=n, c=name: Q.expect_exactly(tables[t], k, n, c)
+        rules = Q.TableRules(keys, keys, tuple((k, n) for t, k, n in exactly if t == table))
+        checks[name] = Q.table_rules(lambda t=table: tables[t], name, rules)
     for parent, child, on in HAS_CHILD.get(pipeline, ()):
         name = f"{pipeline}.{parent}:has {child}"
         checks[name] = lambda p=parent, c=child, o=on, i=name: Q.expect_children(tables[p], tables[c], o, i)
@@ -62,18 +58,15 @@ def table_checks(pipeline: str, tables: Mapping[str, DataFrame]) -> Checks:
 
 def source_checks(pipeline: str, bronze: Callable[[], DataFrame], scope: Column | None = None) -> Checks:
     """The source can be read, has rows (in scope), and every row has a load time."""
-    return {
-        f"{pipeline}.source:rows": lambda: Q.expect_rows(bronze(), f"{pipeline}.source:rows", scope),
-        f"{pipeline}.source:ingested_at": lambda: Q.expect_not_null(bronze(), ("ingested_at",), f"{pipeline}.source"),
-    }
+    name = f"{pipeline}.source"
+    return {name: Q.table_rules(bronze, name, Q.TableRules(not_null=("ingested_at",), where=scope))}
 
 
 def log_checks(expected: DataFrame, audit: DataFrame, errors: DataFrame, hours: int = 48) -> Checks:
     """Runs of all expected keys (column config_name) are noted, advance, are recent, and no error is left open."""
     return {
         "log:expected": lambda: Q.expect_keys(expected, audit, "log:expected"),
-        "log:unique": lambda: Q.expect_unique(audit, ("config_name", "ingested_at"), "log:unique"),
-        "log:ingested_at": lambda: Q.expect_not_null(audit, ("ingested_at",), "log"),
+        "log": Q.table_rules(lambda: audit, "log", Q.TableRules(("config_name", "ingested_at"), ("ingested_at",), rows=False)),
         "log:advancing": lambda: Q.expect_advancing(audit, "log:advancing"),
         "log:fresh": lambda: Q.expect_fresh(audit, "log:fresh", "flattened_at", hours),
         "log:resolved": lambda: Q.expect_resolved(errors, audit, "log:resolved"),
@@ -82,7 +75,7 @@ def log_checks(expected: DataFrame, audit: DataFrame, errors: DataFrame, hours:
 
 def check_pipelines(spark: SparkSession, outputs: Mapping[str, Mapping[str, DataFrame]],
                     sources: Mapping[str, Callable[[], DataFrame]] | None = None, more: Iterable[Checks] = ()) -> DataFrame:
-    """Results of the quality plans of the given pipelines and sources, each check a job of its own."""
+    """Results of the quality plans of the given pipelines and sources, one scan per table and source."""
     checks: Checks = {}
     for pipeline, tables in outputs.items():
         checks |= table_checks(pipeline, tables)

@@ -14,6 +14,7 @@ from payloom.operators import reshape as R
 from payloom.operators.entities import build_tables
 from payloom.operators.scd import fallback, scd1, scd2, surrogate_key
 from payloom.operators.schema import infer_schema, profile_paths
+from payloom.plans import checks as C
 from payloom.plans.spec import Field, Root
 
 
@@ -246,3 +247,56 @@ def test_checks_pass_fail_and_error(spark):
     with pytest.raises(AssertionError, match="n:v FAIL"):
         Q.assert_passed(results)
     Q.assert_passed(results.filter("status = 'PASS'"))
+
+
+def test_rules_of_a_table_take_one_scan(spark):
+    data = [(1, "a", None), (1, "a", 3), (2, None, 3), (None, "b", 3), (None, None, 4), (3, "c", 4)]
+    df = spark.createDataFrame(data, "k int, `v.w` string, x int")
+    rules = Q.TableRules(("k", "v.w"), ("k", "v.w", "x"), ((("k",), 2), (("x",), 3)), where=F.expr("x = 4"))
+    alone = [r for make in Q.rule_checks(lambda: df.withColumnRenamed("v.w", "v"), "t", Q.TableRules(("k", "v"), ("k", "v", "x"), rules.exactly, where=rules.where)).values()
+             for r in rows(make())]
+    got = Q.check_table(df, "t", rules)
+    assert rows(got) == sorted((c.replace("t:v", "t:v.w") if c == "t:v" else c, *r) for c, *r in alone)
+    assert rows(got) == [("t:2 rows", "FAIL", 2), ("t:3 rows", "FAIL", 2), ("t:k", "FAIL", 2), ("t:rows", "PASS", 0), ("t:unique", "FAIL", 1),
+                         ("t:v.w", "FAIL", 2), ("t:x", "FAIL", 1)]
+    for none in (df.limit(0), df.filter("x = 9")):
+        assert {r.check_id: r.bad_rows for r in Q.check_table(none, "t", rules).collect()} == {
+            "t:rows": 1, "t:unique": 0, "t:k": 0, "t:v.w": 0, "t:x": 0, "t:2 rows": 0, "t:3 rows": 0}
+    lacking = Q.check_table(df, "t", Q.TableRules(("k", "nope"), ("k", "nope"), where=F.expr("x > 9")))
+    assert rows(lacking) == [("t:k", "FAIL", 2), ("t:nope", "ERROR", None), ("t:rows", "FAIL", 1), ("t:unique", "ERROR", None)]
+
+
+def test_jobs_of_a_plan(spark, tmp_path):
+    """One query a table however many rules it has, one by one only where the scan breaks."""
+    spark.range(100).selectExpr("id AS game_id", "id % 7 AS team_id", "'s' AS ingested_from").write.parquet(str(tmp_path / "t"))
+    made = []
+
+    def table(columns=("*",)):
+        made.append(1)
+        return spark.read.parquet(str(tmp_path / "t")).selectExpr(*columns)
+
+    rules = Q.TableRules(("game_id", "team_id"), ("game_id", "team_id", "ingested_from"), ((("game_id",), 1), (("team_id",), 2)))
+    got = Q.run_checks(spark, {"t": Q.table_rules(table, "t", rules)})
+    assert len(made) == 1 and rows(got.groupBy("status").count()) == [("FAIL", 1), ("PASS", 6)]
+    plan = Q.check_table(table(), "t", rules)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1 and plan.count("Expand") == 1
+    broken = lambda: table(("game_id", "raise_error('x') AS team_id", "ingested_from"))
+    got = dict(r[:2] for r in rows(Q.run_checks(spark, {"t": Q.table_rules(broken, "t", rules)})))
+    assert {c for c, status in got.items() if status == "PASS"} == {"t:rows", "t:game_id", "t:ingested_from", "t:1 rows"} and len(got) == 7
+
+
+def test_plan_of_a_pipeline_reads_each_table_once(spark):
+    reads = []
+
+    class Counted(dict):
+        def __getitem__(self, table):
+            reads.append(table)
+            return super().__getitem__(table)
+
+    df = spark.createDataFrame([(1, 2, 3, "s")], "game_id int, team_id int, player_id int, ingested_from string").withColumn("coach_id", F.lit(9))
+    tables = Counted({t: df for t in C.KEYS["matchdata"]})
+    got = Q.run_checks(spark, C.table_checks("matchdata", tables))
+    # One read a table, and both sides of the one rule between two.
+    assert sorted(reads) == sorted([*C.KEYS["matchdata"], "teams_match", "gameinfo"])
+    assert [r for r in rows(got) if r[1] != "PASS"] == [("matchdata.teams_match:2 rows", "FAIL", 1)]
+    assert got.count() == 2 * 5 + sum(map(len, C.KEYS["matchdata"].values())) + 2
