@@ -20,6 +20,11 @@ def _with_least(edges: DataFrame) -> DataFrame:
     return edges.join(least.repartition(parts), "u")
 
 
+def _both(rows: DataFrame, *edges: tuple[str, str]) -> DataFrame:
+    """Edges (u, v), one per row and pair of columns; rows are read once."""
+    return rows.select(F.inline(F.array(*(F.struct(F.col(u).alias("u"), F.col(v).alias("v")) for u, v in edges))))
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) of all nodes that have an edge; a component is named by its least node.
 
@@ -31,13 +36,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
     now = written(rows.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     state = None
     while True:
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _with_least(both).filter("v > u").select(F.col("v").alias("u"), F.col("least").alias("v")).distinct()
-        small = _with_least(large)
-        moved = small.filter("v <> least").select(F.col("v").alias("u"), F.col("least").alias("v"))
-        now = written(moved.unionByName(small.select("u", F.col("least").alias("v"))).distinct(), "edges")
+        # Two short plans a round: neither reads what the other has shuffled, and the driver keeps few exchanges.
+        large = _with_least(_both(now, ("u", "v"), ("v", "u"))).filter("v > u")
+        large = written(large.select(F.col("v").alias("u"), F.col("least").alias("v")).distinct(), "stars")
+        now = written(_both(_with_least(large), ("v", "least"), ("u", "least")).filter("u <> v").distinct(), "edges")
         found = now.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0))).first()
         if found == state:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-                now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+            ends = _both(now, ("u", "v"), ("v", "v"))
+            return written(ends.select(F.col("u").alias("node"), F.col("v").alias("component")).distinct(), "components")
         state = found
