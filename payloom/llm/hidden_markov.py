@@ -243,6 +243,8 @@ def _baum_welch(encoded: DataFrame, model: Model) -> tuple[np.ndarray, float]:
                         held, first, size = [], [], 0
         if held:
             add()
+        # Multiples of 1/4096: the rest of a double would be noise that the shuffle can't compress.
+        sums[:size_of] = np.rint(sums[:size_of] * 4096) / 4096
         at = np.flatnonzero(sums.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), *(pa.array(sums[at, s]) for s in range(k))], schema=schema)
 
