@@ -63,22 +63,40 @@ def scd2(df: DataFrame, keys: Sequence[str], tracked: Sequence[str], ts: str, or
     chunk of time); only the state at both ends of each chunk is compared
     across chunks. A key with very many rows is spread over its chunks.
     """
+    steps = scd2_steps(df, keys, tracked, ts, order, chunk, carry)
+    return scd2_versions(steps, keys, tracked, sk, carry)
+
+
+def _chunked(df: DataFrame, keys: Sequence[str], ts: str, chunk: str) -> DataFrame:
+    return df.filter(F.col(quote(ts)).isNotNull()).withColumns({
+        "__k": F.struct(*[F.col(quote(k)) for k in keys]), "__chunk": F.date_trunc(chunk, F.col(quote(ts)))})
+
+
+def scd2_steps(df: DataFrame, keys: Sequence[str], tracked: Sequence[str], ts: str, order: Sequence[str] = (),
+               chunk: str = "day", carry: Sequence[str] = ()) -> DataFrame:
+    """The first row of each (key, chunk of time) and every change within one: what ``scd2`` makes its versions of.
+
+    As a stored table it is the state that ``late_steps`` maintains. Parameters as for ``scd2``.
+    """
     # One shuffle of the rows: by (key, chunk). Equal times, changes and the ends of a chunk are all found there,
     # and the few rows that go across chunks come back by the same key. A struct is never NULL, so missing key
     # parts are compared like values.
-    rows = df.filter(F.col(quote(ts)).isNotNull()).withColumns({
-        "__k": F.struct(*[F.col(quote(k)) for k in keys]), "__chunk": F.date_trunc(chunk, F.col(quote(ts))), "__hash": row_hash(df, (*keys, ts))})
+    rows = _chunked(df, keys, ts, chunk).withColumn("__hash", row_hash(df, (*keys, ts)))
     by_time = Window.partitionBy("__k", "__chunk").orderBy(
         F.col(quote(ts)), *[F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order], "__hash")
     rows = rows.withColumn("__same", F.lag(F.col(quote(ts))).over(by_time)).filter(F.col("__same").isNull() | (F.col("__same") < F.col(quote(ts))))
     state = F.struct(*[F.col(quote(c)) for c in tracked])
     rows = rows.select("__k", "__chunk", F.col(quote(ts)).alias("__at"), state.alias("__state"), *[F.col(quote(c)) for c in carry])
     in_chunk = Window.partitionBy("__k", "__chunk").orderBy("__at")
-    steps = rows.withColumns({
+    return rows.withColumns({
         "__n": F.row_number().over(in_chunk), "__prev": F.lag("__state").over(in_chunk)
     }).filter((F.col("__n") == 1) | ~F.col("__state").eqNullSafe(F.col("__prev"))).withColumn(
         "__next", F.lead("__at").over(in_chunk)).drop("__prev")
 
+
+def scd2_versions(steps: DataFrame, keys: Sequence[str], tracked: Sequence[str], sk: str | None = None,
+                  carry: Sequence[str] = ()) -> DataFrame:
+    """Version ranges out of steps; rows between them are not needed."""
     # One row per key and chunk: what it starts with, its first inner change, what it ends with.
     ends = steps.groupBy("__k", "__chunk").agg(
         F.min("__at").alias("__first"), F.min_by("__state", "__at").alias("__start"),
@@ -95,10 +113,27 @@ def scd2(df: DataFrame, keys: Sequence[str], tracked: Sequence[str], ts: str, or
         *[F.col(quote(c)) for c in carry], F.col("__at").alias("valid_from"),
         F.coalesce("__next", "__later").alias("valid_to"))
     out = out.withColumn("is_current", F.col("valid_to").isNull())
-    zoned = not isinstance(df.schema[ts].dataType, T.TimestampNTZType)
+    zoned = not isinstance(steps.schema["__at"].dataType, T.TimestampNTZType)
     return out.withColumn(sk, surrogate_key(keys, "valid_from", zoned)) if sk else out
 
 
+def late_steps(rows: DataFrame, new: DataFrame, steps: DataFrame, keys: Sequence[str], tracked: Sequence[str], ts: str,
+               order: Sequence[str] = (), chunk: str = "day", carry: Sequence[str] = ()) -> DataFrame:
+    """Steps after a load that may be older than stored rows: those of one build over all rows.
+
+    ``rows`` are the rows of all loads, those of ``new`` among them, and
+    ``steps`` what was stored before this load. Only (key, chunk) pairs that
+    the load touches are built again, from their rows; the steps of all others
+    stay. So loads may come in any order, and a load that comes again changes
+    nothing. An empty load gives the stored steps. Rows without a time are
+    left out. Write the result next to the old steps and swap: it reads them.
+    """
+    touched = _chunked(new, keys, ts, chunk).select("__k", "__chunk").distinct()
+    again = _chunked(rows, keys, ts, chunk).join(touched, ["__k", "__chunk"], "left_semi").drop("__k", "__chunk")
+    redone = scd2_steps(again, keys, tracked, ts, order, chunk, carry)
+    return steps.join(touched, ["__k", "__chunk"], "left_anti").unionByName(redone)
+
+
 def carry_forward(df: DataFrame, keys: Sequence[str], columns: Sequence[str], ts: str, chunk: str = "year") -> DataFrame:
     """Each row with the last known value of every column up to its time, per key.
 

@@ -154,10 +154,13 @@ def _shape(dim: Dimension, df: DataFrame, source: str) -> DataFrame:
     return rows.withColumns({c: make().cast(types[c]) for c, make in dim.derive.items()}) if dim.derive else rows
 
 
-def _combined(dim: Dimension, tables: Mapping[str, DataFrame], existing: DataFrame | None = None) -> DataFrame:
+def _combined(dim: Dimension, tables: Mapping[str, DataFrame], existing: DataFrame | None = None,
+              only: DataFrame | None = None) -> DataFrame:
     shaped = [_shape(dim, tables[s], s) for s in dim.sources if s in tables]
     if not shaped:
         raise ValueError(f"{dim.name} needs one of {dim.sources}")
+    if only is not None:
+        shaped = [df.join(only, list(dim.keys), "left_semi") for df in shaped]
     rows = shaped[0]
     for other in shaped[1:]:
         if dim.combine in ("union", "timeline"):
@@ -223,15 +226,44 @@ def _versions(dim: Dimension, rows: DataFrame, now: Column, existing: DataFrame
     return out.withColumn("_updated_at", F.when(closed, now).otherwise(F.col("_updated_at")))
 
 
+def _rebuilt(dim: Dimension, tables: Mapping[str, DataFrame], history: Mapping[str, DataFrame], now: Column,
+             existing: DataFrame) -> DataFrame:
+    """Versions of the keys in ``tables`` built again from all of their rows; versions of other keys as stored.
+
+    A version that is the same as before keeps both of its load times, one
+    that has another end or other values gets a new update time.
+    """
+    keys = list(dim.keys)
+    loaded = [_shape(dim, tables[s], s) for s in dim.sources if s in tables]
+    touched = Q.union_results([df.filter(F.col("ingested_at").isNotNull()).select(*keys) for df in loaded]).distinct()
+    rows = _combined(dim, history, only=touched).filter(F.col("ingested_at").isNotNull())
+    rows = _timeline(dim, rows) if dim.combine == "timeline" else rows
+    fresh = _versions(dim, rows, now, None).select(*dim.schema.names)
+    same = [c for c in dim.schema.names if c not in ("_loaded_at", "_updated_at", dim.sk)]
+    stored = existing.select(dim.sk, "_loaded_at", "_updated_at", F.struct(*same).alias("__stored"))
+    stored = stored.withColumnsRenamed({"_loaded_at": "__loaded", "_updated_at": "__updated"})
+    unchanged = F.struct(*same).eqNullSafe(F.col("__stored"))
+    fresh = fresh.join(stored, dim.sk, "left").withColumns({
+        "_loaded_at": F.coalesce("__loaded", "_loaded_at"),
+        "_updated_at": F.when(unchanged, F.col("__updated")).otherwise(F.col("_updated_at"))})
+    return existing.join(touched, keys, "left_anti").select(*dim.schema.names).unionByName(fresh.select(*dim.schema.names))
+
+
 def build_dimension(dim: Dimension, tables: Mapping[str, DataFrame], loaded_at: Column | None = None,
-                    existing: DataFrame | None = None) -> DataFrame:
+                    existing: DataFrame | None = None, history: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """All rows of a dimension from its flat tables and what is stored of it, in the target's column order.
 
     Write the result next to the old table and swap: it reads ``existing``.
     Rows without key or time are left out; ``skipped_rows`` counts them.
+    Type 2 rows in ``tables`` have to be later than the stored ones of their
+    key, unless ``history`` has the flat tables of all loads, this one's among
+    them: then the keys of this load are built again from all of their rows,
+    and loads may come in any order. Type 1 rows need no history.
     """
-    rows = _combined(dim, tables, existing)
     now = loaded_at if loaded_at is not None else F.current_timestamp()
+    if history is not None and existing is not None and dim.tracked:
+        return _rebuilt(dim, tables, history, now, existing)
+    rows = _combined(dim, tables, existing)
     if dim.tracked:
         rows = _timeline(dim, rows.filter(F.col("ingested_at").isNotNull())) if dim.combine == "timeline" else rows
         return _versions(dim, rows, now, existing).select(*dim.schema.names)

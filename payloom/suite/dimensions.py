@@ -249,6 +249,30 @@ def dim_coach_two_loads(spark, sf):
     return two_loads("dim_coach", coach_sources(spark, sf))
 
 
+def late_load(name: str, sources: dict):
+    """Built from the later rows first; the load of the early ones comes after them."""
+    early = {k: df.filter(f"ingested_at <= {SPLIT}") for k, df in sources.items()}
+    late = {k: df.filter(f"ingested_at > {SPLIT}") for k, df in sources.items()}
+    now = F.lit(NOW).cast("timestamp")
+    stored = build_dimension(DIMENSIONS[name], late, now)
+    return timed(build_dimension(DIMENSIONS[name], early, now, existing=stored, history=sources))
+
+
+@query("dim_team_late_load", TEAM_SQL)
+def dim_team_late_load(spark, sf):
+    return late_load("dim_team", team_sources(spark, sf))
+
+
+@query("dim_coach_late_load", COACH_SQL)
+def dim_coach_late_load(spark, sf):
+    return late_load("dim_coach", coach_sources(spark, sf))
+
+
+@query("dim_player_late_load", PLAYER_SQL)
+def dim_player_late_load(spark, sf):
+    return late_load("dim_player", player_sources(spark, sf))
+
+
 @query("dim_official_two_loads", ORACLES["dim_official"])
 def dim_official_two_loads(spark, sf):
     """The later load also brings the early rows again: late arrivals that must not win."""

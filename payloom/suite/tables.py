@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from payloom.operators import keys as K
 from payloom.operators import quality as Q
-from payloom.operators.scd import fallback, scd1, scd2
-from payloom.suite.base import query, table
+from payloom.operators.scd import fallback, late_steps, scd1, scd2, scd2_steps, scd2_versions as versions_of
+from payloom.suite.base import ORACLES, query, table
 
 ITEM = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate"
 ITEM_COLS = tuple(c.strip() for c in ITEM.split(","))
@@ -99,6 +99,19 @@ def scd2_versions(spark, sf):
     return scd2(table(spark, sf, "events"), ("user_id",), ("event_type",), "ts")
 
 
+@query("scd2_late_rows", ORACLES["scd2_versions"])
+def scd2_late_rows(spark, sf):
+    """The newest events first, then two loads whose rows lie between stored ones and before them."""
+    events = table(spark, sf, "events")
+    newest, odd = F.col("ts") > F.expr("timestamp_ntz'2024-01-16'"), F.col("event_id") % 2 == 1
+    loads = [events.filter(newest & odd), events.filter(odd & ~newest), events.filter(~odd)]
+    rows, steps = loads[0], scd2_steps(loads[0], ("user_id",), ("event_type",), "ts")
+    for load in loads[1:]:
+        rows = rows.unionByName(load)
+        steps = late_steps(rows, load, steps, ("user_id",), ("event_type",), "ts")
+    return versions_of(steps, ("user_id",), ("event_type",))
+
+
 @query("scd2_surrogate_key", """
 WITH u AS (SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey) = 1),
 s AS (SELECT *, lag(o_orderstatus) OVER w AS p1, lag(o_orderpriority) OVER w AS p2, row_number() OVER w AS n

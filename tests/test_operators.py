@@ -1,3 +1,4 @@
+import datetime
 import random
 import re
 
@@ -12,7 +13,7 @@ from payloom.operators import keys as K
 from payloom.operators import quality as Q
 from payloom.operators import reshape as R
 from payloom.operators.entities import build_tables
-from payloom.operators.scd import fallback, scd1, scd2, surrogate_key
+from payloom.operators.scd import fallback, late_steps, scd1, scd2, scd2_steps, scd2_versions, surrogate_key
 from payloom.operators.schema import infer_schema, profile_paths
 from payloom.plans import checks as C
 from payloom.plans.spec import Field, Root
@@ -212,6 +213,60 @@ def test_scd2_equals_brute_force_for_any_chunk(spark, chunk):
     assert out.filter("is_current").count() == len({k for k, _, _ in events})
 
 
+@pytest.mark.parametrize("chunk", ["hour", "year"])
+def test_late_steps_in_any_order_of_loads_equal_one_build(spark, tmp_path, chunk):
+    rnd = random.Random(11)
+    events = [(0 if rnd.random() < 0.6 else rnd.randint(1, 4), rnd.randint(0, 60_000), rnd.randint(0, 1)) for _ in range(300)]
+    df = spark.createDataFrame([(*e, rnd.randint(0, 2)) for e in events], "k int, t long, v int, load int")
+    df = df.withColumn("ts", F.timestamp_seconds("t"))
+    args = (["k"], ["v"], "ts", ["v"], chunk)
+    # The second load comes twice, and an empty one at the end.
+    steps, seen = scd2_steps(df.filter("load = 2"), *args), ["load = 2"]
+    for i, load in enumerate(["load = 0", "load = 0", "load = 1", "false"]):
+        seen.append(load)
+        late_steps(df.filter(" OR ".join(seen)), df.filter(load), steps, *args).write.parquet(f"{tmp_path}/{i}")
+        steps = spark.read.parquet(f"{tmp_path}/{i}")
+    out = scd2_versions(steps, ["k"], ["v"])
+    mine = [(r["k"], r["v"], int(r["f"]), None if r["u"] is None else int(r["u"])) for r in out.select(
+        "k", "v", F.unix_timestamp("valid_from").alias("f"), F.unix_timestamp("valid_to").alias("u")).collect()]
+    assert sorted(mine, key=repr) == _versions(events)
+
+
+def test_late_steps_leave_other_chunks_alone(spark):
+    df = spark.sql("""SELECT * FROM VALUES (1, timestamp'2024-01-01', 'a'), (1, timestamp'2024-02-01', 'a'), (1, timestamp'2024-03-01', 'a'),
+        (null, timestamp'2024-01-05', 'z') AS t(k, ts, v)""")
+    steps = scd2_steps(df, ["k"], ["v"], "ts", chunk="month")
+    late = spark.sql("SELECT 1 AS k, timestamp'2024-02-03' AS ts, 'b' AS v UNION ALL SELECT null, timestamp'2024-01-01', 'z' UNION ALL SELECT 1, null, 'c'")
+    # The rows of untouched chunks are not given at all: their steps are the stored ones.
+    near = df.filter("k IS NULL OR month(ts) = 2").unionByName(late)
+    out = scd2_versions(late_steps(near, late, steps, ["k"], ["v"], "ts", chunk="month"), ["k"], ["v"])
+    assert [(r["k"], r["v"], str(r["valid_from"])[:10], str(r["valid_to"])[:10]) for r in out.orderBy("k", "valid_from").collect()] == [
+        (None, "z", "2024-01-01", "None"), (1, "a", "2024-01-01", "2024-02-03"), (1, "b", "2024-02-03", "2024-03-01"), (1, "a", "2024-03-01", "None")]
+
+
+def test_late_load_of_a_dimension_keeps_times_of_unchanged_versions(spark):
+    from payloom.plans.dimensions import DIMENSIONS, build_dimension
+
+    ddl = "coachId string, season_id string, teamId string, role string, ingested_at timestamp"
+
+    def load(*rows):
+        return {"season_list_coach": spark.createDataFrame(
+            [(k, "2024", t, "Head", datetime.datetime(2024, 1, d)) for k, t, d in rows], ddl)}
+
+    def stamp(d):
+        return F.lit(datetime.datetime(2024, 2, d))
+
+    dim = DIMENSIONS["dim_coach"]
+    first = (("1", "x", 1), ("1", "y", 9), ("2", "x", 1))
+    late = (("1", "z", 5), ("1", "y", 7))
+    stored = build_dimension(dim, load(*first), stamp(1))
+    out = build_dimension(dim, load(*late), stamp(2), existing=stored, history=load(*first, *late))
+    got = out.selectExpr("coach_id", "team_id", "day(valid_from)", "day(valid_to)", "day(_loaded_at)", "day(_updated_at)").collect()
+    # x of coach 1 ends earlier, y starts earlier (a version of its own), coach 2 is as stored.
+    assert sorted(map(tuple, got), key=repr) == [
+        ("1", "x", 1, 5, 1, 2), ("1", "y", 7, None, 2, 2), ("1", "z", 5, 7, 2, 2), ("2", "x", 1, None, 1, 1)]
+
+
 def test_scd2_null_values_and_null_key(spark):
     df = spark.sql("""SELECT * FROM VALUES (1, timestamp'2024-01-01', CAST(null AS string)), (1, timestamp'2024-01-02', null),
         (1, timestamp'2024-02-03', 'a'), (null, timestamp'2024-01-01', 'z'), (1, null, 'x') AS t(k, ts, v)""")
