@@ -66,7 +66,7 @@ def player_stats(name: str, table: str, prefix: str, start: int, average: str, t
         roots.insert(0, Root(table="", element=elements, source=l0_or_nothing, fields=ALL, first_by=root_key))
     return Pipeline(
         name=name, source=source(table), prefix=target(prefix), scope=table + "_{competition_id}_{season}",
-        id_parts=id_columns(start, "competition_id", "season_id"), roots=tuple(roots),
+        id_parts=id_columns(start, "competition_id", "season_id"), roots=tuple(roots), shared=True,
     )
 
 

@@ -176,7 +176,8 @@ def run(spark: SparkSession, entry: Run, audit: str, run_id: str, source: str |
     for what in ("dropped", "mixed", "unused", "spellings", "keyed"):
         if shapes[0] and getattr(shapes[0], what):
             LOG.warning("%s: %s %s", entry.key, what, ", ".join(getattr(shapes[0], what)))
-    tables = pipeline_tables(pipe, bronze, shapes, spread=pipe.spread)
+    shared = f"{run_id}/{entry.key}" if pipe.shared and spark.conf.get("spark.checkpoint.dir", None) else None
+    tables = pipeline_tables(pipe, bronze, shapes, spread=pipe.spread, shared=shared)
     named = {table_name(pipe, suffix): df for suffix, df in tables.items()}
     # Named by what doesn't change until the run is noted: a run that broke off replaces its rows when it is run again.
     load = f"{entry.key}@{f'run {entry.runs}' if entry.ledger else entry.low.isoformat() if entry.low else 'start'}"

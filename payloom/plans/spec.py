@@ -143,6 +143,8 @@ class Pipeline:
     write_mode: str = "append"
     # A few huge payloads per load: deal them out before they are exploded.
     spread: bool = False
+    # Many tables of one element: a run opens it once for all of them, if it has a shared checkpoint folder.
+    shared: bool = False
 
     @property
     def elements(self) -> tuple[str, ...]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Collection
 
 from pyspark.sql import DataFrame
@@ -10,6 +11,7 @@ from payloom.operators.entities import build_tables, context_columns, only_table
 from payloom.operators.flatten import TreePlan, discover, flatten, open_trees
 from payloom.operators.schema import infer_nodes, open_nodes, resolve
 from payloom.plans.spec import Node, Pipeline, Root
+from payloom.sources.bronze import stage
 
 
 def table_name(pipe: Pipeline, suffix: str) -> str:
@@ -41,13 +43,22 @@ def _needed(pipe: Pipeline, only: Collection[str]) -> set[str]:
 
 
 def pipeline_tables(pipe: Pipeline, bronze: DataFrame, shapes: Shapes | None = None, spread: bool = False,
-                    only: Collection[str] | None = None) -> dict[str, DataFrame]:
-    """Suffix -> lazy DataFrame for every table of the pipeline, or for those in ``only``."""
+                    only: Collection[str] | None = None, shared: str | None = None) -> dict[str, DataFrame]:
+    """Suffix -> lazy DataFrame for every table of the pipeline, or for those in ``only``.
+
+    ``shared``: a name in the shared checkpoint folder. Entities with several tables below are then opened
+    and written there once, when this is called, and their tables read that in place of the payloads.
+    """
     tree, roots = shapes or plan_shapes(pipe, bronze, only)
     if shapes and only is not None:
         roots = only_tables(roots, _needed(pipe, only))
     out = flatten(bronze, pipe.auto, "", plan=tree, spread=spread, only=only) if tree else {}
-    made = build_tables(bronze, roots, context_columns(pipe), text=pipe.text, spread=spread)
+    hops = itertools.count()
+
+    def store(df: DataFrame) -> DataFrame:
+        return stage(df, f"{shared}/hop_{next(hops)}", by=())
+
+    made = build_tables(bronze, roots, context_columns(pipe), text=pipe.text, spread=spread, store=store if shared else None)
     extra = pipe.extend(bronze) if pipe.extend else {}
     for part in (made, extra):
         if set(part) & set(out):

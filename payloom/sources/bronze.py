@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import string
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 
@@ -71,8 +71,8 @@ def read_bronze(spark: SparkSession, source: str, *conditions: Column | None) ->
     return df if cond is None else df.filter(cond)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """The rows of one run as Parquet, one partition per element, in the shared checkpoint folder.
+def stage(df: DataFrame, name: str, by: Sequence[str] = ("l1element",)) -> DataFrame:
+    """The rows of one run as Parquet, partitioned by ``by`` (one partition per element), in the shared checkpoint folder.
 
     Every table of a run reads the rows it needs again. Staged, the source is
     scanned once and each table reads only the elements it is made of; the
@@ -83,5 +83,5 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     if not base:
         raise ValueError("staging needs spark.checkpoint.dir, a folder all executors can reach")
     path = f"{base.rstrip('/')}/staged/{name}"
-    df.write.mode("overwrite").partitionBy("l1element").parquet(path)
+    df.write.mode("overwrite").partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)

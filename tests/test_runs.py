@@ -8,6 +8,7 @@ import pytest
 from payloom.plans import incremental as I
 from payloom.plans.catalog import PIPELINES, pipeline
 from payloom.plans.dimensions import DIMENSIONS, create_dimension_tables
+from payloom.plans.spec import Field, Root
 from payloom.plans.tables import pipeline_tables, plan_shapes
 from payloom.sinks import logs
 from payloom.sinks.tables import LINEAGE, drop_tables, write_table
@@ -442,3 +443,41 @@ def test_scd2_shuffles_rows_once(spark, sf):
     plan = scd2(df, ["o_custkey"], ["o_orderstatus"], "o_orderdate", carry=("price",))._jdf.queryExecution().executedPlan().toString()
     wide = [x for x in plan.splitlines() if "Exchange hashpartitioning(__k" in x and "__chunk" in x]
     assert len(wide) <= 3
+
+
+@pytest.mark.parametrize("name, feed", [("playerstatsv2", "player_stats_v2"), ("playerstatsmaster", "historical_stats_by_round")])
+def test_shared_hops_give_the_same_tables_from_three_reads_of_the_element(spark, sf, tmp_path, name, feed):
+    from payloom.suite.domain_players import players_bronze
+
+    players_bronze(feed)(spark, sf).limit(400).write.parquet(f"{tmp_path}/bronze")
+    df = spark.read.parquet(f"{tmp_path}/bronze")
+    pipe = pipeline(name)
+    shapes = plan_shapes(pipe, df)
+    plain, shared = pipeline_tables(pipe, df, shapes), pipeline_tables(pipe, df, shapes, shared=f"test/{name}")
+    assert list(plain) == list(shared)
+    for suffix in plain:
+        assert plain[suffix].columns == shared[suffix].columns, suffix
+        # Each table once, in one column of text, so that rows of all types can be compared.
+        left, right = ([r[0] for r in t.selectExpr("to_json(struct(*)) AS j").orderBy("j").collect()] for t in (plain[suffix], shared[suffix]))
+        assert left == right and (left or suffix == "competition_average"), suffix
+    direct = [t for t, out in shared.items() if any("/bronze/" in f for f in out.inputFiles())]
+    # These, and the one read that wrote the shared hop.
+    assert {"", "player"} <= set(direct) <= {"", "player", "competition_average"}
+
+
+def test_shared_hop_with_spellings_of_a_key_and_an_empty_source(spark, bronze, monkeypatch):
+    from payloom.operators import entities as E
+    from payloom.plans.spec import Node
+    from payloom.sources.bronze import stage
+
+    monkeypatch.setattr(E, "SHARED_FROM", 2)
+    value = (Field("v", "v"),)
+    root = Root(table="r", element="e", fields=(Field("id", "id"),), hand_down=(Field("id", "r_id"),), children=(
+        Node(table="a", path=("part",), fields=value), Node(table="b", path=("Part",), list_key="x", fields=value)))
+    df = bronze([("e", '{"id":"1","part":{"v":"p"},"Part":{"x":[{"v":"q"},{"v":null}]}}'), ("e", '{"id":"2"}'), ("e", None)])
+    for source in (df, df.filter("false")):
+        plain = E.build_tables(source, (root,), {})
+        shared = E.build_tables(source, (root,), {}, store=lambda f: stage(f, f"spellings/{source is df}", by=()))
+        for t in "rab":
+            assert sorted(map(tuple, plain[t].collect()), key=repr) == sorted(map(tuple, shared[t].collect()), key=repr)
+    assert plain["b"].columns == ["v", "r_id"]
