@@ -154,6 +154,33 @@ def carry_forward(df: DataFrame, keys: Sequence[str], columns: Sequence[str], ts
     return joined.select(*[F.coalesce(f"__r_{c}", f"__b_{c}").alias(c) if c in columns else F.col(quote(c)) for c in df.columns])
 
 
+def known_steps(df: DataFrame, keys: Sequence[str], columns: Sequence[str], ts: str, order: Sequence[Column] = (), chunk: str = "year") -> DataFrame:
+    """The rows at which a column changes or a chunk of time begins, each with the last known value of every column.
+
+    What ``scd2`` makes of them is what it makes of all rows with their gaps
+    filled by ``carry_forward``, from one shuffle of the rows. Of several rows
+    with one key and time the values of the one last in ``order`` count where
+    it has any, and ties fall to a hash of the row. Rows without a time are left out.
+    """
+    rows = _chunked(df, keys, ts, chunk).withColumn("__hash", row_hash(df, (*keys, ts)))
+    by_time = Window.partitionBy("__k", "__chunk").orderBy(F.col(quote(ts)), *order, "__hash")
+    so_far = by_time.rowsBetween(Window.unboundedPreceding, 0)
+    known = F.struct(*[F.last(F.col(quote(c)), ignorenulls=True).over(so_far).alias(c) for c in columns])
+    rows = rows.withColumns({"__known": known, "__later": F.lead(F.col(quote(ts))).over(by_time)})
+    rows = rows.filter(F.col("__later").isNull() | (F.col("__later") > F.col(quote(ts))))
+    # What a chunk does not know yet can only come from before it: a row that brings a chunk nothing new is no change.
+    in_chunk = Window.partitionBy("__k", "__chunk").orderBy(F.col(quote(ts)))
+    rows = rows.withColumn("__prev", F.lag(F.struct("__known")).over(in_chunk))
+    rows = rows.filter(F.col("__prev").isNull() | ~F.col("__known").eqNullSafe(F.col("__prev.__known"))).drop("__prev", "__later", "__hash")
+
+    ends = rows.groupBy("__k", "__chunk").agg(F.max_by("__known", F.col(quote(ts))).alias("__end"))
+    earlier = Window.partitionBy("__k").orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.struct(*[F.last(F.col("__end").getField(c), ignorenulls=True).over(earlier).alias(c) for c in columns])
+    joined = rows.join(ends.select("__k", "__chunk", before.alias("__before")), ["__k", "__chunk"])
+    return joined.select(*[
+        F.coalesce(F.col("__known").getField(c), F.col("__before").getField(c)).alias(c) if c in columns else F.col(quote(c)) for c in df.columns])
+
+
 def fallback(primary: DataFrame, secondary: DataFrame, keys: Sequence[str]) -> DataFrame:
     """All rows of the primary source plus those of the secondary whose key it lacks."""
     only = secondary.join(primary.select(*keys).distinct(), list(keys), "left_anti")

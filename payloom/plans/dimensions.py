@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from payloom.operators import quality as Q
-from payloom.operators.keys import latest, merge_rows
-from payloom.operators.scd import carry_forward, fallback, scd1, scd2
+from payloom.operators.keys import latest
+from payloom.operators.scd import carry_forward, fallback, known_steps, scd1, scd2
 
 AUDIT_DDL = "_source_table string, _loaded_at timestamp, _updated_at timestamp"
 # Load time of the source row that a type 1 row shows: what later loads are compared with.
@@ -195,14 +195,13 @@ def skipped_rows(dim: Dimension, tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def _timeline(dim: Dimension, rows: DataFrame) -> DataFrame:
-    """One row per key and time with the last known value of each column, whichever source it came from.
+    """Per key and time at which anything changes, the last known value of each column, whichever source it came from.
 
     At equal times the earlier source in ``dim.sources`` counts first.
     """
-    names = [c for c in rows.columns if c not in (*dim.keys, "ingested_at")]
+    names = [c for c in rows.columns if c not in (*dim.keys, "ingested_at") and not c.startswith("_")]
     rank = F.array_position(F.array(*map(F.lit, dim.sources)), F.col("_source_table"))
-    at_once = merge_rows(rows.withColumn("__rank", -rank), [*dim.keys, "ingested_at"], ["__rank"], names)
-    return carry_forward(at_once, dim.keys, [c for c in names if not c.startswith("_")], "ingested_at")
+    return known_steps(rows, dim.keys, names, "ingested_at", [rank.desc()])
 
 
 def _versions(dim: Dimension, rows: DataFrame, now: Column, existing: DataFrame | None) -> DataFrame:
@@ -281,7 +280,9 @@ def dimension_checks(dim: Dimension, built: Mapping[str, DataFrame]) -> DataFram
     for column, (target, target_column) in dim.references.items():
         if target in built:
             rows = df.filter(F.col(column).isNotNull())
-            results.append(Q.expect_parent(rows, built[target], {column: target_column}, f"{dim.name}:{column}"))
+            # A reference within the key has the name of its not-null check otherwise.
+            name = f"{dim.name}:{column}:{target}" if column in key else f"{dim.name}:{column}"
+            results.append(Q.expect_parent(rows, built[target], {column: target_column}, name))
     return Q.union_results(results)
 
 

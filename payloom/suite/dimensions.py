@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from payloom.operators.quality import union_results
 from payloom.plans.dimensions import DIMENSIONS, build_dimension, dimension_checks
-from payloom.suite.base import ORACLES, plain_time, query, table
+from payloom.suite.base import ORACLES, QUERIES, plain_time, query, table
 
 NOW = "2024-06-01 00:00:00"
 
@@ -304,3 +305,26 @@ def dim_key_checks(spark, sf):
     built = {"dim_team": dim_team(spark, sf), "dim_player": dim_player(spark, sf), "dim_coach": dim_coach(spark, sf)}
     found = [dimension_checks(DIMENSIONS[n], built).filter(F.col("check_id").endswith(":unique")) for n in built]
     return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+ALL_CHECKED = tuple(DIMENSIONS)
+
+
+def checks_sql(name: str) -> str:
+    """Keys and references of one dimension, counted over the SQL of it and of its parents."""
+    dim, own = DIMENSIONS[name], ORACLES[name]
+    keys = (dim.sk,) if dim.sk else dim.keys
+    counts = [(f"{name}:unique", f"SELECT {', '.join(keys)} FROM ({own}) GROUP BY ALL HAVING count(*) > 1")]
+    counts += [(f"{name}:{k}", f"SELECT 1 FROM ({own}) WHERE {k} IS NULL") for k in keys]
+    counts += [(f"{name}:{c}" + (f":{parent}" if c in keys else ""), f"SELECT 1 FROM ({own}) WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {k} FROM ({ORACLES[parent]}))")
+               for c, (parent, k) in dim.references.items()]
+    return " UNION ALL ".join(
+        f"SELECT '{check}' AS check_id, CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status, count(*) AS bad_rows FROM ({rows})"
+        for check, rows in counts)
+
+
+@query("dim_all_checks", " UNION ALL ".join(map(checks_sql, ALL_CHECKED)))
+def dim_all_checks(spark, sf):
+    """Keys and references of all ten dimensions, each over whole tables."""
+    built = {name: QUERIES[name](spark, sf) for name in ALL_CHECKED}
+    return union_results([dimension_checks(DIMENSIONS[name], built) for name in ALL_CHECKED])

@@ -13,7 +13,7 @@ from payloom.operators import keys as K
 from payloom.operators import quality as Q
 from payloom.operators import reshape as R
 from payloom.operators.entities import build_tables
-from payloom.operators.scd import fallback, late_steps, scd1, scd2, scd2_steps, scd2_versions, surrogate_key
+from payloom.operators.scd import fallback, known_steps, late_steps, scd1, scd2, scd2_steps, scd2_versions, surrogate_key
 from payloom.operators.schema import infer_schema, profile_paths
 from payloom.plans import checks as C
 from payloom.plans.spec import Field, Root
@@ -267,6 +267,29 @@ def test_late_load_of_a_dimension_keeps_times_of_unchanged_versions(spark):
         ("1", "x", 1, 5, 1, 2), ("1", "y", 7, None, 2, 2), ("1", "z", 5, 7, 2, 2), ("2", "x", 1, None, 1, 1)]
 
 
+@pytest.mark.parametrize("chunk", ["hour", "year"])
+def test_known_steps_give_the_versions_of_filled_rows(spark, chunk):
+    rnd = random.Random(5)
+    some = [(0 if rnd.random() < 0.6 else rnd.randint(1, 4), rnd.randint(0, 40_000), rnd.choice([None, None, 0, 1]), rnd.choice([None, 5, 6]), rnd.randint(1, 2))
+            for _ in range(400)]
+    # One row per key, time and rank: what ties come to is a matter of hashes.
+    events = list({(k, t, r): (k, t, v, w, r) for k, t, v, w, r in some}.values()) + [(None, 10, None, 5, 1), (None, 20, 1, None, 1)]
+    df = spark.createDataFrame(events, "k int, t long, v int, w int, r int").withColumn("ts", F.timestamp_seconds("t"))
+    steps = known_steps(df, ["k"], ["v", "w"], "ts", [F.col("r").desc()], chunk)
+    out = scd2(steps, ["k"], ["v", "w"], "ts", chunk=chunk).selectExpr("k", "v", "w", "unix_timestamp(valid_from)", "unix_timestamp(valid_to)")
+    want = []
+    for key in {e[0] for e in events}:
+        state, changes = {}, []
+        for t in sorted({e[1] for e in events if e[0] == key}):
+            for _, _, v, w, _ in sorted((e for e in events if e[0] == key and e[1] == t), key=lambda e: -e[4]):
+                state.update({c: x for c, x in (("v", v), ("w", w)) if x is not None})
+            now = (state.get("v"), state.get("w"))
+            if not changes or changes[-1][0] != now:
+                changes.append((now, t))
+        want += [(key, *s, t, changes[i + 1][1] if i + 1 < len(changes) else None) for i, (s, t) in enumerate(changes)]
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_scd2_null_values_and_null_key(spark):
     df = spark.sql("""SELECT * FROM VALUES (1, timestamp'2024-01-01', CAST(null AS string)), (1, timestamp'2024-01-02', null),
         (1, timestamp'2024-02-03', 'a'), (null, timestamp'2024-01-01', 'z'), (1, null, 'x') AS t(k, ts, v)""")
