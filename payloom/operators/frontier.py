@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from payloom.functions.variant import is_array, is_object
+from payloom.functions.variant import OBJECT, get, is_array, is_object
 
 STEP = "\x1f"
 ELEMENT, ANY_KEY = "[]", "{}"
@@ -46,8 +46,17 @@ def kept_level(df: DataFrame, name: str) -> DataFrame:
 
 
 def opened(rows: DataFrame) -> DataFrame:
-    """A row per field or element of the values ``v``: the other columns, pos, key (NULL for an element) and value."""
-    return rows.lateralJoin(rows.sparkSession.tvf.variant_explode(F.col("v").outer())).drop("v")
+    """A row per field or element of the values ``v``: the other columns, pos, key (NULL for an element) and value.
+
+    Each value comes with the names that it holds itself. Those of `variant_explode` keep the names of the
+    whole value they were in, so the fields of an object by keys would be as large as the square of their number.
+    """
+    def entry(pos: Column, key: Column, value: Column) -> Column:
+        return F.struct(pos.alias("pos"), key.alias("key"), value.alias("value"))
+
+    fields = F.transform(F.map_entries(get("v", as_type=OBJECT)), lambda e, i: entry(i, e["key"], e["value"]))
+    items = F.transform(get("v", as_type="array<variant>"), lambda x, i: entry(i, F.lit(None).cast("string"), x))
+    return rows.select(*[c for c in rows.columns if c != "v"], F.inline(F.coalesce(fields, items)))
 
 
 def kind_of(value: Column) -> Column:

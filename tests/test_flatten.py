@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from payloom.operators.flatten import discover, flatten
 from payloom.plans.spec import AutoTree
@@ -170,3 +171,20 @@ def test_plan_can_be_reused_without_inference(bronze):
     plan = discover(df, (tree,), "p")
     out = flatten(df, tree, "p", plan=plan)
     assert rows(out["p_d"], "id", "x") == [(1, 1)]
+
+
+def test_opened_fields_hold_only_their_own_names(spark):
+    from payloom.operators.frontier import opened
+    text_of = "concat('{', array_join(transform(sequence(1, 2000), i -> concat('\"key', i, '\":{\"a\":', i, '}')), ','), '}')"
+    rows = opened(spark.range(1).select("id", F.parse_json(F.expr(text_of)).alias("v"))).collect()
+    assert sorted(r["pos"] for r in rows) == list(range(2000)) and {r["id"] for r in rows} == {0}
+    assert all(r["value"].toPython() == {"a": int(r["key"][3:])} for r in rows)
+    assert max(len(r["value"].metadata) for r in rows) < 50
+
+
+def test_opened_values_of_all_shapes(spark):
+    from payloom.operators.frontier import opened
+    texts = ['{"a":null,"b":[1]}', '[null,2,{"c":3}]', "{}", "[]", "4", "null", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string").select("id", F.parse_json("t").alias("v"))
+    found = {(r["id"], r["pos"], r["key"], None if r["value"] is None else r["value"].toJson()) for r in opened(df).collect()}
+    assert found == {(0, 0, "a", "null"), (0, 1, "b", "[1]"), (1, 0, None, "null"), (1, 1, None, "2"), (1, 2, None, '{"c":3}')}
