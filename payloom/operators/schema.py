@@ -74,7 +74,8 @@ def root_value(root: Root) -> Column:
 
 def _items(value: Column, *path: str) -> Column:
     """Entities at a path; what is no entity is dropped after the explode."""
-    return F.coalesce(get(value, *path, as_type="array<variant>"), F.array(get(value, *path)))
+    # Without a path the value stays as it is: reading it would build it again.
+    return F.coalesce(get(value, *path, as_type="array<variant>"), F.array(get(value, *path) if path else value))
 
 
 def _child_items(entity: Column, node: Node) -> Column:
@@ -125,17 +126,71 @@ def _most_fields(dtype: T.DataType | None) -> int:
     return max([len(dtype.fields), *(_most_fields(f.dataType) for f in dtype.fields)]) if isinstance(dtype, T.StructType) else 0
 
 
+def _united(a: T.DataType, b: T.DataType) -> T.DataType | None:
+    """One type for two kinds of a value, as Spark merges variant schemas; None where that depends on its rules for numbers and times."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        fields = {f.name: f.dataType for f in a.fields}
+        for f in b.fields:
+            fields[f.name] = _united(fields[f.name], f.dataType) if f.name in fields else f.dataType
+        # Names are in order of their UTF-16 units, as in a variant.
+        names = sorted(fields, key=lambda name: name.encode("utf-16-be", "surrogatepass"))
+        return None if None in fields.values() else T.StructType([T.StructField(name, fields[name]) for name in names])
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        item = _united(a.elementType, b.elementType)
+        return None if item is None else T.ArrayType(item)
+    plain = (T.StringType, T.BooleanType, T.BinaryType, T.VariantType, T.StructType, T.ArrayType)
+    return T.VariantType() if isinstance(a, plain) or isinstance(b, plain) else None
+
+
+def _types_of_kinds(entities: DataFrame, n_places: int) -> tuple[list, list, dict]:
+    """Places (node, section) with long schemas or many kinds, those whose schemas Spark has to merge, and the types of all others.
+
+    One pass: entities are counted by their own schemas, of which the driver gets MANY_SCHEMAS a place at most.
+    """
+    own = entities.select("node", "section", F.schema_of_variant("v").alias("own"))
+    # Decimals have as many types as digits: they don't make a schema another kind.
+    kind = F.when(F.col("own").contains("DECIMAL("), F.regexp_replace("own", r"DECIMAL\(\d+,\d+\)", "DECIMAL")).otherwise(F.col("own"))
+    kinds = own.groupBy("node", "section", F.when(F.length("own") <= LONG_SCHEMA, kind).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    most = int(MANY_SCHEMAS * n_places)
+    rows = kinds.limit(most + 1).collect()
+    if len(rows) > most:
+        # Which places these are takes a pass of its own, in which each place is one row.
+        sizes = own.groupBy("node", "section").agg(F.max(F.length("own")).alias("longest"), F.approx_count_distinct(kind).alias("kinds")).collect()
+        wide = [(r["node"], r["section"]) for r in sizes if r["longest"] > LONG_SCHEMA or r["kinds"] > MANY_SCHEMAS]
+        return wide, [at for r in sizes if (at := (r["node"], r["section"])) not in wide], {}
+    found: dict[tuple[int, str], list[str | None]] = {}
+    for r in rows:
+        found.setdefault((r["node"], r["section"]), []).append(r["kind"])
+    wide, merging, types = [], [], {}
+    for at, texts in found.items():
+        if None in texts or len(texts) > MANY_SCHEMAS:
+            wide.append(at)
+            continue
+        united: T.DataType | None = T.NullType()
+        for text in sorted(texts):
+            united = None if united is None or "DECIMAL" in text else _united(united, parse_schema(text))
+        if united is None:
+            merging.append(at)
+        else:
+            types[at] = entity_type(united)
+    return wide, merging, types
+
+
 def infer_nodes(df: DataFrame, wanted: list[tuple[NodeKey, Root, tuple[Node, ...], tuple[str, ...]]],
                 rule: KeyedRule | None = None) -> dict:
     """Entity types of many nodes at once, keyed as given.
 
     Each entry is (key, root, nodes below the root, path of an inlined object).
-    Every row yields its (node, entity) pairs, which are aggregated
-    by node on the map side first; only one row per node reaches the driver.
+    Every row yields its (node, entity) pairs, which are aggregated on the map side first.
     Roots that differ in nothing but their element share one reading.
 
-    A first job sizes the nodes' schemas. Where entities have few kinds of short ones, a second
-    job merges them. Other nodes, and those in which an object came out with many fields, may have objects
+    One job counts the entities by their own schemas, which are few where entities are of few kinds, and the driver
+    unites them. Only where numbers or times of several types meet does a second job merge the schemas of all entities.
+    Nodes with long schemas or many kinds, and those in which an object came out with many fields, may have objects
     whose keys are data: they are looked through level by level, and ``rule`` decides. Names are taken as they are written.
     """
     if not wanted:
@@ -167,17 +222,12 @@ def infer_nodes(df: DataFrame, wanted: list[tuple[NodeKey, Root, tuple[Node, ...
     if None not in needed:
         df = df.filter(F.col("l1element").isin(*sorted(needed)))
     entities = df.select(F.inline(F.concat(*pairs))).filter(is_object("v"))
-    # Decimals have as many types as digits: they don't make a schema another kind.
-    own = F.schema_of_variant("v")
-    sizes = entities.groupBy("node", "section").agg(
-        F.max(F.length(own)).alias("longest"), F.approx_count_distinct(F.regexp_replace(own, r"DECIMAL\(\d+,\d+\)", "DECIMAL")).alias("kinds")).collect()
-    wide = [(r["node"], r["section"]) for r in sizes if r["longest"] > LONG_SCHEMA or r["kinds"] > MANY_SCHEMAS]
     place = F.struct("node", "section")
-    types: dict = {}
-    if len(wide) < len(sizes):
-        merged = (entities.filter(~place.isin(*_structs(wide))) if wide else entities).groupBy("node", "section").agg(F.schema_of_variant_agg("v").alias("s"))
+    wide, merging, types = _types_of_kinds(entities, n_places=sum(len(elements) or 1 for _, elements, _ in readings.values()) * n_nodes)
+    if merging:
+        merged = entities.filter(place.isin(*_structs(merging))).groupBy("node", "section").agg(F.schema_of_variant_agg("v").alias("s"))
         with _names_as_written(df.sparkSession):
-            types = {(r["node"], r["section"]): entity_type(parse_schema(r["s"])) for r in merged.collect()}
+            types |= {(r["node"], r["section"]): entity_type(parse_schema(r["s"])) for r in merged.collect()}
     rule = rule or KeyedRule()
     wide += [at for at, dtype in types.items() if _most_fields(dtype) >= rule.many]
     if wide:

@@ -188,3 +188,48 @@ def test_opened_values_of_all_shapes(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "id int, t string").select("id", F.parse_json("t").alias("v"))
     found = {(r["id"], r["pos"], r["key"], None if r["value"] is None else r["value"].toJson()) for r in opened(df).collect()}
     assert found == {(0, 0, "a", "null"), (0, 1, "b", "[1]"), (1, 0, None, "null"), (1, 1, None, "2"), (1, 2, None, '{"c":3}')}
+
+
+def test_types_are_found_in_one_pass(spark):
+    from payloom.operators.schema import infer_nodes
+    from payloom.plans.spec import Root
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    text_of = "concat('{\"id\":', id, if(id % 2 = 0, ',\"x\":{\"y\":\"z\"}', ',\"x\":[]'), '}')"
+    df = spark.range(200).mapInArrow(counted, "id long").select(F.lit("e").alias("l1element"), F.parse_json(F.expr(text_of)).alias("payload"))
+    found = infer_nodes(df, [("k", Root(element="e"), (), ())])["k"]
+    assert found.simpleString() == "struct<id:bigint,x:variant>" and read.value == 200
+
+
+def test_types_of_kinds_equal_those_that_spark_merges(spark, monkeypatch):
+    import random
+
+    from payloom.operators import schema
+    from payloom.plans.spec import Root
+    random.seed(3)
+
+    def value(depth):
+        pick = random.randrange(12 if depth else 9)
+        if pick < 9:
+            return ["null", '"t"', "true", "1", "2.5", "3.25e0", "1e300", '"u"', "12345678901234567890"][pick]
+        if pick == 9:
+            return "[" + ",".join(value(depth - 1) for _ in range(random.randrange(3))) + "]"
+        return "{" + ",".join(f'"{k}":{value(depth - 1)}' for k in random.sample(["a", "A", "b c", "é", "z"], random.randrange(4))) + "}"
+
+    groups = [[f'{{"v":{value(2)},"w":{value(2)}}}' for _ in range(3)] for _ in range(60)]
+    rows = [(f"e{i}", t) for i, texts in enumerate(groups) for t in texts]
+    df = spark.createDataFrame(rows, "l1element string, t string").select("l1element", F.parse_json("t").alias("payload")).localCheckpoint()
+    wanted = [(i, Root(element=f"e{i}"), (), ()) for i in range(len(groups))]
+    found = schema.infer_nodes(df, wanted)
+    with schema._names_as_written(spark):
+        merged = {r["l1element"]: r["s"] for r in df.groupBy("l1element").agg(F.schema_of_variant_agg("payload").alias("s")).collect()}
+    assert {f"e{i}": t for i, t in found.items()} == {e: schema.parse_schema(s) for e, s in merged.items()}
+    # With more kinds than the driver takes, places are sized and merged as a whole.
+    monkeypatch.setattr(schema, "MANY_SCHEMAS", 0.5)
+    monkeypatch.setattr(schema, "infer_by_level", lambda entities, rule: {(r["node"], r["section"]): "wide" for r in entities.select("node", "section").distinct().collect()})
+    assert set(schema.infer_nodes(df, wanted).values()) == {"wide"}
