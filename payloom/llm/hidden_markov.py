@@ -144,7 +144,7 @@ def encode(text: bytes | None, ranks: dict, vocab: Vocabulary) -> tuple:
     """(tokens, classes, known among the frequent, their log10(c + 0.1), log10 of words given their class without rare counts, rare words, their counts)."""
     words = words_of(text)
     own = len(vocab.class_count) - 1 - SHARED_CLASSES
-    rank = np.array([ranks[w] for w in words], np.int64)
+    rank = np.fromiter(map(ranks.__getitem__, words), np.int64, len(words))
     common, missing = rank[rank >= 0], np.flatnonzero(rank < 0)
     hashes = [signed_hash(words[k]) for k in missing.tolist()]
     rare = Counter(hashes)
@@ -173,7 +173,7 @@ def log_likelihoods(texts: list[np.ndarray], model: Model) -> np.ndarray:
     out = np.zeros(len(texts))
     state = np.broadcast_to(model.start, (len(texts), len(model.start)))
     for t, n in enumerate(active.tolist()):
-        state = (state[:n] @ model.move if t else state[:n]) * model.emit[flat[starts[:n] + t]]
+        state = (state[:n] @ model.move if t else state[:n]) * model.emit.take(flat[starts[:n] + t], 0)
         scale = state.sum(1)
         out[:n] += np.log10(scale)
         state = state / scale[:, None]
@@ -186,13 +186,15 @@ def expected_counts(segments: list[np.ndarray], first: np.ndarray, model: Model)
     """Baum-Welch counts of a batch of segments: emissions, transitions, first states of texts and of later segments, log likelihood."""
     order, flat, starts, active = _ragged(segments)
     first, k = first[order], len(model.start)
-    alphas, scales, state, total = [], [], np.where(first[:, None], model.start, model.later), 0.0
+    alphas, emits, scales, state, total = [], [], [], np.where(first[:, None], model.start, model.later), 0.0
     for t, n in enumerate(active.tolist()):
-        state = (state[:n] @ model.move if t else state[:n]) * model.emit[flat[starts[:n] + t]]
+        emit = model.emit.take(flat[starts[:n] + t], 0)
+        state = (state[:n] @ model.move if t else state[:n]) * emit
         scale = state.sum(1, keepdims=True)
         state = state / scale
         total += float(np.log10(scale).sum())
         alphas.append(state)
+        emits.append(emit)
         scales.append(scale)
     moves = np.zeros((k, k))
     gammas, symbols = [], []
@@ -201,13 +203,15 @@ def expected_counts(segments: list[np.ndarray], first: np.ndarray, model: Model)
         n = int(active[t])
         if t + 1 < len(active):
             m = int(active[t + 1])
-            after = model.emit[flat[starts[:m] + t + 1]] * beta[:m] / scales[t + 1]
+            after = emits.pop() * beta[:m] / scales[t + 1]
             moves += alphas[t][:m].T @ after
             beta[:m] = after @ model.move.T
         gammas.append(alphas[t] * beta[:n])
         symbols.append(flat[starts[:n] + t])
     gamma, symbol = np.concatenate(gammas), np.concatenate(symbols)
-    emissions = np.stack([np.bincount(symbol, weights=gamma[:, s], minlength=len(model.emit)) for s in range(k)], axis=1)
+    # One count over (class, state), as the counts lie in memory.
+    cell = (symbol.astype(np.int64) * k)[:, None] + np.arange(k)
+    emissions = np.bincount(cell.ravel(), weights=gamma.ravel(), minlength=model.emit.size).reshape(-1, k)
     at_start = gammas[-1]
     return emissions, moves * model.move, at_start[first[:len(at_start)]].sum(0), at_start[~first[:len(at_start)]].sum(0), total
 

@@ -91,3 +91,39 @@ def test_rounds_raise_the_likelihood(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     scores = [sum(r.score for r in hm.score_texts(df, rounds=n).collect() if not r.held_out) for n in (1, 3, 6)]
     assert scores[0] < scores[1] < scores[2]
+
+
+def test_expected_counts_look_emissions_up_once():
+    """The backward pass takes what the forward pass has looked up; counts equal those over all paths."""
+    import itertools
+
+    from payloom.llm import hidden_markov as hm
+
+    class Table(np.ndarray):
+        reads = 0
+
+        def take(self, *args, **kwargs):
+            Table.reads += 1
+            return np.asarray(self).take(*args, **kwargs)
+
+        def __getitem__(self, at):
+            Table.reads += 1
+            return np.asarray(self)[at]
+
+    random = np.random.RandomState(2)
+    emit, move = random.rand(5, 2), random.rand(2, 2)
+    start, later = np.array([0.3, 0.7]), np.array([0.6, 0.4])
+    texts = [np.array([1, 4, 1], "<u4"), np.array([0, 2], "<u4")]
+    counts, moves, _, _, total = hm.expected_counts(texts, np.array([True, False]), hm.Model(start, later, move, emit.view(Table)))
+    assert Table.reads == 3
+    want, want_moves, logs = np.zeros((5, 2)), np.zeros((2, 2)), 0.0
+    for text, first in zip(texts, (start, later)):
+        paths = list(itertools.product(range(2), repeat=len(text)))
+        weights = [first[p[0]] * np.prod([move[a, b] for a, b in zip(p, p[1:])]) * np.prod([emit[c, s] for c, s in zip(text, p)]) for p in paths]
+        logs += np.log10(sum(weights))
+        for p, w in zip(paths, weights):
+            for c, s in zip(text, p):
+                want[c, s] += w / sum(weights)
+            for a, b in zip(p, p[1:]):
+                want_moves[a, b] += w / sum(weights)
+    assert np.allclose(counts, want) and np.allclose(moves, want_moves) and np.isclose(total, logs)
