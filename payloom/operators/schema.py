@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import dataclasses
 import logging
-from collections.abc import Collection
+from collections.abc import Collection, Iterable
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -146,14 +146,18 @@ def _united(a: T.DataType, b: T.DataType) -> T.DataType | None:
     return T.VariantType() if isinstance(a, plain) or isinstance(b, plain) else None
 
 
+def _kind(own: Column) -> Column:
+    """Decimals have as many types as digits: they don't make a schema another kind."""
+    return F.when(own.contains("DECIMAL("), F.regexp_replace(own, r"DECIMAL\(\d+,\d+\)", "DECIMAL")).otherwise(own)
+
+
 def _types_of_kinds(entities: DataFrame, n_places: int) -> tuple[list, list, dict]:
     """Places (node, section) with long schemas or many kinds, those whose schemas Spark has to merge, and the types of all others.
 
     One pass: entities are counted by their own schemas, of which the driver gets MANY_SCHEMAS a place at most.
     """
     own = entities.select("node", "section", F.schema_of_variant("v").alias("own"))
-    # Decimals have as many types as digits: they don't make a schema another kind.
-    kind = F.when(F.col("own").contains("DECIMAL("), F.regexp_replace("own", r"DECIMAL\(\d+,\d+\)", "DECIMAL")).otherwise(F.col("own"))
+    kind = _kind(F.col("own"))
     kinds = own.groupBy("node", "section", F.when(F.length("own") <= LONG_SCHEMA, kind).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
     most = int(MANY_SCHEMAS * n_places)
     rows = kinds.limit(most + 1).collect()
@@ -180,6 +184,70 @@ def _types_of_kinds(entities: DataFrame, n_places: int) -> tuple[list, list, dic
     return wide, merging, types
 
 
+def _names(root: Root, elements: set[str]) -> list[str] | None:
+    """Elements that a reading is made of; None for all."""
+    return sorted(elements) or (list(root.element) if root.element is not None else None)
+
+
+def _entities(df: DataFrame, readings: Iterable[tuple[Root, set[str], _Reading]]) -> DataFrame:
+    """The entities (node, section, v) of all rows."""
+    pairs = []
+    for root, elements, top in readings:
+        section = F.col("l1element") if elements else F.lit("")
+        found = top.over(_items(root_value(root)), section)
+        names = _names(root, elements)
+        if names:
+            found = F.when(F.col("l1element").isin(*names), found)
+        pairs.append(F.coalesce(found, F.array().cast("array<struct<node:int,section:string,v:variant>>")))
+    return df.select(F.inline(F.concat(*pairs))).filter(is_object("v"))
+
+
+def _types_of_whole(df: DataFrame, readings: Iterable[tuple[Root, set[str], _Reading]]) -> tuple[list, dict] | None:
+    """Places whose schemas Spark has to merge and the types of all others, for readings of whole values. None if these can't tell.
+
+    Values are counted by their own schemas as they are: no list is opened and no entity built again. The schema of
+    a list has its items' types merged already; where items are no objects only, this hides those that are.
+    """
+    readings = list(readings)
+    named = sorted({e for root, elements, _ in readings for e in _names(root, elements) or ()})
+    own = {}
+    for i, (root, elements, _) in enumerate(readings):
+        names = _names(root, elements)
+        value = root_value(root)
+        own[f"own_{i}"] = F.schema_of_variant(F.when(F.col("l1element").isin(*names), value) if names else value)
+    section = F.when(F.col("l1element").isin(*named), F.col("l1element")) if named else F.lit(None).cast("string")
+    kinds = df.select(section.alias("section"), *[c.alias(name) for name, c in own.items()]).groupBy(
+        "section", *[F.when(F.length(name) > LONG_SCHEMA, "").otherwise(_kind(F.col(name))).alias(name) for name in own]).agg(F.count(F.lit(1)).alias("n"))
+    most = int(MANY_SCHEMAS * (len(named) or 1))
+    rows = kinds.limit(most + 1).collect()
+    if len(rows) > most:
+        return None
+    found: dict[tuple[int, str], set[str]] = {}
+    for r in rows:
+        for name, (_, elements, top) in zip(own, readings):
+            if r[name] is not None and (not elements or r["section"] in elements):
+                found.setdefault((top.ids[0], r["section"] if elements else ""), set()).add(r[name])
+    merging, types = [], {}
+    for at, texts in found.items():
+        if "" in texts or len(texts) > MANY_SCHEMAS:
+            return None
+        united: T.DataType | None = T.NullType()
+        for text in sorted(texts):
+            if "DECIMAL" in text:
+                united = None
+                break
+            whole = parse_schema(text)
+            if isinstance(whole, T.ArrayType) and isinstance(whole.elementType, T.VariantType):
+                return None
+            entity = entity_type(whole)
+            united = united if united is None or entity is None else _united(united, entity)
+        if united is None:
+            merging.append(at)
+        elif entity_type(united) is not None:
+            types[at] = united
+    return merging, types
+
+
 def infer_nodes(df: DataFrame, wanted: list[tuple[NodeKey, Root, tuple[Node, ...], tuple[str, ...]]],
                 rule: KeyedRule | None = None) -> dict:
     """Entity types of many nodes at once, keyed as given.
@@ -190,6 +258,7 @@ def infer_nodes(df: DataFrame, wanted: list[tuple[NodeKey, Root, tuple[Node, ...
 
     One job counts the entities by their own schemas, which are few where entities are of few kinds, and the driver
     unites them. Only where numbers or times of several types meet does a second job merge the schemas of all entities.
+    Where all that is wanted is whole values, they are counted as they are, lists of entities unopened.
     Nodes with long schemas or many kinds, and those in which an object came out with many fields, may have objects
     whose keys are data: they are looked through level by level, and ``rule`` decides. Names are taken as they are written.
     """
@@ -210,23 +279,21 @@ def infer_nodes(df: DataFrame, wanted: list[tuple[NodeKey, Root, tuple[Node, ...
             n_nodes += 1
         owner[i] = (spot.ids[0], root.element if single else "")
 
-    pairs = []
-    for root, elements, top in readings.values():
-        section = F.col("l1element") if elements else F.lit("")
-        found = top.over(_items(root_value(root)), section)
-        names = sorted(elements) or (list(root.element) if root.element is not None else None)
-        if names:
-            found = F.when(F.col("l1element").isin(*names), found)
-        pairs.append(F.coalesce(found, F.array().cast("array<struct<node:int,section:string,v:variant>>")))
     needed = {e for _, r, _, _ in wanted for e in (r.element if isinstance(r.element, tuple) else (r.element,))}
     if None not in needed:
         df = df.filter(F.col("l1element").isin(*sorted(needed)))
-    entities = df.select(F.inline(F.concat(*pairs))).filter(is_object("v"))
+    entities = _entities(df, readings.values())
     place = F.struct("node", "section")
-    wide, merging, types = _types_of_kinds(entities, n_places=sum(len(elements) or 1 for _, elements, _ in readings.values()) * n_nodes)
-    if merging:
-        merged = entities.filter(place.isin(*_structs(merging))).groupBy("node", "section").agg(F.schema_of_variant_agg("v").alias("s"))
-        with _names_as_written(df.sparkSession):
+    with _names_as_written(df.sparkSession):
+        direct = all(top.ids and not top.steps and not root.unwrap for root, _, top in readings.values())
+        whole = _types_of_whole(df, readings.values()) if direct else None
+        if whole is None:
+            n_places = sum(len(elements) or 1 for _, elements, _ in readings.values()) * n_nodes
+            wide, merging, types = _types_of_kinds(entities, n_places)
+        else:
+            wide, (merging, types) = [], whole
+        if merging:
+            merged = entities.filter(place.isin(*_structs(merging))).groupBy("node", "section").agg(F.schema_of_variant_agg("v").alias("s"))
             types |= {(r["node"], r["section"]): entity_type(parse_schema(r["s"])) for r in merged.collect()}
     rule = rule or KeyedRule()
     wide += [at for at, dtype in types.items() if _most_fields(dtype) >= rule.many]

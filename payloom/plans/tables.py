@@ -7,10 +7,11 @@ from collections.abc import Collection
 
 from pyspark.sql import DataFrame
 
+from payloom.functions.text import snake_case
 from payloom.operators.entities import build_tables, context_columns, only_tables
 from payloom.operators.flatten import TreePlan, discover, flatten, open_trees
 from payloom.operators.schema import infer_nodes, open_nodes, resolve
-from payloom.plans.spec import Node, Pipeline, Root
+from payloom.plans.spec import AutoTree, Node, Pipeline, Root
 from payloom.sources.bronze import stage
 
 
@@ -27,9 +28,10 @@ def plan_shapes(pipe: Pipeline, bronze: DataFrame, only: Collection[str] | None
     roots = pipe.roots if only is None else only_tables(pipe.roots, _needed(pipe, only))
     declared = {t for r in pipe.roots for t in _tables_of(r)}
     discovered = pipe.auto and (only is None or not set(only) <= declared)
-    wanted = [*(open_trees(bronze, pipe.auto) if discovered else ()), *open_nodes(roots)]
+    trees = _needed_trees(pipe, only)
+    wanted = [*(open_trees(bronze, trees) if discovered else ()), *open_nodes(roots)]
     types = infer_nodes(bronze, wanted)
-    tree = discover(bronze, pipe.auto, "", types=types) if discovered else None
+    tree = discover(bronze, trees, "", types=types) if discovered else None
     return tree, resolve(bronze, roots, pipe.text, pipe.raw_names, types)
 
 
@@ -37,6 +39,19 @@ def _tables_of(node: Node) -> list[str]:
     return [*([node.table] if node.table is not None else []), *[t for c in node.children for t in _tables_of(c)]]
 
 
+def _needed_trees(pipe: Pipeline, only: Collection[str] | None) -> tuple[AutoTree, ...]:
+    """Trees that tables in ``only`` are made of, as far as names tell it: the table of a tree's root always has the tree's alias.
+
+    Any other table may be in each tree, and its name depends on all of them.
+    """
+    if only is None:
+        return pipe.auto
+    aliases = [snake_case(t.alias) for t in pipe.auto]
+    rest = set(only) - {t for r in pipe.roots for t in _tables_of(r)}
+    clear = all(aliases.count(t) == 1 and not any(t.startswith(f"{a}_") for a in aliases) for t in rest)
+    return tuple(t for t, a in zip(pipe.auto, aliases) if a in rest) if clear else pipe.auto
+
+
 def _needed(pipe: Pipeline, only: Collection[str]) -> set[str]:
     hidden = {t for r in pipe.roots for t in _tables_of(r) if t.startswith("__")}
     return {*only, *(hidden if pipe.post and not set(only) <= {t for r in pipe.roots for t in _tables_of(r)} else ())}
@@ -52,7 +67,7 @@ def pipeline_tables(pipe: Pipeline, bronze: DataFrame, shapes: Shapes | None = N
     tree, roots = shapes or plan_shapes(pipe, bronze, only)
     if shapes and only is not None:
         roots = only_tables(roots, _needed(pipe, only))
-    out = flatten(bronze, pipe.auto, "", plan=tree, spread=spread, only=only) if tree else {}
+    out = flatten(bronze, pipe.auto if shapes else _needed_trees(pipe, only), "", plan=tree, spread=spread, only=only) if tree else {}
     hops = itertools.count()
 
     def store(df: DataFrame) -> DataFrame:

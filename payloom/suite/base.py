@@ -30,6 +30,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+#: Choices of a template that are made outside of it; each doubles the expressions of a payload.
+CHOICES = 1
+
+
 class Either:
     """One of two shapes, chosen per row by an SQL condition."""
 
@@ -67,6 +71,40 @@ def _native(t) -> str:
     return variant_sql(t)
 
 
+def _conditions(t) -> list[str]:
+    """Conditions of all choices inside a template, one for each place; those in a ``Repeat`` may use its entry number."""
+    if isinstance(t, Either):
+        return [t.condition, *_conditions(t.then), *_conditions(t.otherwise)]
+    return [c for x in (t.values() if isinstance(t, dict) else t if isinstance(t, list) else ()) for c in _conditions(x)]
+
+
+def _given(t, condition: str, holds: bool):
+    """The template where the condition holds or does not (or is NULL)."""
+    if isinstance(t, Either):
+        if t.condition == condition:
+            return _given(t.then if holds else t.otherwise, condition, holds)
+        return Either(t.condition, _given(t.then, condition, holds), _given(t.otherwise, condition, holds))
+    if isinstance(t, dict):
+        return {k: _given(v, condition, holds) for k, v in t.items()}
+    return [_given(x, condition, holds) for x in t] if isinstance(t, list) else t
+
+
+def chosen_first(t, most: int = CHOICES):
+    """The same template with its most frequent choices made outside of it.
+
+    What is chosen inside is a VARIANT of its own, which is built and then copied into the whole; chosen
+    outside, the whole is built once.
+    """
+    t = _given(t, "false", False)
+    if isinstance(t, Either):
+        return Either(t.condition, chosen_first(_given(t.then, t.condition, True), most), chosen_first(_given(t.otherwise, t.condition, False), most))
+    found = _conditions(t)
+    if not found or not most:
+        return t
+    first = max(dict.fromkeys(found), key=found.count)
+    return Either(first, *(chosen_first(_given(t, first, holds), most - 1) for holds in (True, False)))
+
+
 def variant_sql(t) -> str:
     """Template to an SQL expression of type VARIANT; entries of a list may differ in shape."""
     if t is None:
@@ -103,10 +141,10 @@ def bronze_rows(df: DataFrame, source_id: str, at: str, sections: dict, l0=None)
     else:
         names = [F.when(F.expr(cond), F.lit(name)) for name, (cond, _) in sections.items()]
         rows = df.withColumn("l1element", F.explode(F.array(*names))).filter(F.col("l1element").isNotNull())
-    cases = " ".join(f"WHEN '{name}' THEN {variant_sql(t)}" for name, (_, t) in sections.items())
+    cases = " ".join(f"WHEN '{name}' THEN {variant_sql(chosen_first(t))}" for name, (_, t) in sections.items())
     return rows.select(
         F.expr(source_id).alias("ingested_from"), F.expr(at).cast("timestamp").alias("ingested_at"),
-        (variant(l0) if l0 is not None else F.lit(None).cast("variant")).alias("l0payload"), "l1element",
+        (variant(chosen_first(l0)) if l0 is not None else F.lit(None).cast("variant")).alias("l0payload"), "l1element",
         F.expr(f"CASE l1element {cases} END").alias("payload"))
 
 

@@ -233,3 +233,38 @@ def test_types_of_kinds_equal_those_that_spark_merges(spark, monkeypatch):
     monkeypatch.setattr(schema, "MANY_SCHEMAS", 0.5)
     monkeypatch.setattr(schema, "infer_by_level", lambda entities, rule: {(r["node"], r["section"]): "wide" for r in entities.select("node", "section").distinct().collect()})
     assert set(schema.infer_nodes(df, wanted).values()) == {"wide"}
+
+
+def test_whole_values_are_counted_without_opening_their_lists(bronze, monkeypatch):
+    from payloom.operators import schema
+
+    opened = []
+    kinds = schema._types_of_kinds
+    monkeypatch.setattr(schema, "_types_of_kinds", lambda *a, **k: opened.append(1) or kinds(*a, **k))
+
+    def types(*payloads, l0=None):
+        df = bronze([("t", p, l0) for p in payloads])
+        wanted = [(source, schema.Root(element="t", source=source), (), ()) for source in ("payload", "l0payload")]
+        got = schema.infer_nodes(df, wanted)
+        return *(got[s].simpleString() if got[s] else None for s in ("payload", "l0payload")), bool(opened)
+
+    same = '{"a":"1","B":{"c":[{"d":"x"},{"e":null}]}}', '[{"a":"2","b":"y"},{"a":null,"B":{"c":[]}}]', "[]", "null", '"text"', None, "[[1]]"
+    assert types(*same, l0='{"g":"1"}') == ("struct<B:struct<c:array<struct<d:string,e:void>>>,a:string,b:string>", "struct<g:string>", False)
+    assert types('{"a":1}', '[{"a":2.5},{"a":"x"}]') == ("struct<a:variant>", None, False)
+    assert types('{"a":1}', '{"a":2.5}', '[{"a":10.25}]') == ("struct<a:decimal(22,2)>", None, False)
+    # The schema of this list doesn't tell its object's: it is opened.
+    assert types('{"a":"1"}', '[{"b":"2"},"text"]') == ("struct<a:string,b:string>", None, True)
+
+
+def test_the_table_of_a_root_needs_its_own_tree_only(bronze):
+    from payloom.plans.catalog import pipeline
+    from payloom.plans.tables import pipeline_tables, plan_shapes
+
+    events = pipeline("matchstatsandevents")
+    # Event flows without a game id have no key: their own table can't be made, that of the statistics can.
+    df = bronze([("gameStats", '[{"gameId":"7","gameState":"f"}]'), ("eventFlow", '{"roundId":"3"}')])
+    assert rows(pipeline_tables(events, df, only=("gamestats",))["gamestats"], "game_id", "game_state") == [("7", "f")]
+    with pytest.raises(ValueError):
+        pipeline_tables(events, df, only=("eventflow",))
+    tree, _ = plan_shapes(pipeline("matchdata"), bronze([("teams", '{"game_id":"1","teamsMatch":[{"team_id":"2"}]}'), ("gameInfo", '{"city":"x"}')]), only=("teams_match",))
+    assert [r.element for r in tree.roots] == ["gameInfo", "teams"]

@@ -378,3 +378,19 @@ def test_plan_of_a_pipeline_reads_each_table_once(spark):
     assert sorted(reads) == sorted([*C.KEYS["matchdata"], "teams_match", "gameinfo"])
     assert [r for r in rows(got) if r[1] != "PASS"] == [("matchdata.teams_match:2 rows", "FAIL", 1)]
     assert got.count() == 2 * 5 + sum(map(len, C.KEYS["matchdata"].values())) + 2
+
+
+def test_choices_made_outside_of_a_payload_build_it_once(spark):
+    from payloom.suite.base import Either, Repeat, chosen_first, variant_sql
+
+    odd, third = "id % 2 = 1", "id % 3 = 0"
+    entry = {"n": "CAST(i AS string)"}
+    t = {"a": Either("false", [], Either(odd, {"x": "'1'"}, [{"x": "'1'"}, {"x": "'2'"}])), "b": {"c": [Either(odd, "'p'", {"q": "'r'"})]},
+         "d": Either(third, {}, {"e": Either(odd, "'o'", Either(third, "'never'", "'z'"))}), "f": Repeat("id", entry), "g": None}
+    outside = variant_sql(chosen_first({"a": t["a"], "b": {"c": Either(odd, "'p'", {"q": "'r'"})}}))
+    assert variant_sql({"a": t["a"]}).count("CASE") == 2 and outside.count("CASE") == 1 and outside.count("to_variant_object") == 2
+    ids = "CASE WHEN id = 6 THEN NULL ELSE id END AS id"
+    for template in (t, Either(third, t, [t]), [t], Either(odd, Either(odd, "'1'", "'2'"), "'3'")):
+        for most in (0, 1, 2):
+            got = spark.range(7).selectExpr(ids).selectExpr(f"CAST({variant_sql(chosen_first(template, most))} AS string) AS a", f"CAST({variant_sql(template)} AS string) AS b")
+            assert all(r.a == r.b and r.a for r in got.collect())
