@@ -23,21 +23,22 @@ BATCH_BYTES = 256 << 10
 
 
 class Memo:
-    """What is known of pieces, in two generations of about MEMO_BYTES each, whatever the pieces are like.
+    """What is known of pieces, in two generations of about ``limit`` bytes each, whatever the pieces are like.
 
     When the current one is full it becomes the previous one, from which pieces
     come back as they are met again; those that aren't are forgotten. So
     frequent pieces stay, whatever else a corpus brings.
     """
 
-    def __init__(self):
+    def __init__(self, limit: int | None = None):
+        self.limit = limit or MEMO_BYTES
         self.current: dict[bytes, object] = {}
         self.previous: dict[bytes, object] = {}
         self.bytes = 0
 
     def values(self, texts: list[list[bytes]], learn) -> list[list]:
         """What is known of each piece of each text; ``learn`` enters all that is new in the batch at once."""
-        if self.bytes >= MEMO_BYTES:
+        if self.bytes >= self.limit:
             self.previous, self.current, self.bytes = self.current, {}, 0
         known, previous = self.current, self.previous
         rows = [list(map(known.get, pieces)) for pieces in texts]
@@ -93,7 +94,7 @@ class WordIds:
     which the tokenizer always takes out as one id.
     """
 
-    def __init__(self, path: str, separator: str, word_end: str = "</w>"):
+    def __init__(self, path: str, separator: str, word_end: str = "</w>", memo_bytes: int | None = None):
         self.tokenizer = tokenizer_of(path)
         self.separator, self.mark = separator, self.tokenizer.token_to_id(separator)
         specials = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -102,7 +103,7 @@ class WordIds:
         self.words = self._for_words(path)
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith(word_end)]] = True
-        self.memo = Memo()
+        self.memo = Memo(memo_bytes)
 
     @staticmethod
     def _for_words(path: str):

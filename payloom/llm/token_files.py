@@ -98,14 +98,14 @@ def read_file(uri: str) -> Iterator[tuple[int | None, int, np.ndarray]]:
             held, done = stream[n:], done + n
 
 
-def by_size(batch: pa.RecordBatch) -> Iterator[tuple[list, list[bytes]]]:
-    """Ids and bodies of consecutive rows whose bodies sum to about GROUP_BYTES."""
+def by_size(batch: pa.RecordBatch, limit: int = GROUP_BYTES) -> Iterator[tuple[list, list[bytes]]]:
+    """Ids and bodies of consecutive rows whose bodies sum to about the limit."""
     ids, bodies, size = [], [], 0
     for doc, body in zip(*batch.columns, strict=True):
         ids.append(doc.as_py())
         bodies.append(body.as_py() or b"")
         size += len(bodies[-1])
-        if size >= GROUP_BYTES:
+        if size >= limit:
             yield ids, bodies
             ids, bodies, size = [], [], 0
     if ids:
@@ -113,7 +113,8 @@ def by_size(batch: pa.RecordBatch) -> Iterator[tuple[list, list[bytes]]]:
 
 
 def write_token_files(docs: DataFrame, tokenizer_file: str, *, separator: str = "<|endoftext|>", end_id: int = 2,
-                      doc_id: str = "doc_id", text: str = "text", folder: str | None = None) -> DataFrame:
+                      doc_id: str = "doc_id", text: str = "text", folder: str | None = None,
+                      memo_bytes: int | None = None, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """Write the files and return the list of them: (path, part, number, n_docs, n_ids), in document order.
 
     Rows are range-partitioned by id, the only shuffle, and sorted within
@@ -123,14 +124,16 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, *, separator: str =
 
     A null or empty text is just the end id. Null ids come first; rows with
     one id stand next to each other, in order of a hash of their texts. An empty
-    table writes no file. Other columns are not read.
+    table writes no file. Other columns are not read. A worker remembers the ids of
+    words in two generations of ``memo_bytes`` (96 MB by default); with less, more words are encoded again.
+    Texts are encoded together in groups of about ``group_bytes``.
     """
     folder = folder or shared_folder(docs.sparkSession, "tokens")
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("binary").alias("body"))
     ordered = rows.withColumn("tie", F.xxhash64("body")).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = memo_of(WordIds, tokenizer_file, separator)
+        words = memo_of(WordIds, tokenizer_file, separator, "</w>", memo_bytes)
         end = np.array([end_id], "<u4")
         writer, listed = None, []
 
@@ -139,7 +142,7 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, *, separator: str =
             listed.append((writer.uri, int(part[1]), int(part[2]), *writer.close()))
 
         for batch in batches:
-            for ids, bodies in by_size(batch):
+            for ids, bodies in by_size(batch, group_bytes):
                 for doc, raw in zip(ids, words.encode(bodies), strict=True):
                     if writer is None:
                         writer = FileWriter(task_file(folder, len(listed), ".s8b"))

@@ -139,3 +139,17 @@ def test_one_thing_is_kept_in_a_worker():
     for key in (("a",), ("a",), ("b",), ("a",)):
         kept_one(key, lambda key=key: made.append(key) or key)
     assert made == [("a",), ("b",), ("a",)]
+
+
+def test_a_smaller_memo_and_group_hold_less_and_give_the_same_files(spark, tmp_path):
+    from payloom.llm.pieces import Memo
+    from payloom.llm.token_files import read_token_files, write_token_files
+
+    memo = Memo(1 << 20)
+    for k in range(40):
+        memo.values([[b"%d %d" % (k, j) for j in range(2000)]], lambda pieces: memo.current.update((p, p) for p in pieces))
+    assert len(memo.current) + len(memo.previous) < 30_000 < 40 * 2000
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i * j) % 977}x" for j in range(300))) for i in range(60)], "doc_id long, text string")
+    small = read_token_files(write_token_files(docs, WORDS, folder=str(tmp_path / "small"), memo_bytes=2000, group_bytes=1500))
+    whole = read_token_files(write_token_files(docs, WORDS, folder=str(tmp_path / "whole")))
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, whole.collect()))
