@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -133,19 +134,15 @@ def bronze_rows(df: DataFrame, source_id: str, at: str, sections: dict, l0=None)
 
     ``sections`` maps the element name to (condition, payload template).
     """
-    # Names are exploded first and payloads built after, in a plain projection:
-    # that is generated code, and a filter on the element runs before it.
-    conditions = [c for c, _ in sections.values()]
-    if conditions == ["true"]:
-        rows = df.withColumn("l1element", F.lit(next(iter(sections))))
-    else:
-        names = [F.when(F.expr(cond), F.lit(name)) for name, (cond, _) in sections.items()]
-        rows = df.withColumn("l1element", F.explode(F.array(*names))).filter(F.col("l1element").isNotNull())
-    cases = " ".join(f"WHEN '{name}' THEN {variant_sql(chosen_first(t))}" for name, (_, t) in sections.items())
-    return rows.select(
-        F.expr(source_id).alias("ingested_from"), F.expr(at).cast("timestamp").alias("ingested_at"),
-        (variant(chosen_first(l0)) if l0 is not None else F.lit(None).cast("variant")).alias("l0payload"), "l1element",
-        F.expr(f"CASE l1element {cases} END").alias("payload"))
+    # Each section is a projection of its own, so a filter on the element leaves out the sections that
+    # it does not ask for before any row is read, and the code of each is generated alone.
+    l0payload = variant(chosen_first(l0)) if l0 is not None else F.lit(None).cast("variant")
+    parts = [
+        (df if cond == "true" else df.filter(cond)).select(
+            F.expr(source_id).alias("ingested_from"), F.expr(at).cast("timestamp").alias("ingested_at"),
+            l0payload.alias("l0payload"), F.lit(name).alias("l1element"), variant(chosen_first(t)).alias("payload"))
+        for name, (cond, t) in sections.items()]
+    return reduce(DataFrame.unionAll, parts)
 
 
 def reloaded(make):
