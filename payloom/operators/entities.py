@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payloom.functions.text import id_part
-from payloom.functions.variant import OBJECT, get, is_array, is_object, non_empty_object, scalar_text, struct_ddl, text_node
+from payloom.functions.variant import OBJECT, get, is_array, is_object, non_empty_object, present, scalar_text, struct_ddl, text_node
 from payloom.operators import keys as K
 from payloom.operators.schema import root_value
 from payloom.plans.spec import Field, Node, Pipeline, Root
@@ -33,9 +33,8 @@ SHARED_FROM = 6
 class _Reader:
     """The struct type of one hop and how its fields become columns."""
 
-    def __init__(self, raw: bool = False) -> None:
+    def __init__(self) -> None:
         self.types: dict[str, str] = {}
-        self.raw = raw
 
     def want(self, f: Field) -> None:
         self._add(f.json, f.type if f.read == "scalar" else "variant")
@@ -58,7 +57,7 @@ class _Reader:
 
     def ddl(self) -> str:
         folded = [k.lower() for k in self.types]
-        if self.raw or len(set(folded)) < len(folded):
+        if len(set(folded)) < len(folded):
             return "variant"
         return struct_ddl(self.types)
 
@@ -77,6 +76,22 @@ class _Reader:
     def nested(self, entity: Column, key: str) -> Column:
         return get(entity, key) if self.ddl() == "variant" else entity.getField(key)
 
+    def want_place(self, path: tuple[str, ...]) -> None:
+        if len(path) > 1:
+            self.want_object(path[:-1], (Field(path[-1], path[-1], "variant"),))
+        else:
+            self.want_value(path[0])
+
+    def place(self, entity: Column, path: tuple[str, ...]) -> Column:
+        """The raw value at a path that was wanted as a place."""
+        if self.ddl() == "variant":
+            return get(entity, *path)
+        for i, key in enumerate(path):
+            entity = entity.getField(key)
+            if i == 0 and self.types[key] == "variant":
+                return get(entity, *path[1:]) if path[1:] else entity
+        return entity
+
 
 def _finish(value: Column, f: Field) -> Column:
     if f.read == "mixed":
@@ -98,6 +113,15 @@ def _list(value: Column, path: tuple[str, ...], list_key: str | None, ddl: str)
     return F.coalesce(*options)
 
 
+def _unwrapped_list(value: Column, key: str, ddl: str) -> Column:
+    """``_list`` of what is at a wrapper's key, or of the value itself where there is nothing.
+
+    A list there, as most are, is read in one go: no value of it is built again on the way.
+    """
+    inner = F.when(present(get(value, key)), F.array(get(value, key, as_type=ddl)))
+    return F.coalesce(get(value, key, as_type=f"array<{ddl}>"), inner, _list(value, (), None, ddl))
+
+
 def _element_filter(root: Root) -> Column | None:
     if root.element is None:
         return None
@@ -237,7 +261,7 @@ def _descend(df: DataFrame, chain: tuple[Node, ...], context: Mapping[str, Colum
             entity = None
             reader = _Reader()
         else:
-            reader = _Reader(raw=not last and bool(chain[depth + 1].named))
+            reader = _Reader()
             if last:
                 for f in (*node.fields, *node.extra):
                     reader.want(f)
@@ -247,9 +271,10 @@ def _descend(df: DataFrame, chain: tuple[Node, ...], context: Mapping[str, Colum
             else:
                 for f in node.hand_down:
                     reader.want(f)
-                if not reader.raw:
-                    for key in parts if stop else chain[depth + 1].path[:1]:
-                        reader.want_value(key)
+                for _, path in chain[depth + 1].named:
+                    reader.want_place(path)
+                for key in parts if stop else chain[depth + 1].path[:1]:
+                    reader.want_value(key)
             if not reader.types:
                 reader.want_value("__none")
             frame = _open(frame, node, depth, chain, carried, reader)
@@ -264,8 +289,12 @@ def _descend(df: DataFrame, chain: tuple[Node, ...], context: Mapping[str, Colum
                 carried[f.column] = reader.value(entity, f)
             if stop:
                 opened = [reader.nested(entity, key).alias(PART.format(i)) for i, key in enumerate(parts)]
+            elif nxt.named:
+                # A row per place with its label, so that one read serves them all.
+                places = [F.struct(F.lit(label).alias(LABEL), reader.place(entity, path).alias(VALUE)) for label, path in nxt.named]
+                opened = [F.inline(F.array(*places))]
             else:
-                opened = [(entity if nxt.named else reader.nested(entity, nxt.path[0])).alias(VALUE)]
+                opened = [reader.nested(entity, nxt.path[0]).alias(VALUE)]
             frame = frame.select(*[v.alias(c) for c, v in carried.items()], *opened)
             carried = {c: F.col(c) for c in carried}
             if stop:
@@ -323,29 +352,30 @@ def _open(frame: DataFrame, node: Node, depth: int, chain: tuple[Node, ...], car
     raw = reader.ddl() == "variant" or (last and (node.require == "filled" or node.text_element is not None))
     ddl = "variant" if raw else reader.ddl()
     if depth == 0:
-        source = root_value(node)
+        # A single wrapper is looked through by the reading itself.
+        wrapper = node.unwrap[0] if len(node.unwrap) == 1 else None
+        source = root_value(node if wrapper is None else dataclasses.replace(node, unwrap=()))
         if node.unwrap or callable(node.source):
             # Its own projection, so the unwrapping runs once and not per reading.
             l0 = [F.col("l0payload")] if node.take == "first" else []
             frame = frame.select(*[v.alias(c) for c, v in carried.items()], *l0, source.alias(VALUE))
             carried, source = {c: F.col(c) for c in carried}, F.col(VALUE)
-        items = _list(source, (), None, ddl)
+        items = _list(source, (), None, ddl) if wrapper is None else _unwrapped_list(source, wrapper, ddl)
         if node.take == "first":
             items = F.when(F.col("l0payload").isNotNull(), F.slice(items, 1, 1)).otherwise(items)
     elif node.named:
-        items = _labelled(node, ddl)
+        items = _list(F.col(VALUE), (), None, ddl)
     elif node.keyed:
         items = _by_key(node, ddl)
     else:
         items = _list(F.col(VALUE), node.path[1:], node.list_key, ddl)
     out = VALUE if raw else ENTITY
+    extra = [F.col(LABEL)] if node.named or node.keyed else []
     keep = [v.alias(c) for c, v in carried.items()]
-    frame = frame.select(*keep, F.explode(items).alias(out))
-    extra = []
-    if node.named or node.keyed:
+    frame = frame.select(*keep, *(extra if node.named else []), F.explode(items).alias(out))
+    if node.keyed and not node.named:
         frame = frame.select(*[F.col(c) for c in carried], F.col(out).getField("label").alias(LABEL),
                              F.col(out).getField("item").alias(out))
-        extra = [F.col(LABEL)]
     if not raw:
         return frame.filter(F.col(ENTITY).isNotNull())
     if last and node.require == "filled":
@@ -357,17 +387,6 @@ def _open(frame: DataFrame, node: Node, depth: int, chain: tuple[Node, ...], car
     return frame.filter(is_object(VALUE))
 
 
-def _labelled(node: Node, ddl: str) -> Column:
-    """Entities of all named places in one array, so one explode serves them all."""
-    def tag(label: str):
-        return lambda x: F.struct(F.lit(label).alias("label"), x.alias("item"))
-
-    none = F.array().cast(f"array<struct<label:string,item:{ddl}>>")
-    return F.concat(*[
-        F.coalesce(F.transform(_list(F.col(VALUE), path, None, ddl), tag(label)), none) for label, path in node.named
-    ])
-
-
 def _by_key(node: Node, ddl: str) -> Column:
     """The values of an object with their keys."""
     entries = F.map_entries(get(F.col(VALUE), *node.path[1:], as_type=OBJECT))
