@@ -59,7 +59,7 @@ class TreePlan:
 def open_trees(df: DataFrame, trees: tuple[AutoTree, ...]) -> list:
     """What ``infer_nodes`` has to look up first to discover trees."""
     sources = [("payload", "payload"), *([("l0", "l0payload")] if "l0payload" in df.columns else [])]
-    return [((kind, i), Root(element=t.element, source=column), (), ()) for kind, column in sources for i, t in enumerate(trees)]
+    return [((kind, i), Root(element=t.element, source=column, left_out=frozenset(t.exclude)), (), ()) for kind, column in sources for i, t in enumerate(trees)]
 
 
 def discover(df: DataFrame, trees: tuple[AutoTree, ...], prefix: str, strict: bool = False, types: dict | None = None) -> TreePlan:

@@ -6,12 +6,13 @@ import dataclasses
 import logging
 from collections.abc import Collection, Iterable
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from payloom.functions.variant import OBJECT, as_list, get, is_object, unwrap_or_self
+from payloom.functions.variant import OBJECT, as_list, get, is_object, struct_ddl, unwrap_or_self
 from payloom.operators.frontier import KeyedRule, infer_by_level, profile_paths
 from payloom.plans.spec import ALL, Field, Node, Root
 from payloom.functions.text import snake_case
@@ -21,6 +22,8 @@ LOG = logging.getLogger(__name__)
 NodeKey = tuple
 # Entities whose own schemas are longer, or of more kinds, are looked through level by level.
 LONG_SCHEMA, MANY_SCHEMAS = 20_000, 500
+# Values that are looked at first, to learn which fields there are beside those that no table is made of.
+FIRST_VALUES = 100
 
 
 @contextmanager
@@ -158,12 +161,12 @@ def _types_of_kinds(entities: DataFrame, n_places: int) -> tuple[list, list, dic
     """
     own = entities.select("node", "section", F.schema_of_variant("v").alias("own"))
     kind = _kind(F.col("own"))
-    kinds = own.groupBy("node", "section", F.when(F.length("own") <= LONG_SCHEMA, kind).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    kinds = own.groupBy("node", "section", F.when(F.octet_length("own") <= LONG_SCHEMA, kind).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
     most = int(MANY_SCHEMAS * n_places)
     rows = kinds.limit(most + 1).collect()
     if len(rows) > most:
         # Which places these are takes a pass of its own, in which each place is one row.
-        sizes = own.groupBy("node", "section").agg(F.max(F.length("own")).alias("longest"), F.approx_count_distinct(kind).alias("kinds")).collect()
+        sizes = own.groupBy("node", "section").agg(F.max(F.octet_length("own")).alias("longest"), F.approx_count_distinct(kind).alias("kinds")).collect()
         wide = [(r["node"], r["section"]) for r in sizes if r["longest"] > LONG_SCHEMA or r["kinds"] > MANY_SCHEMAS]
         return wide, [at for r in sizes if (at := (r["node"], r["section"])) not in wide], {}
     found: dict[tuple[int, str], list[str | None]] = {}
@@ -202,31 +205,126 @@ def _entities(df: DataFrame, readings: Iterable[tuple[Root, set[str], _Reading]]
     return df.select(F.inline(F.concat(*pairs))).filter(is_object("v"))
 
 
+def _outline(dtype: T.DataType, left_out: Collection[str] = ()) -> T.DataType:
+    """Objects and lists of a type without some of its fields; scalars are all one."""
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(_outline(dtype.elementType, left_out))
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name, _outline(f.dataType, left_out)) for f in dtype.fields if f.name not in left_out])
+    return dtype if isinstance(dtype, (T.NullType, T.VariantType)) else T.StringType()
+
+
+def _objects(dtype: T.DataType, steps: tuple[str | None, ...] = ()) -> dict[tuple[str | None, ...], T.StructType]:
+    """All objects of a type by the way to them: names, and None for the elements of a list."""
+    if isinstance(dtype, T.ArrayType):
+        return _objects(dtype.elementType, (*steps, None))
+    if not isinstance(dtype, T.StructType):
+        return {}
+    return {steps: dtype} | {way: st for f in dtype.fields for way, st in _objects(f.dataType, (*steps, f.name)).items()}
+
+
+def _n_fields(dtype: T.DataType) -> int:
+    return sum(len(st.fields) for st in _objects(dtype).values())
+
+
+def _opened_ddl(dtype: T.DataType) -> str:
+    """Type that opens objects and lists of objects and reads all else as it is."""
+    if isinstance(dtype, T.StructType):
+        return struct_ddl({f.name: _opened_ddl(f.dataType) for f in dtype.fields})
+    return f"array<{_opened_ddl(dtype.elementType)}>" if _objects(dtype) else "variant"
+
+
+def _known_at(value: Column, steps: tuple[str | None, ...], names: Collection[str]) -> Column:
+    """Whether all objects at a place have these names only; NULL or false where there is one that is no object."""
+    ddl = "map<string,struct<__none:variant>>"
+    for step in reversed(steps):
+        ddl = f"array<{ddl}>" if step is None else struct_ddl({step: ddl})
+
+    def known(at: Column, rest: tuple[str | None, ...]) -> Column:
+        if not rest:
+            return F.forall(F.map_keys(at), lambda key: key.isin(*names))
+        return F.forall(at, lambda x: known(x, rest[1:])) if rest[0] is None else known(at.getField(rest[0]), rest[1:])
+
+    return known(get(value, as_type=ddl), steps)
+
+
+def _flat_at(value: Column, outline: T.DataType) -> Column:
+    """Whether nothing in an opened value holds an object but the objects that the outline has."""
+    if isinstance(outline, T.StructType):
+        return reduce(Column.__and__, [F.coalesce(_flat_at(value.getField(f.name), f.dataType), F.lit(True)) for f in outline.fields])
+    if _objects(outline):
+        return F.forall(value, lambda x: _flat_at(x, outline.elementType))
+    return ~F.contains(F.schema_of_variant(value), F.lit("OBJECT<"))
+
+
+def _without(value: Column, seen: T.DataType | None, left_out: Collection[str]) -> tuple[Column, Column] | None:
+    """Whether a value is like those seen but for fields that are left out, and what it is without them.
+
+    None where this is no less to read. A value with any name that was not seen, or with something else in place
+    of an object or a list of objects, or an object in place of something else, is not like them: whatever was seen,
+    no field is missed, and the names of all values that are like them are known.
+    """
+    if seen is None or not left_out:
+        return None
+    outline = _outline(seen, left_out)
+    objects = _objects(outline)
+    plain = all(st.fields and len({f.name.lower() for f in st.fields}) == len(st.fields) for st in objects.values())
+    if not objects or not plain or 2 * _n_fields(outline) + len(objects) > _n_fields(seen):
+        return None
+    known = [_known_at(value, way, sorted({*left_out, *st.fieldNames()})) for way, st in objects.items()]
+    opened = get(value, as_type=_opened_ddl(outline))
+    return F.coalesce(reduce(Column.__and__, [*known, _flat_at(opened, outline)]), F.lit(False)), F.to_variant_object(opened)
+
+
+def _first_seen(df: DataFrame, value: Column) -> T.DataType | None:
+    """Objects and lists of a few values; None if they are of different kinds."""
+    own = F.schema_of_variant(value)
+    rows = df.select(F.when(F.octet_length(own) > LONG_SCHEMA, "").otherwise(own).alias("own")).limit(FIRST_VALUES).collect()
+    united: T.DataType | None = T.NullType()
+    for text in sorted({r["own"] for r in rows} - {None}):
+        united = _united(united, _outline(parse_schema(text))) if text and united is not None else None
+    return united
+
+
 def _types_of_whole(df: DataFrame, readings: Iterable[tuple[Root, set[str], _Reading]]) -> tuple[list, dict] | None:
     """Places whose schemas Spark has to merge and the types of all others, for readings of whole values. None if these can't tell.
 
     Values are counted by their own schemas as they are: no list is opened and no entity built again. The schema of
     a list has its items' types merged already; where items are no objects only, this hides those that are.
+    Fields that readings leave out may be missing in the types.
     """
     readings = list(readings)
     named = sorted({e for root, elements, _ in readings for e in _names(root, elements) or ()})
-    own = {}
+    values, alike, own, rest = {}, {}, {}, {}
     for i, (root, elements, _) in enumerate(readings):
         names = _names(root, elements)
         value = root_value(root)
-        own[f"own_{i}"] = F.schema_of_variant(F.when(F.col("l1element").isin(*names), value) if names else value)
+        values[f"value_{i}"] = F.when(F.col("l1element").isin(*names), value) if names else value
+        value, like = F.col(f"value_{i}"), F.col(f"alike_{i}")
+        # Values of several elements are not seen apart.
+        seen = _first_seen(df, values[f"value_{i}"]) if root.left_out and len(names or ()) == 1 else None
+        without = _without(value, seen, root.left_out)
+        if without is not None:
+            alike[f"alike_{i}"], rest[f"rest_{i}"] = without[0], F.when(like, without[1])
+        own[f"own_{i}"] = F.schema_of_variant(value if without is None else F.when(~like, value))
     section = F.when(F.col("l1element").isin(*named), F.col("l1element")) if named else F.lit(None).cast("string")
-    kinds = df.select(section.alias("section"), *[c.alias(name) for name, c in own.items()]).groupBy(
-        "section", *[F.when(F.length(name) > LONG_SCHEMA, "").otherwise(_kind(F.col(name))).alias(name) for name in own]).agg(F.count(F.lit(1)).alias("n"))
+    # Each step is a projection of its own, so that nothing is made twice.
+    read = df.select(section.alias("section"), *[c.alias(name) for name, c in values.items()])
+    read = read.select("*", *[c.alias(name) for name, c in alike.items()]) if alike else read
+    # To print a schema takes longer than to build the value. The names of values that are alike are known, so theirs are merged and printed once.
+    kinds = read.select("section", *[c.alias(name) for name, c in {**own, **rest}.items()]).groupBy(
+        "section", *[F.when(F.octet_length(name) > LONG_SCHEMA, "").otherwise(_kind(F.col(name))).alias(name) for name in own]).agg(
+        F.count(F.lit(1)).alias("n"), *[F.schema_of_variant_agg(name).alias(name) for name in rest])
     most = int(MANY_SCHEMAS * (len(named) or 1))
     rows = kinds.limit(most + 1).collect()
     if len(rows) > most:
         return None
     found: dict[tuple[int, str], set[str]] = {}
     for r in rows:
-        for name, (_, elements, top) in zip(own, readings):
-            if r[name] is not None and (not elements or r["section"] in elements):
-                found.setdefault((top.ids[0], r["section"] if elements else ""), set()).add(r[name])
+        for i, (_, elements, top) in enumerate(readings):
+            texts = {r[name] for name in (f"own_{i}", f"rest_{i}") if name in kinds.columns} - {None}
+            if texts and (not elements or r["section"] in elements):
+                found.setdefault((top.ids[0], r["section"] if elements else ""), set()).update(texts)
     merging, types = [], {}
     for at, texts in found.items():
         if "" in texts or len(texts) > MANY_SCHEMAS:
@@ -258,7 +356,8 @@ def infer_nodes(df: DataFrame, wanted: list[tuple[NodeKey, Root, tuple[Node, ...
 
     One job counts the entities by their own schemas, which are few where entities are of few kinds, and the driver
     unites them. Only where numbers or times of several types meet does a second job merge the schemas of all entities.
-    Where all that is wanted is whole values, they are counted as they are, lists of entities unopened.
+    Where all that is wanted is whole values, they are counted as they are, lists of entities unopened; fields that
+    all who want them leave out may then be missing in the types.
     Nodes with long schemas or many kinds, and those in which an object came out with many fields, may have objects
     whose keys are data: they are looked through level by level, and ``rule`` decides. Names are taken as they are written.
     """
@@ -270,7 +369,9 @@ def infer_nodes(df: DataFrame, wanted: list[tuple[NodeKey, Root, tuple[Node, ...
     for i, (_, root, chain, inner) in enumerate(wanted):
         single = isinstance(root.element, str)
         source = (root.source, root.unwrap, None if single else root.element)
-        _, elements, top = readings.setdefault(source, (root, set(), _Reading()))
+        one, elements, top = readings.get(source, (root, set(), _Reading()))
+        # What one table leaves out another one may be made of.
+        readings[source] = (dataclasses.replace(one, left_out=one.left_out & root.left_out), elements, top)
         if single:
             elements.add(root.element)
         spot = top.at((*chain, *([Node(path=inner)] if inner else [])))

@@ -91,6 +91,8 @@ class Root(Node):
     l0_fields: tuple[Field, ...] = ()
     # "all" payload elements, or only the "first" (as some feeds expect).
     take: str = "all"
+    # Names that no table is made of, at any depth: inference may leave such fields out.
+    left_out: frozenset[str] = frozenset()
 
 
 @dataclass(frozen=True)

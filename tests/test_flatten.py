@@ -256,6 +256,46 @@ def test_whole_values_are_counted_without_opening_their_lists(bronze, monkeypatc
     assert types('{"a":"1"}', '[{"b":"2"},"text"]') == ("struct<a:string,b:string>", None, True)
 
 
+def test_fields_left_out_are_not_looked_at_and_no_other_is_missed(bronze, monkeypatch):
+    import random
+
+    from payloom.operators import schema
+
+    monkeypatch.setattr(schema, "FIRST_VALUES", 2)
+    usual = '{"team":[{"id":"1","big":{"s":[{"a":"x","b":"y","c":"z","d":"w"}]},"more":{"e":"1","f":"2","g":"3"}}]}'
+    left_out = frozenset({"big", "more"})
+
+    def types(texts, **root):
+        return schema.infer_nodes(bronze([("t", x) for x in texts]).coalesce(1), [("k", schema.Root(element="t", **root), (), ())])["k"]
+
+    def others(dtype):
+        if isinstance(dtype, schema.T.StructType):
+            return {f.name: others(f.dataType) for f in dtype.fields if f.name not in left_out}
+        return [others(dtype.elementType)] if isinstance(dtype, schema.T.ArrayType) else dtype
+
+    assert types([usual] * 4, left_out=left_out).simpleString() == "struct<team:array<struct<id:string>>>"
+    assert "big" in types([usual] * 4).simpleString()
+    odd = ('{"team":[{"id":"1","new":"2"}]}', '{"team":[{"id":"1"},null]}', '{"team":{"id":"1"}}', '{"team":[{"ID":"1"}],"x":"1"}', '{"team":[]}', "{}",
+           '{"team":"text"}', '{"team":[{"id":1}]}', '{"team":[{"id":{"v":"1"}}]}', '{"team":[{"id":["1"]},{"big":1}]}', '{"team":[[{"id":"1"}]]}',
+           '[{"team":[{"id":"1"}]},{"y":true}]', "null", None, '"text"', '{"team":[{"id":null,"more":[{"z":1}]}]}', '{"big":{"id":"1"}}')
+    random.seed(5)
+    for texts in [[x] for x in odd] + [random.sample(odd, 4) for _ in range(8)]:
+        texts = [usual, usual, *texts, usual]
+        assert others(types(texts, left_out=left_out)) == others(types(texts)), texts
+    # Names that are data are counted by value, where they are in place of a scalar as well.
+    merged = []
+    without = schema._without
+    monkeypatch.setattr(schema, "_without", lambda *a: merged.append(without(*a)) or merged[-1])
+    df = bronze([("t", x) for x in (usual, '{"team":[{"id":{"k1":"1"}}]}', '{"team":[{"id":[{"k2":"1"}]}]}')]).coalesce(1)
+    monkeypatch.setattr(schema, "FIRST_VALUES", 1)
+    schema.infer_nodes(df, [("k", schema.Root(element="t", left_out=left_out), (), ())])
+    assert [r[0] for r in df.select(F.col("payload").alias("value_0")).select(merged[0][0]).collect()] == [True, False, False]
+    # What one table leaves out another one is made of.
+    df = bronze([("t", usual)] * 3)
+    wanted = [(i, schema.Root(element="t", left_out=x), (), ()) for i, x in enumerate((left_out, frozenset()))]
+    assert all("big" in t.simpleString() for t in schema.infer_nodes(df, wanted).values())
+
+
 def test_the_table_of_a_root_needs_its_own_tree_only(bronze):
     from payloom.plans.catalog import pipeline
     from payloom.plans.tables import pipeline_tables, plan_shapes
