@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from payloom.functions.text import snake_case
 from payloom.operators.entities import build_tables, only_tables
-from payloom.operators.schema import infer_nodes, numbered, scalar_fields
+from payloom.operators.schema import WholeKinds, infer_nodes, numbered, scalar_fields
 from payloom.plans.spec import AutoTree, Field, Node, Root
 
 
@@ -62,17 +62,19 @@ def open_trees(df: DataFrame, trees: tuple[AutoTree, ...]) -> list:
     return [((kind, i), Root(element=t.element, source=column, left_out=frozenset(t.exclude)), (), ()) for kind, column in sources for i, t in enumerate(trees)]
 
 
-def discover(df: DataFrame, trees: tuple[AutoTree, ...], prefix: str, strict: bool = False, types: dict | None = None) -> TreePlan:
+def discover(df: DataFrame, trees: tuple[AutoTree, ...], prefix: str, strict: bool = False, types: dict | None = None,
+             kinds: WholeKinds | None = None) -> TreePlan:
     """Find every table of the given elements.
 
-    One inference job serves all elements; each further job resolves, together,
-    all forced fields of one depth whose shape was still mixed. ``strict``
+    One inference job serves all elements; forced fields whose shape is still mixed are resolved by the
+    schemas of whole values (``kinds``), or by a further job for all those of one depth together. ``strict``
     makes option names that match nothing an error; else the plan reports them,
     as a window of a feed may lack a field that others have. ``types``: what was
     inferred for ``open_trees`` already.
     """
     roots = [Root(element=t.element) for t in trees]
-    types = infer_nodes(df, open_trees(df, trees)) if types is None else types
+    kinds = {} if kinds is None else kinds
+    types = infer_nodes(df, open_trees(df, trees), kinds=kinds) if types is None else types
 
     dropped: list[str] = []
     mixed: list[str] = []
@@ -85,7 +87,7 @@ def discover(df: DataFrame, trees: tuple[AutoTree, ...], prefix: str, strict: bo
         open_drafts = unresolved
         if unresolved:
             index = {t.element: r for t, r in zip(trees, roots)}
-            found = infer_nodes(df, [((j,), index[d.tree.element], d.chain, ()) for j, d in enumerate(unresolved)])
+            found = infer_nodes(df, [((j,), index[d.tree.element], d.chain, ()) for j, d in enumerate(unresolved)], kinds=kinds)
             for j, d in enumerate(unresolved):
                 d.type = found[(j,)]
 

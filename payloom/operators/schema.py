@@ -22,8 +22,9 @@ LOG = logging.getLogger(__name__)
 NodeKey = tuple
 # Entities whose own schemas are longer, or of more kinds, are looked through level by level.
 LONG_SCHEMA, MANY_SCHEMAS = 20_000, 500
-# Values that are looked at first, to learn which fields there are beside those that no table is made of.
-FIRST_VALUES = 100
+# Values that are looked at first, to learn which fields there are beside those that no table is made of, and of how many
+# kinds whole values are. With more than FEW_KINDS among them, entities are counted in their place.
+FIRST_VALUES, FEW_KINDS = 100, 20
 
 
 @contextmanager
@@ -286,15 +287,72 @@ def _first_seen(df: DataFrame, value: Column) -> T.DataType | None:
     return united
 
 
-def _types_of_whole(df: DataFrame, readings: Iterable[tuple[Root, set[str], _Reading]]) -> tuple[list, dict] | None:
-    """Places whose schemas Spark has to merge and the types of all others, for readings of whole values. None if these can't tell.
+class _Hidden(Exception):
+    """The schema of a whole value doesn't tell the type of what is below."""
 
-    Values are counted by their own schemas as they are: no list is opened and no entity built again. The schema of
-    a list has its items' types merged already; where items are no objects only, this hides those that are.
-    Fields that readings leave out may be missing in the types.
+
+def _seen_at(dtype: T.DataType, path: tuple[str, ...]) -> T.DataType:
+    for key in path:
+        # Digits of decimals are cut out of a schema's text, be they in a name.
+        if isinstance(dtype, T.VariantType) or "DECIMAL(" in key:
+            raise _Hidden
+        fields = {f.name: f.dataType for f in dtype.fields} if isinstance(dtype, T.StructType) else {}
+        dtype = fields.get(key, T.NullType())
+    return dtype
+
+
+def _seen_items(dtype: T.DataType) -> T.DataType:
+    """Type of ``_items``: items' types are merged in a list's schema, where those that are no objects hide those that are."""
+    item = dtype.elementType if isinstance(dtype, T.ArrayType) else dtype
+    if isinstance(item, T.VariantType):
+        raise _Hidden
+    return item
+
+
+def _seen_child_items(entity: T.DataType, node: Node) -> list[T.DataType]:
+    """Types of ``_child_items`` of an entity."""
+    if not isinstance(entity, T.StructType):
+        return []
+    if node.keyed:
+        raise _Hidden
+    if node.named:
+        return [_seen_items(_seen_at(entity, path)) for _, path in node.named]
+    at = _seen_at(entity, node.path)
+    if isinstance(at, T.VariantType):
+        raise _Hidden
+    return [_seen_items(at if node.list_key is None or isinstance(at, T.ArrayType) else _seen_at(at, (node.list_key,)))]
+
+
+# Schemas of the whole values of a source, by where they are from, and whether names or digits of decimals may be cut in them.
+WholeKinds = dict[tuple, list[tuple[T.DataType, bool]]]
+
+
+def _type_below(kinds: list[tuple[T.DataType, bool]], chain: tuple[Node, ...]) -> T.DataType | None:
+    """Type of all entities below whole values of these kinds, None if there are none; VARIANT where Spark has to merge their schemas.
+
+    No list is opened: an error is raised where the schemas of whole values don't tell it.
+    """
+    united: T.DataType | None = T.NullType()
+    for whole, cut in kinds:
+        entities = [_seen_items(whole)]
+        for node in chain:
+            entities = [x for entity in entities for x in _seen_child_items(entity, node)]
+        for entity in entities:
+            if isinstance(entity, T.StructType):
+                merge = united is None or cut and "decimal" in entity.simpleString().lower()
+                united = None if merge else _united(united, entity)
+    return T.VariantType() if united is None else entity_type(united)
+
+
+def _kinds_of_whole(df: DataFrame, readings: Iterable[tuple[Root, set[str], _Reading]]) -> tuple[WholeKinds, bool] | None:
+    """The kinds of whole values by their reading's number and section, and whether nothing is left out of them. None where they are too long or too many.
+
+    Values are counted by their own schemas as they are: no list is opened and no entity built again. Fields that
+    readings of nothing but whole values leave out may be missing.
     """
     readings = list(readings)
     named = sorted({e for root, elements, _ in readings for e in _names(root, elements) or ()})
+    direct = not any(top.steps for _, _, top in readings)
     values, alike, own, rest = {}, {}, {}, {}
     for i, (root, elements, _) in enumerate(readings):
         names = _names(root, elements)
@@ -302,7 +360,7 @@ def _types_of_whole(df: DataFrame, readings: Iterable[tuple[Root, set[str], _Rea
         values[f"value_{i}"] = F.when(F.col("l1element").isin(*names), value) if names else value
         value, like = F.col(f"value_{i}"), F.col(f"alike_{i}")
         # Values of several elements are not seen apart.
-        seen = _first_seen(df, values[f"value_{i}"]) if root.left_out and len(names or ()) == 1 else None
+        seen = _first_seen(df, values[f"value_{i}"]) if direct and root.left_out and len(names or ()) == 1 else None
         without = _without(value, seen, root.left_out)
         if without is not None:
             alike[f"alike_{i}"], rest[f"rest_{i}"] = without[0], F.when(like, without[1])
@@ -312,73 +370,74 @@ def _types_of_whole(df: DataFrame, readings: Iterable[tuple[Root, set[str], _Rea
     read = df.select(section.alias("section"), *[c.alias(name) for name, c in values.items()])
     read = read.select("*", *[c.alias(name) for name, c in alike.items()]) if alike else read
     # To print a schema takes longer than to build the value. The names of values that are alike are known, so theirs are merged and printed once.
-    kinds = read.select("section", *[c.alias(name) for name, c in {**own, **rest}.items()]).groupBy(
-        "section", *[F.when(F.octet_length(name) > LONG_SCHEMA, "").otherwise(_kind(F.col(name))).alias(name) for name in own]).agg(
-        F.count(F.lit(1)).alias("n"), *[F.schema_of_variant_agg(name).alias(name) for name in rest])
+    printed = read.select("section", *[c.alias(name) for name, c in {**own, **rest}.items()])
+    by = ["section", *[F.when(F.octet_length(name) > LONG_SCHEMA, "").otherwise(_kind(F.col(name))).alias(name) for name in own]]
+    # Wholes may be of many kinds where their entities are of few: the first values tell whether to count them.
+    first = [] if direct else set(printed.select(*by).limit(FIRST_VALUES).collect())
+    if len(first) > FEW_KINDS or any("" in r[1:] for r in first):
+        return None
+    kinds = printed.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *[F.schema_of_variant_agg(name).alias(name) for name in rest])
     most = int(MANY_SCHEMAS * (len(named) or 1))
     rows = kinds.limit(most + 1).collect()
     if len(rows) > most:
         return None
-    found: dict[tuple[int, str], set[str]] = {}
+    texts: dict[tuple[int, str], set[str]] = {}
     for r in rows:
-        for i, (_, elements, top) in enumerate(readings):
-            texts = {r[name] for name in (f"own_{i}", f"rest_{i}") if name in kinds.columns} - {None}
-            if texts and (not elements or r["section"] in elements):
-                found.setdefault((top.ids[0], r["section"] if elements else ""), set()).update(texts)
-    merging, types = [], {}
-    for at, texts in found.items():
-        if "" in texts or len(texts) > MANY_SCHEMAS:
-            return None
-        united: T.DataType | None = T.NullType()
-        for text in sorted(texts):
-            if "DECIMAL" in text:
-                united = None
-                break
-            whole = parse_schema(text)
-            if isinstance(whole, T.ArrayType) and isinstance(whole.elementType, T.VariantType):
-                return None
-            entity = entity_type(whole)
-            united = united if united is None or entity is None else _united(united, entity)
-        if united is None:
-            merging.append(at)
-        elif entity_type(united) is not None:
-            types[at] = united
-    return merging, types
+        for i, (_, elements, _) in enumerate(readings):
+            if not elements or r["section"] in elements:
+                texts.setdefault((i, r["section"] if elements else ""), set()).update({r[name] for name in (f"own_{i}", f"rest_{i}") if name in kinds.columns} - {None})
+    if any("" in found or len(found) > MANY_SCHEMAS for found in texts.values()):
+        return None
+    return {at: [(parse_schema(text), "DECIMAL" in text) for text in sorted(found)] for at, found in texts.items()}, not rest
 
 
 def infer_nodes(df: DataFrame, wanted: list[tuple[NodeKey, Root, tuple[Node, ...], tuple[str, ...]]],
-                rule: KeyedRule | None = None) -> dict:
+                rule: KeyedRule | None = None, kinds: WholeKinds | None = None) -> dict:
     """Entity types of many nodes at once, keyed as given.
 
     Each entry is (key, root, nodes below the root, path of an inlined object).
-    Every row yields its (node, entity) pairs, which are aggregated on the map side first.
     Roots that differ in nothing but their element share one reading.
 
-    One job counts the entities by their own schemas, which are few where entities are of few kinds, and the driver
-    unites them. Only where numbers or times of several types meet does a second job merge the schemas of all entities.
-    Where all that is wanted is whole values, they are counted as they are, lists of entities unopened; fields that
-    all who want them leave out may then be missing in the types.
+    One job counts whole values by their own schemas, which are few where values are of few kinds: lists stay unopened, and the
+    driver takes the types of all nodes from these schemas and unites them. Fields that all who want nothing but whole values leave out may then be
+    missing in the types. Where schemas of whole values are long, of many kinds or don't tell the type of a node, every row yields its (node, entity) pairs,
+    which are counted by their own schemas. Only where numbers or times of several types meet does one more job merge the schemas of all entities.
     Nodes with long schemas or many kinds, and those in which an object came out with many fields, may have objects
     whose keys are data: they are looked through level by level, and ``rule`` decides. Names are taken as they are written.
+
+    ``kinds`` takes the schemas of whole values; given again with the same rows, it answers for nodes that they tell without a job.
     """
+    rule = rule or KeyedRule()
+    known = {}
+    for key, root, chain, inner in wanted if kinds else ():
+        try:
+            dtype = _type_below(kinds[_whole(root)], (*chain, *([Node(path=inner)] if inner else [])))
+        except (KeyError, _Hidden):
+            continue
+        if not isinstance(dtype, T.VariantType) and _most_fields(dtype) < rule.many:
+            known[key] = dtype
+    wanted = [w for w in wanted if w[0] not in known]
     if not wanted:
-        return {}
+        return known
     readings: dict[tuple, tuple[Root, set, _Reading]] = {}
     n_nodes = 0
     owner: dict[int, tuple[int, str]] = {}
+    ways: dict[tuple[int, str], tuple[tuple, tuple[Node, ...]]] = {}
     for i, (_, root, chain, inner) in enumerate(wanted):
         single = isinstance(root.element, str)
-        source = (root.source, root.unwrap, None if single else root.element)
+        source = _whole(root)[:2] if single else _whole(root)
         one, elements, top = readings.get(source, (root, set(), _Reading()))
         # What one table leaves out another one may be made of.
         readings[source] = (dataclasses.replace(one, left_out=one.left_out & root.left_out), elements, top)
         if single:
             elements.add(root.element)
-        spot = top.at((*chain, *([Node(path=inner)] if inner else [])))
+        below = (*chain, *([Node(path=inner)] if inner else []))
+        spot = top.at(below)
         if not spot.ids:
             spot.ids.append(n_nodes)
             n_nodes += 1
         owner[i] = (spot.ids[0], root.element if single else "")
+        ways[owner[i]] = source, below
 
     needed = {e for _, r, _, _ in wanted for e in (r.element if isinstance(r.element, tuple) else (r.element,))}
     if None not in needed:
@@ -386,21 +445,42 @@ def infer_nodes(df: DataFrame, wanted: list[tuple[NodeKey, Root, tuple[Node, ...
     entities = _entities(df, readings.values())
     place = F.struct("node", "section")
     with _names_as_written(df.sparkSession):
-        direct = all(top.ids and not top.steps and not root.unwrap for root, _, top in readings.values())
-        whole = _types_of_whole(df, readings.values()) if direct else None
+        whole = None if any(root.unwrap for root, _, _ in readings.values()) else _kinds_of_whole(df, readings.values())
         if whole is None:
             n_places = sum(len(elements) or 1 for _, elements, _ in readings.values()) * n_nodes
             wide, merging, types = _types_of_kinds(entities, n_places)
         else:
-            wide, (merging, types) = [], whole
+            found, all_fields = whole
+            numbers = {source: i for i, source in enumerate(readings)}
+            wide, merging, types, hidden = [], [], {}, []
+            for at, (source, below) in ways.items():
+                try:
+                    dtype = _type_below(found.get((numbers[source], at[1]), []), below)
+                except _Hidden:
+                    hidden.append(at)
+                    continue
+                if isinstance(dtype, T.VariantType):
+                    merging.append(at)
+                elif dtype is not None:
+                    types[at] = dtype
+            if hidden:
+                wide, more, opened = _types_of_kinds(entities.filter(place.isin(*_structs(hidden))), len(hidden))
+                merging, types = merging + more, types | opened
+            if kinds is not None and all_fields:
+                for source, (root, elements, _) in readings.items():
+                    kinds.update({_whole(root, e): found.get((numbers[source], e or ""), []) for e in elements or (None,)})
         if merging:
             merged = entities.filter(place.isin(*_structs(merging))).groupBy("node", "section").agg(F.schema_of_variant_agg("v").alias("s"))
             types |= {(r["node"], r["section"]): entity_type(parse_schema(r["s"])) for r in merged.collect()}
-    rule = rule or KeyedRule()
     wide += [at for at, dtype in types.items() if _most_fields(dtype) >= rule.many]
     if wide:
         types |= infer_by_level(entities.filter(place.isin(*_structs(wide))), rule)
-    return {key: types.get(owner[i]) for i, (key, *_) in enumerate(wanted)}
+    return known | {key: types.get(owner[i]) for i, (key, *_) in enumerate(wanted)}
+
+
+def _whole(root: Root, element: str | None = None) -> tuple:
+    """What the whole values of a root are known by."""
+    return root.source, root.unwrap, element or root.element
 
 
 def scalar_fields(schema: T.StructType | None, prefix: str = "", text: bool = True,

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from payloom.functions.text import snake_case
 from payloom.operators.entities import build_tables, context_columns, only_tables
 from payloom.operators.flatten import TreePlan, discover, flatten, open_trees
-from payloom.operators.schema import infer_nodes, open_nodes, resolve
+from payloom.operators.schema import WholeKinds, infer_nodes, open_nodes, resolve
 from payloom.plans.spec import AutoTree, Node, Pipeline, Root
 from payloom.sources.bronze import stage
 
@@ -23,15 +23,16 @@ Shapes = tuple[TreePlan | None, tuple[Root, ...]]
 
 
 def plan_shapes(pipe: Pipeline, bronze: DataFrame, only: Collection[str] | None = None) -> Shapes:
-    """Shapes of a pipeline's data: one job for all trees, discovered and declared, and one more
-    per depth at which forced fields of discovered trees are mixed. Keep it to run again."""
+    """Shapes of a pipeline's data: one job for all trees, discovered and declared, and one more per depth at which
+    forced fields of discovered trees are mixed, if the schemas of whole payloads don't tell them. Keep it to run again."""
     roots = pipe.roots if only is None else only_tables(pipe.roots, _needed(pipe, only))
     declared = {t for r in pipe.roots for t in _tables_of(r)}
     discovered = pipe.auto and (only is None or not set(only) <= declared)
     trees = _needed_trees(pipe, only)
     wanted = [*(open_trees(bronze, trees) if discovered else ()), *open_nodes(roots)]
-    types = infer_nodes(bronze, wanted)
-    tree = discover(bronze, trees, "", types=types) if discovered else None
+    kinds: WholeKinds = {}
+    types = infer_nodes(bronze, wanted, kinds=kinds)
+    tree = discover(bronze, trees, "", types=types, kinds=kinds) if discovered else None
     return tree, resolve(bronze, roots, pipe.text, pipe.raw_names, types)
 
 

@@ -256,6 +256,62 @@ def test_whole_values_are_counted_without_opening_their_lists(bronze, monkeypatc
     assert types('{"a":"1"}', '[{"b":"2"},"text"]') == ("struct<a:string,b:string>", None, True)
 
 
+def test_whole_values_tell_the_types_of_all_nodes(spark, bronze, monkeypatch):
+    import random
+
+    from payloom.operators import schema
+    from payloom.plans.catalog import pipeline
+    from payloom.plans.spec import Node, Root
+    from payloom.plans.tables import plan_shapes
+
+    # Declared nodes and forced fields of several shapes are typed without a list being opened.
+    opened = []
+    kinds = schema._types_of_kinds
+    monkeypatch.setattr(schema, "_types_of_kinds", lambda *a: opened.append(1) or kinds(*a))
+    player = '{"playerId":"1","playerStats":{"tackles":"2"}}'
+    team = '{{"team_id":"1","teamLineup":{{"teamPlayer":{},"insAndOuts":{{"insOuts":{{"player_id":"3"}}}}}},"teamCoaches":{{"teamCoach":[{{"coach_id":"4"}}]}}}}'
+    df = bronze([("teams", p, '{"game_id":"9"}') for p in (f'{{"teamsMatch":{team.format(player)}}}', f'[{{"teamsMatch":[{team.format(f"[{player}]")}]}}]')])
+    tree, roots = plan_shapes(pipeline("matchdata"), df)
+    assert not opened and not tree.mixed and [c.table for c in tree.roots[1].children] == ["teams_match"]
+    assert [f.column for f in roots[1].children[0].children[0].inline[0][2]] == ["player_stats_tackles"]
+
+    def value(depth):
+        pick = random.randrange(13 if depth else 6)
+        if pick < 6:
+            return ["null", '"t"', "true", "1", number, "{}"][pick]
+        if pick < 7:
+            return "[" + ",".join(value(depth - 1) for _ in range(random.randrange(3))) + "]"
+        return "{" + ",".join(f'"{k}":{value(depth - 1)}' for k in random.sample(["a", "A", "b", odd], random.randrange(1, 4))) + "}"
+
+    random.seed(11)
+    steps = [Node(path=("a",)), Node(path=("a", "b")), Node(path=("b",), list_key="a"), Node(path=("DECIMAL(2,1)",)), Node(path=("A",)),
+             Node(named=(("1", ("a",)), ("2", ("b", "A")))), Node(path=("b",), keyed=True), Node(path=("b",))]
+    def top():
+        one = f'{{"a":{value(3)},"b":{value(3)},"A":{value(2)}}}'
+        return random.choice([one, f"[{one}]", f'[{one},{{"a":{value(2)}}}]'])
+
+    groups = []
+    for i in range(25):
+        number, odd = ("2.5", "DECIMAL(2,1)") if i % 4 == 0 else ("3", "c d")
+        groups.append([top() for _ in range(3)])
+    df = spark.createDataFrame([(f"e{i}", t) for i, texts in enumerate(groups) for t in texts], "l1element string, t string").select(
+        "l1element", F.parse_json("t").alias("payload"), F.parse_json("t").alias("l0payload")).localCheckpoint()
+    wanted = []
+    for i in range(len(groups)):
+        chains = [(), *[(step,) for step in steps], *[tuple(random.sample(steps, 2)) for _ in range(4)]]
+        wanted += [((i, j), Root(element=f"e{i}"), chain, random.choice([(), (), (), ("a",), ("b", "A")])) for j, chain in enumerate(chains)]
+    wanted.append(("all", Root(source="l0payload"), (steps[0],), ()))
+    monkeypatch.setattr(schema, "FEW_KINDS", -1)
+    exact = schema.infer_nodes(df, wanted)
+    monkeypatch.setattr(schema, "FEW_KINDS", 1000)
+    store: dict = {}
+    assert schema.infer_nodes(df, wanted, kinds=store) == exact and store
+    del opened[:]
+    told = schema.infer_nodes(df.filter("false"), wanted, kinds=store)
+    # What was counted before answers for the same nodes again; here only what it can't tell is read, from no rows.
+    assert sum(t is not None for t in told.values()) > 50 and all(t is None or t == exact[k] for k, t in told.items())
+
+
 def test_fields_left_out_are_not_looked_at_and_no_other_is_missed(bronze, monkeypatch):
     import random
 
