@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -132,6 +133,11 @@ def check_table(df: DataFrame, name: str, rules: TableRules) -> DataFrame:
         found.append((f"{name}:{c}", F.coalesce(F.sum(F.when(first, F.col(f"n_e{empty.index(c)}"))), F.lit(0)) if c in empty else None))
     for keys, n in rules.exactly:
         found.append((f"{name}:{n} rows", of(keys, F.col("n") != n) if known(keys) else None))
+    return _results(counted, found)
+
+
+def _results(counted: DataFrame, found: Sequence[tuple[str, Column | None]]) -> DataFrame:
+    """A result row per check from its number of bad rows, an aggregate of the counts; ERROR where there is none."""
     bad = counted.agg(*[(F.lit(None) if b is None else b).cast("long").alias(f"b{i}") for i, (_, b) in enumerate(found)])
     return bad.select(F.inline(F.array(*[
         F.struct(F.lit(check_id).alias("check_id"),
@@ -140,11 +146,95 @@ def check_table(df: DataFrame, name: str, rules: TableRules) -> DataFrame:
         for i, (check_id, b) in enumerate(found)])))
 
 
+class Match(NamedTuple):
+    """Every row of `left` has a row of `right` with the same values in the columns `on`."""
+
+    check_id: str
+    left: DataFrame
+    right: DataFrame
+    on: tuple[str, ...]
+
+
+def _folded(columns: Iterable[str]) -> tuple[str, ...]:
+    return tuple(sorted({c.lower() for c in columns}))
+
+
+def _key_sets(rules: TableRules) -> list[tuple[str, ...]]:
+    """The sets of keys by which the rules count, the largest first."""
+    return sorted({_folded(k) for k in (rules.unique, *(k for k, _ in rules.exactly)) if k}, key=lambda s: (-len(s), s))
+
+
+def _common_key(tables: Mapping[str, tuple[DataFrame, TableRules]], matches: Sequence[Match]) -> tuple[str, ...] | None:
+    """The columns by which all tables are matched, if each table can be counted by ever smaller sets of keys down to these."""
+    keys = {_folded(m.on) for m in matches}
+    frames = [df for df, _ in tables.values()]
+    if len(keys) != 1 or any(all(side is not df for df in frames) for m in matches for side in (m.left, m.right)):
+        return None
+    on = keys.pop()
+    types = set()
+    for df, rules in tables.values():
+        sets = [*_key_sets(rules), on]
+        names = [c.lower() for c in df.columns]
+        if any(names.count(c) != 1 for c in _folded((*on, *rules.not_null, *(c for s in sets for c in s)))):
+            return None
+        if any(not set(small) <= set(large) for large, small in zip(sets, sets[1:])):
+            return None
+        types.add(tuple(df.schema[names.index(c)].dataType for c in on))
+    return on if len(types) == 1 else None
+
+
+def check_related(tables: Mapping[str, tuple[DataFrame, TableRules]], matches: Sequence[Match]) -> DataFrame:
+    """Results of all rules of some tables (by name) and of matches between them, from one query.
+
+    Where the tables are matched by columns that all their keys have, each table is read once: it is counted by its keys,
+    these counts by the next smaller keys, and all tables' counts together by the columns of the match, with one row per
+    key and task before each exchange. Otherwise the tables are read for each match again.
+    """
+    on = _common_key(tables, matches)
+    if on is None:
+        return union_results([*(check_table(df, name, rules) for name, (df, rules) in tables.items()),
+                              *(_expect_match(m.left, m.right, m.on, m.check_id) for m in matches)])
+    counted: list[tuple[DataFrame, list[str]]] = []
+    found: list[tuple[str, Column]] = []
+    for j, (name, (df, rules)) in enumerate(tables.items()):
+        sets = [s for s in _key_sets(rules) if s != on]
+        place = {c: f"k{i}" for i, c in enumerate(_folded((*on, *(c for s in sets for c in s))))}
+        inside = F.lit(True) if rules.where is None else F.coalesce(rules.where, F.lit(False))
+        counts = {f"t{j}_n": F.lit(1), f"t{j}_inside": inside, **{f"t{j}_e{i}": F.col(quote(c)).isNull() for i, c in enumerate(rules.not_null)}}
+        level = df.select(*[F.col(quote(c)).alias(k) for c, k in place.items()], *[c.cast("long").alias(x) for x, c in counts.items()])
+        sums, n = list(counts), F.col(f"t{j}_n")
+        by_key = [(f"{name}:unique", rules.unique, n > 1)] if rules.unique else []
+        by_key += [(f"{name}:{m} rows", keys, n != m) for keys, m in rules.exactly]
+        bad: dict[int, Column] = {r: F.count_if((n > 0) & cond) for r, (_, keys, cond) in enumerate(by_key) if _folded(keys) == on}
+        for s in sets:
+            level = level.groupBy(*[place[c] for c in s]).agg(*[F.sum(x).alias(x) for x in sums])
+            here = {f"t{j}_r{r}": cond for r, (_, keys, cond) in enumerate(by_key) if _folded(keys) == s}
+            level = level.withColumns({x: cond.cast("long") for x, cond in here.items()})
+            sums += here
+        bad |= {r: F.coalesce(F.sum(f"t{j}_r{r}"), F.lit(0)) for r in range(len(by_key)) if r not in bad}
+        counted.append((level.select(*[F.col(place[c]).alias(f"on{i}") for i, c in enumerate(on)], *sums), sums))
+        if rules.rows:
+            found.append((f"{name}:rows", F.when(F.coalesce(F.sum(f"t{j}_inside"), F.lit(0)) > 0, 0).otherwise(1)))
+        found += [(f"{name}:{c}", F.coalesce(F.sum(f"t{j}_e{i}"), F.lit(0))) for i, c in enumerate(rules.not_null)]
+        found += [(check_id, bad[r]) for r, (check_id, _, _) in enumerate(by_key)]
+    keys = [f"on{i}" for i in range(len(on))]
+    every = [x for _, sums in counted for x in sums]
+    parts = [level.select(*keys, *[F.col(x) if x in sums else F.lit(0).cast("long").alias(x) for x in every]) for level, sums in counted]
+    by_match = reduce(DataFrame.unionAll, parts).groupBy(*keys).agg(*[F.sum(x).alias(x) for x in every])
+    frames = [df for df, _ in tables.values()]
+    # An empty value equals no other.
+    empty = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    for m in matches:
+        left, right = (F.col(f"t{next(j for j, df in enumerate(frames) if df is side)}_n") for side in (m.left, m.right))
+        found.append((m.check_id, F.coalesce(F.sum(F.when((right == 0) | empty, left)), F.lit(0))))
+    return _results(by_match, found)
+
+
 class Together(NamedTuple):
     """Checks that share a scan, and the same checks one by one for the case that it fails."""
 
     make: Callable[[], DataFrame]
-    apart: Mapping[str, Callable[[], DataFrame]]
+    apart: Mapping[str, Callable[[], DataFrame] | Together]
 
 
 def table_rules(make: Callable[[], DataFrame], name: str, rules: TableRules) -> Together:

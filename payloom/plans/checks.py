@@ -40,19 +40,32 @@ HAS_PARENT = {"matchdata": (("teams_match", "gameinfo", ("game_id",)),)}
 
 
 def table_checks(pipeline: str, tables: Mapping[str, DataFrame]) -> Checks:
-    """Checks of a pipeline's output tables: one scan a table, and a join per rule between two. A table that is missing makes its checks ERROR rows."""
-    checks: Checks = {}
+    """Checks of a pipeline's output tables: one query for each table, or for all tables with rules between them. A table that is missing makes its checks ERROR rows."""
     exactly = EXACTLY.get(pipeline, ())
-    for table, keys in KEYS.get(pipeline, {}).items():
-        name = f"{pipeline}.{table}"
-        rules = Q.TableRules(keys, keys, tuple((k, n) for t, k, n in exactly if t == table))
-        checks[name] = Q.table_rules(lambda t=table: tables[t], name, rules)
-    for parent, child, on in HAS_CHILD.get(pipeline, ()):
-        name = f"{pipeline}.{parent}:has {child}"
-        checks[name] = lambda p=parent, c=child, o=on, i=name: Q.expect_children(tables[p], tables[c], o, i)
-    for child, parent, on in HAS_PARENT.get(pipeline, ()):
-        name = f"{pipeline}.{child}:in {parent}"
-        checks[name] = lambda p=parent, c=child, o=on, i=name: Q.expect_parent(tables[c], tables[p], o, i)
+    rules = {table: Q.TableRules(keys, keys, tuple((k, n) for t, k, n in exactly if t == table)) for table, keys in KEYS.get(pipeline, {}).items()}
+    alone = {t: Q.table_rules(lambda t=t: tables[t], f"{pipeline}.{t}", r) for t, r in rules.items()}
+    matches = [(f"{pipeline}.{parent}:has {child}", parent, child, on) for parent, child, on in HAS_CHILD.get(pipeline, ())]
+    matches += [(f"{pipeline}.{child}:in {parent}", child, parent, on) for child, parent, on in HAS_PARENT.get(pipeline, ())]
+
+    groups = [{t} for t in rules]
+    for _, left, right, _ in matches:
+        joined = [g for g in groups if g & {left, right}]
+        groups = [*(g for g in groups if g not in joined), {left, right}.union(*joined)]
+    checks: Checks = {}
+    # Groups of several tables take longest.
+    for group in sorted(groups, key=len, reverse=True):
+        within = [m for m in matches if m[1] in group]
+        apart: Checks = {f"{pipeline}.{t}": alone[t] for t in rules if t in group}
+        apart |= {i: lambda i=i, a=left, b=right, on=on: Q.expect_parent(tables[a], tables[b], on, i) for i, left, right, on in within}
+        if not within:
+            checks |= apart
+            continue
+
+        def together(group=group, within=within) -> DataFrame:
+            read = {f"{pipeline}.{t}": (tables[t], r) for t, r in rules.items() if t in group}
+            return Q.check_related(read, [Q.Match(i, tables[left], tables[right], on) for i, left, right, on in within])
+
+        checks[" ".join(apart)] = Q.Together(together, apart)
     return checks
 
 

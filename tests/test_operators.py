@@ -380,6 +380,45 @@ def test_plan_of_a_pipeline_reads_each_table_once(spark):
     assert got.count() == 2 * 5 + sum(map(len, C.KEYS["matchdata"].values())) + 2
 
 
+def test_rules_between_tables_read_each_table_once(spark, tmp_path):
+    import random
+
+    random.seed(7)
+
+    def frame(n, ddl="g string, t int, p int, x int", keys=6):
+        pick = lambda k: random.choice([None, *range(k)])
+        return spark.createDataFrame([(None if (g := pick(keys)) is None else f"g{g}", pick(3), pick(2), pick(2)) for _ in range(n)], ddl)
+
+    def check(tables, matches, fused=True):
+        alone = [r for name, (df, rules) in tables.items() for make in Q.rule_checks(lambda df=df: df, name, rules).values() for r in rows(make())]
+        alone += [r for m in matches for r in rows(Q.expect_parent(m.left, m.right, m.on, m.check_id))]
+        assert rows(Q.check_related(tables, matches)) == sorted(alone, key=str) and (Q._common_key(tables, matches) is not None) is fused
+
+    one = Q.TableRules(("g",), ("g", "x"), ((("g",), 2),), where=F.expr("x = 1"))
+    two = Q.TableRules(("G", "t"), ("g", "t"), ((("g",), 2), (("t", "g"), 1)))
+    deep = Q.TableRules(("g", "t", "p"), ("p",), ((("g", "t"), 1),), rows=False)
+    for n in (0, 30):
+        a, b, c = frame(n), frame(2 * n), frame(3 * n, keys=9)
+        check({"a": (a, one), "b": (b, two)}, [Q.Match("b:in a", b, a, ("g",))])
+        check({"a": (a, one), "c": (c, deep), "b": (b, two)}, [Q.Match("c:in b", c, b, ("g",)), Q.Match("a:has c", a, c, ("G",))])
+        check({"b": (b, two), "c": (c, deep)}, [Q.Match("c:in b", c, b, ("t", "g"))], fused=False)
+        check({"b": (b, two._replace(exactly=())), "c": (c, deep)}, [Q.Match("c:in b", c, b, ("t", "g"))])
+        check({"b": (b, Q.TableRules()), "c": (c, Q.TableRules(("p",)))}, [Q.Match("c:in b", c, b, ("g",))], fused=False)
+        check({"b": (b, two), "d": (b, one)}, [Q.Match("b:in b", b, b, ("g",))])
+    spark.range(20).selectExpr("id % 9 AS game_id", "id AS team_id", "'s' AS ingested_from", "id AS coach_id", "id AS player_id").write.parquet(str(tmp_path / "t"))
+    tables = {t: spark.read.parquet(str(tmp_path / "t")) for t in C.KEYS["matchdata"]}
+    related, *others = C.table_checks("matchdata", tables).values()
+    plan = related.make()._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 2 and "Join" not in plan and "Expand" not in plan and len(others) == 3 and len(related.apart) == 3
+    # Numbers and texts are matched as a join does it, and a table that is missing leaves the others alone.
+    tables["gameinfo"] = tables["gameinfo"].withColumn("game_id", F.expr("CAST(game_id % 5 AS string)"))
+    wrong = {"matchdata.gameinfo:unique": 5, "matchdata.teams_match:2 rows": 2, "matchdata.teams:unique": 9, "matchdata.teams_match:in gameinfo": 8}
+    assert {r[0]: r[2] for r in rows(Q.run_checks(spark, C.table_checks("matchdata", tables))) if r[1] == "FAIL"} == wrong
+    del tables["gameinfo"]
+    got = Q.run_checks(spark, C.table_checks("matchdata", tables))
+    assert {r[0] for r in rows(got) if r[1] == "ERROR"} == {f"matchdata.{c}" for c in ("gameinfo:rows", "gameinfo:unique", "gameinfo:game_id", "teams_match:in gameinfo")}
+
+
 def test_choices_made_outside_of_a_payload_build_it_once(spark):
     from payloom.suite.base import Either, Repeat, chosen_first, variant_sql
 
