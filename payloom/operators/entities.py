@@ -122,6 +122,31 @@ def _unwrapped_list(value: Column, key: str, ddl: str) -> Column:
     return F.coalesce(get(value, key, as_type=f"array<{ddl}>"), inner, _list(value, (), None, ddl))
 
 
+def _list_below(value: Column, path: tuple[str, ...], ddl: str) -> Column:
+    """``_list`` of what is at a path of a value, or of each of its elements, where the value is a list: one flat list.
+
+    Typed from the whole value, so that nothing on the way is built again. Elements with single entities are read once more.
+    """
+    def below(item: str) -> Column:
+        for key in reversed(path):
+            item = struct_ddl({key: item})
+        found = get(value, as_type=f"array<{item}>")
+        for key in path:
+            found = found.getField(key)
+        return found
+
+    lists = below(f"array<{ddl}>")
+    mixed = F.zip_with(lists, below(ddl), lambda items, one: F.coalesce(items, F.array(one)))
+    return F.coalesce(F.flatten(lists), F.flatten(mixed), _list(value, path, None, ddl))
+
+
+def _passed_by(chain: tuple[Node, ...]) -> bool:
+    """Whether a tree's root hands nothing down, so that its entities need not be opened to get to the next node's."""
+    root, nxt = chain[0], chain[1]
+    plain = isinstance(root.source, str) and root.source != "row" and not root.unwrap and root.take != "first" and not root.label
+    return plain and not root.hand_down and len(nxt.path) == 1 and nxt.list_key is None and not nxt.named and not nxt.keyed
+
+
 def _element_filter(root: Root) -> Column | None:
     if root.element is None:
         return None
@@ -248,6 +273,9 @@ def _descend(df: DataFrame, chain: tuple[Node, ...], context: Mapping[str, Colum
         frame = hop.frame.select(*[F.col(K.quote(c)) for c in hop.carried], hop.part(chain[hop.depth + 1].path[0]).alias(VALUE))
         carried = {c: F.col(c) for c in hop.carried}
     reader = _Reader()
+    # Keys that are still to be taken from VALUE.
+    rest = chain[hop.depth + 1].path[1:] if hop is not None else ()
+    passed = hop is None and len(chain) > (2 if parts else 1) and _passed_by(chain)
     for depth, node in enumerate(chain):
         if hop is not None and depth <= hop.depth:
             continue
@@ -255,6 +283,8 @@ def _descend(df: DataFrame, chain: tuple[Node, ...], context: Mapping[str, Colum
         stop = bool(parts) and depth == len(chain) - 2
         if node.passthrough is not None:
             carried = {c: v for c, v in carried.items() if c in node.passthrough}
+        if depth == 0 and passed:
+            continue
         if depth == 0 and node.source == "row":
             # The bronze row is the entity: nothing to open.
             frame = frame.select(*[v.alias(c) for c, v in carried.items()])
@@ -273,11 +303,15 @@ def _descend(df: DataFrame, chain: tuple[Node, ...], context: Mapping[str, Colum
                     reader.want(f)
                 for _, path in chain[depth + 1].named:
                     reader.want_place(path)
-                for key in parts if stop else chain[depth + 1].path[:1]:
-                    reader.want_value(key)
+                if stop:
+                    for key in parts:
+                        reader.want_value(key)
+                elif chain[depth + 1].path:
+                    # Just what the next node opens, not all that is beside it on the way.
+                    reader.want_place(chain[depth + 1].path)
             if not reader.types:
                 reader.want_value("__none")
-            frame = _open(frame, node, depth, chain, carried, reader)
+            frame = _open(frame, node, depth, chain, carried, reader, rest, passed and depth == 1)
             entity = F.col(ENTITY)
             if node.label:
                 carried[node.label] = F.col(LABEL)
@@ -294,7 +328,8 @@ def _descend(df: DataFrame, chain: tuple[Node, ...], context: Mapping[str, Colum
                 places = [F.struct(F.lit(label).alias(LABEL), reader.place(entity, path).alias(VALUE)) for label, path in nxt.named]
                 opened = [F.inline(F.array(*places))]
             else:
-                opened = [reader.nested(entity, nxt.path[0]).alias(VALUE)]
+                opened = [reader.place(entity, nxt.path).alias(VALUE)]
+            rest = ()
             frame = frame.select(*[v.alias(c) for c, v in carried.items()], *opened)
             carried = {c: F.col(c) for c in carried}
             if stop:
@@ -346,7 +381,7 @@ def _table(df: DataFrame, chain: tuple[Node, ...], context: Mapping[str, Column]
 
 
 def _open(frame: DataFrame, node: Node, depth: int, chain: tuple[Node, ...], carried: Mapping[str, Column],
-          reader: _Reader) -> DataFrame:
+          reader: _Reader, rest: tuple[str, ...] = (), from_root: bool = False) -> DataFrame:
     """Explode the node's entities into ENTITY (and VALUE where the raw value is needed)."""
     last = depth == len(chain) - 1
     raw = reader.ddl() == "variant" or (last and (node.require == "filled" or node.text_element is not None))
@@ -366,9 +401,11 @@ def _open(frame: DataFrame, node: Node, depth: int, chain: tuple[Node, ...], car
     elif node.named:
         items = _list(F.col(VALUE), (), None, ddl)
     elif node.keyed:
-        items = _by_key(node, ddl)
+        items = _by_key(rest, ddl)
+    elif from_root:
+        items = _list_below(root_value(chain[0]), node.path, ddl)
     else:
-        items = _list(F.col(VALUE), node.path[1:], node.list_key, ddl)
+        items = _list(F.col(VALUE), rest, node.list_key, ddl)
     out = VALUE if raw else ENTITY
     extra = [F.col(LABEL)] if node.named or node.keyed else []
     keep = [v.alias(c) for c, v in carried.items()]
@@ -387,7 +424,7 @@ def _open(frame: DataFrame, node: Node, depth: int, chain: tuple[Node, ...], car
     return frame.filter(is_object(VALUE))
 
 
-def _by_key(node: Node, ddl: str) -> Column:
+def _by_key(path: tuple[str, ...], ddl: str) -> Column:
     """The values of an object with their keys."""
-    entries = F.map_entries(get(F.col(VALUE), *node.path[1:], as_type=OBJECT))
+    entries = F.map_entries(get(F.col(VALUE), *path, as_type=OBJECT))
     return F.transform(entries, lambda e: F.struct(e["key"].alias("label"), (e["value"] if ddl == "variant" else get(e["value"], as_type=ddl)).alias("item")))

@@ -352,6 +352,34 @@ def test_fields_left_out_are_not_looked_at_and_no_other_is_missed(bronze, monkey
     assert all("big" in t.simpleString() for t in schema.infer_nodes(df, wanted).values())
 
 
+def test_nodes_below_a_root_are_read_from_the_whole_value(bronze):
+    import itertools
+
+    from payloom.operators.entities import build_tables
+    from payloom.plans.spec import Field, Node, Root
+
+    shapes = ['{"a":%s}', '[{"a":%s}]', '[{"a":%s},{"a":{"x":"9","b":{"c":[{"y":"8"},null,4]}}},{},null,7,[{"a":{"x":"6"}}]]', '{"a":%s,"A":[{"x":"5"}]}']
+    inner = ['{"x":"1","b":{"c":{"y":"2"}}}', '[{"x":"1","b":{"c":[{"y":"2"},{"y":3}]}},{"x":{"z":"1"}},null,"t"]', '[]', 'null', '"t"', '[[{"x":"1"}]]',
+             '{"x":"1","b":[{"c":{"y":"2"}}]}', '{"x":["1"],"b":{"c":null}}', '{"X":"1","b":{"c":[{"Y":"3"}]}}']
+    texts = [s % i for s, i in itertools.product(shapes, inner)] + ["[]", "null", "4", "{}", None, '{"a":{"b":"u"}}']
+    df = bronze([("e", t, None, f"s_{i}") for i, t in enumerate(texts)])
+    context = {"ingested_from": F.col("ingested_from")}
+
+    def tables(hand_down):
+        leaf = Node(table="leaf", path=("b", "c"), fields=(Field("y", "y"),))
+        below = Node(table="below", path=("a",), fields=(Field("x", "x"),), hand_down=(Field("x", "x"),), children=(leaf,))
+        whole = Node(table="whole", path=("a",), fields=(Field("x", "x"),), text_element="v")
+        filled = Node(table="filled", path=("a",), fields=(Field("x", "x"), Field("X", "x2")), require="filled")
+        return build_tables(df, (Root(element="e", hand_down=hand_down, children=(below, whole, filled)),), context)
+
+    hops, direct = tables((Field("none", "none"),)), tables(())
+    assert hops.keys() == direct.keys() == {"leaf", "below", "whole", "filled"}
+    for name, table in direct.items():
+        expected = rows(hops[name].drop("none"))
+        assert rows(table) == expected and len(expected) > 15, name
+    assert [direct[t]._jdf.queryExecution().executedPlan().toString().count("Generate ") for t in ("below", "leaf")] == [1, 2]
+
+
 def test_the_table_of_a_root_needs_its_own_tree_only(bronze):
     from payloom.plans.catalog import pipeline
     from payloom.plans.tables import pipeline_tables, plan_shapes
